@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, packing, pii, tokens, urlfilter
+from . import decontam, langid, neardup, packing, pii, substring_dedup, tokens, urlfilter
 from .common import session
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -22,6 +22,10 @@ def bucket(column: str, n: int):  # noqa: ANN201
     return F.crc32(F.col(column).cast("string")) % n
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removed(read(spark, sf_dir, "documents"), 50).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -46,6 +50,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokens.named(VOCABULARY), 1024, 0)
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(read(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detect(read(spark, sf_dir, "documents"))
 
@@ -60,7 +68,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontaminate, op3_language_id, op4_token_counts, op5_url_filter, op7_packing, op10_pii)
+    f.__name__: f for f in (op1_substring_dedup, op2_decontaminate, op3_language_id, op4_token_counts, op5_url_filter, op7_packing, op8_near_duplicates, op10_pii)
 }
 
 ORACLES: dict[str, str] = {}
