@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, neardup, packing, pii, substring_dedup, tokens, urlfilter
+from . import decontam, langid, mixing, neardup, packing, pii, substring_dedup, tokens, urlfilter
 from .common import session
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -54,6 +54,14 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(read(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    fold = bucket("doc_id", 10)
+    model, counts = mixing.fit(docs.where(F.coalesce(fold != 0, F.lit(False))), F.coalesce(fold == 1, F.lit(False)))
+    found = mixing.scored(docs, model, counts)
+    return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detect(read(spark, sf_dir, "documents"))
 
@@ -68,7 +76,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_decontaminate, op3_language_id, op4_token_counts, op5_url_filter, op7_packing, op8_near_duplicates, op10_pii)
+    f.__name__: f for f in (op1_substring_dedup, op2_decontaminate, op3_language_id, op4_token_counts, op5_url_filter, op7_packing, op8_near_duplicates, op9_lm_score, op10_pii)
 }
 
 ORACLES: dict[str, str] = {}
