@@ -194,3 +194,21 @@ def classify(f: Filters, texts: pa.Array) -> tuple[list[str], np.ndarray, np.nda
         for i in np.flatnonzero(own):
             lang[row + i] = f.languages[best[i]]
     return lang, score, coverage
+
+
+def recognised(documents: DataFrame, filters: Filters, min_coverage: float, text: str = "text") -> DataFrame:
+    """The rows of documents whose text has a letter and reaches min_coverage in some language, with all their columns."""
+    held = documents.sparkSession.sparkContext.broadcast(filters)
+    at = documents.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).cast(pa.string())
+            if held.value.languages:
+                lang, _, coverage = classify(held.value, texts)
+                keep = (np.array(lang, object) != UNDETERMINED) & (coverage >= min_coverage)
+            else:
+                keep = np.array([bool(x) and bool(_LETTER.search(x)) for x in texts.to_pylist()], bool)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, neardup, packing, pii, substring_dedup, tokens, urlfilter
+from . import chroma, decontam, langid, mixing, neardup, packing, pii, substring_dedup, tokens, urlfilter
 from .common import session
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -46,6 +46,16 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_audio_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of kind member (vec_id, class_id) for every vector's recording, and of kind link between classes."""
+    vectors = read(spark, sf_dir, "embeddings")
+    prints = chroma.fingerprints(chroma.melodies(vectors, "vec_id", "embedding"), "id", "audio")
+    members, links = chroma.search(prints, F.col("id") % 20 == 0)
+    none = F.lit(None)
+    left = members.select(F.lit("member").alias("kind"), F.col("id").alias("vec_id"), "class_id", none.cast("bigint").alias("offset"), none.cast("bigint").alias("hits"), none.cast("double").alias("bit_error"))
+    return left.unionByName(links.select(F.lit("link").alias("kind"), F.col("query_class").alias("vec_id"), F.col("match_class").alias("class_id"), "offset", "hits", "bit_error"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokens.named(VOCABULARY), 1024, 0)
 
@@ -76,7 +86,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_decontaminate, op3_language_id, op4_token_counts, op5_url_filter, op7_packing, op8_near_duplicates, op9_lm_score, op10_pii)
+    f.__name__: f for f in (op1_substring_dedup, op2_decontaminate, op3_language_id, op4_token_counts, op5_url_filter, op6_audio_match, op7_packing, op8_near_duplicates, op9_lm_score, op10_pii)
 }
 
 ORACLES: dict[str, str] = {}
