@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chroma, decontam, langid, mixing, neardup, packing, pii, substring_dedup, tokens, urlfilter
+from . import chroma, decontam, langid, mixing, neardup, oracles, packing, pii, substring_dedup, tokens, urlfilter
 from .common import session
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -89,4 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_decontaminate, op3_language_id, op4_token_counts, op5_url_filter, op6_audio_match, op7_packing, op8_near_duplicates, op9_lm_score, op10_pii)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": oracles.SUBSTRING,
+    "op2_decontaminate": oracles.CONTAINED,
+    "op5_url_filter": oracles.URLS,
+    "op8_near_duplicates": oracles.NEAR,
+}
