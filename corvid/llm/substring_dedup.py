@@ -202,9 +202,12 @@ def repeated(documents: DataFrame, window: int = 50, doc_id: str = "doc_id", tex
     joint = single.groupBy("key", *packed).agg(F.min("id").alias("id"))
     stand = joint.select("id", F.lit(0).cast("bigint").alias("th"), "key", F.lit(0).cast("bigint").alias("start"), F.lit(1).cast("bigint").alias("n"), F.concat(*[F.col(f"b{j}") for j in range(window // BLOCK)]).alias("blocks"))
     found = _searched(by_key(stand), window).select("key", F.element_at("least", 1).alias("m")).groupBy("key").agg(F.min("m").alias("m"))
-    hot = single.join(apart(found, "key"), "key").where("m < id").select("id", "th", "start", F.lit(1).cast("bigint").alias("n"))
-    hits = runs.select("id", "th", "start", F.posexplode("least").alias("p", "m")).where("m < id").select("id", "th", (F.col("start") + F.col("p")).alias("start"), F.lit(1).cast("bigint").alias("n"))
-    starts = hits.unionByName(hot).groupBy("id", "th").agg(F.collect_list("start").alias("starts"))
+    # a hot window's places are gathered within each input partition, so that its rows meet the join as a few lists
+    placed = single.groupBy("key", F.spark_partition_id().alias("part")).agg(F.collect_list(F.struct("id", "th", "start")).alias("at"))
+    hot = placed.join(apart(found, "key"), "key").select(F.transform("at", lambda a: F.struct(a["id"].alias("id"), a["th"].alias("th"), a["start"].alias("start"), F.col("m").alias("m"))).alias("w"))
+    cold = runs.select(F.transform("least", lambda m, i: F.struct(F.col("id").alias("id"), F.col("th").alias("th"), (F.col("start") + i).alias("start"), m.alias("m"))).alias("w"))
+    hits = cold.unionByName(hot).select(F.explode(F.filter("w", lambda x: x["m"] < x["id"])).alias("x")).select("x.id", "x.th", "x.start")
+    starts = hits.groupBy("id", "th").agg(F.collect_list("start").alias("starts"))
     marks = starts.withColumn("copy", F.lit(False)).unionByName(copies.select("id", "th", F.array().cast("array<bigint>").alias("starts"), F.lit(True).alias("copy")))
     return docs, marks
 
