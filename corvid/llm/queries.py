@@ -34,7 +34,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     filters = langid.fit(docs.where(bucket("doc_id", 5) != 0))
     found = langid.predict(docs, filters)
-    return found.select("doc_id", (bucket("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "coverage")
+    return found.select("doc_id", F.coalesce(bucket("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "coverage")
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
