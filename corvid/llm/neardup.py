@@ -4,11 +4,14 @@ Circulant MinHash: shingles are hashed to a universe of 2^20 values by a first p
 one table, is shifted circularly by k for coordinate k, so coordinate k of a set is min over x of pi[x + k]. BANDS bands of
 ROWS coordinates: two sets of similarity exactly 0.8 share no band with probability (1 - 0.8^5)^32 = 3e-6.
 
-Exact copies (equal shingle sets) meet first and one of them stands for all. Within each bucket of a band candidates are the
-pairs with the bucket's smallest id; what they link is confirmed on the full sets and united. Only a bucket whose members then
-still belong to several components has further pairs to try: rounds with the next smallest ids follow, until few pairs
-are left in all buckets, which are then tried at once. So no bucket is capped, no link between different components is lost,
-and a group of n near copies takes about n pairs, not n^2.
+Exact copies (equal shingle sets) meet first and one of them stands for all. A bucket's centre is its smallest set (ties: the
+smallest id); candidates are the pairs of a centre with its members, confirmed on the full sets. That loses nothing: let x and
+y be linked, neither the centre c, and x not linked to c. If all that x and y share were in c, then |x & y| <= |x & c|, and as y is no
+smaller than c, x would be linked to c as well. So they share a shingle outside c. Members of c in different components that
+share a shingle outside c are therefore a bucket again, with its own smallest set for a centre, and so on until there is no new
+pair; centres only grow along such a chain, so it ends, at the latest with x or y as the centre. (Members of any size meet the
+centre: two of them may be alike where the centre is small.) No bucket is capped, only
+pairs with a centre are made, and a group of n near copies takes about n of them, not n^2.
 
 Nulls and empties: a text without words (or null) has no shingle and is linked with nothing; a row with a null id is its own
 class with a null component. Rows that repeat an id count as one node, which has the links of each of them. Words are runs of
@@ -29,8 +32,6 @@ from .common import Words, apart, batch_words, grams, mix, table, text_bytes
 from .graph import components
 
 BANDS, ROWS, UNIVERSE_BITS = 32, 5, 20
-#: Centre rounds go on while the pairs left exceed this many for each document in a mixed bucket.
-PAIRS_EACH = 4
 _PI: dict[int, np.ndarray] = {}
 
 
@@ -117,10 +118,11 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "
     # one row stands for each distinct set
     reps = nodes.join(same.select("whole", F.col("rep").alias("id")), ["whole", "id"], "left_semi").dropDuplicates(["whole", "id"])
     buckets = reps.select("id", "n", F.explode("bands").alias("band"))
-    many = buckets.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("band", "low")
-    members = table(buckets.join(apart(many, "band"), "band").select("band", "id", "n", F.col("low").alias("centre")))
+    many = buckets.groupBy("band").agg(F.min(F.struct("n", "id")).alias("low"), F.max("id").alias("high"), F.min("id").alias("least")).where("least < high").select("band", "low")
+    members = buckets.join(apart(many, "band"), "band").where(F.col("id") != F.col("low.id"))
+    stars = members.select(F.col("low.id").alias("a"), F.col("low.n").alias("a_n"), F.col("id").alias("b"), F.col("n").alias("b_n")).distinct()
 
-    near = _linked(docs, members, k, percent)
+    near = _linked(docs, stars, k, percent)
     copies = nodes.join(apart(same, "whole"), "whole").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     found = components(near.select("a", "b").unionByName(copies))
     out = signed.select("id", "n").join(found, F.col("id") == F.col("node"), "left")
@@ -128,49 +130,42 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
-def _confirm(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = table(_full_sets(docs.join(wanted, "id", "left_semi"), k))
-    # the set of the centre is one for many pairs: it is joined last, where a hot one can be split
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """pairs (a, a_n, b, b_n) with linked, and added: what the full set of b has beyond that of a."""
+    # the set of a centre is one for many pairs: it is joined last, where a hot one can be split
     first = pairs.join(sets.select(F.col("id").alias("b"), F.col("own").alias("b_set")), "b")
     both = first.join(sets.select(F.col("id").alias("a"), F.col("own").alias("a_set")), "a")
-    shared = F.size(F.array_intersect("a_set", "b_set"))
-    rated = both.select("a", "b", shared.alias("i"), (F.size("a_set") + F.size("b_set")).alias("t"))
-    return rated.where(F.col("i") * 100 >= (F.col("t") - F.col("i")) * percent).select("a", "b").distinct()
-
-
-def _similar_size(a: str, b: str, percent: int):  # noqa: ANN202
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+    rated = both.select("a", "a_n", "b", "b_n", F.array_except("b_set", "a_set").alias("added"), (F.size("a_set") + F.size("b_set")).alias("t"), F.size("b_set").alias("size"))
+    shared = F.col("size") - F.size("added")
+    return rated.select("a", "a_n", "b", "b_n", (shared * 100 >= (F.col("t") - shared) * percent).alias("linked"), "added")
 
 
-def _linked(docs: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
-    """Edges that leave no unlinked pair of similar sets in different components."""
-    sizes = members.select(F.col("id").alias("a"), F.col("n").alias("a_n")).distinct()
-
-    def by_centre(rows: DataFrame) -> DataFrame:
-        pairs = rows.where("centre <> id").select(F.col("centre").alias("a"), F.col("id").alias("b"), "n").distinct()
-        return pairs.join(sizes, "a").where(_similar_size("a_n", "n", percent)).select("a", "b").distinct()
-
-    edges = table(_confirm(docs, table(by_centre(members)), k, percent))
-    rest = members
+def _linked(docs: DataFrame, stars: DataFrame, k: int, percent: int) -> DataFrame:
+    """Edges (a, b) that leave no two similar sets of one bucket in different components."""
+    pairs = table(stars)
+    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    sets = table(_full_sets(docs.join(wanted, "id", "left_semi"), k))
+    tried = fresh = table(_compared(pairs, sets, percent))
+    forest = components(fresh.where("linked").select("a", "b")).select(F.col("node").alias("a"), F.col("component").alias("b"))
     while True:
-        found = components(edges)
-        named = rest.where("id <> centre").drop("centre").join(found, F.col("id") == F.col("node"), "left")
-        named = named.select("band", "id", "n", F.coalesce("component", "id").alias("component"))
-        mixed = named.groupBy("band").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("centre"))
-        mixed = mixed.where("low < high").select("band", "size", "centre")
-        rest = table(named.join(apart(mixed, "band"), "band"))
-        left = rest.agg(F.count("*").alias("rows"), F.sum("size").alias("pairs")).first()
-        if not left["rows"]:
-            return edges
-        if left["pairs"] <= 2 * PAIRS_EACH * left["rows"]:
-            x, y = rest.select("band", F.col("id").alias("a"), F.col("n").alias("a_n"), F.col("component").alias("ca")), rest.select("band", F.col("id").alias("b"), "n", "component")
-            pairs = x.join(y, "band").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("component")) & _similar_size("a_n", "n", percent)).select("a", "b").distinct()
-            return table(edges.unionByName(_confirm(docs, table(pairs), k, percent)))
-        own = rest.select("band", F.col("id").alias("centre"), F.col("component").alias("cc"))
-        tried = rest.join(own, ["band", "centre"]).where("component <> cc").drop("cc")
-        edges = table(edges.unionByName(_confirm(docs, table(by_centre(tried)), k, percent)))
+        label = forest.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        # only centres that got members in the last round can give pairs that weren't tried
+        grown = fresh.select("a").distinct()
+        named = tried.join(grown, "a", "left_semi").select("a", "b", "b_n", "added").join(label, F.col("b") == F.col("node"), "left").select("a", "b", "b_n", F.coalesce("component", "b").alias("component"), "added")
+        centres = grown.join(label, F.col("a") == F.col("node"), "left").select("a", F.coalesce("component", "a").alias("own"))
+        split = named.groupBy("a").agg(F.min("component").alias("low"), F.max("component").alias("high")).join(centres, "a").where("low < high or low <> own").select("a")
+        beyond = table(named.join(apart(split, "a"), "a", "left_semi").select("a", "b", "b_n", "component", F.explode_outer("added").alias("s")).where("s is not null"))
+        shared = beyond.groupBy("a", "s").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("b_n", "b")).alias("c")).where("low < high").select("a", "s", "c")
+        met = beyond.join(shared.select(F.col("a").alias("x"), F.col("s").alias("y"), "c"), (F.col("a") == F.col("x")) & (F.col("s") == F.col("y")))
+        again = met.where(F.col("b") != F.col("c.b")).select(F.col("c.b").alias("a"), F.col("c.b_n").alias("a_n"), "b", "b_n").distinct()
+        again = table(again.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
+        if again.isEmpty():
+            return forest
+        fresh = table(_compared(again, sets, percent))
+        tried = tried.unionByName(fresh)
+        links = fresh.where("linked").select("a", "b")
+        if not links.isEmpty():
+            forest = components(forest.unionByName(links)).select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
 def deduplicated(documents: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

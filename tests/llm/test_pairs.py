@@ -78,11 +78,8 @@ def test_substring_dedup_of_nothing(frame) -> None:  # noqa: ANN001
     assert substring_dedup.removed(frame([]), 50).collect() == []
 
 
-@pytest.mark.parametrize(("k", "percent", "each"), [(4, 80, 8), (5, 80, 0), (3, 60, 0)])
-def test_near_duplicates(frame, monkeypatch, k, percent, each) -> None:  # noqa: ANN001
-    monkeypatch.setattr(neardup, "PAIRS_EACH", each)
-    monkeypatch.setattr(neardup, "FIRST_CENTRES", 1)
-    monkeypatch.setattr(neardup, "GROWTH", 2)
+@pytest.mark.parametrize(("k", "percent"), [(4, 80), (5, 80), (3, 60)])
+def test_near_duplicates(frame, k, percent) -> None:  # noqa: ANN001
     docs = corpus(2)
     found = neardup.classes(frame(docs), k, percent).collect()
     assert len(found) == len(docs)
