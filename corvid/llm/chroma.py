@@ -5,14 +5,14 @@ the image of frames x pitch classes, whose integral image gives any rectangle's
 of a window of WIDTH frames; each answer is quantised to two bits (Gray coded, so near answers differ in one bit), and sixteen
 answers pack into a 32-bit integer for each window.
 
-Search: recordings with equal fingerprints are one class, under the smallest id. Of the query classes every pair of integers STEP
-windows apart is joined with the same pair of all classes (single integers of unrelated recordings meet by chance too often);
-equal pairs vote for an offset (a histogram for each pair), and the best offset is accepted if the
+Search: recordings with equal fingerprints are one class, under the smallest id. Of the query classes every integer, as it is
+and with each one of its 32 bits flipped, is joined with the equal integers of all classes; integers that differ in one bit at most
+vote for an offset (a histogram for each pair; hits counts them), and the best offset is accepted if the
 bits of the two fingerprints, over the whole overlap at it, differ in at most MAX_ERROR of all bits and the overlap has at
-least MIN_OVERLAP windows. Nothing is capped: a pair that many classes share is joined as it is, a hot one is split by
-adaptive execution.
+least MIN_OVERLAP windows. Nothing is capped: an integer that many classes share is joined as it is, a hot one is split by
+adaptive execution. Unrelated recordings meet by chance, so the votes grow faster than the recordings.
 
-A null, empty or short recording (fewer than WIDTH frames; than WIDTH + STEP for links) has no fingerprint, is its own class and links with nothing; so does a
+A null, empty or short recording (fewer than WIDTH frames) has no fingerprint, is its own class and links with nothing; so does a
 row with a null id, whose class is null. Rows that repeat an id: each has its class, links count once.
 """
 
@@ -30,7 +30,9 @@ from .common import table
 RATE, FRAME, HOP = 2000, 256, 128
 CLASSES, WIDTH = 12, 16
 LOW_HZ = 110.0
-STEP, MIN_HITS, MIN_OVERLAP, MAX_ERROR = 8, 3, 16, 0.2
+MIN_HITS, MIN_OVERLAP, MAX_ERROR = 3, 16, 0.2
+#: What a query's integer is xored with: itself, and each integer one bit away. An integer meets another by one of them at most.
+FLIPS = (0, *(1 << i for i in range(32)))
 THRESHOLDS = (-0.25, 0.0, 0.25)
 #: (kind, first pitch class, pitch classes, frames): by rule, four heights, widths and kinds each spread over the classes.
 FILTERS = tuple((i % 4, (5 * i) % 12, 1 + i // 4 * 2 % 6, (16, 8, 12, 4)[i // 4]) for i in range(16))
@@ -127,10 +129,9 @@ def search(prints: DataFrame, queries) -> tuple[DataFrame, DataFrame]:  # noqa:
     members = prints.join(named.select("digest", "class_id"), "digest", "left").select("id", F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"), F.size("prints").cast("bigint").alias("windows"))
     reps = known.join(named, (known["digest"] == named["digest"]) & (known["id"] == named["class_id"])).select("class_id", "asked", "prints").dropDuplicates(["class_id"])
     reps = table(reps)
-    starts = F.when(F.size("prints") > STEP, F.sequence(F.lit(0), F.size("prints") - STEP - 1)).otherwise(F.array().cast("array<int>"))
-    keys = F.transform(starts, lambda i: F.shiftleft(F.get("prints", i), 32).bitwiseOR(F.get("prints", i + STEP)))
-    posts = reps.select("class_id", "asked", F.posexplode(keys).alias("at", "v"))
-    left = posts.where("asked").select("v", F.col("class_id").alias("q"), F.col("at").alias("qa"))
+    posts = reps.select("class_id", "asked", F.posexplode("prints").alias("at", "v"))
+    flips = F.array(*(F.lit(x).cast("bigint") for x in FLIPS))
+    left = posts.where("asked").select("v", F.col("class_id").alias("q"), F.col("at").alias("qa"), F.explode(flips).alias("flip")).select(F.col("v").bitwiseXOR(F.col("flip")).alias("v"), "q", "qa")
     right = posts.select("v", F.col("class_id").alias("m"), F.col("at").alias("ma"))
     votes = left.join(right, "v").where("q <> m").groupBy("q", "m", (F.col("ma") - F.col("qa")).alias("offset")).agg(F.count("*").alias("hits"))
     best = votes.where(F.col("hits") >= MIN_HITS).groupBy("q", "m").agg(F.max(F.struct("hits", (-F.abs("offset")).alias("near"), "offset")).alias("b")).select("q", "m", "b.offset", "b.hits")

@@ -259,5 +259,32 @@ def test_audio_survives_noise() -> None:
     assert error(clean, noisy) < 0.1 < 0.2 < error(clean, other)
 
 
+def test_audio_links_noisy_copies(spark) -> None:  # noqa: ANN001
+    """search() links all that brute force over the bit error accepts: prints of a query, of copies with flipped bits, of others."""
+    r = np.random.default_rng(6)
+    prints = {i: r.integers(0, 1 << 32, 60, dtype=np.uint64).astype(np.int64) for i in range(12)}
+    for i in range(12):
+        # five prints in sixteen have no wrong bit, and none of them is eight windows from another
+        wrong = [0 if j % 16 < 5 else int(r.integers(5, 10)) for j in range(60)]
+        flip = np.array([sum(1 << int(b) for b in r.choice(32, n, replace=False)) for n in wrong], np.int64)
+        prints[100 + i] = (prints[i] ^ flip)[i:]
+    # one wrong bit in every print: no print is equal
+    prints[200] = prints[0] ^ np.array([1 << int(b) for b in r.integers(0, 32, 60)], np.int64)
+    rows = spark.createDataFrame([(i, p.tolist(), str(i).encode()) for i, p in prints.items()], "id bigint, prints array<bigint>, digest binary").repartition(3)
+
+    def error(a: np.ndarray, b: np.ndarray, offset: int) -> float:
+        low, high = max(0, -offset), min(len(a), len(b) - offset)
+        return np.bitwise_count(a[low:high] ^ b[low + offset : high + offset]).sum() / (32 * (high - low)) if high - low >= chroma.MIN_OVERLAP else 1.0
+
+    want = {}
+    for q in range(12):
+        for m in prints:
+            least, offset = min((error(prints[q], prints[m], o), o) for o in range(-60, 61))
+            if m != q and least <= chroma.MAX_ERROR:
+                want[q, m] = (offset, pytest.approx(least))
+    found = {(x["query_class"], x["match_class"]): (x["offset"], x["bit_error"]) for x in chroma.search(rows, F.col("id") < 12)[1].collect()}
+    assert len(want) == 13 and found == want
+
+
 def test_sha() -> None:
     assert pii.sha256_hex("é") == hashlib.sha256("é".encode()).hexdigest()
