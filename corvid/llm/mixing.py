@@ -6,7 +6,7 @@ escape and then its bytes and a closing space, each by its place in a fixed orde
 zero, three bits). Every decision has several predictors, hashed contexts of growing order (none, one and two tokens before; three and
 four bytes before and the whole word so far): a slot's counts of zeros and ones, gathered
 over all training texts, give a log-odds. The log-odds are added up with weights that a gate picks (which decision it is, and how
-often the longer contexts were seen). The weights are fitted online on a fold of the training texts, each decision without its
+often the longer contexts were seen). The weights are fitted online on the training texts that a condition marks (all, in the query), each decision without its
 own count, and go on learning within each text, block by block: the blocks of many texts are computed side by side. A score is
 the sum of log10 of the probabilities of all decisions; bits per byte follow from it.
 
@@ -283,7 +283,7 @@ def _gate(level: np.ndarray, middle: np.ndarray, longest: np.ndarray) -> np.ndar
 
 def fit_weights(fold: DataFrame, dictionary: Dictionary, counts: np.ndarray) -> list[np.ndarray]:
     """Gated weights: each task learns online over its rows; tasks are averaged by the decisions each gate saw."""
-    held = fold.sparkSession.sparkContext.broadcast((dictionary, counts.astype(np.int32)))
+    held = fold.sparkSession.sparkContext.broadcast((dictionary, counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, n = held.value

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corvid.llm import chroma, langid, mixing, packing, pii, tokens, urlfilter
+from corvid.llm import chroma, langid, mixing, packing, pii, queries, tokens, urlfilter
 from corvid.llm.common import batch_words, text_bytes
 
 from . import brute
@@ -209,6 +209,32 @@ def test_scores(spark) -> None:  # noqa: ANN001
     assert all(r["n_known"] == 0 for r in mixing.scored(docs, model, counts).collect())
 
 
+def test_weights_learn_from_all_training_rows(spark, tmp_path, monkeypatch) -> None:  # noqa: ANN001
+    """The query's weights come from every training row, also where the fold of remainder 1 is empty."""
+    ids = [i for i in range(80) if zlib.crc32(str(i).encode()) % 10 != 1]
+    spark.createDataFrame([(i, words_of(60, i)) for i in ids] + [(None, "x y")], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen, weights, fit_weights = [], [], mixing.fit_weights
+
+    def watched(rows, *more):  # noqa: ANN001, ANN202
+        seen.append(rows.count())
+        weights.append(fit_weights(rows, *more))
+        return weights[-1]
+
+    monkeypatch.setattr(mixing, "fit_weights", watched)
+    assert queries.op9_lm_score(spark, str(tmp_path)).count() == len(ids) + 1
+    assert seen == [sum(zlib.crc32(str(i).encode()) % 10 != 0 for i in ids)]
+    assert not all((a == b).all() for a, b in zip(weights[0], mixing.start_weights(), strict=True))
+
+
+def test_weights_of_large_counts(spark) -> None:  # noqa: ANN001
+    """Counts over 2^31 give the weights that smaller counts of the same odds give."""
+    rows = spark.createDataFrame([(words_of(200, i),) for i in range(4)], "text string").repartition(1)
+    dictionary = mixing.fit_dictionary(rows)[0]
+    small, large = (mixing.fit_weights(rows, dictionary, np.tile(np.array([n, 3 * n], np.int64), (mixing.SLOTS, 1))) for n in (10**8, 3 * 10**9))
+    for a, b in zip(small, large, strict=True):
+        np.testing.assert_allclose(a, b, rtol=1e-3, atol=1e-3)
+
+
 def test_decisions_tell_texts_apart() -> None:
     """The decisions are a code: their bits and nodes give the symbols back."""
     symbols = np.array([3, 1, 32767, 2, 5, 1], np.int32)
