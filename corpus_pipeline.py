@@ -18,8 +18,9 @@ MIN_COVERAGE = 0.3
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text is in a language that the labelled rows teach; texts without letters and strings that are no
-    language go. Without any labelled row there is nothing to judge by, and rows with a letter stay."""
-    return langid.recognised(docs, langid.fit(docs), MIN_COVERAGE)
+    language go. A row is judged by n-grams that another text of the language holds, so a label doesn't cover its own text.
+    Without any labelled row there is nothing to judge by, and rows with a letter stay."""
+    return langid.recognised(docs, langid.fit(docs, shared=True), MIN_COVERAGE)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ over its n-grams), corrected for the language's false positives, and the highest
 
 The filter has SLOTS entries whatever the size of the corpus (about 8 MB for up to 62 languages, one more array for each
 further 62), so it is broadcast. A text that is null or has no letter is `und` with score 0; with no labelled rows, all are.
+Rows that are judged by filters fitted on them would cover themselves: for them only n-grams of several different texts count (fit).
 Ties go to the language first in order. score is the winner's corrected share of hits times its lead over the second:
 share * winner / (winner + second), from 0 to 1.
 """
@@ -62,48 +63,56 @@ def _groups(texts: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, np.ndar
 
 
 def count_ngrams(labelled: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
-    """lang, gram, n: counts over all rows with a language."""
+    """lang, gram, n, lo, hi: counts over all rows with a language, least and greatest hash of the texts that hold the n-gram."""
     rows = labelled.select(labelled[text].cast("string").alias("text"), labelled[lang].cast("string").alias("lang")).where("lang is not null and text is not null")
+    rows = rows.withColumn("th", F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        total: dict[str, Counts] = {}
         for batch in batches:
             codes = batch.column(1).dictionary_encode()
-            index, names = codes.indices.to_numpy(), codes.dictionary.to_pylist()
-            parts: list[np.ndarray] = []
+            index, names, hashes = codes.indices.to_numpy(), codes.dictionary.to_pylist(), batch.column(2).to_numpy()
+            parts: list[Counts] = []
             for row, g, bounds in _groups(text_bytes(batch.column(0))):
-                own = np.repeat(index[row : row + len(bounds) - 1].astype(np.uint64), np.diff(bounds))
-                keys, n = np.unique(own << np.uint64(32) | g, return_counts=True)
-                parts.append((keys, n))
-            for key, (grams, n) in _by_language(parts).items():
-                total[names[key]] = _merge([total[names[key]], (grams, n)] if names[key] in total else [(grams, n)])
+                span, sizes = slice(row, row + len(bounds) - 1), np.diff(bounds)
+                own, th = np.repeat(index[span].astype(np.uint64), sizes), np.repeat(hashes[span], sizes)
+                parts.append(_merge([(own << np.uint64(32) | g, np.ones(len(g), np.int64), th, th)]))
+            for key, found in _by_language(parts).items():
+                total[names[key]] = _merge([total[names[key]], found] if names[key] in total else [found])
             if sum(len(x[0]) for x in total.values()) > 2_000_000:  # bounded memory: hand on what is there
                 yield from _rows(total)
                 total = {}
         yield from _rows(total)
 
-    return rows.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    found = rows.mapInArrow(run, "lang string, gram bigint, n bigint, lo bigint, hi bigint")
+    return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
-def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts])
+#: n-grams, counts, least and greatest text hash.
+Counts = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _merge(parts: list[Counts]) -> Counts:
+    keys, counts, low, high = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
+    keys = keys[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
-    return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
+    if not len(keys):
+        return keys, counts, low, high
+    return keys[first], np.add.reduceat(counts[order], first), np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first)
 
 
-def _by_language(parts: list[tuple[np.ndarray, np.ndarray]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+def _by_language(parts: list[Counts]) -> dict[int, Counts]:
     if not parts:
         return {}
-    keys, counts = _merge(parts)
+    keys, *rest = _merge(parts)
     owner = (keys >> np.uint64(32)).astype(np.int64)
-    return {int(x): (keys[owner == x] & np.uint64(0xFFFFFFFF), counts[owner == x]) for x in np.unique(owner)}
+    return {int(x): (keys[owner == x] & np.uint64(0xFFFFFFFF), *(c[owner == x] for c in rest)) for x in np.unique(owner)}
 
 
-def _rows(total: dict[str, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    for name, (keys, counts) in total.items():
-        yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(counts.astype(np.int64))], names=["lang", "gram", "n"])
+def _rows(total: dict[str, Counts]) -> Iterator[pa.RecordBatch]:
+    for name, (keys, *rest) in total.items():
+        yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), *map(pa.array, rest)], names=["lang", "gram", "n", "lo", "hi"])
 
 
 def _slots(g: np.ndarray) -> list[np.ndarray]:
@@ -133,8 +142,12 @@ class Filters:
         return np.clip((out / np.maximum(n, 1)[:, None] - self.false) / np.maximum(1e-9, 1 - self.false), 0, 1) * (n > 0)[:, None]
 
 
-def fit(labelled: DataFrame, lang: str = "lang", text: str = "text") -> Filters:
-    """Filters from all labelled rows. The driver gets the languages and at most SLOTS masks for each LANES of them."""
+def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", shared: bool = False) -> Filters:
+    """Filters from all labelled rows. The driver gets the languages and at most SLOTS masks for each LANES of them.
+
+    shared: an n-gram counts for a language only if at least two different texts of it hold it. What the filters say of a row
+    they were fitted on then rests on other texts; copies of a text are one text.
+    """
     counts = count_ngrams(labelled, lang, text).persist()
     try:
         totals = {r["lang"]: r["t"] for r in counts.groupBy("lang").agg(F.sum("n").alias("t")).collect()}
@@ -143,7 +156,7 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text") -> Filters:
         if languages:
             spark = labelled.sparkSession
             known = spark.createDataFrame([(x, i // LANES, 1 << i % LANES, float(totals[x])) for i, x in enumerate(languages)], "lang string, word int, bit bigint, t double")
-            rated = counts.join(F.broadcast(known), "lang").withColumn("p", F.col("n") / F.col("t"))
+            rated = (counts.where("lo <> hi") if shared else counts).join(F.broadcast(known), "lang").withColumn("p", F.col("n") / F.col("t"))
             best = rated.groupBy("gram").agg(F.max("p").alias("top"), F.collect_list(F.struct("word", "bit", "p")).alias("in"))
             kept = best.select("gram", F.explode(F.filter("in", lambda x: x["p"] >= F.col("top") * SHARE)).alias("x")).groupBy("gram", "x.word").agg(F.bit_or("x.bit").alias("bits"))
 

@@ -62,6 +62,18 @@ def test_stages(spark, folder) -> None:  # noqa: ANN001
     assert sum(r["length"] for r in pieces) == sum(count.count(t) + 1 for t in kept[3].values())
 
 
+def test_labelled_noise_goes(spark, folder) -> None:  # noqa: ANN001
+    """Random letters don't cover themselves, whatever their label, their number or their copies."""
+    path, rows, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    r = random.Random(12)
+    noise = [(100 + i, "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(600)), "aa" if i % 2 else "zz") for i in range(20)]
+    noise += [(200, noise[0][1], "zz"), (201, noise[1][1], "aa"), (None, noise[2][1], "zz")]
+    more = spark.createDataFrame([(i, t, lang, "src", len(t), "extra") for i, t, lang in noise], docs.schema)
+    kept = {x["doc_id"] for x in corpus_pipeline.identify_language(spark, docs.union(more), path).collect()}
+    assert kept == {i for i, _, _ in rows if i not in (54, 55, 56, 57)}
+
+
 def test_run_is_the_stages(spark, folder) -> None:  # noqa: ANN001
     path, rows, _ = folder
     docs = spark.read.parquet(f"{path}/documents.parquet")
