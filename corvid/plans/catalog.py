@@ -131,7 +131,7 @@ def first_nonempty_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(r"SELECT doc_id, regexp_extract('Story By ' || left(text, 60) || ' and By Ann Lee Bo', '\bBy\s+([A-Z][a-z]+(?:\s+[A-Z][a-z.\x27-]+){1,3})', 1) AS author FROM documents")
 def byline_in_text(spark: SparkSession, sf: str) -> DataFrame:
-    return t(spark, sf, "documents").select("doc_id", text.byline_in_text(F.concat(F.lit("Story By "), F.left("text", F.lit(60)), F.lit(" and By Ann Lee Bo"))).alias("author"))
+    return t(spark, sf, "documents").select("doc_id", text.byline_in_text(F.concat(F.lit("Story By "), F.col("text"), F.lit(" and By Ann Lee Bo"))).alias("author"))
 
 
 @query()

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corvid.functions import dates, text, urls
+from corvid.plans import catalog
 
 
 @pytest.fixture(scope="module")
@@ -58,6 +59,14 @@ def test_names(value) -> None:  # noqa: ANN001
     assert value(text.byline_in_text("x"), "x By Ann Lee-O'Neil and") == "Ann Lee-"
 
 
+def test_byline_behind_a_prefix(spark, tmp_path) -> None:  # noqa: ANN001
+    """The query reads the whole text of a document."""
+    rows = [(1, "word " * 200 + "By Eva Maria Stone for us"), (2, "word " * 200), (3, "a By Xu Li at once")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r["author"] for r in catalog.byline_in_text(spark, str(tmp_path)).collect()}
+    assert found == {1: "Eva Maria Stone", 2: "Ann Lee Bo", 3: "Xu Li"}
+
+
 @pytest.mark.parametrize(
     ("raw", "want"),
     [
