@@ -25,19 +25,39 @@ def session(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where none is set (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, a local session (one machine) gets a temporary
+    folder; on a cluster that is an error, for it would be another folder on each executor."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corvid-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and sc.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="corvid-")
+        if not folder:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
+class Grown:
+    """A table in the shared folder that rounds append to: one scan, however many parts it has."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.schema = spark, [], None
+
+    def add(self, df: DataFrame) -> DataFrame:
+        path = f"{shared_dir(self.spark)}/corvid/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self.paths.append(path)
+        self.schema = df.schema
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def all(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*self.paths)
+
+
 def table(df: DataFrame) -> DataFrame:
     """Cut lineage: write df as Parquet into the shared folder and read it back with the same schema."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/corvid/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Grown(df.sparkSession).add(df)
 
 
 def apart(df: DataFrame, key: str) -> DataFrame:

@@ -4,18 +4,24 @@ Circulant MinHash: shingles are hashed to a universe of 2^20 values by a first p
 one table, is shifted circularly by k for coordinate k, so coordinate k of a set is min over x of pi[x + k]. BANDS bands of
 ROWS coordinates: two sets of similarity exactly 0.8 share no band with probability (1 - 0.8^5)^32 = 3e-6.
 
-Exact copies (equal shingle sets) meet first and one of them stands for all. A bucket's centre is its smallest set (ties: the
-smallest id); candidates are the pairs of a centre with its members, confirmed on the full sets. That loses nothing: let x and
-y be linked, neither the centre c, and x not linked to c. If all that x and y share were in c, then |x & y| <= |x & c|, and as y is no
-smaller than c, x would be linked to c as well. So they share a shingle outside c. Members of c in different components that
-share a shingle outside c are therefore a bucket again, with its own smallest set for a centre, and so on until there is no new
-pair; centres only grow along such a chain, so it ends, at the latest with x or y as the centre. (Members of any size meet the
-centre: two of them may be alike where the centre is small.) No bucket is capped, only
-pairs with a centre are made, and a group of n near copies takes about n of them, not n^2.
+Exact copies (equal shingle sets) meet first and one of them stands for all. Sets that share a band with another are the
+candidates; which of them are linked is found exactly, without the pairs of a bucket:
+
+- All candidates' shingles are put in one order, rarest first (by the number of candidates that hold them, then by value). Two
+  linked sets share a shingle among the first n - ceil(0.8 n) + 1 of each, their prefixes. Let s be the first shingle they
+  share; of a set of n shingles with `at` of them before s at most n - at can be shared, so a pair is possible only if
+  min(n - at, n' - at') * 180 >= 80 * (n + n'). Shingles of one candidate only count for `at` but lead nowhere.
+- Of the sets that hold a prefix shingle one is the centre, the one with the least rare shingles before it (ties: the smaller set, then
+  its digest): the most typical of a group of near copies. Possible pairs with the centre are confirmed on the full sets.
+- A shingle's other sets go on only if a possible partner in another component is left among them. Where at most BLOCK
+  sets are left, their possible pairs are confirmed (at most BLOCK a set); where more are left, CENTRES of them are centres of the
+  next round. Every round takes at least one set from each shingle it goes on with, so it ends, and a pair is passed over
+  only if it can't be linked or lies within a component already: no link between components is lost, no bucket is capped.
 
 Nulls and empties: a text without words (or null) has no shingle and is linked with nothing; a row with a null id is its own
 class with a null component. Rows that repeat an id count as one node, which has the links of each of them. Words are runs of
-characters other than space and U+0009-000D; A-Z are lower-cased. A text with fewer than k words is one shingle.
+characters other than space and U+0009-000D; A-Z are lower-cased. A text with fewer than k words is one shingle. A very long
+text is held whole by one task, with its shingles (8 bytes each). Other columns of documents, whatever their names, play no part.
 """
 
 from __future__ import annotations
@@ -28,10 +34,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, apart, batch_words, grams, mix, table, text_bytes
+from .common import Grown, Words, apart, batch_words, grams, mix, table, text_bytes
 from .graph import components
 
 BANDS, ROWS, UNIVERSE_BITS = 32, 5, 20
+BLOCK, CENTRES = 64, 8
 _PI: dict[int, np.ndarray] = {}
 
 
@@ -95,18 +102,18 @@ def _signed(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, k: int) -> DataFrame:
-    """id, own: the full shingle set of each row."""
-    kind = docs.schema["id"].dataType.simpleString()
+    """whole, n, own: the full shingle set of each row, under its digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words in batch_words(text_bytes(batch.column(1)), lower=True)[1]:
                 sets = list(shingle_sets(words, k))
+                whole = pa.array([xxhash.xxh3_128_digest(s) if len(s) else None for s in sets], pa.binary())
                 ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array((np.concatenate(sets) if sets else np.empty(0, np.uint64)).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(words.first_row, len(sets)), lists], names=["id", "own"])
+                yield pa.RecordBatch.from_arrays([whole, pa.array(np.diff(ends).astype(np.int64)), lists], names=["whole", "n", "own"])
 
-    return docs.mapInArrow(run, f"id {kind}, own array<bigint>")
+    return docs.mapInArrow(run, "whole binary, n bigint, own array<bigint>")
 
 
 def classes(documents: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -117,55 +124,91 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "
     same = nodes.groupBy("whole").agg(F.min("id").alias("rep"))
     # one row stands for each distinct set
     reps = nodes.join(same.select("whole", F.col("rep").alias("id")), ["whole", "id"], "left_semi").dropDuplicates(["whole", "id"])
-    buckets = reps.select("id", "n", F.explode("bands").alias("band"))
-    many = buckets.groupBy("band").agg(F.min(F.struct("n", "id")).alias("low"), F.max("id").alias("high"), F.min("id").alias("least")).where("least < high").select("band", "low")
-    members = buckets.join(apart(many, "band"), "band").where(F.col("id") != F.col("low.id"))
-    stars = members.select(F.col("low.id").alias("a"), F.col("low.n").alias("a_n"), F.col("id").alias("b"), F.col("n").alias("b_n")).distinct()
+    buckets = reps.select("id", "whole", F.explode("bands").alias("band"))
+    many = buckets.groupBy("band").agg(F.max("whole").alias("high"), F.min("whole").alias("least")).where("least < high").select("band")
+    met = table(buckets.join(apart(many, "band"), "band", "left_semi").select("id", "whole").distinct())
 
-    near = _linked(docs, stars, k, percent)
+    near = _linked(docs, met, k, percent)
     copies = nodes.join(apart(same, "whole"), "whole").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    found = components(near.select("a", "b").unionByName(copies))
+    found = components(near.unionByName(copies))
     out = signed.select("id", "n").join(found, F.col("id") == F.col("node"), "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs (a, a_n, b, b_n) with linked, and added: what the full set of b has beyond that of a."""
-    # the set of a centre is one for many pairs: it is joined last, where a hot one can be split
-    first = pairs.join(sets.select(F.col("id").alias("b"), F.col("own").alias("b_set")), "b")
-    both = first.join(sets.select(F.col("id").alias("a"), F.col("own").alias("a_set")), "a")
-    rated = both.select("a", "a_n", "b", "b_n", F.array_except("b_set", "a_set").alias("added"), (F.size("a_set") + F.size("b_set")).alias("t"), F.size("b_set").alias("size"))
-    shared = F.col("size") - F.size("added")
-    return rated.select("a", "a_n", "b", "b_n", (shared * 100 >= (F.col("t") - shared) * percent).alias("linked"), "added")
-
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """s, at, n, whole: the prefix shingles that another set holds too, and how many shingles of the set come before each."""
+    each = sets.select("whole", "n", F.explode("own").alias("s"))
+    held = each.groupBy("s").agg(F.count("*").alias("sets")).where("sets > 1")
+    shared = each.join(apart(held, "s"), "s").groupBy("whole", "n").agg(F.array_sort(F.collect_list(F.struct("sets", "s"))).alias("order"))
+    lone = F.col("n") - F.size("order")
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    first = F.slice("order", 1, F.greatest(F.lit(0), length - lone).cast("int"))
+    return shared.select("whole", "n", lone.alias("lone"), F.posexplode(first["s"]).alias("i", "s")).select("s", (F.col("lone") + F.col("i")).alias("at"), "n", "whole")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """pairs (a, b) with linked."""
+    first = pairs.join(sets.select(F.col("whole").alias("a"), F.col("n").alias("a_n"), F.col("own").alias("a_set")), "a")
+    both = first.join(sets.select(F.col("whole").alias("b"), F.col("n").alias("b_n"), F.col("own").alias("b_set")), "b")
+    shared = F.size(F.array_intersect("a_set", "b_set"))
+    return both.select("a", "b", (shared * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent).alias("linked"))
+
+
+def _alive(live: DataFrame, percent: int) -> DataFrame:
+    """Rows of live (s, at, n, whole, label) that may have a partner of another label under their shingle.
+
+    A pair is possible if each set's n is within the other's reach, (n - at) * (100 + percent) / percent - n. A row stays if the least
+    n of another label is within its reach, and its own n within the greatest reach of another label.
+    """
+    reach = F.floor((F.col("n") - F.col("at")) * (100 + percent) / percent) - F.col("n")
+    rows = live.withColumn("reach", reach)
+    by_label = rows.groupBy("s", "label").agg(F.min("n").alias("n"), F.max("reach").alias("reach"))
+    # of each shingle the best label, and the best of the others
+    first = by_label.groupBy("s").agg(F.min(F.struct("n", "label")).alias("n1"), F.max(F.struct("reach", "label")).alias("r1"))
+    other = by_label.join(apart(first, "s"), "s").groupBy("s", "n1", "r1").agg(
+        F.min(F.when(F.col("label") != F.col("n1.label"), F.col("n"))).alias("n2"), F.max(F.when(F.col("label") != F.col("r1.label"), F.col("reach"))).alias("r2")
+    )
+    best = other.where("n2 is not null").select("s", "n1", "n2", "r1", "r2")
+    near = F.when(F.col("label") == F.col("n1.label"), F.col("n2")).otherwise(F.col("n1.n"))
+    far = F.when(F.col("label") == F.col("r1.label"), F.col("r2")).otherwise(F.col("r1.reach"))
+    kept = rows.join(apart(best, "s"), "s").where((near <= F.col("reach")) & (far >= F.col("n")))
+    return kept.select("s", "at", "n", "whole", "label")
+
+
+def _linked(docs: DataFrame, met: DataFrame, k: int, percent: int) -> DataFrame:
+    """Edges (a, b) between ids that join all linked sets of met (id, whole)."""
+    of_ids = docs.join(met.select("id").distinct(), "id", "left_semi")
+    sets = table(_full_sets(of_ids, k).join(met.select("whole"), "whole", "left_semi").dropDuplicates(["whole"]))
+    live = table(_prefixes(sets, percent).withColumn("label", F.col("whole")))
+    tried = Grown(docs.sparkSession)
+
+    def test(pairs: DataFrame) -> None:
+        distinct = pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+        new = distinct.join(tried.all().select("a", "b"), ["a", "b"], "left_anti") if tried.paths else distinct
+        tried.add(_confirmed(new, sets, percent))
+
+    def met_by(left: DataFrame, right: DataFrame, order: str) -> DataFrame:
+        possible = f"x.s = y.s and x.whole {order} y.whole and x.label <> y.label and least(x.n - x.at, y.n - y.at) * {100 + percent} >= {percent} * (x.n + y.n)"
+        return left.alias("x").join(right.alias("y"), F.expr(possible)).select(F.col("x.whole").alias("p"), F.col("y.whole").alias("q"))
 
-def _linked(docs: DataFrame, stars: DataFrame, k: int, percent: int) -> DataFrame:
-    """Edges (a, b) that leave no two similar sets of one bucket in different components."""
-    pairs = table(stars)
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = table(_full_sets(docs.join(wanted, "id", "left_semi"), k))
-    tried = fresh = table(_compared(pairs, sets, percent))
-    forest = components(fresh.where("linked").select("a", "b")).select(F.col("node").alias("a"), F.col("component").alias("b"))
     while True:
-        label = forest.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        # only centres that got members in the last round can give pairs that weren't tried
-        grown = fresh.select("a").distinct()
-        named = tried.join(grown, "a", "left_semi").select("a", "b", "b_n", "added").join(label, F.col("b") == F.col("node"), "left").select("a", "b", "b_n", F.coalesce("component", "b").alias("component"), "added")
-        centres = grown.join(label, F.col("a") == F.col("node"), "left").select("a", F.coalesce("component", "a").alias("own"))
-        split = named.groupBy("a").agg(F.min("component").alias("low"), F.max("component").alias("high")).join(centres, "a").where("low < high or low <> own").select("a")
-        beyond = table(named.join(apart(split, "a"), "a", "left_semi").select("a", "b", "b_n", "component", F.explode_outer("added").alias("s")).where("s is not null"))
-        shared = beyond.groupBy("a", "s").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("b_n", "b")).alias("c")).where("low < high").select("a", "s", "c")
-        met = beyond.join(shared.select(F.col("a").alias("x"), F.col("s").alias("y"), "c"), (F.col("a") == F.col("x")) & (F.col("s") == F.col("y")))
-        again = met.where(F.col("b") != F.col("c.b")).select(F.col("c.b").alias("a"), F.col("c.b_n").alias("a_n"), "b", "b_n").distinct()
-        again = table(again.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
-        if again.isEmpty():
-            return forest
-        fresh = table(_compared(again, sets, percent))
-        tried = tried.unionByName(fresh)
-        links = fresh.where("linked").select("a", "b")
-        if not links.isEmpty():
-            forest = components(forest.unionByName(links)).select(F.col("node").alias("a"), F.col("component").alias("b"))
+        salt = F.pmod(F.xxhash64("whole"), F.lit(CENTRES if tried.paths else 1))
+        centres = table(live.groupBy("s", salt.alias("salt")).agg(F.min(F.struct("at", "n", "whole", "label")).alias("c")).select("s", "c.*"))
+        test(met_by(live, apart(centres, "s"), "<>"))
+        label = components(tried.all().where("linked")).select(F.col("node").alias("whole"), "component")
+        rest = live.drop("label").join(centres.select("s", "whole"), ["s", "whole"], "left_anti").join(label, "whole", "left")
+        rest = _alive(table(rest.select("s", "at", "n", "whole", F.coalesce("component", "whole").alias("label"))), percent)
+        left = table(rest)
+        size = left.groupBy("s").agg(F.count("*").alias("size"))
+        few = left.join(apart(size.where(F.col("size") <= BLOCK).select("s"), "s"), "s", "left_semi")
+        test(met_by(few, few, "<"))
+        live = table(left.join(apart(size.where(F.col("size") > BLOCK).select("s"), "s"), "s", "left_semi"))
+        if live.isEmpty():
+            break
+    links, ids = tried.all().where("linked"), met.select("whole", "id")
+    first = links.join(ids.select(F.col("whole").alias("a"), F.col("id").alias("x")), "a")
+    return first.join(ids.select(F.col("whole").alias("b"), F.col("id").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
 def deduplicated(documents: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
