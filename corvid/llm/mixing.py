@@ -1,81 +1,128 @@
 """Scoring text by online logistic context mixing of hashed-context bit predictors.
 
-A text is a sequence of tokens (words, then one end), and a token a sequence of binary decisions: its place in a dictionary of the
-most frequent training words (DICTIONARY of them, by rank: four decisions for the size class, then the bits of the rank), or an
-escape and then its bytes and a closing space, each by its place in a fixed order of bytes (a Rice code: ones for each eight places, a
-zero, three bits). Every decision has several predictors, hashed contexts of growing order (none, one and two tokens before; three and
-four bytes before and the whole word so far): a slot's counts of zeros and ones, gathered
-over all training texts, give a log-odds. The log-odds are added up with weights that a gate picks (which decision it is, and how
-often the longer contexts were seen). The weights are fitted online on the training texts that a condition marks (all, in the query), each decision without its
-own count, and go on learning within each text, block by block: the blocks of many texts are computed side by side. A score is
-the sum of log10 of the probabilities of all decisions; bits per byte follow from it.
-
-All tables have a fixed size (about 3.8 million slots), so they are broadcast; counts are gathered by all tasks, in compressed
-blocks of slots, and added up by block. The base score needs the count of every word: those of the dictionary are broadcast, the
-others are joined by shuffle, where no word is frequent.
-
-A null or empty text is its end alone. Rows that repeat an id are scored each; without training rows every token is unknown.
+A text is a sequence of tokens (words, then one end). The words seen HEAD_COUNT times or more (the most frequent MAX_HEAD of them) form the
+head; a token is a path of bits down the Huffman tree of the head, the end and an escape, and an escaped word is spelled by the bits of its
+bytes and a closing space. Every bit has three predictors: the tree's own counts and hashed contexts of one and two tokens before
+in the tree; two and four bytes before and the whole word so far in the spelling. A hashed slot's counts of zeros and ones, gathered over all
+training texts (spelling: over all distinct training words), give a log-odds. A gate (how deep the bit lies, how often the longer contexts were
+seen) picks the weights that add the log-odds up, and an adaptive table by the sum and the depth refines the probability, with which it is averaged.
+
+Weights and tables are fitted on all training rows: each bit, its own count taken out, falls into a cell of a histogram (gate and the three
+log-odds in steps), whose sums don't depend on how rows are dealt to tasks; the driver solves each gate's regression on the cells. Within
+a text they go on learning online, BLOCK tokens at a time, the blocks of many texts side by side; spelling keeps its fitted weights, so
+a word has one probability.
+
+Statistics that grow with the corpus: words and segments, counted in full and joined by shuffle. Where the last ANCHOR words hash to 0 modulo SPACING
+a segment begins, up to the next such place. With the counts of the anchor and of the segment after it, over the other training texts (a training text's own
+are taken out), the segment has the probability (1 - w) * mixed + w * count / anchor's count; w depends on the anchor's count and on whether
+the segment before was found, and is fitted on all training rows. So text that the corpus holds elsewhere scores far better than new text.
+
+Broadcast tables have a bounded size: head (MAX_HEAD words), slots (2^MAX_BITS an order, fewer on small corpora), cells. They don't grow beyond it:
+contexts share slots on large corpora. The counts of head words are broadcast with it; those of the others are joined.
+
+A null or empty text is its end alone. Rows that repeat an id are scored each (rows that repeat id and text get one value); without training rows every
+token is unknown. Of a very long text the hashes of its words are held (24 bytes a word) and bits for CHUNK tokens at once. Other columns of
+documents play no part.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, batch_words, ranges, table, text_bytes
+from .common import Words, _tables, apart, batch_words, grams, mix, ranges, table, text_bytes
 
-CLASS_BITS = 4
-DICTIONARY = (1 << 16) - 3
-END, ESCAPE, FIRST_WORD = 1, 2, 3  # symbols; words follow by rank
-SLOT_BITS = ((17, 19, 19), (19, 20, 20))  # by stream (tokens, bytes) and order
+MAX_HEAD, HEAD_COUNT, MAX_BITS = 1 << 17, 4, 21
+END, ESCAPE, FIRST_WORD = 0, 1, 2  # symbols; words follow by rank
 BLOCK_SLOTS = 2048
-LEVELS, CONFIDENCES = 12, 4
-GATES = (LEVELS * CONFIDENCES**2, 8 * CONFIDENCES**2)
-GROUP, ONLINE_BLOCK, FIT_BLOCK = 1 << 18, 2048, 8192
-#: A step is RATE times the gradient over a bound of the curvature plus an inertia, so it can't overshoot however large the log-odds are.
-FIT_RATE, FIT_INERTIA, RATE, INERTIA = 0.3, 20.0, 0.3, 40.0
-LIMIT, PRIOR = 13.8, 0.4
-_STARTS = np.cumsum([0] + [1 << b for bits in SLOT_BITS for b in bits]).tolist()
-_OFFSETS = (_STARTS[: len(SLOT_BITS[0])], _STARTS[len(SLOT_BITS[0]) : -1])
-SLOTS = _STARTS[-1]
-#: The order of bytes in the spelling code; the space closes a word. Other bytes follow by value.
-FREQUENT = b" etnhaoirsdlucgmwfpbyvkqxzj\xc3.,\xa9"
-_RANK = np.empty(256, np.int64)
-_RANK[[*FREQUENT, *(b for b in range(256) if b not in FREQUENT)]] = np.arange(256)
-_ODD_POWERS = np.multiply.accumulate(np.full(256, 0x2C9277B5, np.uint32), dtype=np.uint32)
+DEPTHS, CONFIDENCES, STEPS, WIDTH, BUCKETS = 12, 4, 16, 1.0, 25
+GATES = DEPTHS * CONFIDENCES**2
+CELLS = GATES * STEPS**3
+BLOCK, CHUNK, GROUP = 64, 1 << 16, 1 << 18
+RATE, INERTIA, TABLE_RATE = 0.3, 40.0, 0.02
+LIMIT, PRIOR = 12.0, 0.4
+ANCHOR, SPACING = 3, 16
+CACHE = 200_000
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
+_ODD_POWERS = np.multiply.accumulate(np.full(256, 0x2C9277B5, np.uint32), dtype=np.uint32)
+U32 = np.uint32
 
 
 @dataclass
-class Decisions:
-    """row: of each decision; bit; slots: an array for each order, into the joint table; level: which decision it is."""
+class Bits:
+    """token: which token (or spelled word) of the chunk a bit belongs to; bit; depth; first: log-odds of order 0 (or None); slots: one array an order."""
 
-    row: np.ndarray
+    token: np.ndarray
     bit: np.ndarray
+    depth: np.ndarray
+    first: np.ndarray | None
     slots: list[np.ndarray]
-    level: np.ndarray
-
-
-def _hashed(context: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
-    h = (context * np.uint32(0x9E3779B1) ^ node.astype(np.uint32)) * np.uint32(0x85EBCA6B)
-    h ^= h >> np.uint32(15)
-    return ((h * np.uint32(0xC2B2AE35)) >> np.uint32(32 - bits)).astype(np.int64)
 
 
-class Dictionary:
-    """hashes: sorted word hashes; symbols and counts in that order."""
-
-    def __init__(self, ranked: np.ndarray, counts: np.ndarray, end_count: int, total: int, distinct: int):
+class Tree:
+    """A Huffman tree of symbols with counts: symbol i has length[i] bits from begin[i] on in path (nodes) and bits; odds are those of a one."""
+
+    def __init__(self, weights: list[int]):
+        n = len(weights)
+        heap = [(w, i) for i, w in enumerate(weights)]
+        heapq.heapify(heap)
+        parent, side, sums = np.zeros(2 * n, np.int32), np.zeros(2 * n, np.int8), [*weights, *[0] * n]
+        node = n
+        while len(heap) > 1:
+            (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
+            parent[i] = parent[j] = node
+            side[j] = 1
+            sums[node] = a + b
+            heapq.heappush(heap, (a + b, node))
+            node += 1
+        root = node - 1
+        length = np.zeros(2 * n, np.int32)
+        for i in range(root - 1, -1, -1):
+            length[i] = length[parent[i]] + 1
+        self.length = length[:n].copy()
+        self.begin = np.cumsum(self.length) - self.length
+        self.path, self.bits = np.zeros(int(self.length.sum()), np.int32), np.zeros(int(self.length.sum()), np.int8)
+        at, left = np.arange(n), self.length.copy()
+        while (left > 0).any():
+            live = np.flatnonzero(left > 0)
+            place = self.begin[live] + left[live] - 1
+            self.path[place], self.bits[place] = parent[at[live]] - n, side[at[live]]
+            at[live] = parent[at[live]]
+            left[live] -= 1
+        self.ones = np.zeros(n, np.float64)
+        is_right = side[:root] == 1
+        self.ones[parent[:root][is_right] - n] = np.array(sums[:root], np.float64)[is_right]
+        self.zeros = np.array(sums[n : 2 * n], np.float64) - self.ones
+        self.odds = np.log((self.ones + PRIOR) / (self.zeros + PRIOR)).astype(np.float32)
+
+    def walk(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of all bits of the symbols, one after another: which symbol, depth, node and bit."""
+        n = self.length[symbols]
+        total = int(n.sum())
+        of = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        shift = self.begin[symbols] - (np.cumsum(n) - n)
+        where = np.arange(total) + np.repeat(shift, n)
+        depth = where - np.repeat(self.begin[symbols], n)
+        return of, np.minimum(depth, DEPTHS - 1).astype(np.int32), self.path.take(where), self.bits.take(where)
+
+
+class Head:
+    """The head's words, their counts and their tree; hashes are sorted."""
+
+    def __init__(self, ranked: np.ndarray, counts: np.ndarray, documents: int, total: int, distinct: int):
+        self.documents, self.total, self.distinct = documents, total, distinct
         order = np.argsort(ranked, kind="stable")
         self.hashes, self.symbols, self.counts = ranked[order], (order + FIRST_WORD).astype(np.int32), counts[order]
-        self.end_count, self.total, self.distinct = end_count, total, distinct
+        escaped = max(total - documents - int(counts.sum()), 0)
+        self.tree = Tree([max(documents, 1), max(escaped, 1), *counts.tolist()])
 
     def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbol (ESCAPE where there is none) and count (-1 where there is none) of each word hash."""
@@ -86,6 +133,12 @@ class Dictionary:
         return np.where(there, self.symbols[at], ESCAPE).astype(np.int32), np.where(there, self.counts[at], -1)
 
 
+def _slot(context: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
+    h = (context ^ node * U32(0x9E3779B1)) * U32(0x85EBCA6B)
+    h ^= h >> U32(15)
+    return (h * U32(0xC2B2AE35)) >> U32(32 - bits)
+
+
 def _tokens(words: Words, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """row, symbol and place within the row of all tokens of a group of rows, each row closed by END."""
     sizes = np.diff(words.bounds)
@@ -98,324 +151,499 @@ def _tokens(words: Words, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return row, out, np.arange(len(row)) - np.repeat(ends - sizes, sizes + 1)
 
 
-def token_decisions(row: np.ndarray, symbol: np.ndarray, place: np.ndarray) -> Decisions:
-    before = np.append(0, symbol[:-1]).astype(np.uint32)
-    before[place == 0] = 0
-    before2 = np.append(0, before[:-1]).astype(np.uint32)
-    before2[place <= 1] = 0
-    both = before * np.uint32(0x27D4EB2F) ^ before2 + np.uint32(0x165667B1)
-    size_class = np.frexp(symbol.astype(np.float64))[1].astype(np.int64) - 1
-    n = CLASS_BITS + size_class
-    i = ranges(np.zeros(len(n), np.int64), n).astype(np.int32)
-    v, k = np.repeat(symbol, n), np.repeat(size_class, n).astype(np.int32)
-    coarse = i < CLASS_BITS
-    left = np.where(coarse, CLASS_BITS - i, k - i + CLASS_BITS)  # bits still to come, this one included
-    value = np.where(coarse, k, v)
-    node = np.where(coarse, (1 << np.minimum(i, 4)) | value >> left, 16 + (1 << k) + (value >> left))
-    bit = (value >> (left - 1) & 1).astype(np.int8)
-    slots = [node.astype(np.int64) + _OFFSETS[0][0], *(_hashed(np.repeat(c, n), node, SLOT_BITS[0][o]) + _OFFSETS[0][o] for o, c in ((1, before), (2, both)))]
-    return Decisions(np.repeat(row, n), bit, slots, np.minimum(i, LEVELS - 1))
-
-
-def byte_decisions(data: np.ndarray, words: Words, escaped: np.ndarray) -> Decisions:
-    """Decisions of the bytes and closing spaces of the escaped words (positions among the group's words)."""
-    starts, sizes = words.starts[escaped], words.ends[escaped] - words.starts[escaped]
-    owner = np.searchsorted(words.bounds, escaped, "right") - 1
+def token_bits(head: Head, symbol: np.ndarray, place: np.ndarray, at: np.ndarray, bits: int) -> Bits:
+    """The bits of the tokens `at` of a group, in that order; contexts are the tokens before them in the text."""
+    before = np.where(place[at] > 0, symbol[np.maximum(at - 1, 0)] + 1, 0).astype(U32)
+    before2 = np.where(place[at] > 1, symbol[np.maximum(at - 2, 0)] + 1, 0).astype(U32)
+    one = (before + U32(1)) * U32(0x27D4EB2F)
+    two = (one ^ before2 * U32(0x165667B1)) * U32(0x9E3779B1) ^ U32(0x5BD1E995)
+    token, depth, node, bit = head.tree.walk(symbol[at])
+    as32 = node.astype(U32)
+    return Bits(token, bit, depth, node, [_slot(c.take(token), as32, bits) for c in (one, two)])
+
+
+def byte_bits(tree: Tree, flat: np.ndarray, sizes: np.ndarray, bits: int) -> Bits:
+    """The bits of words (their bytes one after another in flat, lower-cased) and their closing spaces."""
     total = sizes + 1
     begin = np.cumsum(total) - total
     at = ranges(np.zeros(len(total), np.int64), total)
     spelled = np.full(int(total.sum()), 0x20, np.uint8)
-    spelled[ranges(begin, sizes)] = _FOLD[data[ranges(starts, sizes)]]
-    b = spelled.astype(np.uint32)
-    p1 = np.append(np.uint32(0), b[:-1]) if len(b) else b
-    p1[at == 0] = 0
-    p2 = np.append(np.uint32(0), p1[:-1]) if len(b) else b
-    p2[at <= 1] = 0
-    p3 = np.append(np.uint32(0), p2[:-1]) if len(b) else b
-    p3[at <= 2] = 0
-    p4 = np.append(np.uint32(0), p3[:-1]) if len(b) else b
-    p4[at <= 3] = 0
-    # all bytes of the word before this one, as a sum over the word that is the same wherever the word stands
-    weighed = (b + np.uint32(1)) * np.uint32(0x9E3779B1) * _ODD_POWERS[np.minimum(at, len(_ODD_POWERS) - 1)]
-    running = np.cumsum(weighed, dtype=np.uint32) - weighed
+    spelled[ranges(begin, sizes)] = flat
+    b = spelled.astype(U32)
+    past = []
+    for j in (1, 2, 3, 4):
+        p = np.zeros(len(b), U32)
+        p[j:] = b[:-j] if len(b) > j else 0
+        p[at < j] = 0
+        past.append(p)
+    # all bytes of the word before this one, as a sum that is the same wherever the word stands
+    weighed = (b + U32(1)) * U32(0x9E3779B1) * _ODD_POWERS[np.minimum(at, len(_ODD_POWERS) - 1)]
+    running = np.cumsum(weighed, dtype=U32) - weighed
     prefix = running - running[np.repeat(begin, total)] if len(b) else b
-    three = p1 | p2 << np.uint32(8) | p3 << np.uint32(16)
-    four = three | p4 << np.uint32(24)
-    rank = _RANK[spelled]
-    eights, low = rank >> 3, (rank & 7).astype(np.int32)
-    n = eights + 4
-    j = ranges(np.zeros(len(n), np.int64), n).astype(np.int32)
-    g, m = np.repeat(eights.astype(np.int32), n), np.repeat(low, n)
-    unary = j <= g
-    left = np.where(unary, 3, 3 - (j - g - 1))  # bits of the rest still to come, this one included
-    node = np.where(unary, j, 32 + 8 * g + (1 << (3 - left) | m >> left))
-    bit = np.where(unary, j < g, m >> (left - 1) & 1).astype(np.int8)
-    slots = [_hashed(np.repeat(c, n), node, bits) + low for c, bits, low in zip((three, four, prefix), SLOT_BITS[1], _OFFSETS[1], strict=True)]
-    return Decisions(np.repeat(np.repeat(owner, total), n), bit, slots, np.where(unary, np.minimum(j, 4), 8 - left))
-
-
-def _streams(texts: pa.Array, dictionary: Dictionary) -> Iterator[tuple[Words, np.ndarray, tuple[Decisions, Decisions]]]:
-    data, groups = batch_words(texts, lower=True, group=GROUP)
-    for words in groups:
-        symbols, counts = dictionary.look_up(words.hashes)
-        yield words, counts, (token_decisions(*_tokens(words, symbols)), byte_decisions(data, words, np.flatnonzero(symbols == ESCAPE)))
+    two = past[0] | past[1] << U32(8) | U32(1 << 30)
+    four = past[0] | past[1] << U32(8) | past[2] << U32(16) | past[3] << U32(24)
+    owner = np.repeat(np.arange(len(total), dtype=np.int32), total)
+    of, depth, node, bit = tree.walk(spelled)
+    as32 = node.astype(U32)
+    contexts = (two * U32(0x2C9277B5), four * U32(0x27D4EB2F) + U32(1), prefix * U32(0x165667B1) + U32(2))
+    return Bits(owner.take(of), bit, depth, None, [_slot(c.take(of), as32, bits) for c in contexts])
 
 
-def count_words(training: DataFrame) -> DataFrame:
-    """h, c: counts of all word hashes over rows (text)."""
+def _log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    return np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            k, c = np.concatenate(keys), np.concatenate(counts)
-            order = np.argsort(k, kind="stable")
-            k, c = k[order], c[order]
-            first = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.empty(0, np.int64)
-            return k[first], np.add.reduceat(c, first) if len(k) else c
+def _confidence(n: np.ndarray) -> np.ndarray:
+    return (n > 0).astype(np.int32) + (n > 3) + (n > 30)
 
-        def rows() -> Iterator[pa.RecordBatch]:
-            k, c = merged()
-            for s in range(0, len(k), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(k[s : s + 50_000]), pa.array(c[s : s + 50_000])], names=["h", "c"])
 
-        for batch in batches:
-            for words in batch_words(text_bytes(batch.column(0)), lower=True)[1]:
-                k, c = np.unique(words.hashes.view(np.int64), return_counts=True)
-                keys.append(k)
-                counts.append(c)
-                if sum(map(len, keys)) > 1_500_000:
-                    k, c = merged()
-                    keys, counts = [k], [c]
-                    if len(k) > 1_000_000:
-                        yield from rows()
-                        keys, counts = [k[:0]], [c[:0]]
-        yield from rows()
+def slot_odds(slots: np.ndarray) -> np.ndarray:
+    """The log-odds of each slot, its confidence in the lowest two bits: one look-up gives both."""
+    pairs = slots.astype(np.float32)
+    odds = _log_odds(pairs[:, 0], pairs[:, 1]).view(np.int32)
+    return (odds & ~3 | _confidence(slots.sum(axis=1)).astype(np.int32)).view(np.float32)
 
-    return training.select("text").mapInArrow(run, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c"))
 
+def _gate(depth: np.ndarray, middle: np.ndarray, longest: np.ndarray) -> np.ndarray:
+    return (depth * CONFIDENCES + middle) * CONFIDENCES + longest
 
-def fit_dictionary(training: DataFrame) -> tuple[Dictionary, DataFrame]:
-    """The dictionary, and the table of all counts. The driver gets DICTIONARY rows and the totals."""
-    counts = table(count_words(training))
-    documents = training.count()
-    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "h").limit(DICTIONARY).collect()
-    ranked = np.array([r["h"] for r in top], np.int64).view(np.uint64)
-    return Dictionary(ranked, np.array([r["c"] for r in top], np.int64), documents, sums["n"] + documents, sums["v"] + bool(documents)), counts
 
+def _step(x: np.ndarray) -> np.ndarray:
+    """Which of STEPS intervals of WIDTH around 0 a log-odds lies in."""
+    return np.clip(x * np.float32(1 / WIDTH) + np.float32(STEPS / 2), 0, STEPS - 1).astype(np.int32)
 
-def fit_slots(training: DataFrame, dictionary: Dictionary) -> np.ndarray:
-    """Counts of zeros and ones by slot, over all training rows: SLOTS x 2."""
-    held = training.sparkSession.sparkContext.broadcast(dictionary)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals, one = np.zeros(2 * SLOTS, np.int32), np.int32(1)
-        for batch in batches:
-            for _, _, streams in _streams(text_bytes(batch.column(0)), held.value):
-                for s, d in enumerate(streams):
-                    for slots in d.slots:
-                        np.add.at(totals, 2 * slots + d.bit, one)
-        yield from _blocks(totals)
+def count_words(training: DataFrame) -> DataFrame:
+    """h, c, word: counts of all word hashes over rows (text), and the word (lower-cased)."""
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part = np.frombuffer(pa.decompress(raw, 16 * BLOCK_SLOTS, codec="zstd"), np.int64)
-                sums[b] = sums[b] + part if b in sums else part
-        for b, total in sums.items():
-            yield _packed([b], [total])
-
-    found = training.select("text").mapInArrow(count, "block int, counts binary").repartition("block").mapInArrow(add, "block int, counts binary")
-    out = np.zeros((-(-SLOTS // BLOCK_SLOTS)) * BLOCK_SLOTS * 2, np.int64)
-    for r in found.collect():
-        out[2 * BLOCK_SLOTS * r["block"] : 2 * BLOCK_SLOTS * (r["block"] + 1)] += np.frombuffer(pa.decompress(bytes(r["counts"]), 16 * BLOCK_SLOTS, codec="zstd"), np.int64)
-    return out[: 2 * SLOTS].reshape(-1, 2)
+            texts = text_bytes(batch.column(0))
+            data, groups = batch_words(texts, lower=True)
+            hashes, counts, starts, ends = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for words in groups:
+                h, first, c = np.unique(words.hashes, return_index=True, return_counts=True)
+                hashes.append(h)
+                counts.append(c)
+                starts.append(words.starts[first])
+                ends.append(words.ends[first])
+            h, c, s, e = (np.concatenate(x) for x in (hashes, counts, starts, ends))
+            h, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+            c = np.bincount(inverse, c, len(h)).astype(np.int64)
+            s, n = s[first], (e - s)[first]
+            for low in range(0, len(h), 50_000):
+                part = slice(low, low + 50_000)
+                flat = _FOLD[data[ranges(s[part], n[part])]]
+                ends32 = np.concatenate([[0], np.cumsum(n[part])]).astype(np.int32)
+                raw = pa.Array.from_buffers(pa.binary(), len(ends32) - 1, [None, pa.py_buffer(ends32.tobytes()), pa.py_buffer(flat.tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array(h[part].view(np.int64)), pa.array(c[part]), raw], names=["h", "c", "word"])
+
+    return training.select("text").mapInArrow(run, "h bigint, c bigint, word binary").groupBy("h").agg(F.sum("c").alias("c"), F.min("word").alias("word"))
+
+
+def fit_head(training: DataFrame) -> tuple[Head, DataFrame]:
+    """The head, and the table of all counts. The driver gets at most MAX_HEAD rows and the totals."""
+    counts = table(count_words(training))
+    documents = training.count()
+    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    top = counts.where(F.col("c") >= HEAD_COUNT).select("h", "c").orderBy(F.desc("c"), "h").limit(MAX_HEAD).toArrow()
+    ranked = top.column("h").to_numpy().view(np.uint64)
+    return Head(ranked, top.column("c").to_numpy(), documents, sums["n"] + documents, sums["v"] + bool(documents)), counts
 
 
-def _packed(blocks: list[int], parts: list[np.ndarray]) -> pa.RecordBatch:
-    raw = [pa.compress(np.ascontiguousarray(x, np.int64).tobytes(), codec="zstd", asbytes=True) for x in parts]
-    return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(raw, pa.binary())], names=["block", "counts"])
+def fit_bytes(counts: DataFrame) -> Tree:
+    """The tree of the bytes of all distinct training words and their closing spaces."""
 
+    def tally(values: pa.Array, totals: np.ndarray) -> None:
+        raw = text_bytes(values)
+        offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+        if len(raw) and offsets[-1] > offsets[0]:
+            totals[:256] += np.bincount(np.frombuffer(raw.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], minlength=256).astype(np.int32)
+        totals[0x20] += len(raw)
 
-def _blocks(totals: np.ndarray) -> Iterator[pa.RecordBatch]:
-    padded = np.zeros(-(-len(totals) // (2 * BLOCK_SLOTS)) * 2 * BLOCK_SLOTS, np.int64)
-    padded[: len(totals)] = totals
-    rows = padded.reshape(-1, 2 * BLOCK_SLOTS)
-    used = np.flatnonzero(rows.any(axis=1))
-    for s in range(0, len(used), 64):
-        yield _packed(used[s : s + 64].tolist(), [rows[i] for i in used[s : s + 64]])
+    return Tree([int(n) + 1 for n in _added(counts, "word", 256, tally)])
 
 
-def _log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    return np.log((ones + PRIOR) / (zeros + PRIOR)).astype(np.float32)
+def _bits_for(n: int) -> int:
+    return min(MAX_BITS, max(16, math.ceil(math.log2(max(n, 1)))))
 
 
-def _confidence(n: np.ndarray) -> np.ndarray:
-    return ((n > 0).astype(np.int8) + (n > 3) + (n > 30)).astype(np.int8)
+def _chunks(place: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of a group's tokens: all, or CHUNK tokens at once of a long text."""
+    for low in range(0, len(place), CHUNK if place[-1] >= CHUNK else len(place)):
+        yield low, min(len(place), low + CHUNK) if place[-1] >= CHUNK else len(place)
 
 
-def slot_odds(slots: np.ndarray) -> np.ndarray:
-    """The log-odds of each slot, its confidence in the lowest two bits: one look-up gives both."""
-    odds = _log_odds(slots[:, 0], slots[:, 1]).view(np.int32)
-    return (odds & ~3 | _confidence(slots.sum(axis=1)).astype(np.int32)).view(np.float32)
+def _text_streams(column: pa.Array, head: Head, bits: int) -> Iterator[Bits]:
+    for words in batch_words(text_bytes(column), lower=True, group=GROUP)[1]:
+        _, symbol, place = _tokens(words, head.look_up(words.hashes)[0])
+        for low, high in _chunks(place):
+            yield token_bits(head, symbol, place, np.arange(low, high), bits)
 
 
-def _seen(odds: np.ndarray) -> np.ndarray:
-    return odds.view(np.int32) & 3
+def _word_streams(column: pa.Array, tree: Tree, bits: int) -> Iterator[Bits]:
+    raw = text_bytes(column)
+    offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+    data = np.frombuffer(raw.buffers()[2], np.uint8) if len(raw) and raw.buffers()[2] is not None else np.empty(0, np.uint8)
+    low = 0
+    while low < len(raw):
+        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + CHUNK, "right")) - 1)
+        yield byte_bits(tree, data[offsets[low] : offsets[high]], np.diff(offsets[low : high + 1]), bits)
+        low = high
 
 
-@dataclass
-class Model:
-    dictionary: Dictionary
-    odds: np.ndarray
-    weights: list[np.ndarray]
+def _added(rows: DataFrame, column: str, size: int, tally) -> np.ndarray:  # noqa: ANN001
+    """The sum over all tasks of what `tally` adds to an array of `size` counts: compressed blocks, added up by block."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(-(-size // BLOCK_SLOTS) * BLOCK_SLOTS, np.int32)
+        for batch in batches:
+            tally(batch.column(0), totals)
+        each = totals.reshape(-1, BLOCK_SLOTS)
+        used = np.flatnonzero(each.any(axis=1))
+        for s in range(0, len(used), 64):
+            yield packed(used[s : s + 64].tolist(), [each[i] for i in used[s : s + 64]])
 
-def start_weights() -> list[np.ndarray]:
-    return [np.tile(np.array(w, np.float32), (g, 1)) for g, w in zip(GATES, ((0.8, 0.1, 0.1), (0.2, 0.5, 0.3)), strict=True)]
+    def packed(blocks: list[int], parts: list[np.ndarray]) -> pa.RecordBatch:
+        raw = [pa.compress(np.ascontiguousarray(x, np.int64).tobytes(), codec="zstd", asbytes=True) for x in parts]
+        return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(raw, pa.binary())], names=["block", "counts"])
 
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for b, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                part = np.frombuffer(pa.decompress(raw, 8 * BLOCK_SLOTS, codec="zstd"), np.int64)
+                sums[b] = sums[b] + part if b in sums else part
+        for b, total in sums.items():
+            yield packed([b], [total])
+
+    found = rows.select(column).mapInArrow(count, "block int, counts binary").repartition("block").mapInArrow(add, "block int, counts binary")
+    out = np.zeros(-(-size // BLOCK_SLOTS) * BLOCK_SLOTS, np.int64)
+    for r in found.toLocalIterator():
+        out[BLOCK_SLOTS * r["block"] : BLOCK_SLOTS * (r["block"] + 1)] += np.frombuffer(pa.decompress(bytes(r["counts"]), 8 * BLOCK_SLOTS, codec="zstd"), np.int64)
+    return out[:size]
+
+
+def fit_slots(rows: DataFrame, column: str, streams, orders: int, bits: int) -> np.ndarray:  # noqa: ANN001
+    """Counts of zeros and ones by slot: (orders << bits) x 2."""
+
+    def tally(values: pa.Array, totals: np.ndarray) -> None:
+        one = np.int32(1)
+        for d in streams(values):
+            for k, slots in enumerate(d.slots):
+                np.add.at(totals, (slots.astype(np.int64) + (k << bits)) * 2 + d.bit, one)
+
+    return _added(rows, column, 2 * orders << bits, tally).reshape(-1, 2)
+
+
+def _codes(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """For each pair of counts and each bit, with the bit's own count taken out: step of the log-odds and, above it, confidence."""
+    out = np.empty((len(zeros), 2), np.uint8)
+    for bit in (0, 1):
+        z = np.maximum(zeros - (1 - bit), 0).astype(np.float32)
+        o = np.maximum(ones - bit, 0).astype(np.float32)
+        out[:, bit] = _step(_log_odds(z, o)) | _confidence(z + o) << 4
+    return out.ravel()
+
+
+def fit_cells(rows: DataFrame, column: str, streams, tree: Tree | None, counts: np.ndarray, bits: int) -> np.ndarray:  # noqa: ANN001
+    """Counts of zeros and ones by cell, each bit's own count taken out: CELLS x 2."""
+    held = rows.sparkSession.sparkContext.broadcast((None if tree is None else _codes(tree.zeros, tree.ones), _codes(counts[:, 0], counts[:, 1])))
+
+    def tally(values: pa.Array, totals: np.ndarray) -> None:
+        first, codes = held.value
+        for d in streams(values):
+            c = [first.take(d.first * 2 + d.bit)] if first is not None else []
+            c += [codes.take((s.astype(np.int64) + (k << bits)) * 2 + d.bit) for k, s in enumerate(d.slots)]
+            cell = _gate(d.depth, c[-2] >> 4, c[-1] >> 4)
+            for code in c:
+                cell = cell * STEPS + (code & 15)
+            np.add.at(totals, cell * 2 + d.bit, np.int32(1))
+
+    return _added(rows, column, 2 * CELLS, tally).reshape(-1, 2)
+
+
+def solve(cells: np.ndarray, start: tuple[float, float, float]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of each gate (GATES x 3) by damped Newton steps on the cells, and the refining table (DEPTHS x BUCKETS)."""
+    weights = np.tile(np.array(start), (GATES, 1))
+    used = np.flatnonzero(cells.any(axis=1))
+    zeros, ones = cells[used, 0].astype(np.float64), cells[used, 1].astype(np.float64)
+    gate = used // STEPS**3
+    x = np.column_stack([((used // STEPS**j) % STEPS - STEPS / 2 + 0.5) * WIDTH for j in (2, 1, 0)])
+    n = zeros + ones
+    for _ in range(25):
+        p = 1 / (1 + np.exp(-np.clip((weights[gate] * x).sum(axis=1), -LIMIT, LIMIT)))
+        slope, bend = ones - n * p, n * p * (1 - p)
+        g = np.column_stack([np.bincount(gate, slope * x[:, i], GATES) for i in range(3)]) - 2.0 * (weights - np.array(start))
+        h = np.stack([np.column_stack([np.bincount(gate, bend * x[:, i] * x[:, j], GATES) for j in range(3)]) for i in range(3)], axis=1).astype(np.float64)
+        h += np.eye(3) * (2.0 + 0.02 * np.trace(h, axis1=1, axis2=2))[:, None, None]
+        weights += np.clip(np.linalg.solve(h, g[:, :, None])[:, :, 0], -0.5, 0.5)
+    z = np.clip((weights[gate] * x).sum(axis=1), -LIMIT, LIMIT)
+    place = (z + LIMIT) / (2 * LIMIT) * (BUCKETS - 1)
+    low = np.minimum(place.astype(np.int64), BUCKETS - 2)
+    share = place - low
+    centre = 1 / (1 + np.exp(-np.linspace(-LIMIT, LIMIT, BUCKETS)))
+    top, all_ = np.tile(centre * 8, (DEPTHS, 1)).ravel(), np.full(DEPTHS * BUCKETS, 8.0)
+    row = gate // CONFIDENCES**2 * BUCKETS + low
+    for side, part in ((0, 1 - share), (1, share)):
+        top += np.bincount(row + side, ones * part, DEPTHS * BUCKETS)
+        all_ += np.bincount(row + side, n * part, DEPTHS * BUCKETS)
+    return weights.astype(np.float32), (top / all_).reshape(DEPTHS, BUCKETS).astype(np.float32)
 
-def _gate(level: np.ndarray, middle: np.ndarray, longest: np.ndarray) -> np.ndarray:
-    return (level * CONFIDENCES + middle) * CONFIDENCES + longest
 
+@dataclass
+class Model:
+    head: Head
+    letters: Tree
+    odds: tuple[np.ndarray, np.ndarray]
+    bits: tuple[int, int]
+    weights: tuple[np.ndarray, np.ndarray]
+    tables: tuple[np.ndarray, np.ndarray]
+
+
+def fit(training: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
+    """A model of all training rows, and their word counts (h, c, word)."""
+    rows = training.select(training[text].cast("string").alias("text"))
+    head, counts = fit_head(rows)
+    bits = (_bits_for(2 * head.total), _bits_for(32 * head.distinct))
+    letters = fit_bytes(counts)
+    held = rows.sparkSession.sparkContext.broadcast(head)
+    texts = lambda column: _text_streams(column, held.value, bits[0])
+    words = lambda column: _word_streams(column, letters, bits[1])
+    slots = fit_slots(rows, "text", texts, 2, bits[0])
+    weights, refined = solve(fit_cells(rows, "text", texts, head.tree, slots, bits[0]), (0.8, 0.2, 0.2))
+    spelled = fit_slots(counts, "word", words, 3, bits[1])
+    spell_weights, spell_refined = solve(fit_cells(counts, "word", words, None, spelled, bits[1]), (0.3, 0.4, 0.4))
+    return Model(head, letters, (slot_odds(slots), slot_odds(spelled)), bits, (weights, spell_weights), (refined, spell_refined)), counts
+
+
+def _inputs(d: Bits, first: np.ndarray | None, odds: np.ndarray, bits: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The three log-odds of each bit, and its gate."""
+    x = [odds.take(s.astype(np.int64) + (k << bits)) for k, s in enumerate(d.slots)]
+    gate = _gate(d.depth, x[-2].view(np.int32) & 3, x[-1].view(np.int32) & 3)
+    return ([first.take(d.first), *x] if first is not None else x), gate
+
+
+def _refined(z: np.ndarray, flat: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probability of a one by a flat table whose rows of BUCKETS start at `row`; the lower bucket, and the share of the upper one."""
+    place = (z + np.float32(LIMIT)) * np.float32((BUCKETS - 1) / (2 * LIMIT))
+    low = np.minimum(place.astype(np.int32), BUCKETS - 2)
+    share = place - low
+    at = row + low
+    return flat.take(at) * (1 - share) + flat.take(at + 1) * share, at, share
+
+
+def _logarithm(p: np.ndarray, refined: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    q = np.clip((p + refined) * 0.5, 1e-6, 1 - 1e-6)
+    return np.log10(np.where(bit == 1, q, 1 - q))
+
+
+def spelling(model: Model, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """log10 probability of each word's bytes and closing space."""
+    out = np.zeros(len(sizes))
+    ends = np.cumsum(sizes)
+    low = 0
+    while low < len(sizes):
+        before = int(ends[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + CHUNK, "right")))
+        d = byte_bits(model.letters, flat[before : ends[high - 1]], sizes[low:high], model.bits[1])
+        x, gate = _inputs(d, None, model.odds[1], model.bits[1])
+        w = model.weights[1][gate]
+        z = np.clip(sum(w[:, k] * x[k] for k in range(3)), -LIMIT, LIMIT)
+        better, _, _ = _refined(z, model.tables[1].ravel(), d.depth * BUCKETS)
+        out[low:high] = np.bincount(d.token, _logarithm(1 / (1 + np.exp(-z)), better, d.bit), high - low)
+        low = high
+    return out
 
-def fit_weights(fold: DataFrame, dictionary: Dictionary, counts: np.ndarray) -> list[np.ndarray]:
-    """Gated weights: each task learns online over its rows; tasks are averaged by the decisions each gate saw."""
-    held = fold.sparkSession.sparkContext.broadcast((dictionary, counts))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, n = held.value
-        weights, seen = start_weights(), [np.zeros(g, np.int64) for g in GATES]
-        for batch in batches:
-            for _, _, streams in _streams(text_bytes(batch.column(0)), own):
-                for s, d in enumerate(streams):
-                    for at in range(0, len(d.bit), FIT_BLOCK):
-                        span = slice(at, at + FIT_BLOCK)
-                        bit, pairs = d.bit[span], np.stack([n[x[span]] for x in d.slots])
-                        ones = np.maximum(pairs[:, :, 1] - bit, 0)  # a decision's own count is taken out
-                        zeros = np.maximum(pairs[:, :, 0] - (1 - bit), 0)
-                        x = _log_odds(zeros, ones)
-                        seen_by = _confidence(zeros + ones)
-                        gate = _gate(d.level[span], seen_by[-2], seen_by[-1])
-                        p = 1 / (1 + np.exp(-np.einsum("ij,ji->i", weights[s][gate], x)))
-                        error = (bit - p).astype(np.float32)
-                        number = np.bincount(gate, minlength=GATES[s])
-                        for k in range(len(x)):
-                            weights[s][:, k] += FIT_RATE * np.bincount(gate, error * x[k], GATES[s]) / (np.maximum(number, np.bincount(gate, x[k] ** 2, GATES[s]) / 8) + FIT_INERTIA)
-                        seen[s] += number
-        rows = [(s, g, k, float(seen[s][g]), float(weights[s][g, k])) for s in (0, 1) for g in np.flatnonzero(seen[s]).tolist() for k in range(weights[s].shape[1])]
-        columns = list(zip(*rows, strict=True)) or [()] * 5
-        kinds = [pa.int32()] * 3 + [pa.float64()] * 2
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["stream", "gate", "k", "n", "w"])
-
-    found = fold.select("text").mapInArrow(run, "stream int, gate int, k int, n double, w double")
-    weights = start_weights()
-    for r in found.groupBy("stream", "gate", "k").agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w")).collect():
-        weights[r["stream"]][r["gate"], r["k"]] = r["w"]
-    return weights
-
-
-def fit(training: DataFrame, weight_fold: Column, text: str = "text") -> tuple[Model, DataFrame]:
-    """A model of all training rows, and their word counts (h, c). weight_fold marks the rows that fit the weights."""
-    rows = training.select(training[text].cast("string").alias("text"), weight_fold.alias("fold"))
-    dictionary, counts = fit_dictionary(rows)
-    slots = fit_slots(rows, dictionary)
-    weights = fit_weights(rows.where("fold"), dictionary, slots)
-    return Model(dictionary, slot_odds(slots), weights), counts
-
-
-def _mixed(model: Model, s: int, d: Decisions, rows: int) -> np.ndarray:
-    """log10 probability of each row's decisions of one stream; the weights learn within each row, block by block."""
-    out = np.zeros(rows)
-    if not len(d.bit):
+class Mixer:
+    """The weights and tables of a group of rows, which learn within each row."""
+
+    def __init__(self, model: Model, rows: int):
+        self.model = model
+        self.weights = [np.tile(model.weights[0][:, k], (rows, 1)) for k in range(3)]
+        self.tables = np.tile(model.tables[0].ravel(), (rows, 1))
+
+    def score(self, symbol: np.ndarray, row: np.ndarray, place: np.ndarray, low: int, high: int) -> np.ndarray:
+        """log10 probability of the tokens low..high of a group; a row's tokens come whole, or in chunks that begin at multiples of BLOCK."""
+        m, out = self.model, np.empty(high - low)
+        block = place[low:high] // BLOCK
+        order = np.argsort(block, kind="stable")  # the first BLOCK tokens of each row, the next of each, ...
+        d = token_bits(m.head, symbol, place, order + low, m.bits[0])
+        x, gate = _inputs(d, m.head.tree.odds, m.odds[0], m.bits[0])
+        owner = row[low:high][order].astype(np.int32)
+        begin = np.searchsorted(d.token, np.arange(high - low))
+        ends = np.append(np.flatnonzero(np.diff(block[order])) + 1, high - low)
+        start = 0
+        for end in ends.tolist():
+            span = slice(int(begin[start]), int(begin[end]) if end < high - low else len(d.bit))
+            rows = owner[start:end]
+            new = np.append(True, rows[1:] != rows[:-1])
+            present = rows[new]
+            local = (np.cumsum(new, dtype=np.int32) - 1).take(d.token[span] - start)
+            part = [w[present].ravel() for w in self.weights]
+            flat = self.tables[present].ravel()
+            g, bit, y = local * np.int32(GATES) + gate[span], d.bit[span], [v[span] for v in x]
+            z = part[0].take(g) * y[0]
+            z += part[1].take(g) * y[1]
+            z += part[2].take(g) * y[2]
+            np.clip(z, -LIMIT, LIMIT, out=z)
+            p = 1 / (1 + np.exp(-z))
+            better, bucket, share = _refined(z, flat, (local * np.int32(DEPTHS) + d.depth[span]) * np.int32(BUCKETS))
+            out[order[start:end]] = np.add.reduceat(_logarithm(p, better, bit), begin[start:end] - begin[start], dtype=np.float64)
+            error = bit - p
+            for k in range(3):
+                part[k] += RATE * np.bincount(g, error * y[k], len(part[k])) / (np.bincount(g, y[k] * y[k], len(part[k])) / 4 + INERTIA)
+                self.weights[k][present] = part[k].reshape(len(present), GATES)
+            near = bucket + (share > 0.5)
+            seen = np.bincount(near, minlength=len(flat))
+            flat += (TABLE_RATE * (np.bincount(near, bit, len(flat)) - seen * flat) / (1 + TABLE_RATE * seen)).astype(np.float32)
+            self.tables[present] = flat.reshape(len(present), DEPTHS * BUCKETS)
+            start = end
         return out
-    first = np.searchsorted(d.row, np.arange(rows))
-    block = ((np.arange(len(d.bit)) - first[d.row]) // ONLINE_BLOCK).astype(np.int32)
-    last = int(block.max())
-    order = np.argsort(block, kind="stable") if last else None
-    edges = np.searchsorted(block, np.arange(last + 2), sorter=order)
-    gates = GATES[s]
-    weights = np.repeat(model.weights[s][None], rows, axis=0)  # row, gate, order
-    for low, high in zip(edges[:-1], edges[1:], strict=True):
-        at = order[low:high] if last else slice(None)
-        row = d.row[at]
-        own = np.append(True, row[1:] != row[:-1])
-        present = row[own]
-        x = [model.odds.take(y[at]) for y in d.slots]
-        gate = (np.cumsum(own) - 1) * gates + _gate(d.level[at], _seen(x[-2]), _seen(x[-1]))
-        part = weights[present].reshape(-1, weights.shape[2])
-        z = x[0] * part[:, 0].take(gate)
-        for k in range(1, len(x)):
-            z += x[k] * part[:, k].take(gate)
-        sign = (2 * d.bit[at] - 1).astype(np.float32)
-        q = 1 / (1 + np.exp(-np.clip(sign * z, -LIMIT, LIMIT)))  # the probability of what happened
-        out[present] += np.add.reduceat(np.log10(q), np.flatnonzero(own), dtype=np.float64)
-        if high < len(d.bit):
-            error = sign * (1 - q)
-            for k in range(len(x)):
-                part[:, k] += RATE * np.bincount(gate, error * x[k], len(part)) / (np.bincount(gate, x[k] * x[k], len(part)) / 4 + INERTIA)
-            weights[present] = part.reshape(len(present), gates, -1)
-    return out
 
 
-def scored(documents: DataFrame, model: Model, counts: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte: one row per row of documents."""
-    spark = documents.sparkSession
-    held = spark.sparkContext.broadcast(model)
-    total, distinct = model.dictionary.total, model.dictionary.distinct
+def segments(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For a group: each token's segment (counted over the group); each segment's row, whether an anchor begins it, and the hashes of that anchor
+    and of anchor and segment."""
+    sizes = np.diff(words.bounds)
+    row, _, place = _tokens(words, np.zeros(len(words.hashes), np.int32))
+    word_row = np.repeat(np.arange(len(sizes)), sizes)
+    gram = grams(words.hashes, ANCHOR)  # of the words i .. i + ANCHOR - 1
+    anchor = np.zeros(len(words.hashes), bool)
+    if len(gram):
+        whole = word_row[: len(gram)] == word_row[ANCHOR - 1 :]
+        anchor[ANCHOR - 1 :] = whole & (gram % np.uint64(SPACING) == 0)
+    after = np.zeros(len(row), bool)  # a token behind an anchor, or the first of a row
+    token_of = np.arange(len(words.hashes)) + word_row
+    after[token_of[anchor] + 1] = True
+    begins = after | (place == 0)
+    segment = np.cumsum(begins) - 1
+    start = np.flatnonzero(begins)
+    hashes = np.full(len(row), 0x5851F42D4C957F2D, np.uint64)  # ends
+    hashes[token_of] = words.hashes
+    up, down = _tables(len(row) + 1)
+    total = np.append(np.uint64(0), np.cumsum(hashes * up[: len(row)], dtype=np.uint64))
+    stop = np.append(start[1:], len(row))
+    content = mix((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64))
+    context = np.zeros(len(start), np.uint64)
+    headed = after[start]
+    context[headed] = gram[np.flatnonzero(anchor) - (ANCHOR - 1)]
+    return segment, row[start], headed, context, mix(context * np.uint64(0x9E3779B97F4A7C15) + content)
+
+
+def scored(documents: DataFrame, model: Model, counts: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte: one row per row of documents. `training` tells
+    the rows that the model was fitted on."""
+    held = documents.sparkSession.sparkContext.broadcast(model)
+    total, distinct = model.head.total, model.head.distinct
     floor = math.log10(total + 0.1 * (distinct + 1))
-    docs = documents.select(documents[doc_id].alias("doc_id"), F.xxhash64(documents[text].cast("string")).alias("th"), documents[text].cast("string").alias("text"))
+    plain = documents[text].cast("string")
+    docs = documents.select(documents[doc_id].alias("doc_id"), F.xxhash64(plain).alias("th"), F.coalesce(training, F.lit(False)).alias("trained"), plain.alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    def lists(values: np.ndarray, owner: np.ndarray, rows: int, kind: pa.DataType) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(rows + 1)).astype(np.int32)), pa.array(values, kind))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        end_known, end_score = int(m.dictionary.end_count > 0), math.log10(m.dictionary.end_count + 0.1) - floor
+        known_words, known_values = np.empty(0, np.uint64), np.empty(0)
+
+        def spelled(data: np.ndarray, words: Words, tail: np.ndarray) -> np.ndarray:
+            """What each word at `tail` costs to spell; the last CACHE distinct words or more are remembered."""
+            nonlocal known_words, known_values
+            h, first, inverse = np.unique(words.hashes[tail], return_index=True, return_inverse=True)
+            at = np.minimum(np.searchsorted(known_words, h), max(len(known_words) - 1, 0))
+            there = known_words[at] == h if len(known_words) else np.zeros(len(h), bool)
+            value = np.empty(len(h))
+            value[there] = known_values[at[there]]
+            if not there.all():
+                pick = tail[first[~there]]
+                sizes = words.ends[pick] - words.starts[pick]
+                value[~there] = spelling(m, _FOLD[data[ranges(words.starts[pick], sizes)]], sizes)
+                if len(known_words) > CACHE:
+                    known_words, known_values = h, value
+                else:
+                    joined = np.append(known_words, h[~there])
+                    order = np.argsort(joined, kind="stable")
+                    known_words, known_values = joined[order], np.append(known_values, value[~there])[order]
+            return value[inverse]
+
+        end_known, end_score = int(m.head.documents > 0), math.log10(m.head.documents + 0.1) - floor
         for batch in batches:
-            texts = text_bytes(batch.column(2))
-            sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1])
-            for words, c, streams in _streams(texts, m.dictionary):
+            texts = text_bytes(batch.column(3))
+            data, groups = batch_words(texts, lower=True, group=GROUP)
+            for words in groups:
                 rows = len(words)
+                symbols, c = m.head.look_up(words.hashes)
+                row, symbol, place = _tokens(words, symbols)
+                mixer, value = Mixer(m, rows), np.zeros(len(row))
+                for low, high in _chunks(place):
+                    value[low:high] = mixer.score(symbol, row, place, low, high)
+                tail = np.flatnonzero(c < 0)
                 owner = np.repeat(np.arange(rows), np.diff(words.bounds))
-                head = c >= 0
-                base = np.bincount(owner[head], np.log10(c[head] + 0.1) - floor, rows) + end_score
-                known = np.bincount(owner[head], minlength=rows) + end_known
-                score = sum(_mixed(m, s, d, rows) for s, d in enumerate(streams))
+                if len(tail):
+                    value[tail + owner[tail]] += spelled(data, words, tail)
+                segment, seg_row, headed, context, key = segments(words)
+                mixed = np.bincount(segment, value, len(seg_row))
+                score = np.bincount(seg_row, mixed, rows)
+                # of each headed segment: how often its anchor, and it, occur in this very row
+                mine = np.flatnonzero(headed)
+                own_row, own_context, own_key = seg_row[mine], context[mine], key[mine]
+                _, at, own_n = np.unique(np.rec.fromarrays([own_row, own_key]), return_inverse=True, return_counts=True)
+                _, at2, context_n = np.unique(np.rec.fromarrays([own_row, own_context]), return_inverse=True, return_counts=True)
+                known = c >= 0
+                base = np.bincount(owner[known], np.log10(c[known] + 0.1) - floor, rows) + end_score
+                # words outside the head, distinct within a row
+                order = np.lexsort((words.hashes[tail], owner[tail]))
+                h, o = words.hashes[tail][order], owner[tail][order]
+                first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (o[1:] != o[:-1]))) if len(h) else np.empty(0, np.int64)
                 part = batch.slice(words.first_row, rows)
-                bits = -score * math.log2(10) / np.maximum(sizes[words.first_row : words.first_row + rows], 1)
+                n_bytes = np.diff(np.frombuffer(texts.buffers()[1], np.int64)[texts.offset + words.first_row : texts.offset + words.first_row + rows + 1])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), *(pa.array(x) for x in (np.diff(words.bounds).astype(np.int64) + 1, known.astype(np.int64), base, score, bits))],
-                    names=["doc_id", "th", "n_tokens", "head_known", "head_base", "score", "bits_per_byte"],
+                    [
+                        *(part.column(i) for i in range(3)), pa.array(n_bytes), pa.array(np.diff(words.bounds).astype(np.int64) + 1),
+                        pa.array(np.bincount(owner[known], minlength=rows).astype(np.int64) + end_known), pa.array(base), pa.array(score),
+                        lists(h[first].view(np.int64), o[first], rows, pa.int64()), lists(np.diff(np.append(first, len(h))), o[first], rows, pa.int32()),
+                        lists(own_context.view(np.int64), own_row, rows, pa.int64()), lists(own_key.view(np.int64), own_row, rows, pa.int64()),
+                        lists(context_n[at2] if len(mine) else [], own_row, rows, pa.int32()), lists(own_n[at] if len(mine) else [], own_row, rows, pa.int32()),
+                        lists(mixed[mine], own_row, rows, pa.float64()),
+                    ],
+                    names=["doc_id", "th", "trained", "n_bytes", "n_tokens", "head_known", "head_base", "mixed", "words", "word_n", "contexts", "keys", "context_n", "key_n", "segment"],
                 )
 
-    def tail(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Words outside the dictionary, distinct within a row; h is null once for each row, to tell repeated rows."""
-        own = held.value.dictionary
-        for batch in batches:
-            for words in batch_words(text_bytes(batch.column(2)), lower=True)[1]:
-                rest = np.flatnonzero(own.look_up(words.hashes)[1] < 0)
-                owner = np.searchsorted(words.bounds, rest, "right") - 1
-                order = np.lexsort((words.hashes[rest], owner))
-                h, o = words.hashes[rest][order], owner[order]
-                first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (o[1:] != o[:-1]))) if len(h) else np.empty(0, np.int64)
-                n = np.diff(np.append(first, len(h)))
-                rows = np.unique(o)
-                take = pa.array(np.concatenate([o[first], rows]) + words.first_row)
-                hashes = pa.array(np.concatenate([h[first].view(np.int64), np.zeros(len(rows), np.int64)]), mask=np.concatenate([np.zeros(len(first), bool), np.ones(len(rows), bool)]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), hashes, pa.array(np.concatenate([n, np.ones(len(rows), np.int64)]).astype(np.int32))], names=["doc_id", "th", "h", "n"])
-
-    main = docs.mapInArrow(run, f"doc_id {kind}, th bigint, n_tokens bigint, head_known bigint, head_base double, score double, bits_per_byte double")
-    rest = docs.mapInArrow(tail, f"doc_id {kind}, th bigint, h bigint, n int")
-    rare = rest.where("h is not null").join(counts, "h", "left").select("doc_id", "th", "n", F.coalesce("c", F.lit(0)).alias("c"), F.lit(0).alias("rows"))
-    marks = rest.where("h is null").select("doc_id", "th", F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("c"), F.col("n").alias("rows"))
+    shape = f"doc_id {kind}, th bigint, trained boolean, n_bytes bigint, n_tokens bigint, head_known bigint, head_base double, mixed double, words array<bigint>, word_n array<int>, contexts array<bigint>, keys array<bigint>, context_n array<int>, key_n array<int>, segment array<double>"
+    main = table(docs.mapInArrow(run, shape))
+    row = ["doc_id", "th"]
+    # rows that repeat id and text have equal parts: one of them stands for all
+    rare = main.select(*row, F.explode(F.arrays_zip("words", "word_n")).alias("x")).select(*row, F.col("x.words").alias("h"), F.col("x.word_n").alias("n"))
+    found = rare.join(apart(counts.select("h", "c"), "h"), "h", "left").select(*row, "n", F.coalesce("c", F.lit(0)).alias("c"))
+    copies = F.count(F.lit(1)).alias("m")
     value = F.col("n") * (F.log10(F.col("c") + 0.1) - floor)
-    summed = rare.unionByName(marks).groupBy("doc_id", "th").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"), F.sum(value).alias("base"), F.sum("rows").alias("rows")
-    )
-    s = summed.select(F.col("doc_id").alias("s_id"), F.col("th").alias("s_th"), (F.col("known") / F.col("rows")).cast("bigint").alias("known"), (F.col("base") / F.col("rows")).alias("base"))
-    out = main.join(s, main["doc_id"].eqNullSafe(s["s_id"]) & (main["th"] == s["s_th"]), "left")
-    return out.select(
-        "doc_id", "n_tokens", (F.col("head_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(total).cast("bigint").alias("train_tokens"),
-        (F.col("head_base") + F.coalesce("base", F.lit(0.0))).alias("base_score"), "score", "bits_per_byte",
+    words = found.groupBy(*row).agg(F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"), F.sum(value).alias("base"))
+    zipped = F.arrays_zip("contexts", "keys", "context_n", "key_n", "segment")
+    places = main.select(*row, "trained", F.posexplode(zipped).alias("i", "x")).select(*row, "trained", "i", "x.*")
+    by_key = places.where("trained").groupBy("keys").agg(F.min("contexts").alias("contexts"), F.count("*").alias("c"))
+    by_context = by_key.groupBy("contexts").agg(F.sum("c").alias("of")).where("of > 1")
+    seen = places.join(apart(by_context, "contexts"), "contexts").join(apart(by_key.select("keys", "c"), "keys"), "keys", "left")
+    out_own = lambda n, own: F.coalesce(F.col(n), F.lit(0)) - F.when(F.col("trained"), F.col(own)).otherwise(0)
+    rest = seen.select(*row, "trained", "i", "segment", out_own("c", "key_n").alias("c"), out_own("of", "context_n").alias("of")).where("of > 0").dropDuplicates([*row, "i"])
+    w = Window.partitionBy(*row).orderBy("i")
+    before = F.coalesce((F.lag("i").over(w) == F.col("i") - 1) & (F.lag("c").over(w) > 0), F.lit(False))
+    gated = table(rest.withColumn("gate", F.when(F.col("of") > 3, 2).when(F.col("of") > 1, 1).otherwise(0) * 2 + before.cast("int")))
+    odds = {r["gate"]: (r["hits"] + 0.5) / (r["n"] + 2) for r in gated.where("trained").groupBy("gate").agg(F.count("*").alias("n"), F.sum((F.col("c") > 0).cast("int")).alias("hits")).collect()}
+    share = F.element_at(F.create_map(*[F.lit(x) for g in range(6) for x in (g, odds.get(g, 0.2))]), F.col("gate"))
+    other = F.log10(1 - share)
+    copied = F.log10(share) + F.log10(F.col("c") / F.col("of")) - F.col("segment")
+    gain = F.when(F.col("c") > 0, F.greatest(other, copied) + F.log10(1 + F.pow(F.lit(10.0), -F.abs(other - copied)))).otherwise(other)
+    gains = gated.select(*row, gain.alias("gain")).groupBy(*row).agg(F.sum("gain").alias("gain"))
+    same = main.groupBy(*row).agg(copies)
+    a, b, s = (x.select(F.col("doc_id").alias(f"{p}_id"), F.col("th").alias(f"{p}_th"), *[c for c in x.columns if c not in row]) for p, x in (("a", words), ("b", gains), ("m", same)))
+    on = lambda p: main["doc_id"].eqNullSafe(F.col(f"{p}_id")) & (main["th"] == F.col(f"{p}_th"))
+    joined = main.join(a, on("a"), "left").join(b, on("b"), "left").join(s, on("m"), "left")
+    score = F.col("mixed") + F.coalesce("gain", F.lit(0.0))
+    return joined.select(
+        "doc_id", "n_tokens", (F.col("head_known") + F.coalesce(F.col("known") / F.col("m"), F.lit(0)).cast("bigint")).alias("n_known"), F.lit(total).cast("bigint").alias("train_tokens"),
+        (F.col("head_base") + F.coalesce(F.col("base") / F.col("m"), F.lit(0.0))).alias("base_score"), score.alias("score"),
+        (-score * math.log2(10) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
     )

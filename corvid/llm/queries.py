@@ -67,8 +67,9 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     fold = bucket("doc_id", 10)
-    model, counts = mixing.fit(docs.where(F.coalesce(fold != 0, F.lit(False))), F.lit(True))
-    found = mixing.scored(docs, model, counts)
+    trained = F.coalesce(fold != 0, F.lit(False))
+    model, counts = mixing.fit(docs.where(trained))
+    found = mixing.scored(docs, model, counts, trained)
     return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 
 

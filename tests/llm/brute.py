@@ -96,3 +96,52 @@ def base_pii(text):  # noqa: ANN001, ANN201
     )):
         out += [(m.start(), k, f"{name}:{m.start()}:{m.end()}") for m in pattern.finditer(text) if ok(m.group())]
     return [x[2] for x in sorted(out)]
+
+
+def mixed(model, symbols):  # noqa: ANN001, ANN201
+    """log10 probability of a text's symbols, bit by bit, with one bit's arithmetic at a time."""
+    from corvid.llm import mixing as m
+
+    mask, limit, size = (1 << 32) - 1, m.LIMIT, m.BUCKETS
+    tree, odds, shift = model.head.tree, model.odds[0], model.bits[0]
+    weights = [[float(x) for x in w] for w in model.weights[0]]
+    tables = [[float(x) for x in t] for t in model.tables[0]]
+
+    def slot(context, node):  # noqa: ANN001, ANN202
+        h = ((context ^ (node * 0x9E3779B1 & mask)) * 0x85EBCA6B) & mask
+        h ^= h >> 15
+        return (h * 0xC2B2AE35 & mask) >> (32 - shift)
+
+    total = 0.0
+    for low in range(0, len(symbols), m.BLOCK):
+        slope, bend, moved = {}, {}, {}
+        for t in range(low, min(low + m.BLOCK, len(symbols))):
+            before = symbols[t - 1] + 1 if t > 0 else 0
+            before2 = symbols[t - 2] + 1 if t > 1 else 0
+            one = (before + 1) * 0x27D4EB2F & mask
+            two = (((one ^ (before2 * 0x165667B1 & mask)) * 0x9E3779B1) & mask) ^ 0x5BD1E995
+            begin = int(tree.begin[symbols[t]])
+            for i in range(int(tree.length[symbols[t]])):
+                node, bit, depth = int(tree.path[begin + i]), int(tree.bits[begin + i]), min(i, m.DEPTHS - 1)
+                found = [odds[slot(one, node)], odds[slot(two, node) + (1 << shift)]]
+                sure = [int(f.view("int32")) & 3 for f in found]
+                x = [float(tree.odds[node]), *map(float, found)]
+                gate = (depth * 4 + sure[0]) * 4 + sure[1]
+                z = min(max(sum(w * v for w, v in zip(weights[gate], x, strict=True)), -limit), limit)
+                p = 1 / (1 + math.exp(-z))
+                at = (z + limit) * (size - 1) / (2 * limit)
+                bucket = min(int(at), size - 2)
+                share = at - bucket
+                better = tables[depth][bucket] * (1 - share) + tables[depth][bucket + 1] * share
+                q = min(max((p + better) / 2, 1e-6), 1 - 1e-6)
+                total += math.log10(q if bit else 1 - q)
+                for k in range(3):
+                    slope[gate, k] = slope.get((gate, k), 0.0) + (bit - p) * x[k]
+                    bend[gate, k] = bend.get((gate, k), 0.0) + x[k] ** 2
+                n, ones = moved.get((depth, bucket + (share > 0.5)), (0, 0))
+                moved[depth, bucket + (share > 0.5)] = (n + 1, ones + bit)
+        for (g, k), v in slope.items():
+            weights[g][k] += m.RATE * v / (bend[g, k] / 4 + m.INERTIA)
+        for (d, b), (n, ones) in moved.items():
+            tables[d][b] += m.TABLE_RATE * (ones - n * tables[d][b]) / (1 + m.TABLE_RATE * n)
+    return total

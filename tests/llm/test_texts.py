@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import zlib
 
@@ -186,65 +187,100 @@ def test_url_rules(spark, monkeypatch, inline) -> None:  # noqa: ANN001
         assert r["verdict"] == (best[0] if best else "block" if host.startswith("spam-") else "allow")
 
 
+def is_training():  # noqa: ANN201
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 != 0, F.lit(False))
+
+
 def test_scores(spark) -> None:  # noqa: ANN001
     rows = [(i, words_of(random.Random(i).randint(0, 200), i % 150)) for i in range(200)] + [(900, None), (901, ""), (902, "  \n")]
-    fold = F.crc32(F.col("doc_id").cast("string")) % 10
-    docs = spark.createDataFrame([*rows, rows[5]], "doc_id bigint, text string").repartition(3)
-    model, counts = mixing.fit(docs.where(fold != 0), fold == 1)
-    found = mixing.scored(docs, model, counts).collect()
+    docs = spark.createDataFrame([(*x, "m") for x in [*rows, rows[5]]], "doc_id bigint, text string, m_id string").repartition(3)
+    model, counts = mixing.fit(docs.where(is_training()))
+    found = mixing.scored(docs, model, counts, is_training()).collect()
     assert len(found) == len(rows) + 1
     total, want = brute.base_scores([*rows, rows[5]])
     for r in found:
         n, known, base = want[r["doc_id"]]
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (n, known, total)
         assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] < 0
-    held = [r for r in found if zlib.crc32(str(r["doc_id"]).encode()) % 10 == 0]
-    # the base score is no distribution over spellings, so on few texts it isn't a bound; text like the training text must cost less than noise
     r = random.Random(1)
     noise = spark.createDataFrame([(i, "".join(r.choice("qzxjkvw ") for _ in range(400))) for i in range(5)], "doc_id bigint, text string")
     bits = lambda rows: sum(x["bits_per_byte"] for x in rows) / len(rows)
-    assert bits([x for x in held if x["n_tokens"] > 20]) < 0.7 * bits(mixing.scored(noise, model, counts).collect())
+    held = [r for r in found if zlib.crc32(str(r["doc_id"]).encode()) % 10 == 0]
+    assert bits([x for x in held if x["n_tokens"] > 20]) < 0.7 * bits(mixing.scored(noise, model, counts, F.lit(False)).collect())
+    # the same corpus in other partitions gives the same scores
+    other = docs.repartition(7, "doc_id")
+    again = mixing.scored(other, *mixing.fit(other.where(is_training())), is_training()).collect()
+    key = lambda r: (r["doc_id"], r["score"])
+    for x, y in zip(sorted(found, key=key), sorted(again, key=key), strict=True):
+        assert x["doc_id"] == y["doc_id"] and x["score"] == pytest.approx(y["score"], rel=1e-6)
     nothing = docs.limit(0)
-    model, counts = mixing.fit(nothing, F.lit(True))
-    assert all(r["n_known"] == 0 for r in mixing.scored(docs, model, counts).collect())
+    model, counts = mixing.fit(nothing)
+    assert all(r["n_known"] == 0 for r in mixing.scored(docs, model, counts, F.lit(False)).collect())
+    assert mixing.scored(nothing, model, counts, F.lit(False)).collect() == []
+
+
+def test_score_beats_the_base_on_held_out_text(spark) -> None:  # noqa: ANN001
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    held = queries.op9_lm_score(spark, folder).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert held[0] > held[1]
+
+
+def test_copies_score_apart(spark) -> None:  # noqa: ANN001
+    """Text that another training text holds costs far less than text that is in its own alone."""
+    rows = [(i, words_of(120, i)) for i in range(60)]
+    rows += [(100 + i, rows[i][1]) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model, counts = mixing.fit(docs)
+    bits = {r["doc_id"]: r["bits_per_byte"] for r in mixing.scored(docs, model, counts, F.lit(True)).collect()}
+    assert max(bits[i] for i in range(30)) < min(bits[i] for i in range(30, 60))
 
 
 def test_weights_learn_from_all_training_rows(spark, tmp_path, monkeypatch) -> None:  # noqa: ANN001
-    """The query's weights come from every training row, also where the fold of remainder 1 is empty."""
+    """The query's weights come from every training row, also where one fold is empty."""
     ids = [i for i in range(80) if zlib.crc32(str(i).encode()) % 10 != 1]
     spark.createDataFrame([(i, words_of(60, i)) for i in ids] + [(None, "x y")], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    seen, weights, fit_weights = [], [], mixing.fit_weights
+    seen, fit_cells = [], mixing.fit_cells
 
     def watched(rows, *more):  # noqa: ANN001, ANN202
         seen.append(rows.count())
-        weights.append(fit_weights(rows, *more))
-        return weights[-1]
+        return fit_cells(rows, *more)
 
-    monkeypatch.setattr(mixing, "fit_weights", watched)
+    monkeypatch.setattr(mixing, "fit_cells", watched)
     assert queries.op9_lm_score(spark, str(tmp_path)).count() == len(ids) + 1
-    assert seen == [sum(zlib.crc32(str(i).encode()) % 10 != 0 for i in ids)]
-    assert not all((a == b).all() for a, b in zip(weights[0], mixing.start_weights(), strict=True))
-
-
-def test_weights_of_large_counts(spark) -> None:  # noqa: ANN001
-    """Counts over 2^31 give the weights that smaller counts of the same odds give."""
-    rows = spark.createDataFrame([(words_of(200, i),) for i in range(4)], "text string").repartition(1)
-    dictionary = mixing.fit_dictionary(rows)[0]
-    small, large = (mixing.fit_weights(rows, dictionary, np.tile(np.array([n, 3 * n], np.int64), (mixing.SLOTS, 1))) for n in (10**8, 3 * 10**9))
-    for a, b in zip(small, large, strict=True):
-        np.testing.assert_allclose(a, b, rtol=1e-3, atol=1e-3)
-
-
-def test_decisions_tell_texts_apart() -> None:
-    """The decisions are a code: their bits and nodes give the symbols back."""
-    symbols = np.array([3, 1, 32767, 2, 5, 1], np.int32)
-    d = mixing.token_decisions(np.array([0, 0, 1, 1, 1, 1]), symbols, np.array([0, 1, 0, 1, 2, 3]))
-    at, out = 0, []
-    while at < len(d.bit):
-        k = int("".join(map(str, d.bit[at : at + 4])), 2)
-        out.append(int("1" + "".join(map(str, d.bit[at + 4 : at + 4 + k])), 2))
-        at += 4 + k
-    assert out == symbols.tolist()
+    assert seen[0] == sum(zlib.crc32(str(i).encode()) % 10 != 0 for i in ids)
+
+
+def test_steps_of_large_counts() -> None:
+    """Counts over 2^31 give the steps that smaller counts of the same odds give."""
+    small, large = (mixing._codes(np.array([n], np.int64), np.array([3 * n], np.int64)) for n in (10**8, 3 * 10**9))
+    assert (small == large).all()
+
+
+def test_codes_tell_symbols_apart() -> None:
+    tree = mixing.Tree([5, 1, 1, 9, 30, 2])
+    codes = ["".join(map(str, tree.bits[b : b + n])) for b, n in zip(tree.begin, tree.length, strict=True)]
+    assert not any(a != b and b.startswith(a) for a in codes for b in codes) and sum(2.0 ** -len(c) for c in codes) == 1
+    assert tree.zeros.sum() + tree.ones.sum() == sum(len(c) * w for c, w in zip(codes, [5, 1, 1, 9, 30, 2], strict=True))
+
+
+def test_mixer_equals_a_scalar_one(spark, monkeypatch) -> None:  # noqa: ANN001
+    import pyarrow as pa
+
+    monkeypatch.setattr(mixing, "BLOCK", 16)
+    docs = spark.createDataFrame([(words_of(150, i % 25),) for i in range(40)], "text string")
+    model, _ = mixing.fit(docs)
+    texts = [words_of(200, 3), None, words_of(37, 400), "a", words_of(90, 8)]
+    _, groups = batch_words(text_bytes(pa.array(texts)), True)
+    for words in groups:
+        row, symbol, place = mixing._tokens(words, model.head.look_up(words.hashes)[0])
+        got = np.bincount(row, mixing.Mixer(model, len(words)).score(symbol, row, place, 0, len(row)), len(words))
+        parts = mixing.Mixer(model, len(words))
+        chunked = np.concatenate([parts.score(symbol[row == 0], row[row == 0], place[row == 0], low, min(low + 32, int((row == 0).sum()))) for low in range(0, int((row == 0).sum()), 32)])
+        assert chunked.sum() == pytest.approx(got[0], rel=1e-6)
+        for i in range(len(words)):
+            assert got[i] == pytest.approx(brute.mixed(model, symbol[row == i].tolist()), rel=1e-5)
 
 
 def test_word_hashes_are_cut_anywhere() -> None:
