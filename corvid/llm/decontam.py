@@ -9,7 +9,8 @@ verified, by counting the item's own shingles (as strings) in the whole document
 
 Words are runs of ASCII letters and digits and of all other characters above U+007F; A-Z are lower-cased.
 An item with fewer than k words has no shingle and matches nothing; null and empty texts match nothing. Rows that repeat an
-id are one document that has the shingles of each of them; a null id is never reported.
+id are one document that has the shingles of each of them; a null id is never reported. A very long text is one row of
+words and hashes in one task.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 
 #: Sketch entries up to which the index is broadcast (about 24 bytes each); beyond, it is joined by shuffle.
 BROADCAST_ENTRIES = 2_000_000
+#: Characters of all items' shingles up to which these are broadcast for the exact check.
+BROADCAST_CHARACTERS = 64_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What separates words: ASCII other than letters and digits.
 _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -72,14 +75,17 @@ def contained(documents: DataFrame, benchmark: DataFrame, k: int = 5, threshold:
     items, hashes = items_of(benchmark, k, item_id, item_text)
     sketch = sketches(hashes, threshold).select("h", "item")
     small = sketch.limit(BROADCAST_ENTRIES + 1).count() <= BROADCAST_ENTRIES
-    hint = F.broadcast if small else (lambda x: x)
+    characters = items.agg(F.coalesce(F.sum(F.length(F.array_join("shingles", ""))), F.lit(0)).alias("n")).first()["n"]
+    plain = lambda x: x
+    sketched, listed = F.broadcast if small else plain, F.broadcast if characters <= BROADCAST_CHARACTERS else plain
 
     # explode_outer: explode would have Catalyst push size(hashes) > 0, with all of its words, below the columns it is made from
     streamed = _hashed(docs, k).select("id", F.explode_outer("hashes").alias("h"))
-    found = streamed.join(hint(sketch), "h").select("id", "item").distinct()
+    found = streamed.join(sketched(sketch), "h").groupBy("id").agg(F.collect_set("item").alias("candidates"))
 
-    checked = docs.join(found, "id").select("id", "item", words(F.col("t")).alias("w")).select("id", "item", shingle_strings(F.col("w"), k).alias("own"))
-    verified = checked.join(hint(items), "item").select(F.col("id").alias("doc"), "item", "n", F.array_intersect("shingles", "own").alias("hit"))
+    cut = docs.join(found, "id").select("id", "candidates", words(F.col("t")).alias("w"))
+    checked = cut.select("id", "candidates", shingle_strings(F.col("w"), k).alias("own")).select("id", "own", F.explode("candidates").alias("item"))
+    verified = checked.join(listed(items), "item").select(F.col("id").alias("doc"), "item", "n", F.array_intersect("shingles", "own").alias("hit"))
     merged = verified.groupBy("doc", "item").agg(F.max("n").alias("n"), F.size(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("hits"))
     return merged.where(F.col("hits") >= F.col("n") * F.lit(threshold) - 1e-9).select(
         F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), F.col("n").cast("bigint").alias("n_item"), F.col("hits").cast("bigint").alias("n_found"), (F.col("hits") / F.col("n")).alias("containment")

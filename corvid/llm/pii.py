@@ -10,7 +10,6 @@ A null or empty text has no spans. Whole texts are scanned; every expression is
 
 from __future__ import annotations
 
-import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
@@ -115,7 +114,7 @@ def _iban(s: str) -> bool:
 ADDED: tuple[Added, ...] = (
     Added("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"), _iban, 0.9, re.compile(r"(?i)\b(?:iban|bank|account|konto|cuenta|compte)\b"), _NONE),
     Added("ssn", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"), _ssn, 0.4, re.compile(r"(?i)\b(?:ssn|social security|tax id)\b"), re.compile(r"(?i)\b(?:isbn|order|invoice|part|serial)\b")),
-    Added("secret", re.compile(r"(?<![A-Za-z0-9+/_-])([A-Za-z0-9+/_-]{32,128}={0,2})(?![A-Za-z0-9+/_=-])"), _varied, 0.2, re.compile(r"(?i)(?:token|secret|password|passwd|api[_-]?key|bearer|auth)"), re.compile(r"(?i)\b(?:sha\d*|md5|checksum|commit|digest)\b"), 1),
+    Added("secret", re.compile(r"(?<![A-Za-z0-9+/_-])([A-Za-z0-9+/_-]{32,}={0,2})(?![A-Za-z0-9+/_=-])"), _varied, 0.2, re.compile(r"(?i)(?:token|secret|password|passwd|api[_-]?key|bearer|auth)"), re.compile(r"(?i)\b(?:sha\d*|md5|checksum|commit|digest)\b"), 1),
 )
 ORDER = ("email", *(x[0] for x in BASE)) + tuple(x.kind for x in ADDED)
 _RANK = {k: i for i, k in enumerate(ORDER)}
@@ -205,7 +204,3 @@ def redacted(documents: DataFrame, text: str = "text") -> DataFrame:
         return column.map(redact, na_action="ignore")
 
     return documents.withColumn(text, mask(F.col(f"`{text}`")))
-
-
-def sha256_hex(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import os
 import random
 import zlib
@@ -130,6 +129,8 @@ def test_added_spans_and_masks(spark) -> None:  # noqa: ANN001
     assert "iban:5:32" in pii.joined(pii.find(PII[7])[1]) and pii.joined(pii.find(PII[7])[1]).count("iban") == 1
     assert pii.redact(PII[8]) == 'token = "<secret>"'
     assert "<ssn>" in pii.redact(PII[9])
+    key = "".join(random.Random(1).choice("abcdefghij0123456789") for _ in range(4000))
+    assert pii.redact(f"token = {key}.") == "token = <secret>."
     assert pii.redact("nothing here, 12 apples") == "nothing here, 12 apples"
     rows = spark.createDataFrame([(1, "to a@b.cd", "k"), (None, None, None)], "doc_id bigint, text string, spans string")
     masked = pii.redacted(rows)
@@ -346,7 +347,3 @@ def test_audio_links_noisy_copies(spark) -> None:  # noqa: ANN001
                 want[q, m] = (offset, pytest.approx(least))
     found = {(x["query_class"], x["match_class"]): (x["offset"], x["bit_error"]) for x in chroma.search(rows, F.col("id") < 12)[1].collect()}
     assert len(want) == 13 and found == want
-
-
-def test_sha() -> None:
-    assert pii.sha256_hex("é") == hashlib.sha256("é".encode()).hexdigest()
