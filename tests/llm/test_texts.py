@@ -129,7 +129,8 @@ def test_added_spans_and_masks(spark) -> None:  # noqa: ANN001
     assert "iban:5:32" in pii.joined(pii.find(PII[7])[1]) and pii.joined(pii.find(PII[7])[1]).count("iban") == 1
     assert pii.redact(PII[8]) == 'token = "<secret>"'
     assert "<ssn>" in pii.redact(PII[9])
-    key = "".join(random.Random(1).choice("abcdefghij0123456789") for _ in range(4000))
+    r = random.Random(1)
+    key = "".join(r.choice("abcdefghij0123456789") for _ in range(4000))
     assert pii.redact(f"token = {key}.") == "token = <secret>."
     assert pii.redact("nothing here, 12 apples") == "nothing here, 12 apples"
     rows = spark.createDataFrame([(1, "to a@b.cd", "k"), (None, None, None)], "doc_id bigint, text string, spans string")
