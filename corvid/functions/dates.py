@@ -38,7 +38,7 @@ def normalize_listed(x: Column | str) -> Column:
     """normalize_date for ISO dates and times, YYYYMMDD and long English dates, inside the JVM; others are UNPARSED."""
     raw = F.coalesce(_c(x), F.lit(""))
     flat = collapse(raw)
-    iso = F.when(flat.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ].*)?$"), F.left(flat, F.lit(10)).try_cast("date"))
+    iso = F.when(flat.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"), F.left(flat, F.lit(10)).try_cast("date"))
     packed = F.when(flat.rlike("^[0-9]{8}$"), F.try_to_date(flat, "yyyyMMdd"))
     named = F.when(flat.rlike(rf"^({_MONTHS}) [0-9]{{1,2}}, [0-9]{{4}}$"), F.try_to_date(flat, "MMMM d, yyyy"))
     return F.coalesce(F.date_format(F.coalesce(iso, packed, named), "yyyy-MM-dd"), F.concat(F.lit(UNPARSED), raw))
@@ -57,13 +57,15 @@ def parse_any(raw: str | None, default: datetime = DEFAULT) -> str:
 
 
 def normalize_date(x: Column | str, default: datetime = DEFAULT) -> Column:
-    """Any date the general parser understands."""
+    """Any date the general parser understands. Common forms are read in the JVM; the parser gets the rest, nulls for what is done."""
 
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: parse_any(v, default))
+        return s.map(lambda v: parse_any(v, default), na_action="ignore")
 
-    return run(_c(x))
+    listed = normalize_listed(x)
+    left = listed.startswith(UNPARSED)
+    return F.coalesce(run(F.when(left, F.coalesce(_c(x), F.lit("")))), listed)
 
 
 def date_of(*candidates: Column | str) -> Column:

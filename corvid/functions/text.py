@@ -114,9 +114,9 @@ def slug_label(x: Column | str) -> Column:
     return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 30))), "")
 
 
-def distinct_names(names: Column | str) -> Column:
-    """Names (array) without a leading "By", empties dropped, the first of each spelling regardless of case, in order."""
-    plain = F.filter(F.transform(_c(names), strip_by), lambda n: n != "")
+def distinct_names(names: Column | str, by: bool = True) -> Column:
+    """Names (array; without a leading "By" if `by`), empties dropped, the first of each spelling regardless of case, in order."""
+    plain = F.filter(F.transform(_c(names), strip_by) if by else _c(names), lambda n: n != "")
     kept = F.aggregate(plain, F.array().cast("array<string>"), lambda acc, n: F.when(F.exists(acc, lambda a: F.lower(a) == F.lower(n)), acc).otherwise(F.concat(acc, F.array(n))))
     return kept
 
@@ -143,7 +143,7 @@ def is_person(name: Column | str) -> Column:
 def byline_people(names: Column | str, raw: Column | str) -> Column:
     """People among the anchors; without any, the raw byline's part before the first comma."""
     people = F.filter(_c(names), is_person)
-    return first_nonempty(join_authors(people), drop_role(strip_by(raw)))
+    return first_nonempty(F.array_join(distinct_names(people, by=False), ", "), drop_role(strip_by(raw)))
 
 
 def byline_in_text(x: Column | str) -> Column:

@@ -23,7 +23,7 @@ def lastmod_candidates(sitemap: DataFrame, host: str, first_year: int, last_year
     return kept.where(F.col("year").between(first_year, last_year))
 
 
-def buckets(candidates: DataFrame) -> DataFrame:
+def year_buckets(candidates: DataFrame) -> DataFrame:
     """year, urls: distinct, sorted."""
     return candidates.groupBy("year").agg(F.array_sort(F.collect_set("url")).alias("urls"))
 
@@ -48,6 +48,21 @@ def listing_articles(anchors: DataFrame, base: str, year: int | None = None) ->
     return first_with_title(links)
 
 
+def page_articles(anchors: DataFrame, base: str) -> DataFrame:
+    """page, pos, url, title, year: the dated articles of each listing page; within a page the first anchor of a URL wins, its title filled
+    from the next that has any."""
+    links = anchors.where(F.col("href").startswith("/article/")).withColumn("url", F.concat(F.lit(base), "href")).withColumn("year", urls.year_in_slug("url")).where("year is not null")
+    title = title_or_aria("text", "aria_label")
+    named = F.coalesce(F.min_by(title, F.when(title != "", F.col("pos"))), F.lit("")).alias("title")
+    return links.groupBy("page", "url", "year").agg(F.min("pos").alias("pos"), named).select("page", "pos", "url", "title", "year")
+
+
+def year_records(listing: DataFrame, pages: DataFrame) -> DataFrame:
+    """year, url, title of each year's articles on its pages (year, page); of a URL on several pages the last page wins."""
+    on = listing.join(pages, ["year", "page"])
+    return on.groupBy("year", "url").agg(F.max_by("title", "page").alias("title"))
+
+
 def first_with_title(links: DataFrame) -> DataFrame:
     at = F.struct("page", "pos")
     title = title_or_aria("text", "aria_label")
@@ -71,24 +86,54 @@ def estimated_page(year, year_end: int, per_year: int):  # noqa: ANN001, ANN201
 def year_pages(listing: DataFrame, years: DataFrame, year_end: int, per_year: int, window: int, max_page: int) -> DataFrame:
     """year, page: the listing pages to read for each year.
 
-    The window around the estimate; where no article of the year is on it, the window around the lowest page whose oldest
-    article is not newer than the year (the estimate where there is none), within 1..max_page.
-    listing: page, url, year; years: year.
+    The window around the estimate; where no article of the year is on it, the window around the page that a binary search over
+    1..max_page for the lowest page whose oldest article is not newer than the year ends at; a page without dated articles
+    stops the search at what it has (at first the estimate). listing: page, year; years: year.
     """
     guess = years.select("year", estimated_page(F.col("year"), year_end, per_year).alias("centre"))
     around = guess.select("year", "centre", F.explode(F.sequence(F.greatest(F.lit(1), F.col("centre") - window), F.col("centre") + window)).alias("page"))
     on_window = around.join(listing.select("page", "year").distinct(), ["page", "year"]).select("year").distinct()
     spans = page_years(listing)
     missing = guess.join(on_window, "year", "left_anti")
-    bounds = missing.join(spans, F.col("min_year") <= F.col("year"), "left").groupBy("year", "centre").agg(F.min(F.when(F.col("page") <= max_page, F.col("page"))).alias("low"))
-    sought = bounds.select("year", F.coalesce("low", "centre").alias("centre"))
-    moved = sought.select("year", F.explode(F.sequence(F.greatest(F.lit(1), F.col("centre") - window), F.greatest(F.lit(1), F.least(F.lit(max_page), F.col("centre") + window)))).alias("page"))
+    sought = _searched(missing, spans, max_page)
+    low, high = F.greatest(F.lit(1), F.col("centre") - window), F.least(F.lit(max_page), F.col("centre") + window)
+    moved = sought.select("year", F.explode(F.when(low <= high, F.sequence(low, high))).alias("page"))
     return around.join(on_window, "year", "left_semi").select("year", "page").unionByName(moved)
 
 
+def _searched(years: DataFrame, spans: DataFrame, max_page: int) -> DataFrame:
+    """year, centre: where the binary search of each year (year, centre) ends. The spans searched are at most max_page rows."""
+    held = spans.where(F.col("page").between(1, max_page)).agg(F.map_from_entries(F.collect_list(F.struct(F.col("page").cast("int"), "min_year"))).alias("lows"))
+    both = years.withColumn("one", F.lit(1)).join(F.broadcast(held.withColumn("one", F.lit(1))), "one")
+    start = F.struct(F.lit(1).alias("lo"), F.lit(max_page).alias("hi"), F.col("centre").cast("int").alias("at"))
+
+    def step(s, _):  # noqa: ANN001, ANN202
+        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        low = F.try_element_at("lows", middle)
+        stopped = F.struct(F.lit(1).alias("lo"), F.lit(0).alias("hi"), s["at"].alias("at"))
+        newer = F.struct((middle + 1).alias("lo"), s["hi"].alias("hi"), s["at"].alias("at"))
+        found = F.struct(s["lo"].alias("lo"), (middle - 1).alias("hi"), middle.alias("at"))
+        return F.when(s["lo"] > s["hi"], s).when(low.isNull(), stopped).when(low > F.col("year"), newer).otherwise(found)
+
+    steps = F.sequence(F.lit(1), F.lit(max_page.bit_length() + 1))
+    return both.select("year", F.aggregate(steps, start, step)["at"].alias("centre"))
+
+
+def section_links(anchors: DataFrame, base: str) -> DataFrame:
+    """page, pos, url, text, section of the anchors of section pages (page, section, pos, href, text) that lead to articles."""
+    return anchors.withColumn("url", urls.resolved(F.lit(f"{base}/"), "href")).where(urls.slug_article("url")).select("page", "pos", "url", "text", "section")
+
+
+def section_articles(links: DataFrame, max_articles: int) -> DataFrame:
+    """page, pos, url, title, section: the first link of each article, in order of section pages; the first max_articles."""
+    first = links.groupBy("url").agg(F.min(F.struct("page", "pos", F.col("text").alias("title"), "section")).alias("x")).select("url", "x.*")
+    return first_rows(first, ["page", "pos"], max_articles)
+
+
 def section_labels(anchors: DataFrame) -> DataFrame:
-    """url -> the label of the first section page that links it. anchors: pos, url, section."""
-    return anchors.where(urls.slug_article("url")).groupBy("url").agg(F.min_by("section", "pos").alias("section"), F.min("pos").alias("pos"))
+    """url -> the label of the first section page that links it. anchors: page, pos, url, section."""
+    at = F.struct("page", "pos")
+    return anchors.where(urls.slug_article("url")).groupBy("url").agg(F.min_by("section", at).alias("section"), F.min(at).alias("pos"))
 
 
 def sitemap_with_sections(sitemap: DataFrame, anchors: DataFrame, max_articles: int) -> DataFrame:

@@ -161,6 +161,46 @@ def body_text(body: Node) -> str:
     return clean(" ".join(p.raw() for p in body.all("p")))
 
 
+def _pages_anchors(html: str | None) -> list[tuple[int, str, str, str, bool]]:
+    page = Page(html)
+    listed = [n for n in page.nodes if n.tag == "a" and "href" in n.attrs]
+    steps = page.first(lambda n: n.tag == "ol" and n.has_class("index-pagination"))
+    onward = next((n for n in listed if steps and steps.enter < n.enter <= steps.exit and "next" in n.raw().strip().lower()), None)
+    return [(i, n.attrs["href"], n.cleaned(), clean(n.attrs.get("aria-label", "")), n is onward) for i, n in enumerate(listed)]
+
+
+def anchors(pages: DataFrame, html: str = "html") -> DataFrame:
+    """The other columns of pages with pos, href, text, aria_label and is_next of each anchor: is_next marks the first anchor of the page's
+    ol.index-pagination whose text holds "next"."""
+    rest = [c for c in pages.columns if c != html]
+
+    @F.pandas_udf("array<struct<pos:int,href:string,text:string,aria_label:string,is_next:boolean>>")
+    def found(column: pd.Series) -> pd.Series:
+        return column.map(lambda x: [dict(zip(("pos", "href", "text", "aria_label", "is_next"), a, strict=True)) for a in _pages_anchors(x)])
+
+    return pages.select(*rest, F.explode(found(html)).alias("a")).select(*rest, "a.*")
+
+
+def followed(pages: DataFrame, start: str, most: int) -> DataFrame:
+    """page (1, 2, ...), url, html: the listing at `start` and those its next-page links lead to, at most `most`. pages: url, html."""
+    from ..functions.urls import resolved
+
+    links = anchors(pages).where("is_next").select("url", resolved("url", "href").alias("onward"))
+    at, out = pages.where(F.col("url") == start).select(F.lit(1).alias("page"), "url", "html"), None
+    for number in range(1, max(most, 1) + 1):
+        out = at if out is None else out.unionByName(at)
+        if number < most:
+            onward = at.join(links, "url").select(F.lit(number + 1).alias("page"), F.col("onward").alias("url"))
+            at = onward.join(pages, "url").select("page", "url", "html")
+    return out
+
+
+def labelled(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """page_id, section: the first label (slug, name, i) that one of the page's links (page_id, href, text) names and leads to."""
+    hit = links.join(F.broadcast(labels), (F.lower("text") == F.lower("name")) & F.col("href").contains(F.concat(F.lit("/"), "slug")))
+    return hit.groupBy("page_id").agg(F.min_by("name", "i").alias("section"))
+
+
 NODE_SCHEMA = "page_id bigint, node_id int, parent_id int, enter int, exit int, depth int, tag string, attrs map<string,string>, own_text string"
 
 

@@ -30,7 +30,8 @@ def even_spread(df: DataFrame, by: list[str], order: list[Column | str], n: int
 
 
 def until_quota(df: DataFrame, by: list[str], order: list[Column | str], quota: int, cap: int | None = None, done: DataFrame | None = None, cap_order: list[Column | str] | None = None) -> DataFrame:
-    """Successes in order until each group has `quota` (those in `done`, with a count column, included), and `cap` in all.
+    """Successes in order until each group has `quota` (those in `done`, with a count column, included), and `cap` in all. Rows without a
+    group (a null in `by`) have no quota.
 
     df holds the rows that succeeded and aren't skipped; equal to fetching one by one and stopping at the quota.
     """
@@ -39,7 +40,10 @@ def until_quota(df: DataFrame, by: list[str], order: list[Column | str], quota:
     if done is not None:
         counts = done.select(*by, F.col("count").alias("__done"))
         ranked, had = ranked.join(counts, by, "left"), F.coalesce("__done", F.lit(0))
-    out = ranked.where(F.col("__k") + had <= quota).drop("__k", "__done")
+    free = F.lit(False)
+    for c in by:
+        free = free | F.col(c).isNull()
+    out = ranked.where(free | (F.col("__k") + had <= quota)).drop("__k", "__done")
     return out if cap is None else first_rows(out, cap_order or order, cap)
 
 

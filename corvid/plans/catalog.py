@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, text, urls
 from ..operators import discovery, dom, merge, sampling
 from ..schema import conform
+from ..ship import ship
 from ..sources import files, xml
 from . import quality
 from .sites import SECTION_PAGES, SITES, extract_pages
@@ -29,7 +30,7 @@ def query(sql: str | None = None) -> Callable:
 
 
 def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
 # --- a page slice that the minimum end-to-end query uses: title, paragraphs, origin, first wins, counts
@@ -101,10 +102,10 @@ s AS (SELECT c_nationkey, c_custkey, regexp_replace(name, '(?i)^by\\s+', '') AS
 f AS (SELECT c_nationkey, lower(name) AS key, arg_min(name, c_custkey) AS name, min(c_custkey) AS pos FROM s GROUP BY ALL)
 SELECT c_nationkey, string_agg(name, ', ' ORDER BY pos) AS authors FROM f GROUP BY c_nationkey""".replace("\\\\", "\\"))
 def author_join_ci(spark: SparkSession, sf: str) -> DataFrame:
-    name = text.strip_by(F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("By "), "c_mktsegment")).otherwise(F.lower("c_mktsegment")))
+    name = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("By "), "c_mktsegment")).otherwise(F.lower("c_mktsegment"))
     named = t(spark, sf, "customer").select("c_nationkey", "c_custkey", name.alias("name"))
-    kept = named.groupBy("c_nationkey", F.lower("name")).agg(F.min(F.struct(F.col("c_custkey").alias("pos"), "name")).alias("x"))
-    return kept.groupBy("c_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["name"]), ", ").alias("authors"))
+    listed = named.groupBy("c_nationkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "name"))), lambda x: x["name"]).alias("names"))
+    return listed.select("c_nationkey", text.join_authors("names").alias("authors"))
 
 
 @query("""
@@ -129,7 +130,7 @@ def first_nonempty_merge(spark: SparkSession, sf: str) -> DataFrame:
     return t(spark, sf, "customer").select("c_custkey", text.first_nonempty(a, b).alias("value"), text.short_label(F.concat("c_name", "c_mktsegment"), 27).alias("short"))
 
 
-@query(r"SELECT doc_id, regexp_extract('Story By ' || left(text, 60) || ' and By Ann Lee Bo', '\bBy\s+([A-Z][a-z]+(?:\s+[A-Z][a-z.\x27-]+){1,3})', 1) AS author FROM documents")
+@query(r"SELECT doc_id, regexp_extract('Story By ' || text || ' and By Ann Lee Bo', '\bBy\s+([A-Z][a-z]+(?:\s+[A-Z][a-z.\x27-]+){1,3})', 1) AS author FROM documents")
 def byline_in_text(spark: SparkSession, sf: str) -> DataFrame:
     return t(spark, sf, "documents").select("doc_id", text.byline_in_text(F.concat(F.lit("Story By "), F.col("text"), F.lit(" and By Ann Lee Bo"))).alias("author"))
 
@@ -219,11 +220,11 @@ def normalize_date_formats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN 'UNPARSED:' WHEN o_orderkey % 6 = 1 THEN 'UNPARSED:' || o_orderpriority ELSE strftime(o_orderdate, '%Y-%m-%d') END AS publication_date FROM orders WHERE o_orderkey % 7 = 0""")
+SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN 'UNPARSED:' WHEN o_orderkey % 6 = 1 THEN 'UNPARSED:' || o_orderpriority ELSE strftime(o_orderdate, '%Y-%m-%d') END AS publication_date FROM orders""")
 def unparsed_tagging(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("o_orderkey") % 6
     raw = F.when(k == 0, "").when(k == 1, F.col("o_orderpriority")).when(k == 2, F.date_format("o_orderdate", "EEE, dd MMM yyyy HH:mm:ss '+0000'")).otherwise(F.date_format("o_orderdate", "d MMM yyyy"))
-    return t(spark, sf, "orders").where("o_orderkey % 7 = 0").select("o_orderkey", dates.normalize_date(raw).alias("publication_date"))
+    return t(spark, sf, "orders").select("o_orderkey", dates.normalize_date(raw).alias("publication_date"))
 
 
 @query("""
@@ -301,10 +302,9 @@ l(slug, name, i) AS (VALUES {", ".join(f"('{s}', '{n}', {i})" for i, (s, n) in e
 SELECT page_id, arg_min(name, i) AS section FROM a JOIN l ON contains(href, '/' || slug) AND lower(label) = lower(name) GROUP BY page_id""")
 def label_contains_join(spark: SparkSession, sf: str) -> DataFrame:
     href = F.get(F.array(*map(F.lit, ("/x/arts/1", "/city/", "/none", "/wknd/a"))), (F.col("page_id") % 4).cast("int"))
-    a = t(spark, sf, "pages").select("page_id", href.alias("href"), F.when(F.col("page_id") % 2 == 0, "arts").otherwise("City").alias("label"))
-    labels = spark.createDataFrame([(s, n, n.lower(), i) for i, (s, n) in enumerate(SECTION_PAGES)], "slug string, name string, low string, i int")
-    hit = a.join(F.broadcast(labels), (F.lower("label") == F.col("low")) & F.col("href").contains(F.concat(F.lit("/"), "slug")))
-    return hit.groupBy("page_id").agg(F.min_by("name", "i").alias("section"))
+    a = t(spark, sf, "pages").select("page_id", href.alias("href"), F.when(F.col("page_id") % 2 == 0, "arts").otherwise("City").alias("text"))
+    labels = spark.createDataFrame([(s, n, i) for i, (s, n) in enumerate(SECTION_PAGES)], "slug string, name string, i int")
+    return dom.labelled(a, labels)
 
 
 # --- sitemaps, listings, discovery
@@ -331,12 +331,6 @@ def sitemap_locs(spark: SparkSession, sf: str) -> DataFrame:
     return xml.sitemap_urls(_sitemaps(spark, sf))
 
 
-@query(_MAPPED + " SELECT left(lastmod, 4)::INT AS year, count(*) AS n, min(url) AS first_url FROM m WHERE lastmod <> '' GROUP BY 1")
-def sitemap_bucket_year(spark: SparkSession, sf: str) -> DataFrame:
-    entries = xml.sitemap_entries(_sitemaps(spark, sf)).withColumn("year", dates.iso_year("lastmod")).where("year is not null")
-    return entries.groupBy("year").agg(F.count("*").alias("n"), F.min("url").alias("first_url"))
-
-
 @query("SELECT 'https://h/wp-sitemap-posts-post-' || n_nationkey || '.xml' AS url FROM nation WHERE n_nationkey % 2 = 0")
 def sitemap_index(spark: SparkSession, sf: str) -> DataFrame:
     name = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("https://h/wp-sitemap-posts-post-"), F.col("n_nationkey").cast("string"), F.lit(".xml"))).otherwise(F.lit("https://h/wp-sitemap-taxonomies.xml"))
@@ -345,11 +339,11 @@ def sitemap_index(spark: SparkSession, sf: str) -> DataFrame:
     return xml.sub_sitemaps(index, "wp-sitemap-posts-post").select("url")
 
 
-_LISTING = "SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) - 1) // 50 + 1 AS page, year(o_orderdate)::INT AS year FROM orders WHERE o_orderkey % 10 = 0"
+_LISTING = "SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) - 1) // 50 + 1 AS page, year(o_orderdate)::INT AS year FROM orders"
 
 
 def _listing(spark: SparkSession, sf: str) -> DataFrame:
-    o = t(spark, sf, "orders").where("o_orderkey % 10 = 0").select("o_orderkey", "o_orderdate", F.year("o_orderdate").alias("year"))
+    o = t(spark, sf, "orders").select("o_orderkey", "o_orderdate", F.year("o_orderdate").alias("year"))
     # ranks by day first, so that no window holds all rows
     days = o.groupBy("o_orderdate").agg(F.count("*").alias("n"))
     before = days.select("o_orderdate", (F.sum("n").over(Window.orderBy(F.desc("o_orderdate"))) - F.col("n")).alias("before"))
@@ -364,15 +358,15 @@ def listing_min_max(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-WITH l AS ({_LISTING}), y AS (SELECT DISTINCT year FROM l), s AS (SELECT page, min(year) AS lo FROM l GROUP BY page),
+WITH l AS ({_LISTING}), m AS (SELECT max(page) AS m FROM l), y AS (SELECT DISTINCT year FROM l), s AS (SELECT page, min(year) AS lo FROM l GROUP BY page),
 g AS (SELECT year, greatest(1, (2001 - year) * 2 + 1) AS c FROM y),
 ok AS (SELECT DISTINCT g.year FROM g JOIN l ON l.year = g.year AND l.page BETWEEN greatest(1, c - 1) AND c + 1),
-f AS (SELECT g.year, coalesce((SELECT min(page) FROM s WHERE lo <= g.year AND page <= 400), c) AS c FROM g WHERE year NOT IN (SELECT year FROM ok))
+f AS (SELECT g.year, coalesce((SELECT min(page) FROM s WHERE lo <= g.year), c) AS c FROM g WHERE year NOT IN (SELECT year FROM ok))
 SELECT g.year, p::BIGINT AS page FROM g, LATERAL (SELECT unnest(range(greatest(1, c - 1), c + 2)) AS p) WHERE g.year IN (SELECT year FROM ok)
-UNION ALL SELECT f.year, p::BIGINT FROM f, LATERAL (SELECT unnest(range(greatest(1, c - 1), greatest(1, least(400, c + 1)) + 1)) AS p)""")
+UNION ALL SELECT f.year, p::BIGINT FROM f, LATERAL (SELECT unnest(range(greatest(1, c - 1), least((SELECT m FROM m), c + 1) + 1)) AS p)""")
 def page_seek_lower_bound(spark: SparkSession, sf: str) -> DataFrame:
     listing = _listing(spark, sf)
-    found = discovery.year_pages(listing, listing.select("year").distinct(), 2001, 2, 1, 400)
+    found = discovery.year_pages(listing, listing.select("year").distinct(), 2001, 2, 1, int(listing.agg(F.max("page")).first()[0] or 1))
     return found.select("year", F.col("page").cast("bigint").alias("page"))
 
 
@@ -539,17 +533,6 @@ def dom_node_counts(spark: SparkSession, sf: str) -> DataFrame:
     return nodes.groupBy("page_id").agg(F.count_if(F.col("tag") == "p").alias("n_p"), F.count_if(F.col("tag") == "a").alias("n_a"))
 
 
-@query()
-def dom_deck_after_h1(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = dom.html_nodes(t(spark, sf, "pages"))
-    return dom.text_of(dom.next_sibling(nodes, "h1", "p"), nodes).select("page_id", "raw")
-
-
-@query()
-def dom_meta(spark: SparkSession, sf: str) -> DataFrame:
-    return dom.meta_content(dom.html_nodes(t(spark, sf, "pages")), "og:title")
-
-
 @query()
 def site_pages_n(spark: SparkSession, sf: str) -> DataFrame:
     return extract_pages(t(spark, sf, "pages"), SITES["n"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import logging
 import sys
 import time
@@ -16,7 +17,10 @@ from ..functions.text import clean_text
 from ..operators import merge
 from ..operators.sampling import first_rows, until_quota
 from ..schema import ARTICLE, ARTICLE_COLS, conform
-from ..sources.files import read_csv, write_csv
+from ..ship import ship
+from ..sources.files import exists, read_csv, write_csv
+from .discover import INPUTS, discover
+from .quality import audit
 from .sites import SITES, SiteSpec, extract_pages
 
 log = logging.getLogger("corvid")
@@ -36,6 +40,12 @@ def site_config(config: dict, key: str) -> dict:
     return {**base, **own, **({"rate_limit": limits} if limits else {})}
 
 
+def configured(spec: SiteSpec, config: dict) -> SiteSpec:
+    """The site's specification with the quota and cap of its configuration."""
+    known = {k: config[k] for k in ("per_year", "max_articles") if k in config}
+    return dataclasses.replace(spec, **known) if known else spec
+
+
 def setup_logging(folder: str, level: int = logging.INFO) -> Path:
     Path(folder).mkdir(parents=True, exist_ok=True)
     path = Path(folder) / time.strftime("run_%Y%m%d_%H%M%S.log")
@@ -81,35 +91,64 @@ def run_site(spec: SiteSpec, candidates: DataFrame, pages: DataFrame, existing:
     return merge.merged(held.select(*ARTICLE_COLS, "pos"), new, mode)
 
 
-def run(spark: SparkSession, inputs: dict[str, tuple[DataFrame, DataFrame]], out: str, run_ts: Column | None = None, incremental: bool = True, write_combined: bool = False, mode: str = "intent") -> dict[str, int]:
+def run(spark: SparkSession, inputs: dict[str, tuple[DataFrame, DataFrame]], out: str, run_ts: Column | None = None, incremental: bool = True, write_combined: bool = False, mode: str = "intent", config: dict | None = None) -> dict[str, int]:
     """Runs the sites of inputs (key -> candidates, pages) in registry order; writes <out>/<key>.csv and gives rows by site.
 
-    A site is written beside its old file and then takes its place, so nothing is overwritten while it is read.
+    A site is written beside its old file and then takes its place, so nothing is overwritten while it is read; a run that
+    was cut off between the two renames is mended by the next. The combined file keeps the order of sites and, within one, of its file.
     """
+    ship(spark)
     for key in inputs:
         SITES[key]  # an unknown site is a KeyError
     run_ts = run_ts if run_ts is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
     counts, seen, parts = {}, None, []
     for key in (k for k in SITES if k in inputs):
         path = f"{out}/{key}.csv"
+        _mend(spark, path)
         existing = read_csv(spark, path)
-        result = run_site(SITES[key], *inputs[key], existing, run_ts, seen, incremental, mode)
+        spec = configured(SITES[key], site_config(config, key)) if config else SITES[key]
+        result = run_site(spec, *inputs[key], existing, run_ts, seen, incremental, mode)
         counts[key] = write_csv(result.orderBy("src_rank", "pos"), path + ".new")
         _swap(spark, path + ".new", path)
-        written = read_csv(spark, path)
+        written = read_csv(spark, path).withColumn("pos", F.monotonically_increasing_id())  # one file: its order
         seen = written.select("url") if seen is None else seen.unionByName(written.select("url"))
         parts.append(written)
-        log.info("%s: %d rows", key, counts[key])
+        found = audit(written, ["institution"]).first()
+        log.info("%s: %d rows%s", key, counts[key], f", {found.asDict()}" if found else "")
     if write_combined:
-        write_csv(merge.combined(parts).orderBy("site_rank"), f"{out}/combined.csv")
+        write_csv(merge.combined(parts).orderBy("site_rank", "pos"), f"{out}/combined.csv.new")
+        _mend(spark, f"{out}/combined.csv")
+        _swap(spark, f"{out}/combined.csv.new", f"{out}/combined.csv")
     return counts
 
 
 def _swap(spark: SparkSession, new: str, old: str) -> None:
+    """The old file steps aside, the new one takes its place, then the old one goes: one of the two is always whole."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(new).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(path(old), True)
+    aside = path(old + ".old")
+    if fs.exists(path(old)):
+        fs.delete(aside, True)
+        fs.rename(path(old), aside)
     fs.rename(path(new), path(old))
+    fs.delete(aside, True)
+
+
+def _mend(spark: SparkSession, old: str) -> None:
+    """Puts back the file that a cut-off run set aside."""
+    if not exists(spark, old) and exists(spark, old + ".old"):
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        path(old).getFileSystem(spark._jsc.hadoopConfiguration()).rename(path(old + ".old"), path(old))
+
+
+def captured(spark: SparkSession, folder: str, out: str, key: str, config: dict, refresh: bool, now: str) -> tuple[DataFrame, DataFrame]:
+    """Candidates and pages of a site: a ready table of candidates, else those discovered from its captured tables, through its cache."""
+    pages = spark.read.parquet(f"{folder}/{key}_pages")
+    ready = f"{folder}/{key}_candidates"
+    if exists(spark, ready):
+        return spark.read.parquet(ready), pages
+    tables = {name: spark.read.parquet(f"{folder}/{key}_{name}") for name in INPUTS[key] if exists(spark, f"{folder}/{key}_{name}")}
+    return discover(spark, key, site_config(config, key), tables, f"{out}/cache/{key}.json", refresh, now), pages
 
 
 def parser() -> argparse.ArgumentParser:
@@ -117,7 +156,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--site", required=True, choices=[*sorted(SITES), "all"])
     p.add_argument("--overwrite", action="store_true", help="full refresh instead of an incremental merge")
     p.add_argument("--combined", action="store_true", help="also write the combined corpus")
-    p.add_argument("--input", required=True, help="folder with <site>_candidates and <site>_pages Parquet tables")
+    p.add_argument("--input", required=True, help="folder with <site>_pages and either <site>_candidates or the tables discovery reads, as Parquet")
+    p.add_argument("--config", help="YAML with defaults and sites")
     p.add_argument("--output", default="output")
     return p
 
@@ -127,6 +167,8 @@ def main(argv: list[str] | None = None) -> int:
     setup_logging(f"{a.output}/logs")
     spark = SparkSession.builder.appName("corvid").getOrCreate()
     keys = list(SITES) if a.site == "all" else [a.site]
-    inputs = {k: (spark.read.parquet(f"{a.input}/{k}_candidates"), spark.read.parquet(f"{a.input}/{k}_pages")) for k in keys}
-    run(spark, inputs, a.output, incremental=not a.overwrite, write_combined=a.combined)
+    config = load_config(a.config) if a.config else {}
+    now = time.strftime("%Y-%m-%dT%H:%M:%S+00:00", time.gmtime())
+    inputs = {k: captured(ship(spark), a.input, a.output, k, config, a.overwrite, now) for k in keys}
+    run(spark, inputs, a.output, incremental=not a.overwrite, write_combined=a.combined, config=config or None)
     return 0

@@ -19,4 +19,5 @@ def conform(df: DataFrame) -> DataFrame:
 
 
 def empty_page():  # noqa: ANN201
+    """The page fields of a page that gives none: all empty."""
     return F.struct(*[F.lit("").alias(c) for c in PAGE_COLS])

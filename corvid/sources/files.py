@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import ARTICLE, ARTICLE_COLS, conform
@@ -27,14 +27,10 @@ def write_csv(df: DataFrame, path: str, single: bool = True) -> int:
 
     single: one file, for hand-over of one site's corpus; otherwise as many as there are partitions.
     """
-    rows = df.select(*ARTICLE_COLS)
+    counted = Observation()
+    rows = df.select(*ARTICLE_COLS).observe(counted, F.count(F.lit(1)).alias("n"))
     (rows.coalesce(1) if single else rows).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    return df.sparkSession.read.options(**CSV).csv(path).count()
-
-
-def write_sites(df: DataFrame, path: str) -> None:
-    """One folder for each site, of a corpus with a site column."""
-    df.write.mode("overwrite").partitionBy("site").parquet(path)
+    return counted.get["n"]
 
 
 def read_cache(spark: SparkSession, path: str, kind: str, key: dict | None = None) -> DataFrame | None:
@@ -42,14 +38,20 @@ def read_cache(spark: SparkSession, path: str, kind: str, key: dict | None = Non
 
     kind: "urls" (year, pos, url), "metas" (year, url, title, author, publication_date, section; the last record of a URL), "pairs" (year, pos, url, lastmod).
     """
-    meta = "struct<url:string,title:string,author:string,publication_date:string,section:string>"
-    item = {"urls": "string", "metas": meta, "pairs": "array<string>"}[kind]
     if not exists(spark, path):
         return None
-    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", f"struct<cached_at:string,key:map<string,string>,by_year:map<string,array<{item}>>>").alias("c"))
-    head = raw.select("c.key", F.col("c.by_year").isNotNull().alias("ok")).first()
+    documents = spark.read.text(path, wholetext=True)
+    head = documents.select(F.from_json("value", "struct<key:map<string,string>,by_year:map<string,string>>").alias("c")).select("c.key", F.col("c.by_year").isNotNull().alias("ok")).first()
     if head is None or not head["ok"] or (key is not None and {k: str(v) for k, v in key.items()} != (head["key"] or {})):
         return None
+    return cached_rows(documents, kind)
+
+
+def cached_rows(documents: DataFrame, kind: str) -> DataFrame:
+    """Rows of cache documents (value: JSON) of a kind."""
+    meta = "struct<url:string,title:string,author:string,publication_date:string,section:string>"
+    item = {"urls": "string", "metas": meta, "pairs": "array<string>"}[kind]
+    raw = documents.select(F.from_json("value", f"struct<cached_at:string,key:map<string,string>,by_year:map<string,array<{item}>>>").alias("c"))
     years = raw.select(F.explode("c.by_year").alias("year", "items")).select(F.col("year").cast("int").alias("year"), F.posexplode("items").alias("pos", "x"))
     if kind == "urls":
         return years.select("year", "pos", F.col("x").alias("url"))

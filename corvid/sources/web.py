@@ -6,6 +6,7 @@ the configured delay; it honours robots rules and an honest agent name. Everythi
 
 from __future__ import annotations
 
+import logging
 import random
 import time
 from collections.abc import Callable, Iterator
@@ -22,6 +23,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.urls import origin
 
+log = logging.getLogger("corvid")
 RETRIED = (429, 500, 502, 503, 504)
 
 
@@ -58,7 +60,7 @@ class FetchReader(DataSourceReader):
         self.urls = [u for u in options.get("urls", "").split("\n") if u]
         self.agent = options.get("agent", "corvid/1.0")
         self.low, self.high = float(options.get("delay_min", 1)), float(options.get("delay_max", 3))
-        self.retries, self.timeout = int(options.get("retries", 3)), float(options.get("timeout", 15))
+        self.retries, self.timeout, self.backoff = int(options.get("retries", 3)), float(options.get("timeout", 15)), float(options.get("backoff", 1))
 
     def partitions(self) -> list[Origin]:
         by: dict[str, list[str]] = {}
@@ -68,9 +70,10 @@ class FetchReader(DataSourceReader):
         return [Origin(o, tuple(us)) for o, us in sorted(by.items())]
 
     def read(self, partition: Origin) -> Iterator[tuple]:
-        rules = robots_rules(partition.name, lambda u: self.get(u))
+        rules = robots_rules(partition.name, self.get)
         for u in partition.urls:
             if rules is not None and not rules.can_fetch(self.agent, u):
+                log.warning("robots rules of %s forbid %s", partition.name, u)
                 yield u, None, None
                 continue
             time.sleep(random.uniform(self.low, self.high))
@@ -87,7 +90,7 @@ class FetchReader(DataSourceReader):
             except (URLError, TimeoutError, OSError):
                 if attempt == self.retries:
                     return None, None
-            time.sleep(2**attempt)
+            time.sleep(self.backoff * 2**attempt)
         return None, None
 
 
@@ -100,6 +103,27 @@ def robots_rules(name: str, get: Callable[[str], tuple[int | None, str | None]])
     return rules
 
 
+def fetched(candidates: DataFrame, config: dict, url: str = "url") -> DataFrame:
+    """url, status, html of all candidates, however many: an origin is read by one task, one request at a time.
+
+    config: a site's configuration; its rate_limit gives delay_min and delay_max, and max_concurrency how many tasks may read at once
+    (default: as many as there are shuffle partitions). Robots rules are read once an origin and task.
+    """
+    limit = config.get("rate_limit") or {}
+    options = {k: str(v) for k, v in {**config, **limit}.items() if k in ("agent", "delay_min", "delay_max", "retries", "timeout", "backoff")}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = FetchReader(options)
+        for batch in batches:
+            for name, part in batch.groupby("origin", sort=False):
+                rows = list(reader.read(Origin(name, tuple(part["url"]))))
+                yield pd.DataFrame(rows, columns=["url", "status", "html"]).astype({"status": "Int32"})
+
+    rows = candidates.select(F.col(url).alias("url"), origin(url).alias("origin")).where("origin <> ''").distinct()
+    dealt = rows.repartition(int(limit["max_concurrency"]), "origin") if limit.get("max_concurrency") else rows.repartition("origin")
+    return dealt.sortWithinPartitions("origin", "url").mapInPandas(run, "url string, status int, html string")
+
+
 class Fetch(DataSource):
     """spark.read.format("corvid_fetch").option("urls", "a\\nb")...: url, status, html; status null where not fetched."""
 

@@ -1,12 +1,14 @@
 """Merges a stream of captured pages into a Parquet corpus, batch by batch, exactly once.
 
-Each batch writes the next version of the corpus and then its marker; a batch that is replayed writes the same version again
-from the same predecessor, so a failure between the two leaves nothing twice.
+Each batch writes the next version of the corpus (v=<number>) from the newest whole one, then a marker of the batch under the
+stream's own id. A batch that has its marker is passed over; one that failed before it is merged again, which changes nothing, as
+known URLs are skipped. A new checkpoint is a new id: it goes on from the newest version.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..plans.run import run_site
@@ -15,8 +17,19 @@ from ..schema import ARTICLE
 from ..sources.files import exists
 
 
-def version(corpus: str, batch: int) -> str:
-    return f"{corpus}/v={batch:09d}"
+def version(corpus: str, number: int) -> str:
+    return f"{corpus}/v={number:09d}"
+
+
+def newest(spark: SparkSession, corpus: str) -> int:
+    """The number of the newest whole version; -1 where there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{corpus}/v=*/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return max((int(f.getPath().getParent().getName()[2:]) for f in found), default=-1)
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    return spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
 
 
 def merge_stream(pages: DataFrame, spec: SiteSpec, candidates: DataFrame, corpus: str, checkpoint: str, run_ts: Column) -> DataStreamWriter:
@@ -24,8 +37,13 @@ def merge_stream(pages: DataFrame, spec: SiteSpec, candidates: DataFrame, corpus
 
     def merge_batch(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        before = version(corpus, number - 1)
-        existing = spark.read.parquet(before) if number and exists(spark, before) else spark.createDataFrame([], ARTICLE)
-        run_site(spec, candidates, batch, existing, run_ts).drop("src_rank", "pos").write.mode("overwrite").parquet(version(corpus, number))
+        marker = f"{corpus}/_done/{_stream_id(spark, checkpoint)}-{number}"
+        if exists(spark, marker):
+            return
+        last = newest(spark, corpus)
+        existing = spark.read.parquet(version(corpus, last)) if last >= 0 else spark.createDataFrame([], ARTICLE)
+        run_site(spec, candidates, batch, existing, run_ts).drop("src_rank", "pos").write.mode("overwrite").parquet(version(corpus, last + 1))
+        path = spark._jvm.org.apache.hadoop.fs.Path(marker)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
 
     return pages.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)

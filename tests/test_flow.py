@@ -14,7 +14,7 @@ from corvid.plans.run import load_config, main, run, site_config
 from corvid.plans.sites import SITES
 from corvid.schema import ARTICLE_COLS
 from corvid.sources import files, web, xml
-from corvid.streaming.incremental import merge_stream, version
+from corvid.streaming.incremental import merge_stream, newest, version
 
 
 def model_spread(items: list, n: int) -> list:
@@ -84,6 +84,100 @@ def test_year_pages(spark) -> None:  # noqa: ANN001
             assert got[y] == around
 
 
+def test_search_stops_at_a_missing_page(spark) -> None:  # noqa: ANN001
+    r = random.Random(9)
+    for _ in range(3):
+        lows, year = {}, 2026
+        for p in range(1, 33):
+            year -= r.choice([0, 1, 2])
+            if r.random() < 0.85:
+                lows[p] = year
+        listing = spark.createDataFrame(list(lows.items()), "page int, year int")
+        got: dict = {}
+        for x in discovery.year_pages(listing, spark.createDataFrame([(y,) for y in range(1990, 2027)], "year int"), 2026, 1, 1, 32).collect():
+            got.setdefault(x["year"], set()).add(x["page"])
+        for y in range(1990, 2027):
+            c = max(1, 2027 - y)
+            want = set(range(max(1, c - 1), c + 2))
+            if not any(lows.get(p) == y for p in want):
+                lo, hi, at = 1, 32, c
+                while lo <= hi:
+                    mid = (lo + hi) // 2
+                    if mid not in lows:
+                        break
+                    lo, hi, at = (mid + 1, hi, at) if lows[mid] > y else (lo, mid - 1, mid)
+                want = set(range(max(1, at - 1), min(32, at + 1) + 1))
+            assert got.get(y, set()) == want
+
+
+def test_rows_without_a_year_have_no_quota(spark) -> None:  # noqa: ANN001
+    rows = spark.createDataFrame([(0, None), (1, 2020), (2, 2020), (3, None), (4, None)], "pos int, year int")
+    assert sorted(r["pos"] for r in sampling.until_quota(rows, ["year"], ["pos"], 1).collect()) == [0, 1, 3, 4]
+
+
+def test_fetch(spark) -> None:  # noqa: ANN001
+    """Retries, statuses and robots rules against a server on this machine."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    seen: list = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self) -> None:  # noqa: N802
+            seen.append((self.path, self.headers["User-Agent"]))
+            status, body = 200, b"<p>ok</p>"
+            if self.path == "/robots.txt":
+                body = b"User-agent: *\nDisallow: /private"
+            elif self.path == "/gone":
+                status = 404
+            elif self.path == "/busy" and sum(p == "/busy" for p, _ in seen) < 3:
+                status = 503
+            self.send_response(status)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_) -> None:  # noqa: ANN002
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    urls = spark.createDataFrame([(f"{base}/{p}",) for p in ("a", "busy", "gone", "private/x")] + [("http://127.0.0.1:9/none",)], "url string")
+    config = {"agent": "corvid-test", "rate_limit": {"delay_min": 0, "delay_max": 0, "max_concurrency": 2}, "backoff": 0, "retries": 2, "timeout": 5}
+    got = {r["url"].rsplit("/", 1)[1]: (r["status"], r["html"]) for r in web.fetched(urls, config).collect()}
+    server.shutdown()
+    assert got == {"a": (200, "<p>ok</p>"), "busy": (200, "<p>ok</p>"), "gone": (404, None), "x": (None, None), "none": (None, None)}
+    assert sum(p == "/busy" for p, _ in seen) == 3 and sum(p == "/gone" for p, _ in seen) == 1 and not any("private" in p for p, _ in seen)
+    assert {a for _, a in seen} == {"corvid-test"}
+
+
+def test_main_from_sitemaps_to_csv(spark, tmp_path) -> None:  # noqa: ANN001
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    url = lambda y, i: f"https://n.example.com/{y}/05/0{i}/a/s{i}/"
+    entries = "".join(f"<url><loc>{url(y, i)}</loc></url>" for y in (2019, 2020) for i in range(1, 5))
+    spark.createDataFrame([(1, f"<urlset>{entries}</urlset>")], "file int, xml string").write.parquet(f"{folder}/n_sitemaps")
+    spark.createDataFrame([(url(y, i), BODY.format(i)) for y in (2019, 2020) for i in range(1, 5)], "url string, html string").write.parquet(f"{folder}/n_pages")
+    (tmp_path / "c.yaml").write_text("defaults: {max_articles: 9}\nsites:\n  n: {host: n.example.com, year_start: 2019, year_end: 2020, per_year: 2}\n")
+    args = ["--site", "n", "--input", folder, "--output", out, "--config", str(tmp_path / "c.yaml"), "--combined"]
+    assert main(args) == 0
+    rows = files.read_csv(spark, f"{out}/n.csv").collect()
+    assert [r["url"] for r in rows] == [url(2019, 1), url(2019, 2), url(2020, 1), url(2020, 2)]
+    assert [r["url"] for r in files.read_csv(spark, f"{out}/combined.csv").collect()] == [r["url"] for r in rows]
+    cached = files.read_cache(spark, f"{out}/cache/n.json", "urls", {"host": "n.example.com"})
+    assert cached.count() == 8
+    # the cache is used while it fits, and rewritten by a refresh
+    spark.createDataFrame([(1, f"<urlset><url><loc>{url(2019, 9)}</loc></url></urlset>")], "file int, xml string").write.mode("overwrite").parquet(f"{folder}/n_sitemaps")
+    assert main(args) == 0 and files.read_cache(spark, f"{out}/cache/n.json", "urls").count() == 8
+    assert main([*args, "--overwrite"]) == 0 and files.read_cache(spark, f"{out}/cache/n.json", "urls").count() == 1
+
+
+def test_cut_off_swap_is_mended(spark, tmp_path) -> None:  # noqa: ANN001
+    out = str(tmp_path / "out")
+    run(spark, {"n": inputs(spark)}, out, F.lit("t"))
+    (tmp_path / "out" / "n.csv").rename(tmp_path / "out" / "n.csv.old")
+    assert run(spark, {"n": inputs(spark)}, out, F.lit("t")) == {"n": 2}
+
+
 def test_xml(spark) -> None:  # noqa: ANN001
     x = '<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"><url><loc> a </loc><lastmod>2018-01-02</lastmod></url><url><loc> </loc></url><url><loc>b</loc></url><url><loc>a</loc></url></urlset>'
     df = spark.createDataFrame([(x,)], "xml string")
@@ -174,8 +268,14 @@ def test_stream(spark, tmp_path) -> None:  # noqa: ANN001
     stream().trigger(availableNow=True).start().awaitTermination()
     pages.where("url like '%b3/' or url like '%b1/'").withColumn("html", F.lit("<article><p>z</p></article>")).write.mode("append").parquet(source)
     stream().trigger(availableNow=True).start().awaitTermination()
+    assert newest(spark, corpus) == 1
     got = spark.read.parquet(version(corpus, 1)).collect()
     assert sorted(r["url"][-3:] for r in got)[-1] == "b3/" and len({r["url"] for r in got}) == len(got)
+    # a lost checkpoint starts a new stream, which goes on from the newest version
+    again = merge_stream(spark.readStream.schema(pages.schema).parquet(source), SITES["y"], candidates, corpus, str(tmp_path / "ck2"), F.lit("t"))
+    again.trigger(availableNow=True).start().awaitTermination()
+    later = spark.read.parquet(version(corpus, newest(spark, corpus))).collect()
+    assert {r["url"] for r in got} <= {r["url"] for r in later} and len({r["url"] for r in later}) == len(later)
 
 
 def test_listing_backfill(spark) -> None:  # noqa: ANN001
