@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,17 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-REPO_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
-def session(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package wherever the driver was started."""
-    env = spark.sparkContext.environment
-    known = env.get("PYTHONPATH", "").split(os.pathsep)
-    if REPO_ROOT not in known:
-        env["PYTHONPATH"] = os.pathsep.join([REPO_ROOT, *filter(None, known)])
-    return spark
-
+from ..ship import ship as session  # noqa: F401 (lets Python workers import this package wherever the driver was started)
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir. Where it is unset, a local session (one machine) gets a temporary
