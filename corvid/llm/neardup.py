@@ -148,9 +148,12 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs (a, b) with linked."""
-    first = pairs.join(sets.select(F.col("whole").alias("a"), F.col("n").alias("a_n"), F.col("own").alias("a_set")), "a")
-    both = first.join(sets.select(F.col("whole").alias("b"), F.col("n").alias("b_n"), F.col("own").alias("b_set")), "b")
+    """pairs (a, b) with linked. The sets that no pair names stay where they are: few pairs, as in later rounds, move few sets."""
+    pairs = table(pairs)
+    wanted = table(pairs.select(F.col("a").alias("whole")).unionByName(pairs.select(F.col("b").alias("whole"))).distinct())
+    needed = table(sets.join(wanted, "whole", "left_semi"))
+    first = pairs.join(needed.select(F.col("whole").alias("a"), F.col("n").alias("a_n"), F.col("own").alias("a_set")), "a")
+    both = first.join(needed.select(F.col("whole").alias("b"), F.col("n").alias("b_n"), F.col("own").alias("b_set")), "b")
     shared = F.size(F.array_intersect("a_set", "b_set"))
     return both.select("a", "b", (shared * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent).alias("linked"))
 
