@@ -35,7 +35,7 @@ _FOLD[97:123] = np.arange(97, 123)
 _FOLD[65:91] = np.arange(97, 123)
 
 
-def _groups(texts: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _groups(texts: pa.Array, size: int = 1 << 18) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, n-grams, bounds by row) for groups of rows of about `size` bytes."""
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
     raw = texts.buffers()[2]
@@ -73,10 +73,16 @@ def count_ngrams(labelled: DataFrame, lang: str = "lang", text: str = "text") ->
             codes = batch.column(1).dictionary_encode()
             index, names, hashes = codes.indices.to_numpy(), codes.dictionary.to_pylist(), batch.column(2).to_numpy()
             parts: list[Counts] = []
+            held, most = 0, 400_000
             for row, g, bounds in _groups(text_bytes(batch.column(0))):
                 span, sizes = slice(row, row + len(bounds) - 1), np.diff(bounds)
                 own, th = np.repeat(index[span].astype(np.uint64), sizes), np.repeat(hashes[span], sizes)
                 parts.append(_merge([(own << np.uint64(32) | g, np.ones(len(g), np.int64), th, th)]))
+                held += len(parts[-1][0])
+                if held > most:  # a batch's counts are merged as they come, not all at its end
+                    parts = [_merge(parts)]
+                    held = len(parts[0][0])
+                    most = max(most, 2 * held)
             for key, found in _by_language(parts).items():
                 total[names[key]] = _merge([total[names[key]], found] if names[key] in total else [found])
             if sum(len(x[0]) for x in total.values()) > 2_000_000:  # bounded memory: hand on what is there
