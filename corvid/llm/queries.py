@@ -1,4 +1,4 @@
-"""The queries of the ten operators and, where SQL can say the same, their SQL."""
+"""The queries of the operators and, where SQL can say the same, their SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chroma, decontam, langid, mixing, neardup, oracles, packing, pii, substring_dedup, tokens, urlfilter
+from . import align, ann, chroma, decontam, kmeans, langid, mixing, neardup, oracles, packing, pii, substring_dedup, tokens, urlfilter
 from .common import session
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -86,8 +86,20 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(n, ("email", "ip", "card", "phone")), F.sha2(digest(base), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"))
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans.with_inertia(*kmeans.cluster(read(spark, sf_dir, "embeddings"), k=8, rounds=10, d=64, scale=1024, seed="3:"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(read(spark, sf_dir, "documents"), align.named(VOCABULARY, "piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_decontaminate, op3_language_id, op4_token_counts, op5_url_filter, op6_audio_match, op7_packing, op8_near_duplicates, op9_lm_score, op10_pii)
+    f.__name__: f for f in (op1_substring_dedup, op2_decontaminate, op3_language_id, op4_token_counts, op5_url_filter, op6_audio_match, op7_packing, op8_near_duplicates, op9_lm_score, op10_pii, op11_nearest_neighbours, op12_centroid_clustering, op13_token_alignment)
 }
 
 ORACLES: dict[str, str] = {
