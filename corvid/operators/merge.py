@@ -50,6 +50,29 @@ def merged(existing: DataFrame, new: DataFrame, mode: str = "intent", url: str =
     return kept.withColumn("src_rank", F.lit(0)).unionByName(added.withColumn("src_rank", F.lit(1)))
 
 
+def unknown(df: DataFrame, known: DataFrame, key: str = "url") -> DataFrame:
+    """df without the keys of a known set that is much larger than df: the set is narrowed to the keys of df first, a semi join that needs no
+    shuffle of it where df is small. df is read twice."""
+    met = known.select(key).join(df.select(key).distinct(), key, "left_semi").distinct()
+    return df.join(met, key, "left_anti")
+
+
+def changes(held: DataFrame, new: DataFrame, mode: str = "intent", url: str = "url", pos: str = "pos") -> DataFrame:
+    """What merged() changes: new rows to put (gone false) and, in literal mode, tombstones (gone true, other columns empty) of the rows that go.
+
+    held: url and filled (whether the text isn't blank) of the rows that are there.
+    """
+    fresh = first_wins(new, url, [pos])
+    if mode == "intent":
+        return not_in(fresh, held.where("filled"), url).withColumn("gone", F.lit(False))
+    if mode != "literal":
+        raise ValueError(f"unknown mode: {mode}")
+    added = not_in(fresh, held, url).withColumn("gone", F.lit(False))
+    nothing = [F.lit("" if kind == "string" else None).cast(kind).alias(c) for c, kind in new.dtypes if c not in (url, pos)]
+    blank = held.where("not filled").select(F.lit(0).cast(dict(new.dtypes)[pos]).alias(pos), F.col(url), *nothing, F.lit(True).alias("gone"))
+    return added.unionByName(blank)
+
+
 def combined(sites: list[DataFrame]) -> DataFrame:
     """All sites, in order of site_rank."""
     out = None

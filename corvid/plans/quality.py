@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import ARTICLE_COLS
 
 
+def metrics(sketch: float = 0.01) -> dict[str, Column]:
+    """What audit() counts, as aggregates that a write observes while it writes: no second scan. Distinct URLs are a sketch (relative error `sketch`)."""
+    blanks = {f"empty_{c}": F.count_if(F.col(c) == "") for c in ARTICLE_COLS}
+    return {**blanks, "unparsed": F.count_if(F.col("publication_date").startswith("UNPARSED:")), "urls": F.approx_count_distinct("url", sketch)}
+
+
 def audit(corpus: DataFrame, by: list[str]) -> DataFrame:
     """Rows, empty values of each field, unparsed dates, blank and duplicate URLs."""
     blanks = [F.count_if(F.col(c) == "").alias(f"empty_{c}") for c in ARTICLE_COLS]

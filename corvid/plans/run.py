@@ -18,12 +18,14 @@ from ..operators import merge
 from ..operators.sampling import first_rows, until_quota
 from ..schema import ARTICLE, ARTICLE_COLS, conform
 from ..ship import ship
-from ..sources.files import exists, read_csv, write_csv
+from ..sources.changelog import ChangeLog
+from ..sources.files import deleted, exists, read_csv, write_csv
 from .discover import INPUTS, discover
-from .quality import audit
+from .quality import metrics
 from .sites import SITES, SiteSpec, extract_pages
 
 log = logging.getLogger("corvid")
+STAMP = "yyyy-MM-dd'T'HH:mm:ssXXX"
 
 
 def load_config(path: str) -> dict:
@@ -57,7 +59,7 @@ def articles(spec: SiteSpec, candidates: DataFrame, pages: DataFrame, run_ts: Co
     """Articles of candidates (pos, url, title, author, publication_date, section[, year, lastmod]) that aren't collected yet,
     until the quota of each year and the cap, with pos."""
     if collected is not None:
-        candidates = merge.not_in(candidates, collected)
+        candidates = merge.unknown(candidates, collected)
     candidates = merge.first_wins(candidates, "url", ["pos"])
     # only candidates' pages are parsed
     wanted = pages.join(candidates.select("url"), "url", "left_semi")
@@ -91,16 +93,48 @@ def run_site(spec: SiteSpec, candidates: DataFrame, pages: DataFrame, existing:
     return merge.merged(held.select(*ARTICLE_COLS, "pos"), new, mode)
 
 
+def site_changes(spec: SiteSpec, candidates: DataFrame, pages: DataFrame, held: DataFrame, run_ts: Column, seen: DataFrame | None = None, mode: str = "intent") -> DataFrame:
+    """What a run changes of a site's corpus: article columns, pos and gone (see merge.changes). held: url, filled of what is there."""
+    filled = held.where("filled").select("url")
+    if spec.seed_quota:
+        filled = filled.withColumn("year", F.regexp_extract("url", r"/([0-9]{4})/", 1).try_cast("int"))
+    new = articles(spec, candidates, pages, run_ts, filled)
+    if seen is not None:
+        new = merge.not_in(new, seen)
+    return merge.changes(held, new, mode)
+
+
+def run_log(spark: SparkSession, inputs: dict[str, tuple[DataFrame, DataFrame]], out: str, run_ts: Column | None = None, mode: str = "intent", config: dict | None = None, export: bool = False) -> dict[str, int]:
+    """Runs the sites of inputs (key -> candidates, pages) in registry order over corpora kept as changes, <out>/log/<key>; gives the rows that each
+    run wrote, which are at most those that its pages gave. export: also write <out>/<key>.csv, all of the corpus."""
+    ship(spark)
+    run_ts = run_ts if run_ts is not None else F.date_format(F.current_timestamp(), STAMP)
+    counts, seen = {}, None
+    for key in (k for k in SITES if k in inputs):
+        spec = configured(SITES[key], site_config(config, key)) if config else SITES[key]
+        log_ = ChangeLog(spark, f"{out}/log/{key}")
+        found = log_.commit(site_changes(spec, *inputs[key], log_.held(), run_ts, seen, mode), metrics=metrics())
+        counts[key] = found["rows"]
+        log.info("%s: %s", key, found)
+        held = log_.held().select("url")
+        seen = held if seen is None else seen.unionByName(held)
+        if export:
+            path = f"{out}/{key}.csv"
+            write_csv(log_.read().orderBy("seq", "pos"), path + ".new")
+            _swap(spark, path + ".new", path)
+    return counts
+
+
 def run(spark: SparkSession, inputs: dict[str, tuple[DataFrame, DataFrame]], out: str, run_ts: Column | None = None, incremental: bool = True, write_combined: bool = False, mode: str = "intent", config: dict | None = None) -> dict[str, int]:
     """Runs the sites of inputs (key -> candidates, pages) in registry order; writes <out>/<key>.csv and gives rows by site.
 
-    A site is written beside its old file and then takes its place, so nothing is overwritten while it is read; a run that
+    Each site is written whole; run_log() writes changes only. A site is written beside its old file and then takes its place, so nothing is overwritten while it is read; a run that
     was cut off between the two renames is mended by the next. The combined file keeps the order of sites and, within one, of its file.
     """
     ship(spark)
     for key in inputs:
         SITES[key]  # an unknown site is a KeyError
-    run_ts = run_ts if run_ts is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
+    run_ts = run_ts if run_ts is not None else F.date_format(F.current_timestamp(), STAMP)
     counts, seen, parts = {}, None, []
     for key in (k for k in SITES if k in inputs):
         path = f"{out}/{key}.csv"
@@ -108,13 +142,13 @@ def run(spark: SparkSession, inputs: dict[str, tuple[DataFrame, DataFrame]], out
         existing = read_csv(spark, path)
         spec = configured(SITES[key], site_config(config, key)) if config else SITES[key]
         result = run_site(spec, *inputs[key], existing, run_ts, seen, incremental, mode)
-        counts[key] = write_csv(result.orderBy("src_rank", "pos"), path + ".new")
+        found: dict = {}
+        counts[key] = write_csv(result.orderBy("src_rank", "pos"), path + ".new", found=found, metrics=metrics())
         _swap(spark, path + ".new", path)
         written = read_csv(spark, path).withColumn("pos", F.monotonically_increasing_id())  # one file: its order
         seen = written.select("url") if seen is None else seen.unionByName(written.select("url"))
         parts.append(written)
-        found = audit(written, ["institution"]).first()
-        log.info("%s: %d rows%s", key, counts[key], f", {found.asDict()}" if found else "")
+        log.info("%s: %d rows, %s", key, counts[key], found)
     if write_combined:
         write_csv(merge.combined(parts).orderBy("site_rank", "pos"), f"{out}/combined.csv.new")
         _mend(spark, f"{out}/combined.csv")
@@ -159,6 +193,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--input", required=True, help="folder with <site>_pages and either <site>_candidates or the tables discovery reads, as Parquet")
     p.add_argument("--config", help="YAML with defaults and sites")
     p.add_argument("--output", default="output")
+    p.add_argument("--log", action="store_true", help="keep each corpus as changes and write only what the run changes; with --combined also export the whole as CSV")
     return p
 
 
@@ -170,5 +205,11 @@ def main(argv: list[str] | None = None) -> int:
     config = load_config(a.config) if a.config else {}
     now = time.strftime("%Y-%m-%dT%H:%M:%S+00:00", time.gmtime())
     inputs = {k: captured(ship(spark), a.input, a.output, k, config, a.overwrite, now) for k in keys}
+    if a.log:
+        if a.overwrite:
+            for k in keys:
+                deleted(spark, f"{a.output}/log/{k}")
+        run_log(spark, inputs, a.output, config=config or None, export=a.combined)
+        return 0
     run(spark, inputs, a.output, incremental=not a.overwrite, write_combined=a.combined, config=config or None)
     return 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import ARTICLE, ARTICLE_COLS, conform
@@ -15,6 +15,39 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _fs(spark: SparkSession, path: str):  # noqa: ANN202
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """The names in a folder; none where there is no folder."""
+    fs, p = _fs(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def renamed(spark: SparkSession, old: str, new: str) -> None:
+    """Puts a folder in place; an error where there is one of that name."""
+    fs, p = _fs(spark, new)
+    if fs.exists(p) or not fs.rename(_fs(spark, old)[1], p):
+        raise FileExistsError(new)
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def touched(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.create(p).close()
+
+
+def size(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """A corpus file by header name; a missing file is an empty corpus."""
     if not exists(spark, path):
@@ -22,14 +55,17 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return conform(spark.read.options(**CSV).csv(path))
 
 
-def write_csv(df: DataFrame, path: str, single: bool = True) -> int:
+def write_csv(df: DataFrame, path: str, single: bool = True, found: dict | None = None, metrics: dict[str, Column] | None = None) -> int:
     """Writes the article columns with a header (also without rows) and returns the number of rows.
 
-    single: one file, for hand-over of one site's corpus; otherwise as many as there are partitions.
+    single: one file, for hand-over of one site's corpus; otherwise as many as there are partitions. metrics: name -> aggregate over the rows,
+    counted as they are written and put into found.
     """
     counted = Observation()
-    rows = df.select(*ARTICLE_COLS).observe(counted, F.count(F.lit(1)).alias("n"))
+    rows = df.select(*ARTICLE_COLS).observe(counted, F.count(F.lit(1)).alias("n"), *[v.alias(k) for k, v in (metrics or {}).items()])
     (rows.coalesce(1) if single else rows).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    if found is not None:
+        found.update(counted.get)
     return counted.get["n"]
 
 

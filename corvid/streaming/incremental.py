@@ -1,8 +1,7 @@
-"""Merges a stream of captured pages into a Parquet corpus, batch by batch, exactly once.
+"""Merges a stream of captured pages into a corpus kept as changes, batch by batch, exactly once.
 
-Each batch writes the next version of the corpus (v=<number>) from the newest whole one, then a marker of the batch under the
-stream's own id. A batch that has its marker is passed over; one that failed before it is merged again, which changes nothing, as
-known URLs are skipped. A new checkpoint is a new id: it goes on from the newest version.
+A batch of n pages writes what it changes, at most n rows, as one commit that bears the batch's name: the stream's own id and its number. A batch whose
+commit is in is passed over when Spark runs it again. A new checkpoint is a new id: it goes on from what is there.
 """
 
 from __future__ import annotations
@@ -11,39 +10,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..plans.run import run_site
+from ..plans.run import site_changes
 from ..plans.sites import SiteSpec
-from ..schema import ARTICLE
-from ..sources.files import exists
-
-
-def version(corpus: str, number: int) -> str:
-    return f"{corpus}/v={number:09d}"
-
-
-def newest(spark: SparkSession, corpus: str) -> int:
-    """The number of the newest whole version; -1 where there is none."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{corpus}/v=*/_SUCCESS")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    return max((int(f.getPath().getParent().getName()[2:]) for f in found), default=-1)
+from ..sources.changelog import ChangeLog
 
 
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
 
 
-def merge_stream(pages: DataFrame, spec: SiteSpec, candidates: DataFrame, corpus: str, checkpoint: str, run_ts: Column) -> DataStreamWriter:
-    """pages: a stream of (url, html[, inner_text]). Start it with .start(), or .trigger(availableNow=True).start()."""
+def merge_stream(pages: DataFrame, spec: SiteSpec, candidates: DataFrame, corpus: str, checkpoint: str, run_ts: Column, mode: str = "intent") -> DataStreamWriter:
+    """pages: a stream of (url, html[, inner_text]). corpus: the folder of a ChangeLog. Start it with .start(), or
+    .trigger(availableNow=True).start()."""
 
     def merge_batch(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        marker = f"{corpus}/_done/{_stream_id(spark, checkpoint)}-{number}"
-        if exists(spark, marker):
-            return
-        last = newest(spark, corpus)
-        existing = spark.read.parquet(version(corpus, last)) if last >= 0 else spark.createDataFrame([], ARTICLE)
-        run_site(spec, candidates, batch, existing, run_ts).drop("src_rank", "pos").write.mode("overwrite").parquet(version(corpus, last + 1))
-        path = spark._jvm.org.apache.hadoop.fs.Path(marker)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+        log = ChangeLog(spark, corpus)
+        log.commit(site_changes(spec, candidates, batch, log.held(), run_ts, mode=mode), f"{_stream_id(spark, checkpoint)}-{number}")
 
     return pages.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
