@@ -38,7 +38,7 @@ TABLES, WIDTH, BUCKET, TARGET, BEAM = 2, 1.5, 256, 0.97, 4096
 #: Entries whose true neighbours are measured, and the share of these that is nearer than r.
 SAMPLE, FAR = 64, 0.8
 #: Entries of a cell and queries of a block, about; rows a group of equal vectors sends on from each of SALTS places.
-CELL, BLOCK, SALTS = 8192, 2048, 64
+CELL, BLOCK, SALTS = 32768, 2048, 64
 _SLOTS = 4  # slots to either side that are ranked
 
 
@@ -167,7 +167,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec
     placed = entry.select("band", "v", "ids").mapInArrow(_placer(hashes, first, most, d), "t int, prefix bigint, bucket bigint, band int, v array<double>, ids array<bigint>")
     sizes = table(placed.groupBy("t", "prefix", "band").agg(F.count("*").alias("n")))
     asked = rows.where(is_query).groupBy("h").agg(F.first("v").alias("v"))
-    queries = table(asked.mapInArrow(_prober(hashes, first, r, d), "h struct<a bigint, b bigint>, v array<double>, t int, prefix bigint, buckets array<bigint>"))
+    dealt = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "h")  # few bytes, much work: not to be put together
+    queries = table(dealt.mapInArrow(_prober(hashes, first, r, d), "h struct<a bigint, b bigint>, v array<double>, t int, prefix bigint, buckets array<bigint>"))
     found = _merged(_visited(queries, placed, sizes, k, d), k)
     found = table(found)
     # the exact way for queries that found too few
@@ -267,7 +268,7 @@ def _prober(hashes: Hashes, first: int, r: float, d: int):  # noqa: ANN202
 
 
 def _visited(queries: DataFrame, placed: DataFrame, sizes: DataFrame, k: int, d: int) -> DataFrame:
-    """h, vec_id, score: of each cell that a query visits the k + 1 best ids in the buckets it names (null: in all)."""
+    """h, ids, scores: of each cell that a query visits the k + 1 best ids in the buckets it names (null: in all), a row a cell."""
     salts = F.ceil(F.col("n") / CELL).cast("int")
     cells = sizes.select("t", "prefix", "band", salts.alias("salts"))
     named_rows = queries.where("prefix is not null").join(cells, ["t", "prefix"])
@@ -282,15 +283,14 @@ def _visited(queries: DataFrame, placed: DataFrame, sizes: DataFrame, k: int, d:
 
     def run(asked: pa.Table, held: pa.Table) -> pa.Table:
         asked, held = asked.combine_chunks(), held.combine_chunks()
-        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         if not len(asked) or not len(held):
-            return none
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int64())), "scores": pa.array([], pa.list_(pa.float64()))})
         x, q = _matrix(held["v"].combine_chunks(), d), _matrix(asked["v"].combine_chunks(), d)
         ids = held["ids"].to_pylist()
         buckets, of = np.unique(held["bucket"].to_numpy(), return_inverse=True)
         members = np.split(np.argsort(of, kind="stable"), np.cumsum(np.bincount(of))[:-1])
         wanted = asked["buckets"].to_pylist()
-        out: list[tuple[int, np.ndarray, np.ndarray]] = []
+        out: list[tuple[np.ndarray, np.ndarray]] = []
         for at in range(0, len(q), 256):
             scores = np.full((min(256, len(q) - at), len(x)), -np.inf)
             visits = [np.arange(len(buckets)) if w is None else np.flatnonzero(np.isin(buckets, w)) for w in wanted[at : at + 256]]
@@ -302,13 +302,13 @@ def _visited(queries: DataFrame, placed: DataFrame, sizes: DataFrame, k: int, d:
                 near = best(row, k + 1)
                 exact = ordered_sums(x[near], q[at + i][None])
                 listed = sorted((-s, n) for j, s in zip(near, exact, strict=True) for n in ids[j])[: k + 1]
-                out.append((at + i, np.array([n for _, n in listed], np.int64), np.array([-s for s, _ in listed])))
-        rows = np.repeat([i for i, _, _ in out], [len(n) for _, n, _ in out]).astype(np.int64)
-        h = asked["h"].combine_chunks().take(pa.array(rows))
-        return pa.table({"a": h.field("a"), "b": h.field("b"), "vec_id": pa.array(np.concatenate([n for _, n, _ in out])), "score": pa.array(np.concatenate([s for _, _, s in out]))})
+                out.append((np.array([n for _, n in listed], np.int64), np.array([-s for s, _ in listed])))
+        h, bounds = asked["h"].combine_chunks(), pa.array(np.append(0, np.cumsum([len(n) for n, _ in out])), pa.int32())
+        lists = [pa.ListArray.from_arrays(bounds, pa.array(np.concatenate([x[i] for x in out]))) for i in (0, 1)]
+        return pa.table({"a": h.field("a"), "b": h.field("b"), "ids": lists[0], "scores": lists[1]})
 
-    met = ask.groupBy(*cell).cogroup(hold.groupBy(*cell)).applyInArrow(run, "a bigint, b bigint, vec_id bigint, score double")
-    return met.select(F.struct("a", "b").alias("h"), "vec_id", "score")
+    met = ask.groupBy(*cell).cogroup(hold.groupBy(*cell)).applyInArrow(run, "a bigint, b bigint, ids array<bigint>, scores array<double>")
+    return met.select(F.struct("a", "b").alias("h"), "ids", "scores")
 
 
 def _runs(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -319,6 +319,7 @@ def _runs(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[np.nda
 
 def _merged(found: DataFrame, k: int) -> DataFrame:
     """h, found: the k + 1 best ids of each query, an id once."""
-    once = found.groupBy("h", "vec_id").agg(F.max("score").alias("score"))
+    each = found.select("h", F.explode(F.arrays_zip("ids", "scores")).alias("x"))
+    once = each.groupBy("h", F.col("x.ids").alias("vec_id")).agg(F.max("x.scores").alias("score"))
     kept = once.withColumn("n", F.row_number().over(Window.partitionBy("h").orderBy(F.desc("score"), "vec_id"))).where(F.col("n") <= k + 1)
     return kept.groupBy("h").agg(_ranked(F.collect_list(F.struct("vec_id", "score"))).alias("found"))
