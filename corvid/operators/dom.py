@@ -1,8 +1,9 @@
-"""HTML as a relation of nodes, and queries over it.
+"""HTML as trees and as a relation of nodes, and queries over them.
 
-html_nodes() turns a page into rows: pre-order numbers give containment (enter < x <= exit), document order and siblings, so
-each query is a join or an aggregate over (page_id, ...). Page is the same tree in Python for extractions that need many
-fields of a page in one pass.
+trees() parses a page once into a row: its elements in document order and its visible text. Pre-order numbers give containment
+(enter < x <= exit), order and siblings; an element's text is a span of the page's text. So each query is a column over the row: no join, no
+shuffle, however many queries a plan has. html_nodes() gives the nodes as rows, for counts and joins over many pages. Page is the
+tree in Python for extractions that need many fields of a page in one pass.
 
 Repair: void elements never open; a p is closed by a block start or another p, also through open inline tags; li, dt/dd, tr,
 td/th and option close their own kind; an end tag without a start is dropped.
@@ -10,14 +11,20 @@ td/th and option close their own kind; an end tag without a start is dropped.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
-from ..functions.text import clean
+from ..functions.text import clean, first_nonempty
+from ..functions.urls import resolved
+from ..ship import cut, ship
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
@@ -182,17 +189,20 @@ def anchors(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def followed(pages: DataFrame, start: str, most: int) -> DataFrame:
-    """page (1, 2, ...), url, html: the listing at `start` and those its next-page links lead to, at most `most`. pages: url, html."""
-    from ..functions.urls import resolved
+    """page (1, 2, ...), url, html: the listing at `start` and those its next-page links lead to, at most `most`. pages: url, html.
 
-    links = anchors(pages).where("is_next").select("url", resolved("url", "href").alias("onward"))
-    at, out = pages.where(F.col("url") == start).select(F.lit(1).alias("page"), "url", "html"), None
-    for number in range(1, max(most, 1) + 1):
-        out = at if out is None else out.unionByName(at)
-        if number < most:
-            onward = at.join(links, "url").select(F.lit(number + 1).alias("page"), F.col("onward").alias("url"))
-            at = onward.join(pages, "url").select("page", "url", "html")
-    return out
+    The links are taken once, then composed with themselves: k rounds reach 2^k pages. A page has the number of its first visit, so loops end.
+    """
+    links = anchors(pages.where("url is not null")).where("is_next").groupBy("url").agg(F.min_by("href", "pos").alias("href"))
+    hop = cut(links.select("url", resolved("url", "href").alias("onward")))
+    reach, width = pages.where(F.col("url") == start).select("url").distinct().withColumn("page", F.lit(1)), 1
+    while width < most:
+        far = reach.join(hop, "url").select(F.col("onward").alias("url"), (F.col("page") + width).alias("page"))
+        reach = cut(reach.unionByName(far).groupBy("url").agg(F.min("page").alias("page")))
+        width *= 2
+        if width < most:
+            hop = cut(hop.alias("a").join(hop.alias("b"), F.col("a.onward") == F.col("b.url")).select("a.url", "b.onward"))
+    return pages.join(reach.where(F.col("page") <= max(most, 1)), "url").select("page", "url", "html")
 
 
 def labelled(links: DataFrame, labels: DataFrame) -> DataFrame:
@@ -218,63 +228,112 @@ def html_nodes(pages: DataFrame, page_id: str = "page_id", html: str = "html") -
     return pages.select(F.col(page_id).cast("bigint").alias("page_id"), F.col(html).alias("html")).where("page_id is not null").mapInPandas(run, NODE_SCHEMA)
 
 
-def text_of(elements: DataFrame, nodes: DataFrame) -> DataFrame:
-    """elements (page_id, enter, exit, ...) with their raw text: text nodes below in order, a space between, hidden ones left out."""
-    hidden = nodes.where(F.col("tag").isin(*HIDDEN)).select("page_id", F.col("enter").alias("h_enter"), F.col("exit").alias("h_exit"))
-    shown = nodes.where("tag = '#text'").select("page_id", F.col("enter").alias("at"), "own_text")
-    shown = shown.join(hidden, (shown["page_id"] == hidden["page_id"]) & (shown["at"] > hidden["h_enter"]) & (shown["at"] <= hidden["h_exit"]), "left_anti")
-    e = elements.alias("e")
-    inside = e.join(shown.alias("t"), (F.col("e.page_id") == F.col("t.page_id")) & (F.col("at") > F.col("e.enter")) & (F.col("at") <= F.col("e.exit")), "left")
-    keys = [F.col(f"e.{c}") for c in elements.columns if dict(elements.dtypes)[c] != "map<string,string>"]
-    parts = F.array_sort(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "own_text"))))
-    return inside.groupBy(*keys).agg(F.array_join(F.transform(parts, lambda x: x["own_text"]), " ").alias("raw"))
+TREE_SCHEMA = (
+    "page_id bigint, shown string, nodes array<struct<enter:int,exit:int,parent_id:int,depth:int,tag:string,attrs:map<string,string>,text_at:int,text_end:int,paragraphs:int>>"
+)
+
+
+def _tree(markup: str | None) -> tuple[str, list[dict]]:
+    """The page's visible text, its text nodes in order with a space between, and its elements with their spans of it and their number of own
+    paragraphs."""
+    page = Page(markup)
+    hidden_to, at, texts, starts, orders = 0, 0, [], [], []
+    for n in page.nodes:
+        if n.tag in HIDDEN:
+            hidden_to = max(hidden_to, n.exit)
+        elif n.tag == "#text" and n.enter > hidden_to:
+            orders.append(n.enter)
+            starts.append(at)
+            texts.append(n.text)
+            at += len(n.text) + 1
+    rows = []
+    for n in page.nodes:
+        if n.tag != "#text":
+            first, last = bisect_right(orders, n.enter), bisect_right(orders, n.exit)
+            span = (starts[first], starts[last - 1] + len(texts[last - 1])) if last > first else (0, 0)
+            rows.append({"enter": n.enter, "exit": n.exit, "parent_id": n.parent.enter, "depth": n.depth, "tag": n.tag, "attrs": n.attrs, "text_at": span[0], "text_end": span[1], "paragraphs": sum(c.tag == "p" for c in n.children)})
+    return " ".join(texts), rows
+
+
+def trees(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
+    """page_id, shown, nodes: one row for each page, parsed once. Rows without a page_id go; a null page has no nodes."""
+    ship(pages.sparkSession)
+    kinds = to_arrow_schema(_parse_datatype_string(TREE_SCHEMA))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):  # a page's elements are several times its size
+                part = batch.slice(at, 64)
+                parsed = [_tree(x) for x in part.column(1).to_pylist()]
+                # as pairs, which maps are read from
+                for _, rows in parsed:
+                    for r in rows:
+                        r["attrs"] = list(r["attrs"].items())
+                columns = [part.column(0).cast(pa.int64()), pa.array([x for x, _ in parsed], pa.string()), pa.array([x for _, x in parsed], kinds.field("nodes").type)]
+                yield pa.RecordBatch.from_arrays(columns, schema=kinds)
+
+    return pages.select(F.col(page_id).cast("bigint").alias("page_id"), F.col(html).alias("html")).where("page_id is not null").mapInArrow(run, TREE_SCHEMA)
+
+
+def elements(test: Callable[[Column], Column], nodes: Column | str = "nodes") -> Column:
+    """The elements of a tree that pass, in document order."""
+    return F.filter(nodes, test)
+
+
+def first_element(test: Callable[[Column], Column]) -> Column:
+    return F.get(elements(test), F.lit(0))
+
+
+def text_in(element: Column) -> Column:
+    """An element's raw text: the text nodes below it in order, a space between, hidden ones left out; null without an element."""
+    return F.substring(F.col("shown"), element["text_at"] + 1, element["text_end"] - element["text_at"])
+
 
+def inside(element: Column, tag: str) -> Column:
+    """The elements of a kind below an element."""
+    return elements(lambda n: (n["tag"] == tag) & (n["enter"] > element["enter"]) & (n["enter"] <= element["exit"]))
 
-def first_by(nodes: DataFrame, test: Column, *values: Column) -> DataFrame:
-    """page_id and values of the first node that passes."""
-    return nodes.where(test).groupBy("page_id").agg(*[F.min_by(v, "enter").alias(f"v{i}") for i, v in enumerate(values)])
 
+def paragraphs_of(body: Column) -> Column:
+    """Raw paragraph texts of a body in order, a space between."""
+    return F.array_join(F.transform(inside(body, "p"), text_in), " ")
 
-def densest_container(nodes: DataFrame, least: int = 3) -> DataFrame:
-    """page_id, enter, exit, n: the element with most own paragraphs; ties to the first."""
-    own = nodes.where("tag = 'p'").groupBy("page_id", F.col("parent_id").alias("enter")).agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    held = own.join(nodes.where("tag in ('div', 'article', 'section')").select("page_id", "enter", "exit"), ["page_id", "enter"])
-    return held.groupBy("page_id").agg(F.max_by(F.struct("enter", "exit", "n"), F.struct("n", -F.col("enter"))).alias("b")).select("page_id", "b.*")
 
+def densest_container(least: int = 3) -> Column:
+    """The div, article or section with most own paragraphs, at least `least`; the first of equals."""
+    held = elements(lambda n: n["tag"].isin("div", "article", "section") & (n["paragraphs"] >= least))
+    order = F.transform(held, lambda n: F.struct(n["paragraphs"], (-n["enter"]).alias("before"), n["enter"].alias("enter")))
+    best = F.array_max(order)["enter"]
+    return first_element(lambda n: n["enter"] == best)
 
-def chain_container(nodes: DataFrame, ids: list[str]) -> DataFrame:
-    """page_id, enter, exit, rank of the first id of the chain that exists."""
-    rank = F.array_position(F.array(*map(F.lit, ids)), F.col("attrs")["id"])
-    return nodes.where(rank > 0).groupBy("page_id").agg(F.min(F.struct(rank.alias("rank"), "enter", "exit")).alias("b")).select("page_id", "b.enter", "b.exit", "b.rank")
 
+def chain_container(ids: list[str]) -> tuple[Column, Column]:
+    """The element with the first id of the chain that there is, and that id's place (from 1)."""
+    place = lambda n: F.array_position(F.array(*map(F.lit, ids)), n["attrs"]["id"])
+    rank = F.array_min(F.transform(elements(lambda n: place(n) > 0), place))
+    return first_element(lambda n: place(n) == rank), rank
 
-def paragraphs_in(bodies: DataFrame, nodes: DataFrame) -> DataFrame:
-    """page_id, text: raw paragraph texts of each body in order, a space between."""
-    p = nodes.where("tag = 'p'").select("page_id", F.col("enter").alias("p_enter"), F.col("exit").alias("p_exit"))
-    b = bodies.select("page_id", "enter", "exit")
-    inside = p.join(b, "page_id").where("p_enter > enter and p_enter <= exit").select("page_id", F.col("p_enter").alias("enter"), F.col("p_exit").alias("exit"))
-    raw = text_of(inside, nodes)
-    return raw.groupBy("page_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("enter", "raw"))), lambda x: x["raw"]), " ").alias("text"))
 
+def nearest_before(tag: str, anchor: str) -> Column:
+    """The last `tag` that starts before the first `anchor`."""
+    limit = first_element(lambda n: n["tag"] == anchor)["enter"]
+    found = elements(lambda n: (n["tag"] == tag) & (n["enter"] < limit))
+    return F.get(found, F.size(found) - 1)
 
-def nearest_before(nodes: DataFrame, tag: str, anchor: str) -> DataFrame:
-    """page_id, enter, exit of the last `tag` that starts before the first `anchor`."""
-    first = nodes.where(F.col("tag") == anchor).groupBy("page_id").agg(F.min("enter").alias("limit"))
-    return nodes.where(F.col("tag") == tag).join(first, "page_id").where("enter < limit").groupBy("page_id").agg(F.max_by(F.struct("enter", "exit"), "enter").alias("b")).select("page_id", "b.*")
 
+def next_sibling(anchor: str, tag: str) -> Column:
+    """The first `tag` after the first `anchor` under the same parent."""
+    first = first_element(lambda n: n["tag"] == anchor)
+    return first_element(lambda n: (n["tag"] == tag) & (n["enter"] > first["exit"]) & (n["parent_id"] == first["parent_id"]))
 
-def next_sibling(nodes: DataFrame, anchor: str, tag: str) -> DataFrame:
-    """page_id, enter, exit of the first `tag` after the first `anchor` under the same parent."""
-    first = nodes.where(F.col("tag") == anchor).groupBy("page_id").agg(F.min_by(F.struct("exit", "parent_id"), "enter").alias("h")).select("page_id", F.col("h.exit").alias("after"), F.col("h.parent_id").alias("parent"))
-    later = nodes.where(F.col("tag") == tag).join(first, "page_id").where("enter > after and parent_id = parent")
-    return later.groupBy("page_id").agg(F.min_by(F.struct("enter", "exit"), "enter").alias("b")).select("page_id", "b.*")
 
+def meta_content(key: str) -> Column:
+    """The content of the first meta of that property, else of that name; empty where neither says anything, null without a meta of it."""
+    def by_kind(kind: str) -> Column:
+        return first_element(lambda n: (n["tag"] == "meta") & (n["attrs"][kind] == key))
 
-def meta_content(nodes: DataFrame, key: str) -> DataFrame:
-    """page_id, content: of the first meta of that property, else of that name."""
-    metas = nodes.where("tag = 'meta'")
-    by = [first_by(metas, F.col("attrs")[kind] == key, F.col("attrs")["content"]).withColumnRenamed("v0", kind) for kind in ("property", "name")]
-    return by[0].join(by[1], "page_id", "full").select("page_id", F.coalesce(F.nullif("property", F.lit("")), F.nullif("name", F.lit("")), F.lit("")).alias("content"))
+    by = [by_kind("property"), by_kind("name")]
+    return F.when(by[0].isNotNull() | by[1].isNotNull(), first_nonempty(*[x["attrs"]["content"] for x in by]))
 
 
 def resolve_sections(anchors: DataFrame, primary: DataFrame) -> DataFrame:

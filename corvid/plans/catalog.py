@@ -253,10 +253,8 @@ def paragraph_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query(r"""
 SELECT page_id, coalesce(regexp_extract_all(split_part(html, '<h1>', 1), '<a href="[^"]*">([^<]*)</a>', 1)[-1], '') AS kicker FROM pages""")
 def kicker_before_h1(spark: SparkSession, sf: str) -> DataFrame:
-    """The nearest anchor before the headline, over the node relation."""
-    nodes = dom.html_nodes(t(spark, sf, "pages"))
-    found = dom.text_of(dom.nearest_before(nodes, "a", "h1"), nodes).select("page_id", "raw")
-    return t(spark, sf, "pages").select("page_id").join(found, "page_id", "left").select("page_id", F.coalesce("raw", F.lit("")).alias("kicker"))
+    """The nearest anchor before the headline, over the trees of the pages."""
+    return dom.trees(t(spark, sf, "pages")).select("page_id", F.coalesce(dom.text_in(dom.nearest_before("a", "h1")), F.lit("")).alias("kicker"))
 
 
 _NAV = r"""
@@ -522,9 +520,8 @@ def cache_urls(spark: SparkSession, sf: str) -> DataFrame:
 # --- DOM, relation tier, and whole extractions: no SQL counterpart
 @query()
 def dom_densest_container(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = dom.html_nodes(t(spark, sf, "pages"))
-    best = dom.densest_container(nodes)
-    return dom.paragraphs_in(best, nodes).select("page_id", text.collapse("text").alias("text"))
+    found = dom.trees(t(spark, sf, "pages")).withColumn("best", dom.densest_container()).where("best is not null")
+    return found.select("page_id", text.collapse(dom.paragraphs_of(F.col("best"))).alias("text"))
 
 
 @query("SELECT page_id, len(regexp_extract_all(html, '<p[ >]')) AS n_p, len(regexp_extract_all(html, '<a ')) AS n_a FROM pages")

@@ -98,35 +98,36 @@ def site_c_pages(spark: SparkSession, sf: str) -> DataFrame:
     return extract_pages(_parts(spark, sf).select(filled("https://c/1/x/s{k}").alias("url"), F.concat(head, byline, date, body).alias("html")), SITES["c"])
 
 
-# --- DOM relation
-def _nodes(spark: SparkSession, sf: str, html: Column) -> DataFrame:
-    return dom.html_nodes(_parts(spark, sf).select(F.col("k").alias("page_id"), html.alias("html")))
+# --- DOM trees
+def _trees(spark: SparkSession, sf: str, html: Column) -> DataFrame:
+    return dom.trees(_parts(spark, sf).select(F.col("k").alias("page_id"), html.alias("html")))
 
 
 @query(f"SELECT k AS page_id, CASE k % 3 WHEN 0 THEN 'P ' || p_name WHEN 1 THEN 'N ' || p_name ELSE '' END AS content {_K}")
 def dom_meta(spark: SparkSession, sf: str) -> DataFrame:
     html = by_case(F.col("k") % 3, '<meta name="og:title" content="N"><meta property="og:title" content="P {p_name}">', '<meta property="og:title" content=""><meta name="og:title" content="N {p_name}">', '<meta property="og:title" content="">')
-    return dom.meta_content(_nodes(spark, sf, html), "og:title")
+    return _trees(spark, sf, html).select("page_id", dom.meta_content("og:title").alias("content"))
 
 
 @query(f"SELECT k AS page_id, 'Deck ' || k AS raw {_K} WHERE k % 2 = 0")
 def dom_deck_after_h1(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = _nodes(spark, sf, by_case(F.col("k") % 2, "<div><h2>no</h2><h1>T</h1><p>z</p><h2>Deck {k}</h2><h2>later</h2></div>", "<div><h1>T</h1></div><h2>other parent</h2>"))
-    return dom.text_of(dom.next_sibling(nodes, "h1", "h2"), nodes).select("page_id", "raw")
+    trees = _trees(spark, sf, by_case(F.col("k") % 2, "<div><h2>no</h2><h1>T</h1><p>z</p><h2>Deck {k}</h2><h2>later</h2></div>", "<div><h1>T</h1></div><h2>other parent</h2>"))
+    return trees.select("page_id", dom.text_in(dom.next_sibling("h1", "h2")).alias("raw")).where("raw is not null")
 
 
 @query(f"SELECT k AS page_id, CASE WHEN k % 3 = 0 THEN 1 ELSE 2 END AS rank, CASE k % 3 WHEN 0 THEN 'first ' || k || ' more' ELSE 'second ' || k END AS text {_K} WHERE k % 3 < 2")
 def dom_chain_container(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = _nodes(spark, sf, by_case(F.col("k") % 3, '<div id="b"><p>no</p></div><div id="a"><p>first {k}</p><i>x</i><p>more</p></div>', '<div id="b"><p>second {k}</p></div>', "<div><p>z</p></div>"))
-    found = dom.chain_container(nodes, ["a", "b"])
-    return found.select("page_id", "rank").join(dom.paragraphs_in(found, nodes), "page_id").select("page_id", F.col("rank").cast("int").alias("rank"), "text")
+    trees = _trees(spark, sf, by_case(F.col("k") % 3, '<div id="b"><p>no</p></div><div id="a"><p>first {k}</p><i>x</i><p>more</p></div>', '<div id="b"><p>second {k}</p></div>', "<div><p>z</p></div>"))
+    found, rank = dom.chain_container(["a", "b"])
+    return trees.where(found.isNotNull()).select("page_id", rank.cast("int").alias("rank"), dom.paragraphs_of(found).alias("text"))
 
 
 @query(f"SELECT k AS page_id, CASE k % 3 WHEN 0 THEN 'a b c ' || k ELSE 'p q r' END AS text {_K} WHERE k % 3 < 2")
 def dom_densest_built(spark: SparkSession, sf: str) -> DataFrame:
     """The most own paragraphs, the first of equals, none below three."""
-    nodes = _nodes(spark, sf, by_case(F.col("k") % 3, "<div><p>x</p><p>y</p><p>z</p></div><section><p>a</p><p>b</p><p>c</p><p>{k}</p></section>", "<div><p>p</p><p>q</p><p>r</p></div><div><p>x</p><p>y</p><p>z</p></div>", "<div><p>x</p><p>y</p></div>"))
-    return dom.paragraphs_in(dom.densest_container(nodes), nodes).select("page_id", text.collapse("text").alias("text"))
+    trees = _trees(spark, sf, by_case(F.col("k") % 3, "<div><p>x</p><p>y</p><p>z</p></div><section><p>a</p><p>b</p><p>c</p><p>{k}</p></section>", "<div><p>p</p><p>q</p><p>r</p></div><div><p>x</p><p>y</p><p>z</p></div>", "<div><p>x</p><p>y</p></div>"))
+    found = trees.withColumn("best", dom.densest_container()).where("best is not null")
+    return found.select("page_id", text.collapse(dom.paragraphs_of(F.col("best"))).alias("text"))
 
 
 @query(f"SELECT k AS page, '/news?page=' || (k + 1) AS href {_K} WHERE k % 3 = 0")

@@ -1,4 +1,4 @@
-"""Sends the package to the executors, so that Python workers find it wherever the driver was started."""
+"""What a job needs of its session: the package in the executors' Python workers, a shared folder to cut lineage in."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SENT: set[str] = set()
 
@@ -23,3 +23,17 @@ def ship(spark: SparkSession) -> SparkSession:
         sc.addPyFile(str(path))
         _SENT.add(sc.applicationId)
     return spark
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the session's checkpoint folder and read from there: what is built on it has a short plan, and survives lost executors.
+    A local session without spark.checkpoint.dir gets a temporary folder; on a cluster that is an error."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+            folder = tempfile.mkdtemp(prefix="corvid-")
+        if not folder:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder)
+    return df.checkpoint()

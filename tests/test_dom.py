@@ -37,17 +37,52 @@ def test_relation_is_the_tree(nodes) -> None:  # noqa: ANN001
         assert got == want
 
 
-def test_densest(nodes) -> None:  # noqa: ANN001
-    found = {r["page_id"]: r for r in dom.densest_container(nodes).collect()}
-    assert set(found) == {2} and found[2]["n"] == 3 and found[2]["enter"] == dom.Page(PAGES[2]).densest().enter
-    assert dom.paragraphs_in(dom.densest_container(nodes), nodes).first()["text"] == "a b c"
-
-
-def test_neighbours(nodes) -> None:  # noqa: ANN001
-    assert dom.text_of(dom.nearest_before(nodes, "a", "h1"), nodes).first()["raw"].split() == ["Uni", "x"]
-    assert dom.text_of(dom.next_sibling(nodes, "h1", "h2"), nodes).first()["raw"] == "Deck"
-    assert {r["page_id"]: r["content"] for r in dom.meta_content(nodes, "og:title").collect()} == {4: "by name"}
-    assert dom.chain_container(nodes, ["none"]).count() == 0
+@pytest.fixture(scope="module")
+def trees(spark):  # noqa: ANN001, ANN201
+    return dom.trees(spark.createDataFrame(list(PAGES.items()), "page_id bigint, html string")).cache()
+
+
+def test_trees_are_the_tree(trees) -> None:  # noqa: ANN001
+    """Numbers, spans of text and own paragraphs of each element, against the tree in Python."""
+    texts = F.transform("nodes", dom.text_in)
+    for r in trees.select("page_id", "nodes", texts.alias("texts")).collect():
+        want = [n for n in dom.Page(PAGES[r["page_id"]]).nodes if n.tag != "#text"]
+        assert [(n["enter"], n["exit"], n["parent_id"], n["tag"], n["attrs"], n["paragraphs"]) for n in r["nodes"]] == [(n.enter, n.exit, n.parent.enter, n.tag, n.attrs, sum(c.tag == "p" for c in n.children)) for n in want]
+        assert r["texts"] == ["" if n.tag in dom.HIDDEN else n.raw() for n in want]
+
+
+def test_densest(trees) -> None:  # noqa: ANN001
+    found = {r["page_id"]: r for r in trees.withColumn("best", dom.densest_container()).where("best is not null").select("page_id", "best", dom.paragraphs_of(F.col("best")).alias("text")).collect()}
+    assert set(found) == {2} and found[2]["best"]["paragraphs"] == 3 and found[2]["best"]["enter"] == dom.Page(PAGES[2]).densest().enter
+    assert found[2]["text"] == "a b c"
+
+
+def test_neighbours(trees) -> None:  # noqa: ANN001
+    both = trees.where("page_id = 3").select(dom.text_in(dom.nearest_before("a", "h1")).alias("a"), dom.text_in(dom.next_sibling("h1", "h2")).alias("h2")).first()
+    assert both["a"].split() == ["Uni", "x"] and both["h2"] == "Deck"
+    assert trees.select(dom.nearest_before("a", "h1").alias("x")).where("x is not null").count() == 1
+    assert {r["page_id"]: r["c"] for r in trees.select("page_id", dom.meta_content("og:title").alias("c")).where("c is not null").collect()} == {4: "by name"}
+    assert trees.where(dom.chain_container(["none"])[0].isNotNull()).count() == 0
+
+
+def test_a_plan_parses_once(spark) -> None:  # noqa: ANN001
+    pages = spark.createDataFrame(list(PAGES.items()), "page_id bigint, html string")
+    best = dom.densest_container()
+    found = dom.trees(pages).select("page_id", dom.paragraphs_of(best).alias("text"), dom.text_in(dom.nearest_before("a", "h1")).alias("kicker"), dom.meta_content("og:title").alias("title"), dom.paragraphs_of(dom.chain_container(["a"])[0]).alias("chain"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan and "Join" not in plan
+    assert found.count() == 6
+
+
+@pytest.mark.parametrize("most", [1, 2, 5, 7, 100])
+def test_followed(spark, most) -> None:  # noqa: ANN001
+    """A long chain, a loop, and a link that leads nowhere."""
+    step = lambda n: f'<ol class="index-pagination"><a href="/l?page={n}">Next</a></ol>'
+    chain = [(f"https://h/l?page={i}", step(i + 1)) for i in range(1, 61)]
+    for rows, want in ((chain, 60), (chain[:4] + [("https://h/l?page=5", step(2))], 5), (chain[:3], 3)):
+        got = dom.followed(spark.createDataFrame(rows, "url string, html string"), "https://h/l?page=1", most)
+        assert sorted((r["page"], r["url"]) for r in got.select("page", "url").collect()) == sorted((i, f"https://h/l?page={i}") for i in range(1, min(want, most) + 1))
+    assert got._jdf.queryExecution().analyzed().toString().count("Join") <= 1, "the plan doesn't grow with the walk"
 
 
 def extracted(spark, site: str, url: str, html: str, inner: str = "") -> dict:  # noqa: ANN001
