@@ -48,7 +48,12 @@ class ByteLevel:
             self.spelled[i] = bytes(symbols[c] for c in token)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(self.own.ids(" " + x), "<u4").astype(np.int64) for x in texts]
+        return [np.frombuffer(self._ids(x), "<u4").astype(np.int64) for x in texts]
+
+    def _ids(self, text: str) -> bytes:
+        """Ids of a space and the text: where the cut into pieces is proved, the first piece stands for a space and itself like the others."""
+        pieces = self.own._pieces(text)
+        return self.own.ids(" " + text) if pieces is None else b"".join(map(self.own.bytes.__getitem__, pieces))
 
 
 class Pieces:
@@ -96,7 +101,7 @@ class Aligner:
         counts = [np.array([len(x[s]) for x in whole]) for s in (1, 2)]
         ends = [np.cumsum(size[x]) for size, x in zip(self.sizes, ids, strict=True)]
         texts_end = np.cumsum([len(raw[i]) for i in row])
-        cuts = np.intersect1d(*ends)
+        cuts = np.intersect1d(*ends, assume_unique=all(size[x].min() > 0 for size, x in zip(self.sizes, ids, strict=True)))
         group = [np.searchsorted(cuts, e) for e in ends]
         low, high = np.searchsorted(ends[1], ends[0], "left"), np.searchsorted(ends[1], ends[0], "right")
         linked_a, linked_b = np.repeat(np.arange(len(low)), high - low), ranges(low, high - low)
