@@ -17,9 +17,10 @@ from ..functions.text import clean_text
 from ..operators import merge
 from ..operators.sampling import first_rows, until_quota
 from ..schema import ARTICLE, ARTICLE_COLS, conform
-from ..ship import ship
+from ..ship import cut, ship
 from ..sources.changelog import ChangeLog
 from ..sources.files import deleted, exists, read_csv, write_csv
+from . import live as live_input
 from .discover import INPUTS, discover
 from .quality import metrics
 from .sites import SITES, SiteSpec, extract_pages
@@ -185,12 +186,27 @@ def captured(spark: SparkSession, folder: str, out: str, key: str, config: dict,
     return discover(spark, key, site_config(config, key), tables, f"{out}/cache/{key}.json", refresh, now), pages
 
 
+def live(spark: SparkSession, out: str, key: str, config: dict, refresh: bool, now: str, logged: bool) -> tuple[DataFrame, DataFrame]:
+    """Candidates and pages of a site, fetched into <out>/fetched/<key>: a run that was cut off goes on from there."""
+    folder = f"{out}/fetched/{key}"
+    candidates = cut(discover(spark, key, config, live_input.tables(spark, key, config, folder), f"{out}/cache/{key}.json", refresh, now))
+    if refresh:
+        held = spark.createDataFrame([], "url string")
+    elif logged:
+        held = ChangeLog(spark, f"{out}/log/{key}").held().where("filled").select("url")
+    else:
+        held = read_csv(spark, f"{out}/{key}.csv").where(F.trim("text") != "").select("url")
+    return candidates, live_input.pages(spark, candidates, held, config, folder)
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="corvid", description="Build the article corpus from captured pages.")
     p.add_argument("--site", required=True, choices=[*sorted(SITES), "all"])
     p.add_argument("--overwrite", action="store_true", help="full refresh instead of an incremental merge")
     p.add_argument("--combined", action="store_true", help="also write the combined corpus")
-    p.add_argument("--input", required=True, help="folder with <site>_pages and either <site>_candidates or the tables discovery reads, as Parquet")
+    source = p.add_mutually_exclusive_group(required=True)
+    source.add_argument("--input", help="folder with <site>_pages and either <site>_candidates or the tables discovery reads, as Parquet")
+    source.add_argument("--fetch", action="store_true", help="fetch discovery's tables and the candidates' pages (needs --config)")
     p.add_argument("--config", help="YAML with defaults and sites")
     p.add_argument("--output", default="output")
     p.add_argument("--log", action="store_true", help="keep each corpus as changes and write only what the run changes; with --combined also export the whole as CSV")
@@ -204,12 +220,18 @@ def main(argv: list[str] | None = None) -> int:
     keys = list(SITES) if a.site == "all" else [a.site]
     config = load_config(a.config) if a.config else {}
     now = time.strftime("%Y-%m-%dT%H:%M:%S+00:00", time.gmtime())
-    inputs = {k: captured(ship(spark), a.input, a.output, k, config, a.overwrite, now) for k in keys}
+    ship(spark)
+    if a.fetch:
+        inputs = {k: live(spark, a.output, k, site_config(config, k), a.overwrite, now, a.log) for k in keys}
+    else:
+        inputs = {k: captured(spark, a.input, a.output, k, config, a.overwrite, now) for k in keys}
     if a.log:
         if a.overwrite:
             for k in keys:
                 deleted(spark, f"{a.output}/log/{k}")
         run_log(spark, inputs, a.output, config=config or None, export=a.combined)
-        return 0
-    run(spark, inputs, a.output, incremental=not a.overwrite, write_combined=a.combined, config=config or None)
+    else:
+        run(spark, inputs, a.output, incremental=not a.overwrite, write_combined=a.combined, config=config or None)
+    for k in keys if a.fetch else ():  # the next run asks anew
+        deleted(spark, f"{a.output}/fetched/{k}")
     return 0

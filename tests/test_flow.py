@@ -116,42 +116,6 @@ def test_rows_without_a_year_have_no_quota(spark) -> None:  # noqa: ANN001
     assert sorted(r["pos"] for r in sampling.until_quota(rows, ["year"], ["pos"], 1).collect()) == [0, 1, 3, 4]
 
 
-def test_fetch(spark) -> None:  # noqa: ANN001
-    """Retries, statuses and robots rules against a server on this machine."""
-    import threading
-    from http.server import BaseHTTPRequestHandler, HTTPServer
-
-    seen: list = []
-
-    class Handler(BaseHTTPRequestHandler):
-        def do_GET(self) -> None:  # noqa: N802
-            seen.append((self.path, self.headers["User-Agent"]))
-            status, body = 200, b"<p>ok</p>"
-            if self.path == "/robots.txt":
-                body = b"User-agent: *\nDisallow: /private"
-            elif self.path == "/gone":
-                status = 404
-            elif self.path == "/busy" and sum(p == "/busy" for p, _ in seen) < 3:
-                status = 503
-            self.send_response(status)
-            self.end_headers()
-            self.wfile.write(body)
-
-        def log_message(self, *_) -> None:  # noqa: ANN002
-            pass
-
-    server = HTTPServer(("127.0.0.1", 0), Handler)
-    threading.Thread(target=server.serve_forever, daemon=True).start()
-    base = f"http://127.0.0.1:{server.server_port}"
-    urls = spark.createDataFrame([(f"{base}/{p}",) for p in ("a", "busy", "gone", "private/x")] + [("http://127.0.0.1:9/none",)], "url string")
-    config = {"agent": "corvid-test", "rate_limit": {"delay_min": 0, "delay_max": 0, "max_concurrency": 2}, "backoff": 0, "retries": 2, "timeout": 5}
-    got = {r["url"].rsplit("/", 1)[1]: (r["status"], r["html"]) for r in web.fetched(urls, config).collect()}
-    server.shutdown()
-    assert got == {"a": (200, "<p>ok</p>"), "busy": (200, "<p>ok</p>"), "gone": (404, None), "x": (None, None), "none": (None, None)}
-    assert sum(p == "/busy" for p, _ in seen) == 3 and sum(p == "/gone" for p, _ in seen) == 1 and not any("private" in p for p, _ in seen)
-    assert {a for _, a in seen} == {"corvid-test"}
-
-
 def test_main_from_sitemaps_to_csv(spark, tmp_path) -> None:  # noqa: ANN001
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     url = lambda y, i: f"https://n.example.com/{y}/05/0{i}/a/s{i}/"
