@@ -72,7 +72,7 @@ def clean(raw: str | None) -> str:
 
 @F.pandas_udf(StringType())
 def _clean_udf(x: pd.Series) -> pd.Series:
-    return x.map(clean)
+    return x.map(clean, na_action="ignore")
 
 
 @F.pandas_udf(StringType())
@@ -80,8 +80,14 @@ def _nfkc_udf(x: pd.Series) -> pd.Series:
     return x.map(lambda s: unicodedata.normalize("NFKC", s), na_action="ignore")
 
 
+#: What needs the parser or normalization: a tag, what may be an entity, a character that isn't known to be its own compatibility form.
+_NOT_PLAIN = r"[^\x00-;=-\x7f\u00c0-\u00ff\u2013\u2014\u2018-\u201d]|&[A-Za-z#]"
+
+
 def clean_text(x: Column | str) -> Column:
-    return _clean_udf(_c(x))
+    """clean(): plain texts inside the JVM; the parser gets the others, nulls for what is done."""
+    rest = F.coalesce(_c(x).rlike(_NOT_PLAIN), F.lit(False))
+    return F.when(rest, _clean_udf(F.when(rest, _c(x)))).otherwise(clean_plain(x))
 
 
 def nfkc(x: Column | str) -> Column:

@@ -135,6 +135,12 @@ def byline_in_text(spark: SparkSession, sf: str) -> DataFrame:
     return t(spark, sf, "documents").select("doc_id", text.byline_in_text(F.concat(F.lit("Story By "), F.col("text"), F.lit(" and By Ann Lee Bo"))).alias("author"))
 
 
+@query(r"SELECT doc_id, md5(trim(regexp_replace(coalesce(text, ''), '[\s\x0b\x1c-\x1f\x85\p{Z}]+', ' ', 'g'))) AS cleaned FROM documents")
+def clean_text_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts without markup, whose SQL is therefore a matter of white space; most stay in the JVM."""
+    return t(spark, sf, "documents").select("doc_id", F.md5(text.clean_text("text")).alias("cleaned"))
+
+
 @query()
 def clean_text_full(spark: SparkSession, sf: str) -> DataFrame:
     return t(spark, sf, "pages").select("page_id", F.md5(text.clean_text("html")).alias("cleaned"))

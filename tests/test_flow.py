@@ -55,6 +55,20 @@ def test_until_quota(spark, seed) -> None:  # noqa: ANN001
     assert sorted(x["pos"] for x in got.collect()) == want
 
 
+def test_ranks_and_quotas_of_a_large_group(spark) -> None:  # noqa: ANN001
+    """Most rows in one group: it is many tasks for ranks, and few rows of a task for quotas; names that clash."""
+    df = spark.range(20_000, numPartitions=8).select(F.when(F.col("id") % 10 < 9, 2020).otherwise(F.lit(None)).cast("int").alias("g"), F.hash("id").alias("k"), F.col("id").alias("n"), F.lit("x").alias("row"))
+    rows = sampling.ranked(df, ["g"], ["k", "n"])
+    got = rows.select("row.g", "row.k", "row.n", F.col("k").alias("rank"), F.col("n").alias("size")).collect()
+    for g in (2020, None):
+        mine = sorted((r["k"], r["n"], r["rank"], r["size"]) for r in got if r["g"] == g)
+        assert [x[2] for x in mine] == list(range(len(mine))) and {x[3] for x in mine} == {len(mine)}
+    limited = sampling.until_quota(df, ["g"], ["k"], 3)
+    assert "WindowGroupLimit" in limited._jdf.queryExecution().executedPlan().toString() and limited.columns == df.columns
+    assert limited.where("g is not null").count() == 3 and limited.where("g is null").count() == 2000
+    assert sampling.even_spread(df, ["g"], ["k"], 4).groupBy("g").count().orderBy("g").collect() == [(None, 4), (2020, 4)]
+
+
 @pytest.mark.parametrize(("mode", "want"), [("literal", [("A", "x"), ("C", "c")]), ("intent", [("A", "x"), ("B", "fresh"), ("C", "c")])])
 def test_merge_modes(spark, mode, want) -> None:  # noqa: ANN001
     schema = "url string, text string, pos int"

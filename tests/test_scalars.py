@@ -119,3 +119,14 @@ def test_urls(value) -> None:  # noqa: ANN001
 def test_first_nonempty(value) -> None:  # noqa: ANN001
     assert value(text.first_nonempty("x", F.lit(None).cast("string"), F.lit("b")), "") == "b"
     assert value(text.first_nonempty("x"), None) == ""
+
+
+def test_plain_texts_need_no_python(spark) -> None:  # noqa: ANN001
+    """clean_text equals clean() for every character alone and between letters, and sends only what needs it to Python."""
+    some = [chr(c) for c in range(1, 0x2100)] + ["a & b", "a&amp;b", "&&&", "x &lt y", "&#65;", "A\u030a", "ﬁ", "<b>x</b>", "x < y", "  ", "", "“q” – ‘r’ — é"]
+    rows = [(x,) for y in some for x in (y, f"a{y}b {y} c")]
+    got = spark.createDataFrame(rows, "x string").select("x", text.clean_text("x").alias("c")).collect()
+    assert [r["x"] for r in got if r["c"] != text.clean(r["x"])] == []
+    assert spark.createDataFrame([(None,)], "x string").select(text.clean_text("x").alias("c")).first()["c"] == ""
+    plain = spark.createDataFrame([("a & b",), ("é “q”",), ("x<y",), ("a&b",)], "x string")
+    assert [r[0] for r in plain.where(~F.col("x").rlike(text._NOT_PLAIN)).collect()] == ["a & b", "é “q”"]
