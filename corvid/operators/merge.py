@@ -92,13 +92,13 @@ PRECEDENCE: dict[str, dict[str, str]] = {
 
 
 def fields_merged(discovered: DataFrame, pages: DataFrame, precedence: dict[str, str], url: str = "url") -> DataFrame:
-    """One row for each discovered URL whose page has text: url, text and the merged fields; other columns of discovered stay."""
+    """One row for each discovered URL whose page has text: url, text and the merged fields; other columns of discovered stay, but lastmod and a text of its own."""
     p, d = pages.alias("p"), discovered.alias("d")
 
     def pick(field: str) -> Column:
         sides = {"p": f"p.{field}", "d": f"d.{field}", "l": "d.lastmod"}
         return first_nonempty(*[F.col(sides[s]) for s in precedence[field]]).alias(field) if precedence[field] else F.lit("").alias(field)
 
-    rest = [f"d.{c}" for c in discovered.columns if c != url and c not in precedence and c != "lastmod"]
+    rest = [f"d.`{c}`" for c in discovered.columns if c not in (url, "text", "lastmod") and c not in precedence]
     return d.join(p, F.col(f"d.{url}") == F.col(f"p.{url}")).where(F.trim(F.col("p.text")) != "").select(F.col(f"d.{url}").alias(url), *map(pick, precedence), "p.text", *rest)
 

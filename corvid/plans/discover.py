@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import discovery, sampling
 from ..operators.dom import anchors, followed
+from ..ship import cut
 from ..sources import xml
 from ..sources.files import read_cache, write_cache
 from .sites import SECTION_PAGES
@@ -67,7 +68,7 @@ def _discover_d(spark, config: dict, inputs: dict, cache) -> DataFrame:  # noqa:
     first, last = int(config["year_start"]), int(config["year_end"])
 
     def scan() -> DataFrame:
-        listing = discovery.page_articles(anchors(inputs["listings"].select("page", "html")), base)
+        listing = cut(discovery.page_articles(anchors(inputs["listings"].select("page", "html")), base))  # read three times, parsed once
         years = spark.range(first, last + 1).select(F.col("id").cast("int").alias("year"))
         pages = discovery.year_pages(listing, years, last, int(config.get("pages_per_year", 28)), int(config.get("page_window", 3)), int(config.get("max_pages", 400)))
         return discovery.year_records(listing, pages).select("year", "url", "title", F.lit("").alias("author"), F.lit("").alias("publication_date"), F.lit(label).alias("section"))

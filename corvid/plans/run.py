@@ -183,13 +183,13 @@ def captured(spark: SparkSession, folder: str, out: str, key: str, config: dict,
     if exists(spark, ready):
         return spark.read.parquet(ready), pages
     tables = {name: spark.read.parquet(f"{folder}/{key}_{name}") for name in INPUTS[key] if exists(spark, f"{folder}/{key}_{name}")}
-    return discover(spark, key, site_config(config, key), tables, f"{out}/cache/{key}.json", refresh, now), pages
+    return discover(spark, key, site_config(config, key), tables, f"{out}/cache/{key}", refresh, now), pages
 
 
 def live(spark: SparkSession, out: str, key: str, config: dict, refresh: bool, now: str, logged: bool) -> tuple[DataFrame, DataFrame]:
     """Candidates and pages of a site, fetched into <out>/fetched/<key>: a run that was cut off goes on from there."""
     folder = f"{out}/fetched/{key}"
-    candidates = cut(discover(spark, key, config, live_input.tables(spark, key, config, folder), f"{out}/cache/{key}.json", refresh, now))
+    candidates = cut(discover(spark, key, config, live_input.tables(spark, key, config, folder), f"{out}/cache/{key}", refresh, now))
     if refresh:
         held = spark.createDataFrame([], "url string")
     elif logged:

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, text, urls
-from ..operators import discovery, dom
-from ..schema import empty_page
+from ..operators import discovery, dom, merge
+from ..schema import ARTICLE_COLS, empty_page
+from ..ship import shared
 from ..sources import files, xml
+from ..sources.changelog import ChangeLog
 from .catalog import _LISTING, _MAPPED, _listing, _order_urls, _sitemaps, query, t
 from .discover import discover
 from .sites import SITES, extract_pages
@@ -268,6 +271,31 @@ def cache_url_rows(spark: SparkSession, sf: str) -> DataFrame:
     return files.cached_rows(files.cache_document(rows, "urls", {}, "now"), "urls").select("year", "url")
 
 
+@query("SELECT DISTINCT year(o_orderdate)::INT AS year, 'u' || o_custkey % 4000 AS url FROM orders WHERE year(o_orderdate) <> 1996 UNION ALL SELECT 1996, 'z' || o_orderkey FROM orders WHERE year(o_orderdate) = 1996")
+def cache_by_year(spark: SparkSession, sf: str) -> DataFrame:
+    """A cache folder, written whole and then one year anew."""
+    path = f"{shared(spark)}/cache-{uuid.uuid4().hex}"
+    o = t(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
+    files.write_cache(o.select("year", F.concat(F.lit("u"), (F.col("o_custkey") % 4000).cast("string")).alias("url")), path, "urls", {"year_end": 2001}, "now")
+    files.write_cache(o.where("year = 1996").select("year", F.concat(F.lit("z"), F.col("o_orderkey").cast("string")).alias("url")), path, "urls", {"year_end": 2001}, "later", years_only=True)
+    return files.read_cache(spark, path, "urls", {"year_end": 2001})
+
+
+# --- corpora kept as changes
+@query("""
+WITH c AS (SELECT o_orderkey, 'u' || o_custkey AS url, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 't' || o_orderkey END AS text, (o_orderkey % 4)::INT AS step FROM orders),
+f AS (SELECT url, step, arg_min(text, o_orderkey) AS text FROM c GROUP BY url, step)
+SELECT url, CASE WHEN count(*) FILTER (WHERE text <> '') > 0 THEN arg_min(text, step) FILTER (WHERE text <> '') ELSE '' END AS text FROM f GROUP BY url""")
+def change_log_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Four runs over one corpus, as changes: the first text of a URL stays, a blank one is replaced by a later run."""
+    log = ChangeLog(spark, f"{shared(spark)}/log-{uuid.uuid4().hex}", fold=2)
+    o = t(spark, sf, "orders").select(F.col("o_orderkey").alias("pos"), F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("url"), F.when(F.col("o_orderkey") % 3 == 0, "").otherwise(filled("t{o_orderkey}")).alias("text"))
+    for step in range(4):
+        new = o.where(F.col("pos") % 4 == step).select("pos", *[F.col(c) if c in ("url", "text") else F.lit("").alias(c) for c in ARTICLE_COLS])
+        log.commit(merge.changes(log.held(), new))
+    return log.read("text").select("url", "text")
+
+
 # --- scalars
 @query(f"SELECT k, k % 4 IN (0, 1) AS is_article, k % 4 = 3 AS is_game {_K}")
 def url_slug_article(spark: SparkSession, sf: str) -> DataFrame:
@@ -288,6 +316,6 @@ def byline_people_join(spark: SparkSession, sf: str) -> DataFrame:
     return _parts(spark, sf).select("k", text.byline_people(names, raw).alias("author"))
 
 
-@query(f"SELECT k, '' AS text, '' AS title, '' AS author, '' AS publication_date, '' AS subtitle, '' AS section, '' AS subsection {_K} WHERE k < 10")
+@query(f"SELECT k, '' AS text, '' AS title, '' AS author, '' AS publication_date, '' AS subtitle, '' AS section, '' AS subsection {_K}")
 def empty_page_record(spark: SparkSession, sf: str) -> DataFrame:
-    return _parts(spark, sf).where("k < 10").select("k", empty_page().alias("p")).select("k", "p.*")
+    return _parts(spark, sf).select("k", empty_page().alias("p")).select("k", "p.*")

@@ -25,15 +25,21 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written to the session's checkpoint folder and read from there: what is built on it has a short plan, and survives lost executors.
-    A local session without spark.checkpoint.dir gets a temporary folder; on a cluster that is an error."""
-    sc = df.sparkSession.sparkContext
+def shared(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, spark.checkpoint.dir. A local session without it gets a temporary folder; on a cluster that is
+    an error, for it would be another folder on each machine."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
             folder = tempfile.mkdtemp(prefix="corvid-")
         if not folder:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read from there: what is built on it has a short plan, and survives lost executors."""
+    shared(df.sparkSession)
     return df.checkpoint()

@@ -142,12 +142,12 @@ def test_main_from_sitemaps_to_csv(spark, tmp_path) -> None:  # noqa: ANN001
     rows = files.read_csv(spark, f"{out}/n.csv").collect()
     assert [r["url"] for r in rows] == [url(2019, 1), url(2019, 2), url(2020, 1), url(2020, 2)]
     assert [r["url"] for r in files.read_csv(spark, f"{out}/combined.csv").collect()] == [r["url"] for r in rows]
-    cached = files.read_cache(spark, f"{out}/cache/n.json", "urls", {"host": "n.example.com"})
+    cached = files.read_cache(spark, f"{out}/cache/n", "urls", {"host": "n.example.com"})
     assert cached.count() == 8
     # the cache is used while it fits, and rewritten by a refresh
     spark.createDataFrame([(1, f"<urlset><url><loc>{url(2019, 9)}</loc></url></urlset>")], "file int, xml string").write.mode("overwrite").parquet(f"{folder}/n_sitemaps")
-    assert main(args) == 0 and files.read_cache(spark, f"{out}/cache/n.json", "urls").count() == 8
-    assert main([*args, "--overwrite"]) == 0 and files.read_cache(spark, f"{out}/cache/n.json", "urls").count() == 1
+    assert main(args) == 0 and files.read_cache(spark, f"{out}/cache/n", "urls").count() == 8
+    assert main([*args, "--overwrite"]) == 0 and files.read_cache(spark, f"{out}/cache/n", "urls").count() == 1
 
 
 def test_cut_off_swap_is_mended(spark, tmp_path) -> None:  # noqa: ANN001
@@ -188,8 +188,24 @@ def test_caches(spark, tmp_path, kind) -> None:  # noqa: ANN001
         "metas": spark.createDataFrame([(2016, "b", "t", "", "", "s"), (2017, "a", "", "", "", "")], "year int, url string, title string, author string, publication_date string, section string"),
         "pairs": spark.createDataFrame([(2016, 1, "b", "2016-01-01"), (2016, 0, "b", "")], "year int, pos int, url string, lastmod string"),
     }[kind]
+    folder = str(tmp_path / "c")
+    assert files.write_cache(rows, folder, kind, {"year_end": 2026}, "now") and not files.write_cache(rows.limit(0), folder + "x", kind, {}, "now")
+    back = files.read_cache(spark, folder, kind, {"year_end": 2026})
+    assert {(r["year"], r["url"]) for r in back.collect()} == {(r["year"], r["url"]) for r in rows.collect()}
+    assert files.read_cache(spark, folder, kind, {"year_end": 2025}) is None and files.read_cache(spark, folder, "urls" if kind != "urls" else "pairs") is None
+    assert not files.write_cache(rows.limit(0), folder, kind, {"year_end": 2026}, "later") and files.read_cache(spark, folder, kind).count() == back.count(), "nothing found replaces nothing"
+    # one year anew: the others stay; then all anew
+    one = rows.where("year = 2016").limit(1).withColumn("url", F.lit("z"))
+    assert files.write_cache(one, folder, kind, {"year_end": 2026}, "later", years_only=True)
+    got = {(r["year"], r["url"]) for r in files.read_cache(spark, folder, kind).collect()}
+    assert got == {(2016, "z")} | {(r["year"], r["url"]) for r in rows.where("year <> 2016").collect()}
+    assert files.write_cache(one, folder, kind, {}, "later") and files.read_cache(spark, folder, kind).count() == 1
+    # a writer that died before its manifest
+    files.deleted(spark, f"{folder}/manifest")
+    assert files.read_cache(spark, folder, kind) is None and files.write_cache(one, folder, kind, {}, "later")
+    # the document
     path = str(tmp_path / "c.json")
-    assert files.write_cache(rows, path, kind, {"year_end": 2026}, "now") and not files.write_cache(rows.limit(0), path + "x", kind, {}, "now")
+    assert files.export_cache(rows, path, kind, {"year_end": 2026}, "now") and not files.export_cache(rows.limit(0), path + "x", kind, {}, "now")
     back = files.read_cache(spark, path, kind, {"year_end": 2026})
     assert {(r["year"], r["url"]) for r in back.collect()} == {(r["year"], r["url"]) for r in rows.collect()}
     assert files.read_cache(spark, path, kind, {"year_end": 2025}) is None and files.read_cache(spark, path + "y", kind) is None
