@@ -50,9 +50,50 @@ def merged(existing: DataFrame, new: DataFrame, mode: str = "intent", url: str =
     return kept.withColumn("src_rank", F.lit(0)).unionByName(added.withColumn("src_rank", F.lit(1)))
 
 
+#: Bits of a Bloom filter for each key, hash functions, and the most bits a filter may have (16 MB, broadcast): 13 million keys.
+BLOOM_BITS, BLOOM_HASHES, BLOOM_MOST = 10, 6, 1 << 27
+
+
+def bloom(known: DataFrame, key: str) -> tuple[DataFrame, int] | None:
+    """A Bloom filter of the keys: one row, words array<bigint>, and its number of bits. None where it would be larger than BLOOM_MOST, which is
+    checked before anything is built, and for no keys."""
+    keys = known.select(F.col(key).cast("string").alias("key")).where("key is not null")
+    n = keys.agg(F.approx_count_distinct("key", 0.02)).first()[0]
+    bits = (int(n * 1.1) * BLOOM_BITS + 64) // 64 * 64
+    if not n or bits > BLOOM_MOST:
+        return None
+    at = F.explode(F.array(*[F.pmod(F.xxhash64(F.lit(i), "key"), F.lit(bits)) for i in range(BLOOM_HASHES)])).alias("at")
+    words = keys.select(at).groupBy(F.floor(F.col("at") / 64).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("at") % 64).cast("int"))).alias("bits"))
+    every = known.sparkSession.range(bits // 64).select(F.col("id").alias("word")).join(words, "word", "left").select("word", F.coalesce("bits", F.lit(0)).alias("bits"))
+    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("words")), bits
+
+
+def might_hold(words: Column, bits: int, key: Column) -> Column:
+    """Whether the filter may hold a key: false means it doesn't."""
+    held = F.lit(True)
+    for i in range(BLOOM_HASHES):
+        at = F.pmod(F.xxhash64(F.lit(i), key.cast("string")), F.lit(bits))
+        held = held & (F.bit_get(F.get(words, F.floor(at / 64).cast("int")), (at % 64).cast("int")) == 1)
+    return held
+
+
 def unknown(df: DataFrame, known: DataFrame, key: str = "url") -> DataFrame:
-    """df without the keys of a known set that is much larger than df: the set is narrowed to the keys of df first, a semi join that needs no
-    shuffle of it where df is small. df is read twice."""
+    """df without the keys of a known set, exactly; rows without a key stay.
+
+    Where the set's Bloom filter is small enough to broadcast, rows that it can't hold are done with without a shuffle. The others meet the keys of the set
+    that they ask for: a semi join, which needs no shuffle of the set where they are few. df is read more than once.
+    """
+    made = bloom(known, key)
+    if made is None:
+        return _without(df, known, key)
+    one = F.broadcast(made[0].withColumn("one", F.lit(1)).alias("f"))
+    rows = df.select(F.struct("*").alias("row"), F.lit(1).alias("one")).join(one, "one")
+    judged = rows.select("row", F.coalesce(might_hold(F.col("words"), made[1], F.col("row")[key]), F.lit(False)).alias("maybe"))
+    sure = judged.where(~F.col("maybe")).select("row.*")
+    return sure.unionByName(_without(judged.where("maybe").select("row.*"), known, key))
+
+
+def _without(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     met = known.select(key).join(df.select(key).distinct(), key, "left_semi").distinct()
     return df.join(met, key, "left_anti")
 

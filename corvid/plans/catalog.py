@@ -458,6 +458,13 @@ def anti_skip(spark: SparkSession, sf: str) -> DataFrame:
     return merge.not_in(t(spark, sf, "customer").select("c_custkey", "c_name"), skip, "c_custkey")
 
 
+@query("SELECT o_orderkey, 'u' || o_orderkey AS url FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 3)")
+def skip_known(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidates that aren't held, most of them told apart by a Bloom filter of what is."""
+    held = t(spark, sf, "lineitem").where("l_linenumber = 3").select(F.concat(F.lit("u"), F.col("l_orderkey").cast("string")).alias("url"))
+    return merge.unknown(t(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("u"), F.col("o_orderkey").cast("string")).alias("url")), held)
+
+
 @query("SELECT c_custkey, c_nationkey, coalesce(CASE WHEN n_nationkey % 3 <> 0 THEN n_name END, '') AS section FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
 def left_section_lookup(spark: SparkSession, sf: str) -> DataFrame:
     labels = t(spark, sf, "nation").where("n_nationkey % 3 <> 0").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("section"), F.col("n_nationkey").alias("pos"))

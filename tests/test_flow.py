@@ -55,6 +55,23 @@ def test_until_quota(spark, seed) -> None:  # noqa: ANN001
     assert sorted(x["pos"] for x in got.collect()) == want
 
 
+@pytest.mark.parametrize("most", [1 << 27, 64])
+def test_unknown(spark, monkeypatch, most) -> None:  # noqa: ANN001
+    """Exact with and without the filter, nulls and repeated rows included; with it few rows of the large side are left for the join."""
+    monkeypatch.setattr(merge, "BLOOM_MOST", most)
+    df = spark.range(4000).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("url"), F.col("id").alias("row"), F.lit(1).alias("one")).unionByName(spark.createDataFrame([(None, 7, 1), ("u5", 8, 1), ("new", 9, 1)], "url string, row bigint, one int"))
+    held = spark.range(0, 8000, 2).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("url")).unionByName(spark.createDataFrame([(None,), ("u2",)], "url string"))
+    got = merge.unknown(df, held)
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(f"u{i}", i, 1) for i in range(1, 4000, 2)] + [(None, 7, 1), ("u5", 8, 1), ("new", 9, 1)], key=str)
+    assert merge.unknown(df, held.limit(0)).count() == df.count() and merge.unknown(df.limit(0), held).count() == 0
+    made = merge.bloom(held, "url")
+    assert (made is None) == (most == 64)
+    if made:
+        maybe = df.select("url", F.lit(1).alias("k")).join(F.broadcast(made[0].withColumn("k", F.lit(1))), "k").where(merge.might_hold(F.col("words"), made[1], F.col("url")))
+        assert 2000 <= maybe.where("url is not null").count() < 2100
+
+
 def test_ranks_and_quotas_of_a_large_group(spark) -> None:  # noqa: ANN001
     """Most rows in one group: it is many tasks for ranks, and few rows of a task for quotas; names that clash."""
     df = spark.range(20_000, numPartitions=8).select(F.when(F.col("id") % 10 < 9, 2020).otherwise(F.lit(None)).cast("int").alias("g"), F.hash("id").alias("k"), F.col("id").alias("n"), F.lit("x").alias("row"))
