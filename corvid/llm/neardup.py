@@ -4,19 +4,17 @@ Circulant MinHash: shingles are hashed to a universe of 2^20 values by a first p
 one table, is shifted circularly by k for coordinate k, so coordinate k of a set is min over x of pi[x + k]. BANDS bands of
 ROWS coordinates: two sets of similarity exactly 0.8 share no band with probability (1 - 0.8^5)^32 = 3e-6.
 
-Exact copies (equal shingle sets) meet first and one of them stands for all. Sets that share a band with another are the
-candidates; which of them are linked is found exactly, without the pairs of a bucket:
-
-- All candidates' shingles are put in one order, rarest first (by the number of candidates that hold them, then by value). Two
-  linked sets share a shingle among the first n - ceil(0.8 n) + 1 of each, their prefixes. Let s be the first shingle they
-  share; of a set of n shingles with `at` of them before s at most n - at can be shared, so a pair is possible only if
-  min(n - at, n' - at') * 180 >= 80 * (n + n'). Shingles of one candidate only count for `at` but lead nowhere.
-- Of the sets that hold a prefix shingle one is the centre, the one with the least rare shingles before it (ties: the smaller set, then
-  its digest): the most typical of a group of near copies. Possible pairs with the centre are confirmed on the full sets.
-- A shingle's other sets go on only if a possible partner in another component is left among them. Where at most BLOCK
-  sets are left, their possible pairs are confirmed (at most BLOCK a set); where more are left, CENTRES of them are centres of the
-  next round. Every round takes at least one set from each shingle it goes on with, so it ends, and a pair is passed over
-  only if it can't be linked or lies within a component already: no link between components is lost, no bucket is capped.
+Exact copies (equal shingle sets) meet first and one of them stands for all. The sets of a band's bucket propose the pairs:
+
+- Of each bucket one set is the centre, the one whose buckets are largest together (ties: the smaller set, then its digest): the original
+  among near copies shares its buckets with most of them. Pairs of a set and its buckets' centres are confirmed on the full sets.
+- A bucket's sets go on only if a possible partner in another component is left among them: two sets of n and n' shingles can be linked only if the
+  smaller has 80 in 100 of the larger's. In buckets with at most BLOCK of them their pairs are confirmed.
+- Larger ones are compared in blocks by the low bytes of their signatures. Each set's PARTNERS most similar ones of other components are confirmed
+  first; what is then still apart, all pairs whose signatures agree as they do at 0.8 or less by SIGMAS deviations (a miss of 3e-7 a pair).
+
+So there are three rounds of confirmation, however large a bucket is; a pair is passed over only if it can't be linked or lies within a component
+already, and no bucket is capped.
 
 Nulls and empties: a text without words (or null) has no shingle and is linked with nothing; a row with a null id is its own
 class with a null component. Rows that repeat an id count as one node, which has the links of each of them. Words are runs of
@@ -34,11 +32,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Grown, Words, apart, batch_words, grams, mix, table, text_bytes
+from .common import Grown, Words, apart, batch_words, grams, mix, session, table, text_bytes
 from .graph import components
 
 BANDS, ROWS, UNIVERSE_BITS = 32, 5, 20
-BLOCK, CENTRES = 64, 8
+#: Sets of a bucket whose pairs are joined, sets of a block that is compared at once, partners of a set in the first comparison, deviations.
+BLOCK, SIDE, PARTNERS, SIGMAS = 64, 512, 3, 5
 _PI: dict[int, np.ndarray] = {}
 
 
@@ -83,7 +82,7 @@ def _bands(sig: np.ndarray) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, k: int) -> DataFrame:
-    """id, n, whole (digest of the set), bands."""
+    """id, n, whole (digest of the set), bands, sketch (the low byte of each coordinate)."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,10 +94,11 @@ def _signed(docs: DataFrame, k: int) -> DataFrame:
                     whole.append(xxhash.xxh3_128_digest(s) if len(s) else None)
                     sigs.append(signature(s))
             bands = _bands(np.array(sigs, np.uint32)) if sigs else np.empty((0, BANDS), np.int64)
+            sketches = pa.array([x.astype(np.uint8).tobytes() for x in sigs], pa.binary())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(whole, pa.binary()), lists], names=["id", "n", "whole", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(whole, pa.binary()), lists, sketches], names=["id", "n", "whole", "bands", "sketch"])
 
-    return docs.mapInArrow(run, f"id {kind}, n bigint, whole binary, bands array<bigint>")
+    return docs.mapInArrow(run, f"id {kind}, n bigint, whole binary, bands array<bigint>, sketch binary")
 
 
 def _full_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -118,17 +118,19 @@ def _full_sets(docs: DataFrame, k: int) -> DataFrame:
 
 def classes(documents: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of documents."""
+    session(documents.sparkSession)
     docs = documents.select(documents[doc_id].alias("id"), documents[text].cast("string").alias("text"))
     signed = table(_signed(docs, k))
     nodes = signed.where("id is not null and whole is not null")
     same = nodes.groupBy("whole").agg(F.min("id").alias("rep"))
     # one row stands for each distinct set
     reps = nodes.join(same.select("whole", F.col("rep").alias("id")), ["whole", "id"], "left_semi").dropDuplicates(["whole", "id"])
-    buckets = reps.select("id", "whole", F.explode("bands").alias("band"))
-    many = buckets.groupBy("band").agg(F.max("whole").alias("high"), F.min("whole").alias("least")).where("least < high").select("band")
-    met = table(buckets.join(apart(many, "band"), "band", "left_semi").select("id", "whole").distinct())
+    buckets = reps.select("whole", "n", F.explode("bands").alias("s")).distinct()
+    shared = buckets.groupBy("s").agg(F.count("*").alias("size")).where("size > 1")
+    live = table(buckets.join(apart(shared, "s"), "s"))
+    met = table(reps.join(live.select("whole").distinct(), "whole", "left_semi").select("id", "whole", "sketch"))
 
-    near = _linked(docs, met, k, percent)
+    near = _linked(docs, met, live, k, percent)
     copies = nodes.join(apart(same, "whole"), "whole").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     found = components(near.unionByName(copies))
     out = signed.select("id", "n").join(found, F.col("id") == F.col("node"), "left")
@@ -136,17 +138,6 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
-def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """s, at, n, whole: the prefix shingles that another set holds too, and how many shingles of the set come before each."""
-    each = sets.select("whole", "n", F.explode("own").alias("s"))
-    held = each.groupBy("s").agg(F.count("*").alias("sets")).where("sets > 1")
-    shared = each.join(apart(held, "s"), "s").groupBy("whole", "n").agg(F.array_sort(F.collect_list(F.struct("sets", "s"))).alias("order"))
-    lone = F.col("n") - F.size("order")
-    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    first = F.slice("order", 1, F.greatest(F.lit(0), length - lone).cast("int"))
-    return shared.select("whole", "n", lone.alias("lone"), F.posexplode(first["s"]).alias("i", "s")).select("s", (F.col("lone") + F.col("i")).alias("at"), "n", "whole")
-
-
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """pairs (a, b) with linked. The sets that no pair names stay where they are: few pairs, as in later rounds, move few sets."""
     pairs = table(pairs)
@@ -159,12 +150,12 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _alive(live: DataFrame, percent: int) -> DataFrame:
-    """Rows of live (s, at, n, whole, label) that may have a partner of another label under their shingle.
+    """Rows of live (s, n, whole, label) that may have a partner of another label in their bucket.
 
-    A pair is possible if each set's n is within the other's reach, (n - at) * (100 + percent) / percent - n. A row stays if the least
+    A pair is possible if each set's n is within the other's reach, n * 100 / percent. A row stays if the least
     n of another label is within its reach, and its own n within the greatest reach of another label.
     """
-    reach = F.floor((F.col("n") - F.col("at")) * (100 + percent) / percent) - F.col("n")
+    reach = F.floor(F.col("n") * 100 / percent)
     rows = live.withColumn("reach", reach)
     by_label = rows.groupBy("s", "label").agg(F.min("n").alias("n"), F.max("reach").alias("reach"))
     # of each shingle the best label, and the best of the others
@@ -176,14 +167,49 @@ def _alive(live: DataFrame, percent: int) -> DataFrame:
     near = F.when(F.col("label") == F.col("n1.label"), F.col("n2")).otherwise(F.col("n1.n"))
     far = F.when(F.col("label") == F.col("r1.label"), F.col("r2")).otherwise(F.col("r1.reach"))
     kept = rows.join(apart(best, "s"), "s").where((near <= F.col("reach")) & (far >= F.col("n")))
-    return kept.select("s", "at", "n", "whole", "label")
-
-
-def _linked(docs: DataFrame, met: DataFrame, k: int, percent: int) -> DataFrame:
-    """Edges (a, b) between ids that join all linked sets of met (id, whole)."""
+    return kept.select("s", "n", "whole", "label")
+
+
+def _similar(rows: DataFrame, sketches: DataFrame, percent: int, partners: int | None) -> DataFrame:
+    """p, q: pairs of rows (s, n, whole, label) of one bucket and different labels whose sketches say that they may be linked; partners: only the most
+    similar ones of each set in each pair of blocks."""
+    p = percent / 100
+    least = p - SIGMAS * (p * (1 - p) / (BANDS * ROWS)) ** 0.5
+    sides = rows.groupBy("s").agg(F.ceil(F.count("*") / SIDE).cast("int").alias("sides"))
+    own = F.pmod(F.xxhash64("whole"), F.col("sides")).cast("int")
+    dealt = rows.join(sketches, "whole").join(apart(sides, "s"), "s").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
+    dealt = dealt.select("s", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "n", "whole", "label", "sketch")
+
+    def run(group: pa.Table) -> pa.Table:
+        low, high, side = group["low"][0].as_py(), group["high"][0].as_py(), group["own"].to_numpy()
+        left, right = np.flatnonzero(side == low), np.flatnonzero(side == high)
+        n = group["n"].to_numpy()
+        _, label = np.unique(np.array(group["label"].to_pylist(), dtype=object), return_inverse=True)
+        bytes_ = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(len(n), -1)
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for at in range(0, len(left), 32):
+            mine = left[at : at + 32]
+            alike = (bytes_[mine][:, None] == bytes_[right][None]).mean(axis=2)
+            fits = (100 * np.minimum(n[mine][:, None], n[right]) >= percent * np.maximum(n[mine][:, None], n[right])) & (label[mine][:, None] != label[right]) & (alike >= least)
+            if low == high:
+                fits &= mine[:, None] < right if partners is None else True
+            if partners is not None and fits.shape[1] > partners:
+                alike = np.where(fits, alike, -1)
+                fits &= alike >= -np.partition(-alike, partners - 1, axis=1)[:, partners - 1 : partners]
+            i, j = np.nonzero(fits)
+            out.append((mine[i], right[j]))
+        i, j = (np.concatenate([x[k] for x in out]) if out else np.empty(0, np.int64) for k in (0, 1))
+        whole = group["whole"].combine_chunks()
+        return pa.table({"p": whole.take(pa.array(i)), "q": whole.take(pa.array(j))})
+
+    return dealt.groupBy("s", "low", "high").applyInArrow(run, "p binary, q binary")
+
+
+def _linked(docs: DataFrame, met: DataFrame, live: DataFrame, k: int, percent: int) -> DataFrame:
+    """Edges (a, b) between ids that join all linked sets of met (id, whole, sketch), which share the buckets of live (s, size, n, whole)."""
     of_ids = docs.join(met.select("id").distinct(), "id", "left_semi")
     sets = table(_full_sets(of_ids, k).join(met.select("whole"), "whole", "left_semi").dropDuplicates(["whole"]))
-    live = table(_prefixes(sets, percent).withColumn("label", F.col("whole")))
+    sketches = met.select("whole", "sketch")
     tried = Grown(docs.sparkSession)
 
     def test(pairs: DataFrame) -> None:
@@ -191,24 +217,29 @@ def _linked(docs: DataFrame, met: DataFrame, k: int, percent: int) -> DataFrame:
         new = distinct.join(tried.all().select("a", "b"), ["a", "b"], "left_anti") if tried.paths else distinct
         tried.add(_confirmed(new, sets, percent))
 
-    def met_by(left: DataFrame, right: DataFrame, order: str) -> DataFrame:
-        possible = f"x.s = y.s and x.whole {order} y.whole and x.label <> y.label and least(x.n - x.at, y.n - y.at) * {100 + percent} >= {percent} * (x.n + y.n)"
-        return left.alias("x").join(right.alias("y"), F.expr(possible)).select(F.col("x.whole").alias("p"), F.col("y.whole").alias("q"))
-
-    while True:
-        salt = F.pmod(F.xxhash64("whole"), F.lit(CENTRES if tried.paths else 1))
-        centres = table(live.groupBy("s", salt.alias("salt")).agg(F.min(F.struct("at", "n", "whole", "label")).alias("c")).select("s", "c.*"))
-        test(met_by(live, apart(centres, "s"), "<>"))
+    def possible(rows: DataFrame) -> DataFrame:
+        """Rows of buckets with their components, as far as those differ."""
         label = components(tried.all().where("linked")).select(F.col("node").alias("whole"), "component")
-        rest = live.drop("label").join(centres.select("s", "whole"), ["s", "whole"], "left_anti").join(label, "whole", "left")
-        rest = _alive(table(rest.select("s", "at", "n", "whole", F.coalesce("component", "whole").alias("label"))), percent)
-        left = table(rest)
-        size = left.groupBy("s").agg(F.count("*").alias("size"))
-        few = left.join(apart(size.where(F.col("size") <= BLOCK).select("s"), "s"), "s", "left_semi")
-        test(met_by(few, few, "<"))
-        live = table(left.join(apart(size.where(F.col("size") > BLOCK).select("s"), "s"), "s", "left_semi"))
-        if live.isEmpty():
-            break
+        return table(_alive(table(rows.join(label, "whole", "left").select("s", "n", "whole", F.coalesce("component", "whole").alias("label"))), percent))
+
+    fits = F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
+    crowd = live.groupBy("whole").agg(F.sum("size").alias("crowd"))
+    centres = live.join(crowd, "whole").groupBy("s").agg(F.max(F.struct("crowd", (-F.col("n")).alias("less"), "whole")).alias("c"))
+    y = centres.select("s", "c.whole", (-F.col("c.less")).alias("n"))
+    test(live.alias("x").join(apart(y, "s").alias("y"), (F.col("x.s") == F.col("y.s")) & (F.col("x.whole") != F.col("y.whole")) & fits).select(F.col("x.whole").alias("p"), F.col("y.whole").alias("q")))
+
+    left = possible(live.select("s", "n", "whole"))
+    size = table(left.groupBy("s").agg(F.count("*").alias("size")))
+    few = left.join(apart(size.where(F.col("size") <= BLOCK).select("s"), "s"), "s", "left_semi")
+    many = table(left.join(apart(size.where(F.col("size") > BLOCK).select("s"), "s"), "s", "left_semi"))
+    met_by = (F.col("x.s") == F.col("y.s")) & (F.col("x.whole") < F.col("y.whole")) & (F.col("x.label") != F.col("y.label")) & fits
+    pairs = few.alias("x").join(few.alias("y"), met_by).select(F.col("x.whole").alias("p"), F.col("y.whole").alias("q"))
+    crowded = not many.isEmpty()
+    test(pairs.unionByName(_similar(many, sketches, percent, PARTNERS)) if crowded else pairs)
+    if crowded:
+        many = possible(many.select("s", "n", "whole"))
+        if not many.isEmpty():
+            test(_similar(many, sketches, percent, None))
     links, ids = tried.all().where("linked"), met.select("whole", "id")
     first = links.join(ids.select(F.col("whole").alias("a"), F.col("id").alias("x")), "a")
     return first.join(ids.select(F.col("whole").alias("b"), F.col("id").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
@@ -216,5 +247,5 @@ def _linked(docs: DataFrame, met: DataFrame, k: int, percent: int) -> DataFrame:
 
 def deduplicated(documents: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each class: the rows of the smallest id; of rows that repeat it, all stay. Rows without an id stay."""
-    gone = classes(documents, k, percent, doc_id, text).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return documents.join(gone, documents[doc_id] == F.col("__gone"), "left_anti")
+    gone = classes(documents, k, percent, doc_id, text).where(~F.col("kept")).select("doc_id").distinct().alias("gone")
+    return documents.alias("all").join(gone, F.col(f"all.{doc_id}") == F.col("gone.doc_id"), "left_anti")

@@ -92,6 +92,27 @@ def test_near_duplicates(frame, k, percent) -> None:  # noqa: ANN001
     assert all(r["kept"] == (r["doc_id"] is None or r["doc_id"] == r["component_id"]) for r in found)
 
 
+def dense(n: int, seed: int, shared: int, slots: int, variants: int) -> list[tuple[int, str]]:
+    """Documents with a common part and slots of six words in some variants: many pairs just below the similarity, some above."""
+    r = random.Random(seed)
+    common = [f"c{i}" for i in range(shared)]
+    return [(i, " ".join(common + [f"v{j}-{r.randrange(variants)}-{x}" for j in range(slots) for x in range(6)])) for i in range(n)]
+
+
+@pytest.mark.parametrize(("shared", "slots", "variants"), [(140, 10, 8), (150, 6, 3)])
+def test_crowded_buckets(frame, monkeypatch, shared, slots, variants) -> None:  # noqa: ANN001
+    """Buckets of mostly unlinked sets, compared in blocks; the number of rounds doesn't depend on their size."""
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    monkeypatch.setattr(neardup, "SIDE", 20)
+    rounds = []
+    confirmed = neardup._confirmed
+    monkeypatch.setattr(neardup, "_confirmed", lambda *a: rounds.append(1) or confirmed(*a))
+    docs = dense(150, 5, shared, slots, variants)
+    found = neardup.classes(frame(docs), 1, 80).collect()
+    assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in found} == set(brute.near(docs, 1, 80))
+    assert len(rounds) <= 3
+
+
 def test_deduplicated_keeps_columns(frame) -> None:  # noqa: ANN001
     docs = frame([(1, "a b c d e f g", "x"), (2, "a b c d e f g", "y"), (3, None, None), (None, "a b c d e f g", "z")], "doc_id bigint, text string, n string")
     left = neardup.deduplicated(docs)
