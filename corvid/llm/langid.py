@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from .common import mix, text_bytes
 
 SLOTS, K, SHARE, LANES = 1 << 20, 3, 0.25, 62
+#: Rows that are filtered at a time.
+ROWS = 500
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -89,6 +91,7 @@ def count_ngrams(labelled: DataFrame, lang: str = "lang", text: str = "text") ->
                 yield from _rows(total)
                 total = {}
         yield from _rows(total)
+        pa.default_memory_pool().release_unused()
 
     found = rows.mapInArrow(run, "lang string, gram bigint, n bigint, lo bigint, hi bigint")
     return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
@@ -221,13 +224,16 @@ def recognised(documents: DataFrame, filters: Filters, min_coverage: float, text
     at = documents.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(at).cast(pa.string())
-            if held.value.languages:
-                lang, _, coverage = classify(held.value, texts)
-                keep = (np.array(lang, object) != UNDETERMINED) & (coverage >= min_coverage)
-            else:
-                keep = np.array([bool(x) and bool(_LETTER.search(x)) for x in texts.to_pylist()], bool)
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        for whole in batches:
+            for first in range(0, whole.num_rows, ROWS):  # work memory follows some rows, not a batch
+                batch = whole.slice(first, ROWS)
+                texts = batch.column(at).cast(pa.string())
+                if held.value.languages:
+                    lang, _, coverage = classify(held.value, texts)
+                    keep = (np.array(lang, object) != UNDETERMINED) & (coverage >= min_coverage)
+                else:
+                    keep = np.array([bool(x) and bool(_LETTER.search(x)) for x in texts.to_pylist()], bool)
+                yield batch.filter(pa.array(keep, pa.bool_()))
+        pa.default_memory_pool().release_unused()  # a worker that is kept for later stages gives back what it no longer needs
 
     return documents.mapInArrow(run, documents.schema)

@@ -38,6 +38,8 @@ from .graph import components
 BANDS, ROWS, UNIVERSE_BITS = 32, 5, 20
 #: Sets of a bucket whose pairs are joined, sets of a block that is compared at once, partners of a set in the first comparison, deviations.
 BLOCK, SIDE, PARTNERS, SIGMAS = 64, 512, 3, 5
+#: Bytes of text that are hashed at a time: work memory.
+GROUP = 1 << 18
 _PI: dict[int, np.ndarray] = {}
 
 
@@ -88,7 +90,7 @@ def _signed(docs: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, whole, sigs = [], [], []
-            for words in batch_words(text_bytes(batch.column(1)), lower=True)[1]:
+            for words in batch_words(text_bytes(batch.column(1)), True, GROUP)[1]:
                 for s in shingle_sets(words, k):
                     sizes.append(len(s))
                     whole.append(xxhash.xxh3_128_digest(s) if len(s) else None)
@@ -97,6 +99,7 @@ def _signed(docs: DataFrame, k: int) -> DataFrame:
             sketches = pa.array([x.astype(np.uint8).tobytes() for x in sigs], pa.binary())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(whole, pa.binary()), lists, sketches], names=["id", "n", "whole", "bands", "sketch"])
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, f"id {kind}, n bigint, whole binary, bands array<bigint>, sketch binary")
 
@@ -106,12 +109,13 @@ def _full_sets(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for words in batch_words(text_bytes(batch.column(1)), lower=True)[1]:
+            for words in batch_words(text_bytes(batch.column(1)), True, GROUP)[1]:
                 sets = list(shingle_sets(words, k))
                 whole = pa.array([xxhash.xxh3_128_digest(s) if len(s) else None for s in sets], pa.binary())
                 ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array((np.concatenate(sets) if sets else np.empty(0, np.uint64)).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([whole, pa.array(np.diff(ends).astype(np.int64)), lists], names=["whole", "n", "own"])
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, "whole binary, n bigint, own array<bigint>")
 
