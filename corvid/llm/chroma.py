@@ -5,12 +5,13 @@ the image of frames x pitch classes, whose integral image gives any rectangle's
 of a window of WIDTH frames; each answer is quantised to two bits (Gray coded, so near answers differ in one bit), and sixteen
 answers pack into a 32-bit integer for each window.
 
-Search: recordings with equal fingerprints are one class, under the smallest id. Of the query classes every integer, as it is
-and with each one of its 32 bits flipped, is joined with the equal integers of all classes; integers that differ in one bit at most
-vote for an offset (a histogram for each pair; hits counts them), and the best offset is accepted if the
-bits of the two fingerprints, over the whole overlap at it, differ in at most MAX_ERROR of all bits and the overlap has at
-least MIN_OVERLAP windows. Nothing is capped: an integer that many classes share is joined as it is, a hot one is split by
-adaptive execution. Unrelated recordings meet by chance, so the votes grow faster than the recordings.
+Search: recordings with equal fingerprints are one class, under the smallest id. A query rarely starts where the match's frames start, so it is
+read at PHASES places within a hop, and of each integer the WEAK bits whose answers were nearest to a threshold are flipped, one at a time: the bits
+that another cut or some noise turns first. These probes are joined with the equal integers of all classes; each window that meets votes for an offset (a
+histogram for each pair; hits counts the windows). Of all offsets with MIN_HITS, and those beside them, the one with the least bit errors, over the whole
+overlap, is accepted if at most MAX_ERROR of all bits differ and the overlap has at least MIN_OVERLAP windows. Nothing is capped: an integer that many
+classes share is joined as it is, a hot one is split by adaptive execution. Unrelated recordings meet by chance, so the votes grow faster than
+the recordings. Prints without probes of their own (search() of a table of prints) are met with each of their 32 bits flipped.
 
 A null, empty or short recording (fewer than WIDTH frames) has no fingerprint, is its own class and links with nothing; so does a
 row with a null id, whose class is null. Rows that repeat an id: each has its class, links count once.
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
@@ -30,8 +31,9 @@ from .common import table
 RATE, FRAME, HOP = 2000, 256, 128
 CLASSES, WIDTH = 12, 16
 LOW_HZ = 110.0
-MIN_HITS, MIN_OVERLAP, MAX_ERROR = 3, 16, 0.2
-#: What a query's integer is xored with: itself, and each integer one bit away. An integer meets another by one of them at most.
+MIN_HITS, MIN_OVERLAP, MAX_ERROR = 2, 16, 0.2
+PHASES, WEAK = 8, 8
+#: What a query's integer is xored with where its weak bits aren't known: itself, and each integer one bit away.
 FLIPS = (0, *(1 << i for i in range(32)))
 THRESHOLDS = (-0.25, 0.0, 0.25)
 #: (kind, first pitch class, pitch classes, frames): by rule, four heights, widths and kinds each spread over the classes.
@@ -62,9 +64,14 @@ def chroma(samples: np.ndarray, rate: int = RATE) -> np.ndarray:
 
 def fingerprint(frames: np.ndarray) -> np.ndarray:
     """recordings x windows of unsigned 32-bit integers."""
+    return fingerprint_weak(frames, 0)[0]
+
+
+def fingerprint_weak(frames: np.ndarray, weak: int) -> tuple[np.ndarray, np.ndarray]:
+    """fingerprint(), and recordings x windows x weak masks of the bits that would turn first, the nearest to its threshold first."""
     n = frames.shape[1] - WIDTH + 1
     if n <= 0:
-        return np.zeros((len(frames), 0), np.uint32)
+        return np.zeros((len(frames), 0), np.uint32), np.zeros((len(frames), 0, weak), np.uint32)
     # pitch classes are circular: the image is laid out twice
     image = np.concatenate([frames, frames], axis=2)
     integral = np.zeros((len(frames), frames.shape[1] + 1, 2 * CLASSES + 1))
@@ -76,7 +83,8 @@ def fingerprint(frames: np.ndarray) -> np.ndarray:
         return b[:, :, y + dy] - a[:, :, y + dy] - b[:, :, y] + a[:, :, y]
 
     out = np.zeros((len(frames), n), np.uint32)
-    for kind, y, dy, dt in FILTERS:
+    near, masks = np.empty((len(frames), n, len(FILTERS) if weak else 0)), np.empty((len(frames), n, len(FILTERS) if weak else 0), np.uint32)
+    for i, (kind, y, dy, dt) in enumerate(FILTERS):
         if kind == 0:  # one band against the next
             p, q = area(0, dt, y, dy), area(0, dt, (y + dy) % CLASSES, dy)
         elif kind == 1:  # earlier against later
@@ -89,12 +97,30 @@ def fingerprint(frames: np.ndarray) -> np.ndarray:
         value = (p - q) / (p + q + 1e-6)
         level = sum((value > t).astype(np.uint32) for t in THRESHOLDS)
         out = out << np.uint32(2) | level ^ level >> np.uint32(1)
-    return out
-
-
-def fingerprints(recordings: DataFrame, rec_id: str, audio: str, rate: int = RATE) -> DataFrame:
-    """id, prints array<bigint>, digest (null without a print): one row per row of recordings."""
+        if weak:  # the outer thresholds turn an answer's low bit, the middle one its high bit
+            away = np.abs(value[..., None] - np.array(THRESHOLDS))
+            near[..., i] = away.min(axis=2)
+            masks[..., i] = np.uint32(1) << (2 * (len(FILTERS) - 1 - i) + (away.argmin(axis=2) == 1)).astype(np.uint32)
+    return out, np.take_along_axis(masks, np.argsort(near, axis=2)[..., :weak], axis=2)
+
+
+def probes(samples: np.ndarray, rate: int = RATE) -> list[np.ndarray]:
+    """Of each recording the distinct (window << 32 | integer) by which it is looked for, for recordings x samples."""
+    found: list[list[np.ndarray]] = [[] for _ in samples]
+    for shift in range(0, HOP, HOP // PHASES):
+        whole, masks = fingerprint_weak(chroma(samples[:, shift:], rate), WEAK)
+        every = np.concatenate([whole[..., None], whole[..., None] ^ masks], axis=2).astype(np.int64)
+        every |= np.arange(whole.shape[1], dtype=np.int64)[None, :, None] << 32
+        for own, x in zip(found, every, strict=True):
+            own.append(x.ravel())
+    return [np.unique(np.concatenate(x)) for x in found]
+
+
+def fingerprints(recordings: DataFrame, rec_id: str, audio: str, rate: int = RATE, queries: Column | None = None) -> DataFrame:
+    """id, prints array<bigint>, digest (null without a print), probes (of the rows that pass queries, a condition on the id): one row per
+    row of recordings."""
     rows = recordings.select(recordings[rec_id].alias("id"), recordings[audio].alias("audio"))
+    rows = rows.select("id", "audio", F.coalesce(queries, F.lit(False)).alias("asked") if queries is not None else F.lit(False).alias("asked"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,17 +131,22 @@ def fingerprints(recordings: DataFrame, rec_id: str, audio: str, rate: int = RAT
                 part = batch.slice(s, 32)
                 raw = [x[: len(x) // 2 * 2] if x else b"" for x in part.column(1).to_pylist()]
                 prints: list[np.ndarray] = [np.empty(0, np.uint32)] * len(raw)
+                looked: list[np.ndarray | None] = [None] * len(raw)
+                asked = part.column(2).to_pylist()
                 for size in {len(x) for x in raw}:
                     own = [i for i, x in enumerate(raw) if len(x) == size]
                     samples = np.frombuffer(b"".join(raw[i] for i in own), "<i2").reshape(len(own), size // 2).astype(np.float32)
                     for i, p in zip(own, fingerprint(chroma(samples, rate)), strict=True):
                         prints[i] = p
+                    wanted = [j for j, i in enumerate(own) if asked[i]]
+                    for j, p in zip(wanted, probes(samples[wanted], rate) if wanted else [], strict=True):
+                        looked[own[j]] = p
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([p.astype(np.int64) for p in prints], pa.list_(pa.int64())), pa.array([xxhash.xxh3_128_digest(p.tobytes()) if len(p) else None for p in prints], pa.binary())],
-                    names=["id", "prints", "digest"],
+                    [part.column(0), pa.array([p.astype(np.int64) for p in prints], pa.list_(pa.int64())), pa.array([xxhash.xxh3_128_digest(p.tobytes()) if len(p) else None for p in prints], pa.binary()), pa.array(looked, pa.list_(pa.int64()))],
+                    names=["id", "prints", "digest", "probes"],
                 )
 
-    return rows.mapInArrow(run, f"id {kind}, prints array<bigint>, digest binary")
+    return rows.mapInArrow(run, f"id {kind}, prints array<bigint>, digest binary, probes array<bigint>")
 
 
 def search(prints: DataFrame, queries) -> tuple[DataFrame, DataFrame]:  # noqa: ANN001
@@ -123,18 +154,25 @@ def search(prints: DataFrame, queries) -> tuple[DataFrame, DataFrame]:  # noqa:
 
     queries: a condition on id. A link's offset is where the query's first window falls in the match.
     """
+    if "probes" not in prints.columns:
+        prints = prints.withColumn("probes", F.lit(None).cast("array<bigint>"))
     prints = table(prints)
     known = prints.where("id is not null and digest is not null")
-    named = known.groupBy("digest").agg(F.min("id").alias("class_id"), F.max(queries).alias("asked"))
+    # a class is looked for by the probes of one of its queries
+    named = known.groupBy("digest").agg(F.min("id").alias("class_id"), F.max(queries).alias("asked"), F.min(F.when(queries, F.col("probes"))).alias("looked"))
     members = prints.join(named.select("digest", "class_id"), "digest", "left").select("id", F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"), F.size("prints").cast("bigint").alias("windows"))
-    reps = known.join(named, (known["digest"] == named["digest"]) & (known["id"] == named["class_id"])).select("class_id", "asked", "prints").dropDuplicates(["class_id"])
+    reps = known.drop("probes").join(named, (known["digest"] == named["digest"]) & (known["id"] == named["class_id"])).select("class_id", "asked", "looked", "prints").dropDuplicates(["class_id"])
     reps = table(reps)
-    posts = reps.select("class_id", "asked", F.posexplode("prints").alias("at", "v"))
+    posts = reps.select(F.col("class_id").alias("m"), F.posexplode("prints").alias("ma", "v"))
     flips = F.array(*(F.lit(x).cast("bigint") for x in FLIPS))
-    left = posts.where("asked").select("v", F.col("class_id").alias("q"), F.col("at").alias("qa"), F.explode(flips).alias("flip")).select(F.col("v").bitwiseXOR(F.col("flip")).alias("v"), "q", "qa")
-    right = posts.select("v", F.col("class_id").alias("m"), F.col("at").alias("ma"))
-    votes = left.join(right, "v").where("q <> m").groupBy("q", "m", (F.col("ma") - F.col("qa")).alias("offset")).agg(F.count("*").alias("hits"))
-    best = votes.where(F.col("hits") >= MIN_HITS).groupBy("q", "m").agg(F.max(F.struct("hits", (-F.abs("offset")).alias("near"), "offset")).alias("b")).select("q", "m", "b.offset", "b.hits")
+    flipped = F.flatten(F.transform("prints", lambda v, at: F.transform(flips, lambda x: F.call_function("shiftleft", at.cast("bigint"), F.lit(32)).bitwiseOR(v.bitwiseXOR(x)))))
+    asked = reps.where("asked").select(F.col("class_id").alias("q"), F.explode(F.coalesce("looked", flipped)).alias("p"))
+    left = asked.select("q", F.shiftright("p", 32).cast("int").alias("qa"), F.col("p").bitwiseAND(F.lit((1 << 32) - 1)).alias("v"))
+    met = left.join(posts, "v").where("q <> m")
+    votes = met.groupBy("q", "m", (F.col("ma") - F.col("qa")).alias("offset")).agg(F.count("*").alias("hits"))
+    # a start between two hops has its hits at one offset and its least error at the next
+    near = F.explode(F.array(*[F.col("offset") + i for i in (-1, 0, 1)])).alias("offset")
+    best = votes.where(F.col("hits") >= MIN_HITS).select("q", "m", "hits", near).groupBy("q", "m", "offset").agg(F.max("hits").alias("hits"))
     a = reps.select(F.col("class_id").alias("q"), F.col("prints").alias("qp"))
     b = reps.select(F.col("class_id").alias("m"), F.col("prints").alias("mp"))
     both = best.join(a, "q").join(b, "m")
@@ -142,8 +180,9 @@ def search(prints: DataFrame, queries) -> tuple[DataFrame, DataFrame]:  # noqa:
     overlap = last - first
     pairs = F.arrays_zip(F.slice("qp", first + 1, overlap).alias("x"), F.slice("mp", first + F.col("offset") + 1, overlap).alias("y"))
     wrong = F.aggregate(pairs, F.lit(0), lambda s, p: s + F.bit_count(p["x"].bitwiseXOR(p["y"])))
-    links = both.where(overlap >= MIN_OVERLAP).withColumn("bit_error", wrong / (overlap * 32.0)).where(F.col("bit_error") <= MAX_ERROR)
-    return members, links.select(F.col("q").alias("query_class"), F.col("m").alias("match_class"), F.col("offset").cast("bigint").alias("offset"), "hits", "bit_error")
+    links = both.where(overlap >= MIN_OVERLAP).select("q", "m", "offset", "hits", (wrong / (overlap * 32.0)).alias("bit_error")).where(F.col("bit_error") <= MAX_ERROR)
+    least = links.groupBy("q", "m").agg(F.min(F.struct("bit_error", (-F.col("hits")).alias("less"), F.abs("offset").alias("far"), "offset")).alias("l"))
+    return members, least.select(F.col("q").alias("query_class"), F.col("m").alias("match_class"), F.col("l.offset").cast("bigint").alias("offset"), (-F.col("l.less")).alias("hits"), F.col("l.bit_error").alias("bit_error"))
 
 
 #: Samples of a note, two frames; the octave that notes are taken from starts at 440 Hz.

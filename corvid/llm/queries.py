@@ -49,8 +49,8 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_audio_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of kind member (vec_id, class_id) for every vector's recording, and of kind link between classes."""
     vectors = read(spark, sf_dir, "embeddings")
-    prints = chroma.fingerprints(chroma.melodies(vectors, "vec_id", "embedding"), "id", "audio")
-    members, links = chroma.search(prints, F.col("id") % 20 == 0)
+    asked = F.col("id") % 20 == 0
+    members, links = chroma.search(chroma.fingerprints(chroma.melodies(vectors, "vec_id", "embedding"), "id", "audio", queries=asked), asked)
     none = F.lit(None)
     left = members.select(F.lit("member").alias("kind"), F.col("id").alias("vec_id"), "class_id", none.cast("bigint").alias("offset"), none.cast("bigint").alias("hits"), none.cast("double").alias("bit_error"))
     return left.unionByName(links.select(F.lit("link").alias("kind"), F.col("query_class").alias("vec_id"), F.col("match_class").alias("class_id"), "offset", "hits", "bit_error"))

@@ -323,6 +323,30 @@ def test_audio_survives_noise() -> None:
     assert error(clean, noisy) < 0.1 < 0.2 < error(clean, other)
 
 
+@pytest.mark.parametrize("noise", [300, 1000])
+def test_audio_recall_at_any_start(spark, noise) -> None:  # noqa: ANN001
+    """Of the noisy copies that start anywhere within a hop and whose bit error is accepted, at least 0.9 are found, end to end."""
+    r = np.random.default_rng(noise)
+    rows = spark.createDataFrame([(i, r.normal(size=64).tolist()) for i in range(60)], "vec_id bigint, v array<double>")
+    tunes = {x["id"]: np.frombuffer(x["audio"], "<i2") for x in chroma.melodies(rows, "vec_id", "v").collect()}
+    audio = [(i, x.tobytes()) for i, x in tunes.items()]
+    for n, shift in enumerate((0, 16, 37, 64, 100)):
+        audio += [(1000 * (n + 1) + i, np.clip(np.round(x[shift:] + r.normal(size=len(x) - shift) * noise), -32768, 32767).astype("<i2").tobytes()) for i, x in tunes.items()]
+    asked = F.col("id") >= 1000
+    prints = chroma.fingerprints(spark.createDataFrame(audio, "id bigint, audio binary").repartition(4), "id", "audio", queries=asked)
+    own = {x["id"]: np.array(x["prints"], np.int64) for x in prints.collect()}
+
+    def error(a: np.ndarray, b: np.ndarray, offset: int) -> float:
+        low, high = max(0, -offset), min(len(a), len(b) - offset)
+        return np.bitwise_count(a[low:high] ^ b[low + offset : high + offset]).sum() / (32 * (high - low))
+
+    want = {(q, q % 1000) for q in own if q >= 1000 and min(error(own[q], own[q % 1000], o) for o in (-1, 0, 1, 2)) <= chroma.MAX_ERROR}
+    found = {(x["query_class"], x["match_class"]) for x in chroma.search(prints, asked)[1].collect()}
+    by_shift = {n: [x for x in want if x[0] // 1000 == n] for n in range(1, 6)}
+    assert all(sum(x in found for x in v) >= 0.9 * len(v) for v in by_shift.values()), {n: (sum(x in found for x in v), len(v)) for n, v in by_shift.items()}
+    assert not any(m < 1000 and q % 1000 != m for q, m in found)
+
+
 def test_audio_links_noisy_copies(spark) -> None:  # noqa: ANN001
     """search() links all that brute force over the bit error accepts: prints of a query, of copies with flipped bits, of others."""
     r = np.random.default_rng(6)
