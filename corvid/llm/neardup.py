@@ -10,11 +10,13 @@ Exact copies (equal shingle sets) meet first and one of them stands for all. The
   among near copies shares its buckets with most of them. Pairs of a set and its buckets' centres are confirmed on the full sets.
 - A bucket's sets go on only if a possible partner in another component is left among them: two sets of n and n' shingles can be linked only if the
   smaller has 80 in 100 of the larger's. In buckets with at most BLOCK of them their pairs are confirmed.
-- Larger ones are compared in blocks by the low bytes of their signatures. Each set's PARTNERS most similar ones of other components are confirmed
-  first; what is then still apart, all pairs whose signatures agree as they do at 0.8 or less by SIGMAS deviations (a miss of 3e-7 a pair).
+- Larger ones hold sets with a common part that doesn't make them alike. They are told apart by what is rare among them: their shingles are put in one
+  order, rarest first; two linked sets share a shingle among the first n - ceil(0.8 n) + 1 of each, their prefixes. With s the first shingle they share and
+  `at` shingles of a set before it at most n - at can be shared, so a pair is possible only if min(n - at, n' - at') * 180 >= 80 * (n + n').
 
-So there are three rounds of confirmation, however large a bucket is; a pair is passed over only if it can't be linked or lies within a component
-already, and no bucket is capped.
+Before sets are moved, a pair's signatures (low bytes) are compared: a pair is dropped if they agree less than 0.8 by SIGMAS deviations, as two sets of
+0.8 do with a probability of 3e-7. There are three rounds of confirmation, however large a bucket is; a pair of a bucket is passed over only if
+it can't be linked or lies within a component already, and no bucket is capped.
 
 Nulls and empties: a text without words (or null) has no shingle and is linked with nothing; a row with a null id is its own
 class with a null component. Rows that repeat an id count as one node, which has the links of each of them. Words are runs of
@@ -36,8 +38,8 @@ from .common import Grown, Words, apart, batch_words, grams, mix, session, table
 from .graph import components
 
 BANDS, ROWS, UNIVERSE_BITS = 32, 5, 20
-#: Sets of a bucket whose pairs are joined, sets of a block that is compared at once, partners of a set in the first comparison, deviations.
-BLOCK, SIDE, PARTNERS, SIGMAS = 64, 512, 3, 5
+#: Sets of a bucket whose pairs are joined as they are; deviations.
+BLOCK, SIGMAS = 64, 5
 #: Bytes of text that are hashed at a time: work memory.
 GROUP = 1 << 18
 _PI: dict[int, np.ndarray] = {}
@@ -128,8 +130,8 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "
     nodes = signed.where("id is not null and whole is not null")
     same = nodes.groupBy("whole").agg(F.min("id").alias("rep"))
     # one row stands for each distinct set
-    reps = nodes.join(same.select("whole", F.col("rep").alias("id")), ["whole", "id"], "left_semi").dropDuplicates(["whole", "id"])
-    buckets = reps.select("whole", "n", F.explode("bands").alias("s")).distinct()
+    reps = nodes.join(same.select("whole", F.col("rep").alias("id")), ["whole", "id"], "left_semi").dropDuplicates(["whole"])
+    buckets = reps.select("whole", "n", F.explode("bands").alias("s"))
     shared = buckets.groupBy("s").agg(F.count("*").alias("size")).where("size > 1")
     live = table(buckets.join(apart(shared, "s"), "s"))
     met = table(reps.join(live.select("whole").distinct(), "whole", "left_semi").select("id", "whole", "sketch"))
@@ -154,12 +156,12 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _alive(live: DataFrame, percent: int) -> DataFrame:
-    """Rows of live (s, n, whole, label) that may have a partner of another label in their bucket.
+    """Rows of live (s, at, n, whole, label) that may have a partner of another label under their key.
 
-    A pair is possible if each set's n is within the other's reach, n * 100 / percent. A row stays if the least
+    A pair is possible if each set's n is within the other's reach, (n - at) * (100 + percent) / percent - n. A row stays if the least
     n of another label is within its reach, and its own n within the greatest reach of another label.
     """
-    reach = F.floor(F.col("n") * 100 / percent)
+    reach = F.floor((F.col("n") - F.col("at")) * (100 + percent) / percent) - F.col("n")
     rows = live.withColumn("reach", reach)
     by_label = rows.groupBy("s", "label").agg(F.min("n").alias("n"), F.max("reach").alias("reach"))
     # of each shingle the best label, and the best of the others
@@ -171,42 +173,33 @@ def _alive(live: DataFrame, percent: int) -> DataFrame:
     near = F.when(F.col("label") == F.col("n1.label"), F.col("n2")).otherwise(F.col("n1.n"))
     far = F.when(F.col("label") == F.col("r1.label"), F.col("r2")).otherwise(F.col("r1.reach"))
     kept = rows.join(apart(best, "s"), "s").where((near <= F.col("reach")) & (far >= F.col("n")))
-    return kept.select("s", "n", "whole", "label")
+    return kept.select("s", "at", "n", "whole", "label")
 
 
-def _similar(rows: DataFrame, sketches: DataFrame, percent: int, partners: int | None) -> DataFrame:
-    """p, q: pairs of rows (s, n, whole, label) of one bucket and different labels whose sketches say that they may be linked; partners: only the most
-    similar ones of each set in each pair of blocks."""
+def _alike(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose signatures say that they may be linked."""
     p = percent / 100
     least = p - SIGMAS * (p * (1 - p) / (BANDS * ROWS)) ** 0.5
-    sides = rows.groupBy("s").agg(F.ceil(F.count("*") / SIDE).cast("int").alias("sides"))
-    own = F.pmod(F.xxhash64("whole"), F.col("sides")).cast("int")
-    dealt = rows.join(sketches, "whole").join(apart(sides, "s"), "s").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
-    dealt = dealt.select("s", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "n", "whole", "label", "sketch")
-
-    def run(group: pa.Table) -> pa.Table:
-        low, high, side = group["low"][0].as_py(), group["high"][0].as_py(), group["own"].to_numpy()
-        left, right = np.flatnonzero(side == low), np.flatnonzero(side == high)
-        n = group["n"].to_numpy()
-        _, label = np.unique(np.array(group["label"].to_pylist(), dtype=object), return_inverse=True)
-        bytes_ = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(len(n), -1)
-        out: list[tuple[np.ndarray, np.ndarray]] = []
-        for at in range(0, len(left), 32):
-            mine = left[at : at + 32]
-            alike = (bytes_[mine][:, None] == bytes_[right][None]).mean(axis=2)
-            fits = (100 * np.minimum(n[mine][:, None], n[right]) >= percent * np.maximum(n[mine][:, None], n[right])) & (label[mine][:, None] != label[right]) & (alike >= least)
-            if low == high:
-                fits &= mine[:, None] < right if partners is None else True
-            if partners is not None and fits.shape[1] > partners:
-                alike = np.where(fits, alike, -1)
-                fits &= alike >= -np.partition(-alike, partners - 1, axis=1)[:, partners - 1 : partners]
-            i, j = np.nonzero(fits)
-            out.append((mine[i], right[j]))
-        i, j = (np.concatenate([x[k] for x in out]) if out else np.empty(0, np.int64) for k in (0, 1))
-        whole = group["whole"].combine_chunks()
-        return pa.table({"p": whole.take(pa.array(i)), "q": whole.take(pa.array(j))})
-
-    return dealt.groupBy("s", "low", "high").applyInArrow(run, "p binary, q binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in (2, 3))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= least) if batch.num_rows else pa.array([], pa.bool_()))
+
+    first = pairs.join(sketches.select(F.col("whole").alias("a"), F.col("sketch").alias("x")), "a")
+    both = first.join(sketches.select(F.col("whole").alias("b"), F.col("sketch").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+
+
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """s, at, n, whole: the prefix shingles that another set holds too, and how many shingles of the set come before each."""
+    each = sets.select("whole", "n", F.explode("own").alias("s"))
+    held = each.groupBy("s").agg(F.count("*").alias("sets")).where("sets > 1")
+    shared = each.join(apart(held, "s"), "s").groupBy("whole", "n").agg(F.array_sort(F.collect_list(F.struct("sets", "s"))).alias("order"))
+    lone = F.col("n") - F.size("order")
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    first = F.slice("order", 1, F.greatest(F.lit(0), length - lone).cast("int"))
+    return shared.select("whole", "n", lone.alias("lone"), F.posexplode(first["s"]).alias("i", "s")).select("s", (F.col("lone") + F.col("i")).alias("at"), "n", "whole")
 
 
 def _linked(docs: DataFrame, met: DataFrame, live: DataFrame, k: int, percent: int) -> DataFrame:
@@ -219,31 +212,30 @@ def _linked(docs: DataFrame, met: DataFrame, live: DataFrame, k: int, percent: i
     def test(pairs: DataFrame) -> None:
         distinct = pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
         new = distinct.join(tried.all().select("a", "b"), ["a", "b"], "left_anti") if tried.paths else distinct
-        tried.add(_confirmed(new, sets, percent))
+        tried.add(_confirmed(_alike(new, sketches, percent), sets, percent))
 
     def possible(rows: DataFrame) -> DataFrame:
-        """Rows of buckets with their components, as far as those differ."""
+        """Rows under their keys with their components, as far as those differ."""
         label = components(tried.all().where("linked")).select(F.col("node").alias("whole"), "component")
-        return table(_alive(table(rows.join(label, "whole", "left").select("s", "n", "whole", F.coalesce("component", "whole").alias("label"))), percent))
+        return table(_alive(table(rows.join(label, "whole", "left").select("s", "at", "n", "whole", F.coalesce("component", "whole").alias("label"))), percent))
+
+    def met_by(rows: DataFrame) -> DataFrame:
+        can = f"x.s = y.s and x.whole < y.whole and x.label <> y.label and least(x.n - x.at, y.n - y.at) * {100 + percent} >= {percent} * (x.n + y.n)"
+        return rows.alias("x").join(rows.alias("y"), F.expr(can)).select(F.col("x.whole").alias("p"), F.col("y.whole").alias("q"))
 
-    fits = F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
     crowd = live.groupBy("whole").agg(F.sum("size").alias("crowd"))
     centres = live.join(crowd, "whole").groupBy("s").agg(F.max(F.struct("crowd", (-F.col("n")).alias("less"), "whole")).alias("c"))
-    y = centres.select("s", "c.whole", (-F.col("c.less")).alias("n"))
-    test(live.alias("x").join(apart(y, "s").alias("y"), (F.col("x.s") == F.col("y.s")) & (F.col("x.whole") != F.col("y.whole")) & fits).select(F.col("x.whole").alias("p"), F.col("y.whole").alias("q")))
+    y = apart(centres.select("s", "c.whole", (-F.col("c.less")).alias("n")), "s").alias("y")
+    fits = F.expr(f"x.s = y.s and x.whole <> y.whole and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
+    test(live.alias("x").join(y, fits).select(F.col("x.whole").alias("p"), F.col("y.whole").alias("q")))
 
-    left = possible(live.select("s", "n", "whole"))
+    left = possible(live.select("s", F.lit(0).alias("at"), "n", "whole"))
     size = table(left.groupBy("s").agg(F.count("*").alias("size")))
-    few = left.join(apart(size.where(F.col("size") <= BLOCK).select("s"), "s"), "s", "left_semi")
-    many = table(left.join(apart(size.where(F.col("size") > BLOCK).select("s"), "s"), "s", "left_semi"))
-    met_by = (F.col("x.s") == F.col("y.s")) & (F.col("x.whole") < F.col("y.whole")) & (F.col("x.label") != F.col("y.label")) & fits
-    pairs = few.alias("x").join(few.alias("y"), met_by).select(F.col("x.whole").alias("p"), F.col("y.whole").alias("q"))
-    crowded = not many.isEmpty()
-    test(pairs.unionByName(_similar(many, sketches, percent, PARTNERS)) if crowded else pairs)
-    if crowded:
-        many = possible(many.select("s", "n", "whole"))
-        if not many.isEmpty():
-            test(_similar(many, sketches, percent, None))
+    test(met_by(left.join(apart(size.where(F.col("size") <= BLOCK).select("s"), "s"), "s", "left_semi")))
+    crowded = left.join(apart(size.where(F.col("size") > BLOCK).select("s"), "s"), "s", "left_semi").select("whole").distinct()
+    if not crowded.isEmpty():
+        rare = possible(_prefixes(table(sets.join(crowded, "whole", "left_semi")), percent))
+        test(met_by(rare))
     links, ids = tried.all().where("linked"), met.select("whole", "id")
     first = links.join(ids.select(F.col("whole").alias("a"), F.col("id").alias("x")), "a")
     return first.join(ids.select(F.col("whole").alias("b"), F.col("id").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))

@@ -101,9 +101,8 @@ def dense(n: int, seed: int, shared: int, slots: int, variants: int) -> list[tup
 
 @pytest.mark.parametrize(("shared", "slots", "variants"), [(140, 10, 8), (150, 6, 3)])
 def test_crowded_buckets(frame, monkeypatch, shared, slots, variants) -> None:  # noqa: ANN001
-    """Buckets of mostly unlinked sets, compared in blocks; the number of rounds doesn't depend on their size."""
+    """Buckets of mostly unlinked sets, told apart by their rare shingles; the number of rounds doesn't depend on their size."""
     monkeypatch.setattr(neardup, "BLOCK", 4)
-    monkeypatch.setattr(neardup, "SIDE", 20)
     rounds = []
     confirmed = neardup._confirmed
     monkeypatch.setattr(neardup, "_confirmed", lambda *a: rounds.append(1) or confirmed(*a))
