@@ -7,8 +7,9 @@ don't spoil a filter. The filters of all languages are bit-sliced into one Bloom
 the AND of an n-gram's K slots is the mask of all languages that contain it. A text's hits are counted per language (popcounts
 over its n-grams), corrected for the language's false positives, and the highest corrected share decides.
 
-The filter has SLOTS entries whatever the size of the corpus (about 8 MB for up to 62 languages, one more array for each
-further 62), so it is broadcast. A text that is null or has no letter is `und` with score 0; with no labelled rows, all are.
+The filter is sized by the n-grams that the languages hold: LOAD slots for each n-gram of the largest language and hash function, a power of two
+from LEAST_SLOTS to MOST_SLOTS (8 bytes a slot for up to 62 languages, one more array for each further 62: 64 MB at most for 62), which
+bounds its broadcast. Four bytes of folded text can't make many more; beyond that the correction still holds, with more noise. A text that is null or has no letter is `und` with score 0; with no labelled rows, all are.
 Rows that are judged by filters fitted on them would cover themselves: for them only n-grams of several different texts count (fit).
 Ties go to the language first in order. score is the winner's corrected share of hits times its lead over the second:
 share * winner / (winner + second), from 0 to 1.
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import mix, text_bytes
 
-SLOTS, K, SHARE, LANES = 1 << 20, 3, 0.25, 62
+K, SHARE, LANES = 3, 0.25, 62
+LOAD, LEAST_SLOTS, MOST_SLOTS = 4, 1 << 16, 1 << 23
 #: Rows that are filtered at a time.
 ROWS = 500
 UNDETERMINED = "und"
@@ -124,9 +126,16 @@ def _rows(total: dict[str, Counts]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), *map(pa.array, rest)], names=["lang", "gram", "n", "lo", "hi"])
 
 
-def _slots(g: np.ndarray) -> list[np.ndarray]:
+def _slots(g: np.ndarray, size: int) -> list[np.ndarray]:
+    """The K slots of each n-gram in a filter of `size` (a power of two)."""
     h = mix(g.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019))
-    return [(h >> np.uint64(20 * j) & np.uint64(SLOTS - 1)).astype(np.int64) for j in range(K)]
+    step = h >> np.uint64(32) | np.uint64(1)
+    return [((h + np.uint64(j) * step) & np.uint64(size - 1)).astype(np.int64) for j in range(K)]
+
+
+def filter_size(n_grams: int) -> int:
+    """Slots for a language of so many n-grams."""
+    return min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (LOAD * K * max(1, n_grams) - 1).bit_length()))
 
 
 class Filters:
@@ -140,7 +149,7 @@ class Filters:
         """Corrected share of hits, rows x languages."""
         n = np.diff(bounds)
         out = np.zeros((len(n), len(self.languages)))
-        at = _slots(g)
+        at = _slots(g, len(self.slots[0]))
         for w, slots in enumerate(self.slots):
             masks = slots[at[0]]
             for a in at[1:]:
@@ -152,7 +161,7 @@ class Filters:
 
 
 def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", shared: bool = False) -> Filters:
-    """Filters from all labelled rows. The driver gets the languages and at most SLOTS masks for each LANES of them.
+    """Filters from all labelled rows. The driver gets the languages and at most MOST_SLOTS masks for each LANES of them.
 
     shared: an n-gram counts for a language only if at least two different texts of it hold it. What the filters say of a row
     they were fitted on then rests on other texts; copies of a text are one text.
@@ -161,18 +170,21 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", shared: boo
     try:
         totals = {r["lang"]: r["t"] for r in counts.groupBy("lang").agg(F.sum("n").alias("t")).collect()}
         languages = sorted(totals)
-        slots = [np.zeros(SLOTS, np.uint64) for _ in range(0, len(languages), LANES)]
+        slots = [np.zeros(LEAST_SLOTS, np.uint64) for _ in range(0, len(languages), LANES)]
         if languages:
             spark = labelled.sparkSession
             known = spark.createDataFrame([(x, i // LANES, 1 << i % LANES, float(totals[x])) for i, x in enumerate(languages)], "lang string, word int, bit bigint, t double")
             rated = (counts.where("lo <> hi") if shared else counts).join(F.broadcast(known), "lang").withColumn("p", F.col("n") / F.col("t"))
             best = rated.groupBy("gram").agg(F.max("p").alias("top"), F.collect_list(F.struct("word", "bit", "p")).alias("in"))
-            kept = best.select("gram", F.explode(F.filter("in", lambda x: x["p"] >= F.col("top") * SHARE)).alias("x")).groupBy("gram", "x.word").agg(F.bit_or("x.bit").alias("bits"))
+            chosen = best.select("gram", F.explode(F.filter("in", lambda x: x["p"] >= F.col("top") * SHARE)).alias("x")).select("gram", "x.word", "x.bit")
+            size = filter_size(chosen.groupBy("word", "bit").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0)
+            slots = [np.zeros(size, np.uint64) for _ in slots]
+            kept = chosen.groupBy("gram", "word").agg(F.bit_or("bit").alias("bits"))
 
             def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for batch in batches:
                     g = batch.column(0).to_numpy().astype(np.uint64)
-                    for s in _slots(g):
+                    for s in _slots(g, size):
                         yield pa.RecordBatch.from_arrays([pa.array(s), batch.column(1), batch.column(2)], names=["slot", "word", "bits"])
 
             found = kept.mapInArrow(spread, "slot bigint, word int, bits bigint").groupBy("slot", "word").agg(F.bit_or("bits").alias("bits")).toArrow()

@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,6 +139,61 @@ def test_added_spans_and_masks(spark) -> None:  # noqa: ANN001
     assert masked.columns == rows.columns and {r["text"] for r in masked.collect()} == {"to <email>", None}
 
 
+def spoken(r: random.Random, letters: str, n: int) -> str:
+    return " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 7))) for _ in range(n))
+
+
+def exact_shares(train: list, texts: list[str]) -> tuple[list[str], np.ndarray]:
+    """Shares of n-grams by language from sets and loops: the filters without their slots."""
+
+    def grams(text: str) -> list[bytes]:
+        raw = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in f" {text} ".encode())
+        return [raw[i : i + 4] for i in range(len(raw) - 3) if b"  " not in raw[i : i + 4]]
+
+    counts: dict = {}
+    for _, text, lang in train:
+        own = counts.setdefault(lang, {})
+        for g in grams(text):
+            own[g] = own.get(g, 0) + 1
+    share = {lang: {g: n / sum(own.values()) for g, n in own.items()} for lang, own in counts.items()}
+    top: dict = {}
+    for own in share.values():
+        for g, p in own.items():
+            top[g] = max(top.get(g, 0), p)
+    names = sorted(share)
+    held = {lang: {g for g, p in share[lang].items() if p >= top[g] * langid.SHARE} for lang in names}
+    return names, np.array([[sum(g in held[lang] for g in grams(x)) / max(1, len(grams(x))) for lang in names] for x in texts])
+
+
+def test_thirty_languages(spark) -> None:  # noqa: ANN001
+    """Languages that share letters; shares as by sets, up to the filter's noise; a very long text."""
+    r = random.Random(30)
+    alphabets = {f"l{i:02}": "".join(r.sample("abcdefghijklmnopqrstuvwxyzéüñß", 12)) for i in range(30)}
+    train = [(i, spoken(r, alphabets[f"l{i % 30:02}"], 150), f"l{i % 30:02}") for i in range(300)]
+    test = [(i, spoken(r, alphabets[f"l{i % 30:02}"], r.choice([15, 60, 200])), f"l{i % 30:02}") for i in range(120)] + [(999, spoken(r, alphabets["l07"], 100_000), "l07")]
+    schema = "doc_id bigint, text string, lang string"
+    filters = langid.fit(spark.createDataFrame(train, schema))
+    found = {x["doc_id"]: x for x in langid.predict(spark.createDataFrame(test, schema).repartition(3), filters).collect()}
+    assert sum(found[i]["lang_pred"] == lang for i, _, lang in test) >= 0.97 * len(test) and found[999]["lang_pred"] == "l07"
+    names, want = exact_shares(train, [x for _, x, _ in test[:40]])
+    parts = list(langid._groups(text_bytes(pa.array([x for _, x, _ in test[:40]]))))
+    got = np.concatenate([filters.shares(g, b) for _, g, b in parts])
+    assert names == filters.languages and np.abs(got - want).max() < 0.06 and np.abs(got - want).mean() < 0.01
+    assert (want.argmax(axis=1) == got.argmax(axis=1)).mean() >= 0.97
+
+
+def test_filter_follows_the_ngrams() -> None:
+    assert langid.filter_size(0) == langid.filter_size(100) == langid.LEAST_SLOTS
+    assert langid.filter_size(200_000) == 1 << 22 and langid.filter_size(1 << 40) == langid.MOST_SLOTS
+    g = np.arange(50_000, dtype=np.uint32) * np.uint32(2654435761)
+    slots = np.zeros(langid.filter_size(len(g)), np.uint64)
+    for at in langid._slots(g, len(slots)):
+        slots[at] = 1
+    other = np.arange(50_000, 150_000, dtype=np.uint32) * np.uint32(2654435761)
+    hit = np.logical_and.reduce([slots[at] for at in langid._slots(other, len(slots))])
+    assert hit.mean() < 0.02 and np.logical_and.reduce([slots[at] for at in langid._slots(g, len(slots))]).all()
+
+
 def test_language(spark) -> None:  # noqa: ANN001
     r = random.Random(2)
     parts = {"aa": ["the", "ing", "er", "wh"], "bb": ["sch", "ung", "ü", "ei"], "cc": ["eau", "que", "é", "oi"]}
