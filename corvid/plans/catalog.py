@@ -384,11 +384,13 @@ def _anchors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH a AS (SELECT l_linenumber AS page, l_orderkey AS pos, l_orderkey % 500 AS k, CASE WHEN (l_orderkey + l_linenumber) % 3 = 0 THEN 'T' || l_orderkey ELSE '' END AS title FROM lineitem)
+WITH a AS (SELECT l_linenumber AS page, l_orderkey AS pos, l_orderkey % 500 AS k, CASE WHEN (l_orderkey + l_linenumber) % 3 = 0 THEN 'T' || l_orderkey WHEN l_linenumber % 2 = 0 THEN 'A' || l_orderkey ELSE '' END AS title FROM lineitem)
 SELECT min(page)::INT AS page, arg_min(pos, page * 100000000 + pos) AS pos, 'https://b/article/s' || k || '-' || (2000 + k % 20) || '0102' AS url, coalesce(arg_min(title, page * 100000000 + pos) FILTER (WHERE title <> ''), '') AS title, (2000 + k % 20)::INT AS year
 FROM a WHERE k % 7 <> 0 GROUP BY k""")
 def title_backfill(spark: SparkSession, sf: str) -> DataFrame:
-    return discovery.listing_articles(_anchors(spark, sf), "https://b")
+    """Titles from the text, else from the aria label without its "read ", of the first anchor that has any."""
+    label = F.when(F.col("page") % 2 == 0, F.concat(F.lit("Read A"), F.col("pos").cast("string"))).otherwise("")
+    return discovery.listing_articles(_anchors(spark, sf).withColumn("aria_label", label), "https://b")
 
 
 # --- sampling and quotas

@@ -301,3 +301,16 @@ def test_listing_backfill(spark) -> None:  # noqa: ANN001
     got = discovery.listing_articles(a, "b").collect()
     assert [(r["url"], r["title"], r["year"]) for r in got] == [("b/article/x-20200101", "X", 2020)]
     assert {r["url"] for r in discovery.recent_articles(a, "b", 1, 5).collect()} == {"b/article/x-20200101", "b/article/y"}
+
+
+def test_spread_lastmod_modes(spark) -> None:  # noqa: ANN001
+    """A URL that a sitemap lists twice takes one place of its year's quota, in literal mode two."""
+    rows = [("https://h/1/a/x/", 0, 2020), ("https://h/1/a/x/", 1, 2020), ("https://h/2/b/y/", 2, 2020), ("https://h/3/c/z/", 3, 2020)]
+    df = spark.createDataFrame(rows, "url string, pos int, year int")
+    once = [(r["url"][10], r["section"]) for r in discovery.spread_lastmod(df, 1, 3).orderBy("url", "pos").collect()]
+    twice = [(r["url"][10], r["section"]) for r in discovery.spread_lastmod(df, 1, 3, literal=True).orderBy("url", "pos").collect()]
+    # places 0, 2 (round half to even of 1.5) and 3 of the four rows
+    assert once == [("1", "A"), ("2", "B"), ("3", "C")] and twice == [("1", "A"), ("2", "B"), ("3", "C")]
+    assert [r["pos"] for r in discovery.spread_lastmod(df, 2, 1, literal=True).orderBy("pos").collect()] == [0, 3]
+    assert [r["pos"] for r in discovery.spread_lastmod(df.where("pos < 3"), 2, 1).orderBy("pos").collect()] == [0, 2]
+    assert [r["pos"] for r in discovery.spread_lastmod(df.where("pos < 2"), 2, 1, literal=True).orderBy("pos").collect()] == [0, 1]
