@@ -9,14 +9,15 @@ Exact copies (equal shingle sets) meet first and one of them stands for all. The
 - Of each bucket one set is the centre, the one whose buckets are largest together (ties: the smaller set, then its digest): the original
   among near copies shares its buckets with most of them. Pairs of a set and its buckets' centres are confirmed on the full sets.
 - A bucket's sets go on only if a possible partner in another component is left among them: two sets of n and n' shingles can be linked only if the
-  smaller has 80 in 100 of the larger's. In buckets with at most BLOCK of them their pairs are confirmed.
-- Larger ones hold sets with a common part that doesn't make them alike. They are told apart by what is rare among them: their shingles are put in one
-  order, rarest first; two linked sets share a shingle among the first n - ceil(0.8 n) + 1 of each, their prefixes. With s the first shingle they share and
-  `at` shingles of a set before it at most n - at can be shared, so a pair is possible only if min(n - at, n' - at') * 180 >= 80 * (n + n').
+  smaller has 80 in 100 of the larger's.
+- What goes on is mostly sets with a common part that doesn't make them alike, so a bucket's pairs aren't listed: its pairs are met through what is rare
+  among the sets that go on. Their shingles are put in one order, rarest first; two linked sets share a shingle among the first
+  n - ceil(0.8 n) + 1 of each, their prefixes. With s the first shingle they share and `at` shingles of a set before it at most n - at can be shared, so a
+  pair is possible only if min(n - at, n' - at') * 180 >= 80 * (n + n').
 
-Before sets are moved, a pair's signatures (low bytes) are compared: a pair is dropped if they agree less than 0.8 by SIGMAS deviations, as two sets of
-0.8 do with a probability of 3e-7. There are three rounds of confirmation, however large a bucket is; a pair of a bucket is passed over only if
-it can't be linked or lies within a component already, and no bucket is capped.
+Before sets are moved, a pair's signatures (low bytes) are compared: it must share a band, and agree in at least 0.8 less SIGMAS deviations of
+the coordinates (two sets of 0.8 agree less with a probability of 3e-7). There are two rounds of confirmation, however large a bucket is; a pair that
+shares a band is passed over only if it can't be linked or lies within a component already, and no bucket is capped.
 
 Nulls and empties: a text without words (or null) has no shingle and is linked with nothing; a row with a null id is its own
 class with a null component. Rows that repeat an id count as one node, which has the links of each of them. Words are runs of
@@ -38,8 +39,8 @@ from .common import Grown, Words, apart, batch_words, grams, mix, session, table
 from .graph import components
 
 BANDS, ROWS, UNIVERSE_BITS = 32, 5, 20
-#: Sets of a bucket whose pairs are joined as they are; deviations.
-BLOCK, SIGMAS = 64, 5
+#: Deviations by which the signatures of two sets may agree less than they should; ids that are broadcast at most (8 to 16 MB).
+SIGMAS, FEW_IDS = 5, 1_000_000
 #: Bytes of text that are hashed at a time: work memory.
 GROUP = 1 << 18
 _PI: dict[int, np.ndarray] = {}
@@ -177,14 +178,16 @@ def _alive(live: DataFrame, percent: int) -> DataFrame:
 
 
 def _alike(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose signatures say that they may be linked."""
+    """The pairs (a, b) that share a band and whose signatures say that they may be linked."""
     p = percent / 100
     least = p - SIGMAS * (p * (1 - p) / (BANDS * ROWS)) ** 0.5
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b for b in batches if b.num_rows):
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in (2, 3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= least) if batch.num_rows else pa.array([], pa.bool_()))
+            same = (x == y).reshape(batch.num_rows, BANDS, ROWS)
+            keep = same.all(axis=2).any(axis=1) & (same.mean(axis=(1, 2)) >= least)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     first = pairs.join(sketches.select(F.col("whole").alias("a"), F.col("sketch").alias("x")), "a")
     both = first.join(sketches.select(F.col("whole").alias("b"), F.col("sketch").alias("y")), "b")
@@ -204,7 +207,9 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
 
 def _linked(docs: DataFrame, met: DataFrame, live: DataFrame, k: int, percent: int) -> DataFrame:
     """Edges (a, b) between ids that join all linked sets of met (id, whole, sketch), which share the buckets of live (s, size, n, whole)."""
-    of_ids = docs.join(met.select("id").distinct(), "id", "left_semi")
+    ids = met.select("id").distinct()
+    # few ids leave the texts where they are; many are shuffled with them
+    of_ids = docs.join(F.broadcast(ids) if met.count() <= FEW_IDS else ids, "id", "left_semi")
     sets = table(_full_sets(of_ids, k).join(met.select("whole"), "whole", "left_semi").dropDuplicates(["whole"]))
     sketches = met.select("whole", "sketch")
     tried = Grown(docs.sparkSession)
@@ -214,9 +219,8 @@ def _linked(docs: DataFrame, met: DataFrame, live: DataFrame, k: int, percent: i
         new = distinct.join(tried.all().select("a", "b"), ["a", "b"], "left_anti") if tried.paths else distinct
         tried.add(_confirmed(_alike(new, sketches, percent), sets, percent))
 
-    def possible(rows: DataFrame) -> DataFrame:
+    def possible(rows: DataFrame, label: DataFrame) -> DataFrame:
         """Rows under their keys with their components, as far as those differ."""
-        label = components(tried.all().where("linked")).select(F.col("node").alias("whole"), "component")
         return table(_alive(table(rows.join(label, "whole", "left").select("s", "at", "n", "whole", F.coalesce("component", "whole").alias("label"))), percent))
 
     def met_by(rows: DataFrame) -> DataFrame:
@@ -229,13 +233,9 @@ def _linked(docs: DataFrame, met: DataFrame, live: DataFrame, k: int, percent: i
     fits = F.expr(f"x.s = y.s and x.whole <> y.whole and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
     test(live.alias("x").join(y, fits).select(F.col("x.whole").alias("p"), F.col("y.whole").alias("q")))
 
-    left = possible(live.select("s", F.lit(0).alias("at"), "n", "whole"))
-    size = table(left.groupBy("s").agg(F.count("*").alias("size")))
-    test(met_by(left.join(apart(size.where(F.col("size") <= BLOCK).select("s"), "s"), "s", "left_semi")))
-    crowded = left.join(apart(size.where(F.col("size") > BLOCK).select("s"), "s"), "s", "left_semi").select("whole").distinct()
-    if not crowded.isEmpty():
-        rare = possible(_prefixes(table(sets.join(crowded, "whole", "left_semi")), percent))
-        test(met_by(rare))
+    label = components(tried.all().where("linked")).select(F.col("node").alias("whole"), "component")
+    left = possible(live.select("s", F.lit(0).alias("at"), "n", "whole"), label).select("whole").distinct()
+    test(met_by(possible(_prefixes(table(sets.join(left, "whole", "left_semi")), percent), label)))
     links, ids = tried.all().where("linked"), met.select("whole", "id")
     first = links.join(ids.select(F.col("whole").alias("a"), F.col("id").alias("x")), "a")
     return first.join(ids.select(F.col("whole").alias("b"), F.col("id").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))

@@ -102,14 +102,14 @@ def dense(n: int, seed: int, shared: int, slots: int, variants: int) -> list[tup
 @pytest.mark.parametrize(("shared", "slots", "variants"), [(140, 10, 8), (150, 6, 3)])
 def test_crowded_buckets(frame, monkeypatch, shared, slots, variants) -> None:  # noqa: ANN001
     """Buckets of mostly unlinked sets, told apart by their rare shingles; the number of rounds doesn't depend on their size."""
-    monkeypatch.setattr(neardup, "BLOCK", 4)
+    monkeypatch.setattr(neardup, "FEW_IDS", 10)
     rounds = []
     confirmed = neardup._confirmed
     monkeypatch.setattr(neardup, "_confirmed", lambda *a: rounds.append(1) or confirmed(*a))
     docs = dense(150, 5, shared, slots, variants)
     found = neardup.classes(frame(docs), 1, 80).collect()
     assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in found} == set(brute.near(docs, 1, 80))
-    assert len(rounds) <= 3
+    assert len(rounds) <= 2
 
 
 def test_deduplicated_keeps_columns(frame) -> None:  # noqa: ANN001
