@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from html.parser import HTMLParser
 
@@ -179,6 +178,3 @@ def real_sections(slugs: Column | str) -> Column:
 def short_label(x: Column | str, most: int) -> Column:
     """The label, or empty where it is longer than `most` characters."""
     return F.when(F.char_length(_c(x)) <= most, _c(x)).otherwise("")
-
-
-ROLE = re.compile(ROLE_PATTERN)

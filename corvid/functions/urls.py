@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 import re
-from urllib.parse import urljoin
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from .text import _c, slug_label
 
@@ -70,28 +67,29 @@ def origin(url: Column | str) -> Column:
     return F.regexp_extract(_c(url), r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)", 1)
 
 
+def without_dots(path: Column) -> Column:
+    """A path without its . and .. segments; one that ends in such a segment ends in a slash."""
+    parts = F.split(path, "/")
+    step = lambda kept, x: F.when(x == ".", kept).when(x == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(1)))).otherwise(F.concat(kept, F.array(x)))
+    kept = F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.slice(parts, 1, 1), step)
+    joined = F.array_join(F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), joined).otherwise(path)
+
+
 def resolved(base: Column | str, href: Column | str) -> Column:
-    """href against base for absolute, scheme-relative, root-relative, fragment, query and plain relative forms. Dot segments
-    need resolved_any()."""
+    """href against base for absolute, scheme-relative, root-relative, fragment, query and relative forms; dot segments of the latter go."""
     b, h = _c(base), _c(href)
     page = F.regexp_extract(b, r"^([^?#]*)", 1)
+    path, rest = F.regexp_extract(h, r"^([^?#]*)", 1), F.regexp_extract(h, r"^[^?#]*(.*)$", 1)
+    folder = F.when(path_of(b) == "", F.lit("/")).otherwise(F.regexp_extract(path_of(b), r"^(.*/)", 1))
     return (
         F.when(h == "", b).when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
         .when(h.startswith("//"), F.concat(F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), h))
-        .when(h.startswith("/"), F.concat(origin(b), h))
+        .when(h.startswith("/"), F.concat(origin(b), without_dots(path), rest))
         .when(h.startswith("#"), F.concat(F.regexp_extract(b, r"^([^#]*)", 1), h)).when(h.startswith("?"), F.concat(page, h))
-        .otherwise(F.concat(F.when(path_of(b) == "", F.concat(page, F.lit("/"))).otherwise(F.regexp_extract(page, r"^(.*/)", 1)), h))
+        .otherwise(F.concat(origin(b), without_dots(F.concat(folder, path)), rest))
     )
 
 
-@F.pandas_udf(StringType())
-def _join_udf(base: pd.Series, href: pd.Series) -> pd.Series:
-    return pd.Series([urljoin(b, h) if b is not None and h is not None else None for b, h in zip(base, href, strict=True)], dtype=object)
-
-
-def resolved_any(base: Column | str, href: Column | str) -> Column:
-    return _join_udf(_c(base), _c(href))
-
-
 def listing_page(base: Column | str, page: Column | str) -> Column:
     return F.when(_c(page) <= 1, _c(base)).otherwise(F.concat(_c(base), F.lit("?page="), _c(page).cast("string")))
