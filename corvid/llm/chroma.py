@@ -32,7 +32,7 @@ RATE, FRAME, HOP = 2000, 256, 128
 CLASSES, WIDTH = 12, 16
 LOW_HZ = 110.0
 MIN_HITS, MIN_OVERLAP, MAX_ERROR = 2, 16, 0.2
-PHASES, WEAK = 8, 8
+PHASES, WEAK = 8, 6
 #: What a query's integer is xored with where its weak bits aren't known: itself, and each integer one bit away.
 FLIPS = (0, *(1 << i for i in range(32)))
 THRESHOLDS = (-0.25, 0.0, 0.25)
@@ -163,13 +163,15 @@ def search(prints: DataFrame, queries) -> tuple[DataFrame, DataFrame]:  # noqa:
     members = prints.join(named.select("digest", "class_id"), "digest", "left").select("id", F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"), F.size("prints").cast("bigint").alias("windows"))
     reps = known.drop("probes").join(named, (known["digest"] == named["digest"]) & (known["id"] == named["class_id"])).select("class_id", "asked", "looked", "prints").dropDuplicates(["class_id"])
     reps = table(reps)
-    posts = reps.select(F.col("class_id").alias("m"), F.posexplode("prints").alias("ma", "v"))
+    # a place is (window << 32 | integer), which is half as wide to shuffle as its parts
+    place = lambda v, at: F.call_function("shiftleft", at.cast("bigint"), F.lit(32)).bitwiseOR(v)
+    posts = reps.select(F.col("class_id").alias("m"), F.posexplode("prints").alias("ma", "v")).select("m", place(F.col("v"), F.col("ma")).alias("r"))
     flips = F.array(*(F.lit(x).cast("bigint") for x in FLIPS))
-    flipped = F.flatten(F.transform("prints", lambda v, at: F.transform(flips, lambda x: F.call_function("shiftleft", at.cast("bigint"), F.lit(32)).bitwiseOR(v.bitwiseXOR(x)))))
-    asked = reps.where("asked").select(F.col("class_id").alias("q"), F.explode(F.coalesce("looked", flipped)).alias("p"))
-    left = asked.select("q", F.shiftright("p", 32).cast("int").alias("qa"), F.col("p").bitwiseAND(F.lit((1 << 32) - 1)).alias("v"))
-    met = left.join(posts, "v").where("q <> m")
-    votes = met.groupBy("q", "m", (F.col("ma") - F.col("qa")).alias("offset")).agg(F.count("*").alias("hits"))
+    flipped = F.flatten(F.transform("prints", lambda v, at: F.transform(flips, lambda x: place(v.bitwiseXOR(x), at))))
+    left = reps.where("asked").select(F.col("class_id").alias("q"), F.explode(F.coalesce("looked", flipped)).alias("p"))
+    integer = F.lit((1 << 32) - 1)
+    met = left.join(posts, F.col("p").bitwiseAND(integer) == F.col("r").bitwiseAND(integer)).where("q <> m")
+    votes = met.groupBy("q", "m", (F.shiftright("r", 32) - F.shiftright("p", 32)).cast("int").alias("offset")).agg(F.count("*").alias("hits"))
     # a start between two hops has its hits at one offset and its least error at the next
     near = F.explode(F.array(*[F.col("offset") + i for i in (-1, 0, 1)])).alias("offset")
     best = votes.where(F.col("hits") >= MIN_HITS).select("q", "m", "hits", near).groupBy("q", "m", "offset").agg(F.max("hits").alias("hits"))
