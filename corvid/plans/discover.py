@@ -15,7 +15,7 @@ from .sites import SECTION_PAGES
 CANDIDATE = ("url", "title", "author", "publication_date", "section")
 #: The captured tables that a site's discovery reads, and their columns.
 INPUTS = {
-    "n": {"sitemaps": "file, xml", "feed": "xml"},
+    "n": {"sitemaps": "file, xml", "feed": "[page,] xml"},
     "d": {"listings": "page, url, html"},
     "y": {"sitemap": "file, xml", "sections": "slug, html"},
     "c": {"sitemaps": "file, xml"},

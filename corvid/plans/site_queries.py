@@ -163,10 +163,11 @@ def dated_buckets(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT (row_number() OVER (ORDER BY c_custkey) - 1)::INT AS pos, 'https://f/' || c_custkey AS url, c_name AS title, CASE WHEN c_custkey % 2 = 0 THEN 'Ann' ELSE '' END AS author, '2020-01-01' AS publication_date, c_mktsegment AS section
 FROM customer WHERE c_custkey < 40 AND c_custkey % 9 <> 0""")
 def discover_n_feed(spark: SparkSession, sf: str) -> DataFrame:
-    """The first 40 items of a feed; items without a link go after that."""
+    """The first 40 items of a feed in pages of 100; items without a link go after that."""
     c = t(spark, sf, "customer")
     item = F.concat(F.lit("<item>"), F.when(F.col("c_custkey") % 9 != 0, filled("<link> https://f/{c_custkey} </link>")).otherwise(""), filled("<title>{c_name}</title>"), F.when(F.col("c_custkey") % 2 == 0, "<dc:creator>Ann</dc:creator>").otherwise(""), filled("<pubDate>2020-01-01</pubDate><category>{c_mktsegment}</category><category>x</category></item>"))
-    feed = c.groupBy().agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", item.alias("i")))), lambda x: x["i"]), ""), F.lit("</channel></rss>")).alias("xml"))
+    pages = c.groupBy(F.floor(F.col("c_custkey") / 100).alias("page")).agg(F.array_sort(F.collect_list(F.struct("c_custkey", item.alias("i")))).alias("items"))
+    feed = pages.select("page", F.concat(F.lit("<rss><channel>"), F.array_join(F.transform("items", lambda x: x["i"]), ""), F.lit("</channel></rss>")).alias("xml"))
     return discover(spark, "n", {"discovery_mode": "rss", "max_articles": 40}, {"feed": feed})
 
 

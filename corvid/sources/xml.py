@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import _c
+from ..operators.sampling import first_rows
 
 _NAMED = "//*[local-name()='{}']"
 
@@ -38,10 +39,15 @@ def sub_sitemaps(index: DataFrame, marker: str, xml: str = "xml") -> DataFrame:
 
 
 def feed_items(feeds: DataFrame, most: int, xml: str = "xml") -> DataFrame:
-    """pos, url, title, author, publication_date, section of the first `most` items; items without a link go after that."""
+    """pos, url, title, author, publication_date, section of the first `most` items; items without a link go after that.
+
+    A feed that comes in several documents has their order in a column page: the first `most` of all are taken, and pos is (page, pos)."""
     plain = F.regexp_replace(F.regexp_replace(xml, r"\sxmlns(?::\w+)?=(?:\"[^\"]*\"|'[^']*')", ""), r"<(/?)dc:creator", "<$1author")
     item = "struct<link:string,title:string,author:string,pubDate:string,category:array<string>>"
     parsed = F.from_xml(plain, f"struct<channel:struct<item:array<{item}>>>")
-    rows = feeds.select(F.posexplode(parsed["channel"]["item"]).alias("pos", "i")).where(F.col("pos") < most)
+    paged = ["page"] if "page" in feeds.columns else []
+    rows = feeds.select(*paged, F.posexplode(parsed["channel"]["item"]).alias("pos", "i")).where(F.col("pos") < most)
+    if paged:
+        rows = first_rows(rows.select(F.struct("page", "pos").alias("pos"), "i"), ["pos"], most)
     e = F.lit("")
     return rows.select("pos", F.coalesce(F.trim("i.link"), e).alias("url"), F.coalesce("i.title", e).alias("title"), F.coalesce("i.author", e).alias("author"), F.coalesce("i.pubDate", e).alias("publication_date"), F.coalesce(F.get("i.category", 0), e).alias("section")).where("url <> ''")

@@ -185,6 +185,22 @@ def test_xml(spark) -> None:  # noqa: ANN001
     assert xml.feed_items(spark.createDataFrame([(feed,)], "xml string"), 2).count() == 1
 
 
+def test_feed_in_pages(spark, monkeypatch) -> None:  # noqa: ANN001
+    """The limit holds over all pages of a feed, in their order; the query's feed is no single document."""
+    page = lambda *urls: "<rss><channel>" + "".join(f"<item>{f'<link>{u}</link>' if u else ''}<title>t</title></item>" for u in urls) + "</channel></rss>"
+    pages = spark.createDataFrame([(10, page("u6", "u7")), (2, page("u3", "", "u5")), (1, page("u1", "u2")), (3, page())], "page int, xml string").repartition(3)
+    took = lambda n: [r["url"] for r in xml.feed_items(pages, n).orderBy("pos").collect()]
+    assert took(6) == ["u1", "u2", "u3", "u5", "u6"] and took(2) == ["u1", "u2"] and took(0) == [] and took(99)[-1] == "u7"
+    from corvid.plans import site_queries
+
+    given = []
+    monkeypatch.setattr(site_queries, "discover", lambda _spark, _site, _config, inputs: given.append(inputs["feed"]))
+    customers = spark.range(1000).select(F.col("id").alias("c_custkey"), F.lit("n").alias("c_name"), F.lit("m").alias("c_mktsegment"))
+    monkeypatch.setattr(site_queries, "t", lambda *_: customers)
+    site_queries.discover_n_feed(spark, "")
+    assert sorted(r["xml"].count("<item>") for r in given[0].collect()) == [100] * 10
+
+
 def test_csv_round_trip(spark, tmp_path) -> None:  # noqa: ANN001
     rows = [tuple("" if c != "url" else f"u{i}" for c in ARTICLE_COLS) for i in range(2)] + [tuple(f' q"{c},\n x ' for c in ARTICLE_COLS)]
     df = spark.createDataFrame(rows, list(ARTICLE_COLS))
