@@ -341,6 +341,29 @@ def test_mixer_equals_a_scalar_one(spark, monkeypatch) -> None:  # noqa: ANN001
             assert got[i] == pytest.approx(brute.mixed(model, symbol[row == i].tolist()), rel=1e-5)
 
 
+def test_scoring_stays_cheap(monkeypatch) -> None:  # noqa: ANN001
+    """A bit's arithmetic is in 4-byte floats, a word is found without a binary search, and both ends of the scale keep their digits."""
+    r = np.random.default_rng(5)
+    hashes = np.unique(np.concatenate([r.integers(0, 1 << 64, 3000, dtype=np.uint64), np.arange(50, dtype=np.uint64), np.uint64((1 << 64) - 1) - np.arange(50, dtype=np.uint64)]))
+    ranked = r.permutation(hashes)
+    head = mixing.Head(ranked, np.arange(len(ranked), 0, -1), 10, 10**7, 5000)
+    asked = np.concatenate([hashes, hashes + np.uint64(1), r.integers(0, 1 << 64, 1000, dtype=np.uint64), np.arange(100, dtype=np.uint64)])
+    rank = {int(h): i for i, h in enumerate(ranked)}
+    searched = []
+    monkeypatch.setattr(np, "searchsorted", lambda *a, **k: searched.append(a))
+    symbols, counts = head.look_up(asked)
+    assert not searched
+    assert symbols.tolist() == [rank[h] + mixing.FIRST_WORD if h in rank else mixing.ESCAPE for h in asked.tolist()]
+    assert counts.tolist() == [len(ranked) - rank[h] if h in rank else -1 for h in asked.tolist()]
+    table = np.linspace(0, 1, mixing.BUCKETS, dtype=np.float32)
+    z = np.array([-12, -3.3, 0, 3.3, 12], np.float32)
+    better, near = mixing._refined(z, table, np.zeros(5, np.int32))
+    assert better.dtype == np.float32 and better == pytest.approx((z + 12) / 24, abs=1e-6) and near.tolist() == [0, 9, 12, 15, 24]
+    for sign in (-1, 1):
+        p = mixing._sure(z, np.full(5, sign, np.float32))
+        assert p.dtype == np.float32 and p == pytest.approx(1 / (1 + np.exp(-sign * z.astype(np.float64))), rel=1e-5)
+
+
 def test_word_hashes_are_cut_anywhere() -> None:
     import pyarrow as pa
 
