@@ -9,7 +9,7 @@ Search: recordings with equal fingerprints are one class, under the smallest id.
 read at PHASES places within a hop, and of each integer the WEAK bits whose answers were nearest to a threshold are flipped, one at a time: the bits
 that another cut or some noise turns first. These probes are joined with the equal integers of all classes; each window that meets votes for an offset (a
 histogram for each pair; hits counts the windows). Of all offsets with MIN_HITS, and those beside them, the one with the least bit errors, over the whole
-overlap, is accepted if at most MAX_ERROR of all bits differ and the overlap has at least MIN_OVERLAP windows. Nothing is capped: an integer that many
+overlap (confirmed() meets the prints in pairs of blocks), is accepted if at most MAX_ERROR of all bits differ and the overlap has at least MIN_OVERLAP windows. Nothing is capped: an integer that many
 classes share is joined as it is, a hot one is split by adaptive execution. Unrelated recordings meet by chance, so the votes grow faster than
 the recordings. Prints without probes of their own (search() of a table of prints) are met with each of their 32 bits flipped.
 
@@ -23,16 +23,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import ranges, table
 
 RATE, FRAME, HOP = 2000, 256, 128
 CLASSES, WIDTH = 12, 16
 LOW_HZ = 110.0
 MIN_HITS, MIN_OVERLAP, MAX_ERROR = 2, 16, 0.2
 PHASES, WEAK = 8, 6
+#: Recordings of an Arrow batch.
+BATCH = 256
+#: Windows of a block of queries or of recordings.
+BLOCK = 1 << 17
 #: What a query's integer is xored with where its weak bits aren't known: itself, and each integer one bit away.
 FLIPS = (0, *(1 << i for i in range(32)))
 THRESHOLDS = (-0.25, 0.0, 0.25)
@@ -149,6 +154,17 @@ def fingerprints(recordings: DataFrame, rec_id: str, audio: str, rate: int = RAT
     return rows.mapInArrow(run, f"id {kind}, prints array<bigint>, digest binary, probes array<bigint>")
 
 
+def _in_small_batches(prints: DataFrame) -> DataFrame:
+    """table(prints), which reads the audio: a task holds BATCH recordings at once."""
+    conf, name = prints.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, BATCH)
+    try:
+        return table(prints)
+    finally:
+        conf.set(name, before)
+
+
 def search(prints: DataFrame, queries) -> tuple[DataFrame, DataFrame]:  # noqa: ANN001
     """Membership (id, class_id, windows) of all rows, and links (query_class, match_class, offset, hits, bit_error).
 
@@ -156,37 +172,84 @@ def search(prints: DataFrame, queries) -> tuple[DataFrame, DataFrame]:  # noqa:
     """
     if "probes" not in prints.columns:
         prints = prints.withColumn("probes", F.lit(None).cast("array<bigint>"))
-    prints = table(prints)
+    prints = _in_small_batches(prints)
     known = prints.where("id is not null and digest is not null")
     # a class is looked for by the probes of one of its queries
-    named = known.groupBy("digest").agg(F.min("id").alias("class_id"), F.max(queries).alias("asked"), F.min(F.when(queries, F.col("probes"))).alias("looked"))
+    named = known.groupBy("digest").agg(F.min("id").alias("class_id"), F.max(queries).alias("asked"), F.min(F.when(queries, F.col("id"))).alias("looked"))
     members = prints.join(named.select("digest", "class_id"), "digest", "left").select("id", F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"), F.size("prints").cast("bigint").alias("windows"))
-    reps = known.drop("probes").join(named, (known["digest"] == named["digest"]) & (known["id"] == named["class_id"])).select("class_id", "asked", "looked", "prints").dropDuplicates(["class_id"])
+    reps = known.drop("probes").join(named, (known["digest"] == named["digest"]) & (known["id"] == named["class_id"])).select("class_id", "asked", "prints").dropDuplicates(["class_id"])
     reps = table(reps)
     # a place is (window << 32 | integer), which is half as wide to shuffle as its parts
     place = lambda v, at: F.call_function("shiftleft", at.cast("bigint"), F.lit(32)).bitwiseOR(v)
     posts = reps.select(F.col("class_id").alias("m"), F.posexplode("prints").alias("ma", "v")).select("m", place(F.col("v"), F.col("ma")).alias("r"))
     flips = F.array(*(F.lit(x).cast("bigint") for x in FLIPS))
     flipped = F.flatten(F.transform("prints", lambda v, at: F.transform(flips, lambda x: place(v.bitwiseXOR(x), at))))
-    left = reps.where("asked").select(F.col("class_id").alias("q"), F.explode(F.coalesce("looked", flipped)).alias("p"))
+    # only a query's probes move, and only they: rows that repeat an id may have other prints, so the digest must agree as well
+    asked = named.where("asked").select(F.col("digest").alias("d"), "looked", F.col("class_id").alias("q"))
+    own = known.where(queries).select("id", "digest", "prints", "probes").join(asked, (F.col("digest") == F.col("d")) & (F.col("id") == F.col("looked"))).dropDuplicates(["q"])
+    left = own.select("q", F.explode(F.coalesce("probes", flipped)).alias("p"))
     integer = F.lit((1 << 32) - 1)
     met = left.join(posts, F.col("p").bitwiseAND(integer) == F.col("r").bitwiseAND(integer)).where("q <> m")
     votes = met.groupBy("q", "m", (F.shiftright("r", 32) - F.shiftright("p", 32)).cast("int").alias("offset")).agg(F.count("*").alias("hits"))
-    # a start between two hops has its hits at one offset and its least error at the next
-    near = F.explode(F.array(*[F.col("offset") + i for i in (-1, 0, 1)])).alias("offset")
-    best = votes.where(F.col("hits") >= MIN_HITS).select("q", "m", "hits", near).groupBy("q", "m", "offset").agg(F.max("hits").alias("hits"))
-    a = reps.select(F.col("class_id").alias("q"), F.col("prints").alias("qp"))
-    b = reps.select(F.col("class_id").alias("m"), F.col("prints").alias("mp"))
-    both = best.join(a, "q").join(b, "m")
-    first, last = F.greatest(F.lit(0), -F.col("offset")), F.least(F.size("qp"), F.size("mp") - F.col("offset"))
-    overlap = last - first
-    pairs = F.arrays_zip(F.slice("qp", first + 1, overlap).alias("x"), F.slice("mp", first + F.col("offset") + 1, overlap).alias("y"))
-    wrong = F.aggregate(pairs, F.lit(0), lambda s, p: s + F.bit_count(p["x"].bitwiseXOR(p["y"])))
-    links = both.where(overlap >= MIN_OVERLAP).select("q", "m", "offset", "hits", (wrong / (overlap * 32.0)).alias("bit_error")).where(F.col("bit_error") <= MAX_ERROR)
+    links = confirmed(votes.where(F.col("hits") >= MIN_HITS), reps)
     least = links.groupBy("q", "m").agg(F.min(F.struct("bit_error", (-F.col("hits")).alias("less"), F.abs("offset").alias("far"), "offset")).alias("l"))
     return members, least.select(F.col("q").alias("query_class"), F.col("m").alias("match_class"), F.col("l.offset").cast("bigint").alias("offset"), (-F.col("l.less")).alias("hits"), F.col("l.bit_error").alias("bit_error"))
 
 
+def confirmed(votes: DataFrame, reps: DataFrame) -> DataFrame:
+    """q, m, offset, hits, bit_error of the votes (q, m, offset, hits) whose bit error is accepted at their offset or beside it.
+
+    Queries and recordings are dealt into blocks of about BLOCK windows each. A pair of blocks is one group: it gets both blocks' prints once and the
+    votes between them, so no vote carries prints.
+    """
+    sizes = reps.agg(*[F.coalesce(F.sum(F.when(c, F.size("prints"))), F.lit(0)).alias(n) for c, n in ((F.col("asked"), "q"), (F.lit(True), "m"))]).first()
+    blocks = {x: -(-sizes[x] // BLOCK) or 1 for x in ("q", "m")}
+    kind = reps.schema["class_id"].dataType.simpleString()
+    block = lambda x, c: F.pmod(F.xxhash64(c), F.lit(blocks[x])).cast("int")
+    every = lambda x: F.explode(F.sequence(F.lit(0), F.lit(blocks[x] - 1)))
+    none = lambda t: F.lit(None).cast(t)
+    parts = votes.select(block("q", "q").alias("qb"), block("m", "m").alias("mb"), "q", "m", "offset", "hits", none("array<bigint>").alias("prints"))
+    qs = reps.where("asked").select(block("q", "class_id").alias("qb"), every("m").alias("mb"), F.col("class_id").alias("q"), none(kind).alias("m"), none("int").alias("offset"), none("bigint").alias("hits"), "prints")
+    ms = reps.select(every("q").alias("qb"), block("m", "class_id").alias("mb"), none(kind).alias("q"), F.col("class_id").alias("m"), none("int").alias("offset"), none("bigint").alias("hits"), "prints")
+
+    def run(group: pa.Table) -> pa.Table:
+        of = lambda c: group.column(c)
+        sides = []
+        vote = group.filter(pc.is_valid(of("offset")))
+        for x, other in (("q", "m"), ("m", "q")):
+            side = group.filter(pc.and_(pc.is_valid(of("prints")), pc.is_null(of(other))))
+            prints = side.column("prints").combine_chunks()
+            n = pc.list_value_length(prints).to_numpy(zero_copy_only=False).astype(np.int64)
+            at = pc.index_in(vote.column(x), side.column(x)).to_numpy().astype(np.int64)
+            sides.append((prints.flatten().to_numpy().astype(np.uint32), np.cumsum(n) - n, n, at))
+        (qp, q_start, q_n, q), (mp, m_start, m_n, m) = sides
+        offset, hits = (vote.column(c).to_numpy().astype(np.int64) for c in ("offset", "hits"))
+        # a start between two hops has its hits at one offset and its least error at the next
+        vote_of, offset = np.tile(np.arange(len(q)), 3), np.concatenate([offset - 1, offset, offset + 1])
+        order = np.lexsort((-hits[vote_of], offset, m[vote_of], q[vote_of]))
+        vote_of, offset = vote_of[order], offset[order]
+        a, b = q[vote_of], m[vote_of]
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (offset[1:] != offset[:-1])
+        first = np.maximum(0, -offset)
+        overlap = np.minimum(q_n[a], m_n[b] - offset) - first
+        keep = np.flatnonzero(new & (overlap >= MIN_OVERLAP))
+        vote_of, offset, first, overlap = vote_of[keep], offset[keep], first[keep], overlap[keep]
+        a, b = q_start[q[vote_of]] + first, m_start[m[vote_of]] + first + offset
+        error, total, low = np.empty(len(keep)), np.cumsum(overlap), 0
+        while low < len(keep):
+            high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + (1 << 20), "right")))
+            n = overlap[low:high]
+            wrong = np.bitwise_count(qp[ranges(a[low:high], n)] ^ mp[ranges(b[low:high], n)])
+            error[low:high] = np.add.reduceat(wrong, np.cumsum(n) - n, dtype=np.int64) / (n * 32.0)
+            low = high
+        good = np.flatnonzero(error <= MAX_ERROR)
+        found = vote.select(["q", "m"]).take(pa.array(vote_of[good]))
+        return found.append_column("offset", pa.array(offset[good].astype(np.int32))).append_column("hits", pa.array(hits[vote_of[good]])).append_column("bit_error", pa.array(error[good]))
+
+    return parts.unionByName(qs).unionByName(ms).groupBy("qb", "mb").applyInArrow(run, f"q {kind}, m {kind}, offset int, hits bigint, bit_error double")
+
+
 #: Samples of a note, two frames; the octave that notes are taken from starts at 440 Hz.
 NOTE = FRAME
 

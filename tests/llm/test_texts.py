@@ -426,6 +426,35 @@ def test_audio_recall_at_any_start(spark, noise) -> None:  # noqa: ANN001
     assert not any(m < 1000 and q % 1000 != m for q, m in found)
 
 
+def test_audio_votes_carry_no_prints(spark, monkeypatch) -> None:  # noqa: ANN001
+    """However the recordings fall into blocks the links are the same; a candidate offset has no prints to itself; audio comes in small batches."""
+    r = np.random.default_rng(8)
+    base = [r.normal(size=64).tolist() for _ in range(30)]
+    rows = [(i, v) for i, v in enumerate(base)] + [(100 + i, [*r.normal(size=4).tolist(), *v[:60]]) for i, v in enumerate(base)] + [(200, None), (201, base[0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    asked = F.col("id") % 5 == 0
+    prints = chroma.fingerprints(chroma.melodies(df, "vec_id", "embedding"), "id", "audio", queries=asked)
+    taken, found, table, confirmed = [], [], chroma.table, chroma.confirmed
+
+    def written(frame):  # noqa: ANN001, ANN202
+        taken.append(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+        return table(frame)
+
+    def watched(votes, reps):  # noqa: ANN001, ANN202
+        assert not any(kind.startswith("array") for _, kind in votes.dtypes)
+        assert not any("probes" in name or "looked" in name for name in reps.columns)
+        return confirmed(votes, reps)
+
+    monkeypatch.setattr(chroma, "table", written)
+    monkeypatch.setattr(chroma, "confirmed", watched)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for block in (1 << 17, 300):
+        monkeypatch.setattr(chroma, "BLOCK", block)
+        found.append(sorted(tuple(x) for x in chroma.search(prints, asked)[1].collect()))
+    assert found[0] == found[1] and {(q, 100 + q) for q in range(0, 30, 5)} <= {x[:2] for x in found[0]}
+    assert int(taken[0]) == chroma.BATCH and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_audio_links_noisy_copies(spark) -> None:  # noqa: ANN001
     """search() links all that brute force over the bit error accepts: prints of a query, of copies with flipped bits, of others."""
     r = np.random.default_rng(6)
