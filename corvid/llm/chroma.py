@@ -7,11 +7,14 @@ answers pack into a 32-bit integer for each window.
 
 Search: recordings with equal fingerprints are one class, under the smallest id. A query rarely starts where the match's frames start, so it is
 read at PHASES places within a hop, and of each integer the WEAK bits whose answers were nearest to a threshold are flipped, one at a time: the bits
-that another cut or some noise turns first. These probes are joined with the equal integers of all classes; each window that meets votes for an offset (a
-histogram for each pair; hits counts the windows). Of all offsets with MIN_HITS, and those beside them, the one with the least bit errors, over the whole
-overlap (confirmed() meets the prints in pairs of blocks), is accepted if at most MAX_ERROR of all bits differ and the overlap has at least MIN_OVERLAP windows. Nothing is capped: an integer that many
-classes share is joined as it is, a hot one is split by adaptive execution. Unrelated recordings meet by chance, so the votes grow faster than
-the recordings. Prints without probes of their own (search() of a table of prints) are met with each of their 32 bits flipped.
+that another cut or some noise turns first. These probes are joined with the equal integers of all classes. Nearly all of these meet by chance, so both
+sides carry half the bits of the windows AROUND theirs, and the join only makes rows of those whose surroundings agree as well (ALLOWED, wider than
+MAX_ERROR by what so few bits scatter; a window without any common surroundings lies in an overlap below MIN_OVERLAP). Each such window votes
+for an offset (a histogram for each pair; hits counts the windows). Of all offsets with a vote, and those beside them, the one with the least bit errors,
+over the whole overlap (confirmed() meets the prints in pairs of blocks), is accepted if at most MAX_ERROR of all bits differ, the overlap has at least
+MIN_OVERLAP windows and MIN_HITS windows meet; where fewer have voted, all that meet are counted, whatever surrounds them. Nothing is capped: an integer that many classes share is joined as it is, a hot one is split by adaptive execution. Unrelated
+recordings still meet by chance, so the comparisons in the join grow with the square of the recordings, and so do the links between short overlaps.
+Prints without probes of their own (search() of a table of prints) are met with each of their 32 bits flipped.
 
 A null, empty or short recording (fewer than WIDTH frames) has no fingerprint, is its own class and links with nothing; so does a
 row with a null id, whose class is null. Rows that repeat an id: each has its class, links count once.
@@ -19,7 +22,9 @@ row with a null id, whose class is null. Rows that repeat an id: each has its cl
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +43,12 @@ PHASES, WEAK = 8, 6
 BATCH = 256
 #: Windows of a block of queries or of recordings.
 BLOCK = 1 << 17
+#: Windows compared around two that meet, in two halves of four. Of an overlap of MIN_OVERLAP, or one less, each window has a neighbour at 7 or -7.
+AROUND = (-32, -24, -16, -7, 7, 16, 24, 32)
+#: The bits compared: whether an answer is above the middle threshold, which noise turns least.
+HIGH = 0xAAAAAAAA
+#: For each number of windows seen by both sides, how many of their bits may differ.
+ALLOWED = (-1, *(int(16 * n * MAX_ERROR + 1.3 * math.sqrt(16 * n)) for n in range(1, len(AROUND) + 1)))
 #: What a query's integer is xored with where its weak bits aren't known: itself, and each integer one bit away.
 FLIPS = (0, *(1 << i for i in range(32)))
 THRESHOLDS = (-0.25, 0.0, 0.25)
@@ -165,6 +176,30 @@ def _in_small_batches(prints: DataFrame) -> DataFrame:
         conf.set(name, before)
 
 
+def _packed(k: int, value):  # noqa: ANN001, ANN202
+    """Where the bits of the k-th window of a half go: two windows share 32 bits, as HIGH leaves every other one free."""
+    return F.call_function("shiftleft", F.call_function("shiftright", value, F.lit(k % 2)), F.lit(32 * (k // 2)))
+
+
+def surroundings(prints: str, at: Column) -> list[Column]:
+    """seen (a bit for each of AROUND that the recording has), before and after (its bits) of a window of a recording."""
+    near = [F.get(prints, at + d) for d in AROUND]
+    whole = lambda parts: reduce(lambda a, b: a.bitwiseOR(b), parts)
+    seen = whole([F.when(x.isNotNull(), 1 << k).otherwise(0) for k, x in enumerate(near)])
+    high = [F.coalesce(x, F.lit(0).cast("bigint")).bitwiseAND(F.lit(HIGH)) for x in near]
+    return [seen.cast("int").alias("seen"), *(whole([_packed(k, x) for k, x in enumerate(half)]).alias(name) for name, half in (("before", high[:4]), ("after", high[4:])))]
+
+
+def agree(a: str, b: str) -> Column:
+    """Whether the surroundings a.* and b.* differ in no more bits than ALLOWED."""
+    masks = [sum(HIGH >> k % 2 << 32 * (k // 2) for k in range(4) if s >> k & 1) for s in range(16)]
+    mask = F.array(*(F.lit(int(np.uint64(x).astype(np.int64))) for x in masks))
+    of = lambda side, name: F.col(f"{side}.{name}")
+    seen = of(a, "seen").bitwiseAND(of(b, "seen"))
+    wrong = lambda name, s: F.bit_count(of(a, name).bitwiseXOR(of(b, name)).bitwiseAND(F.get(mask, s)))
+    return wrong("before", seen.bitwiseAND(F.lit(15))) + wrong("after", F.shiftright(seen, 4)) <= F.get(F.array(*map(F.lit, ALLOWED)), F.bit_count(seen))
+
+
 def search(prints: DataFrame, queries) -> tuple[DataFrame, DataFrame]:  # noqa: ANN001
     """Membership (id, class_id, windows) of all rows, and links (query_class, match_class, offset, hits, bit_error).
 
@@ -181,17 +216,29 @@ def search(prints: DataFrame, queries) -> tuple[DataFrame, DataFrame]:  # noqa:
     reps = table(reps)
     # a place is (window << 32 | integer), which is half as wide to shuffle as its parts
     place = lambda v, at: F.call_function("shiftleft", at.cast("bigint"), F.lit(32)).bitwiseOR(v)
-    posts = reps.select(F.col("class_id").alias("m"), F.posexplode("prints").alias("ma", "v")).select("m", place(F.col("v"), F.col("ma")).alias("r"))
+    around = lambda at: surroundings("prints", at)
+    posts = reps.select(F.col("class_id").alias("m"), F.explode(F.transform("prints", lambda v, at: F.struct(place(v, at).alias("r"), *around(at)))).alias("x")).select("m", "x.*")
+    # a query's surroundings are written once, for its windows; its probes pick theirs
+    windows = table(reps.where("asked").select(F.col("class_id").alias("q"), F.transform("prints", lambda v, at: F.struct(*around(at))).alias("around")))
     flips = F.array(*(F.lit(x).cast("bigint") for x in FLIPS))
     flipped = F.flatten(F.transform("prints", lambda v, at: F.transform(flips, lambda x: place(v.bitwiseXOR(x), at))))
     # only a query's probes move, and only they: rows that repeat an id may have other prints, so the digest must agree as well
     asked = named.where("asked").select(F.col("digest").alias("d"), "looked", F.col("class_id").alias("q"))
     own = known.where(queries).select("id", "digest", "prints", "probes").join(asked, (F.col("digest") == F.col("d")) & (F.col("id") == F.col("looked"))).dropDuplicates(["q"])
-    left = own.select("q", F.explode(F.coalesce("probes", flipped)).alias("p"))
+    found = own.select("q", F.coalesce("probes", flipped).alias("looked")).join(windows, "q")
+    left = found.select("q", F.explode(F.transform("looked", lambda p: F.struct(p.alias("p"), F.get("around", F.shiftright(p, 32).cast("int")).alias("w")))).alias("x")).select("q", "x.p", "x.w.*")
     integer = F.lit((1 << 32) - 1)
-    met = left.join(posts, F.col("p").bitwiseAND(integer) == F.col("r").bitwiseAND(integer)).where("q <> m")
+    equal = F.col("p").bitwiseAND(integer) == F.col("r").bitwiseAND(integer)
+    met = left.alias("q_").join(posts.alias("m_"), equal & (F.col("q") != F.col("m")) & agree("q_", "m_"))
     votes = met.groupBy("q", "m", (F.shiftright("r", 32) - F.shiftright("p", 32)).cast("int").alias("offset")).agg(F.count("*").alias("hits"))
-    links = confirmed(votes.where(F.col("hits") >= MIN_HITS), reps)
+    links = table(confirmed(votes, reps))
+    # accepted with too few votes: each window of the match, as the place by which the query would have looked for it there
+    few = links.where(F.col("hits") < MIN_HITS).drop("hits")
+    beside = lambda d: F.transform("prints", lambda v, at: F.struct(F.lit(d).alias("d"), place(v, at - F.col("offset") - d).alias("p")))
+    places = few.join(reps.select(F.col("class_id").alias("m"), "prints"), "m").select(*few.columns, F.explode(F.concat(*map(beside, (-1, 0, 1)))).alias("x")).select(*few.columns, "x.*")
+    looked = found.join(few.select("q").distinct(), "q", "left_semi").select("q", F.explode("looked").alias("p"))
+    counted = places.join(looked, ["q", "p"]).groupBy(*few.columns, "d").agg(F.count("*").alias("hits")).groupBy(*few.columns).agg(F.max("hits").alias("hits"))
+    links = links.unionByName(counted).where(F.col("hits") >= MIN_HITS)
     least = links.groupBy("q", "m").agg(F.min(F.struct("bit_error", (-F.col("hits")).alias("less"), F.abs("offset").alias("far"), "offset")).alias("l"))
     return members, least.select(F.col("q").alias("query_class"), F.col("m").alias("match_class"), F.col("l.offset").cast("bigint").alias("offset"), (-F.col("l.less")).alias("hits"), F.col("l.bit_error").alias("bit_error"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import random
 import zlib
@@ -480,3 +481,51 @@ def test_audio_links_noisy_copies(spark) -> None:  # noqa: ANN001
                 want[q, m] = (offset, pytest.approx(least))
     found = {(x["query_class"], x["match_class"]): (x["offset"], x["bit_error"]) for x in chroma.search(rows, F.col("id") < 12)[1].collect()}
     assert len(want) == 13 and found == want
+
+
+def test_audio_surroundings(spark) -> None:  # noqa: ANN001
+    """The bits compared around two windows, and the verdict, against plain Python, for recordings of any length."""
+    r = np.random.default_rng(12)
+    rows = [(i, r.integers(0, 1 << 32, n, dtype=np.uint64).astype(np.int64).tolist()) for i, n in enumerate((1, 7, 8, 15, 16, 40, 70))]
+    rows += [(10 + i, [int(x) ^ int(r.integers(0, 1 << 32) & r.integers(0, 1 << 32)) for x in v]) for i, v in rows]
+    df = spark.createDataFrame(rows, "i bigint, prints array<bigint>")
+    whole = df.select("i", F.explode(F.transform("prints", lambda v, at: F.struct(at.alias("at"), *chroma.surroundings("prints", at)))).alias("x")).select("i", "x.*")
+    got = {(x["i"], x["at"], x["j"], x["to"]) for x in whole.alias("a").join(whole.withColumnRenamed("i", "j").withColumnRenamed("at", "to").alias("b"), chroma.agree("a", "b")).collect()}
+    want = set()
+    for i, a in rows:
+        for j, b in rows:
+            for at in range(len(a)):
+                for to in range(len(b)):
+                    pairs = [(a[at + d], b[to + d]) for d in chroma.AROUND if 0 <= at + d < len(a) and 0 <= to + d < len(b)]
+                    wrong = sum(((x ^ y) & chroma.HIGH).bit_count() for x, y in pairs)
+                    if pairs and wrong <= int(16 * len(pairs) * chroma.MAX_ERROR + 1.3 * math.sqrt(16 * len(pairs))):
+                        want.add((i, at, j, to))
+    assert got == want and len(want) < 0.5 * sum(len(a) for _, a in rows) ** 2
+    # in every overlap that can be accepted a window has a neighbour on either side
+    assert all(any(0 <= t + d < n for d in chroma.AROUND) for n in (chroma.MIN_OVERLAP - 1, chroma.MIN_OVERLAP, 40) for t in range(n))
+
+
+def test_audio_chance_meetings_are_no_votes(spark, monkeypatch) -> None:  # noqa: ANN001
+    """Unrelated recordings that share frequent prints don't reach the votes; a copy is found by windows whose surroundings differ."""
+    r = np.random.default_rng(13)
+    prints = {i: r.integers(0, 1 << 32, 60, dtype=np.uint64).astype(np.int64) for i in range(60)}
+    for p in prints.values():
+        p[[10, 30, 31, 50]] = [5, 6, 7, 8]
+    # of the two windows that the copy meets its original by, one's surroundings have 14 wrong bits each
+    flips = np.array([0 if k in (20, 50) else 14 if abs(k - 50) in map(abs, chroma.AROUND) else 3 for k in range(60)])
+    prints[100] = prints[0] ^ np.array([sum(1 << (31 - 2 * b) if b < 14 else 0 for b in range(n)) if n > 3 else sum(1 << int(b) for b in r.choice(32, n, replace=False)) for n in flips], np.int64)
+    assert np.bitwise_count(prints[0] ^ prints[100]).sum() <= chroma.MAX_ERROR * 32 * 60
+    # meets by one window alone
+    prints[101] = prints[1] ^ np.array([0 if k == 40 else 0b1111 << int(r.integers(0, 28)) for k in range(60)], np.int64)
+    rows = spark.createDataFrame([(i, p.tolist(), str(i).encode()) for i, p in prints.items()], "id bigint, prints array<bigint>, digest binary").repartition(3)
+    seen, confirmed = [], chroma.confirmed
+
+    def watched(votes, reps):  # noqa: ANN001, ANN202
+        seen.append(votes.count())
+        return confirmed(votes, reps)
+
+    monkeypatch.setattr(chroma, "confirmed", watched)
+    links = chroma.search(rows, F.col("id") < 20)[1].collect()
+    assert [(x["query_class"], x["match_class"], x["offset"]) for x in links] == [(0, 100, 0)]
+    assert [x["hits"] for x in links] == [2]
+    assert seen[0] < 100  # 20 * 60 pairs meet at four windows
