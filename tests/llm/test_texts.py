@@ -365,6 +365,38 @@ def test_scoring_stays_cheap(monkeypatch) -> None:  # noqa: ANN001
         assert p.dtype == np.float32 and p == pytest.approx(1 / (1 + np.exp(-sign * z.astype(np.float64))), rel=1e-5)
 
 
+def test_scoring_holds_a_block_and_shares_its_cost(monkeypatch) -> None:  # noqa: ANN001
+    """Bits are made for BLOCK tokens of each text at a time, many texts share a block, and a long text among others is scored as it is alone."""
+    monkeypatch.setattr(mixing, "CHUNK", 1 << 10)
+    texts = [words_of(3000, 1), *(words_of(90, i) for i in range(2, 40)), words_of(2500, 50)]
+    array = text_bytes(pa.array(texts))
+    hashes = np.concatenate([w.hashes for w in batch_words(array, True)[1]])
+    ranked, counts = np.unique(hashes, return_counts=True)
+    order = np.argsort(-counts, kind="stable")
+    head = mixing.Head(ranked[order], counts[order], len(texts), len(hashes) + len(texts), len(ranked))
+    slots = np.random.default_rng(2).integers(0, 40, (2 << 16, 2))
+    weights, tables = np.full((mixing.GATES, 3), 0.4, np.float32), np.full((mixing.DEPTHS, mixing.BUCKETS), 0.5, np.float32)
+    model = mixing.Model(head, head.tree, (mixing.slot_odds(slots), None), (16, 16), (weights, None), (tables, None))
+    made, token_bits = [], mixing.token_bits
+
+    def watched(head, symbol, place, at, bits):  # noqa: ANN001, ANN202
+        made.append(len(at))
+        return token_bits(head, symbol, place, at, bits)
+
+    monkeypatch.setattr(mixing, "token_bits", watched)
+
+    def scores(array: pa.Array) -> list:
+        out = []
+        for words in batch_words(array, True, mixing.SCORED)[1]:
+            row, symbol, place = mixing._tokens(words, head.look_up(words.hashes)[0])
+            out += np.bincount(row, mixing.Mixer(model, len(words)).score(symbol, row, place, 0, len(row)), len(words)).tolist()
+        return out
+
+    together = scores(array)
+    assert max(made) <= mixing.BLOCK * len(texts) and len(made) == -(-3001 // mixing.BLOCK)
+    assert together == pytest.approx([scores(text_bytes(pa.array([t])))[0] for t in texts], rel=1e-5)
+
+
 def test_word_hashes_are_cut_anywhere() -> None:
     import pyarrow as pa
 
