@@ -397,6 +397,21 @@ def test_scoring_holds_a_block_and_shares_its_cost(monkeypatch) -> None:  # noqa
     assert together == pytest.approx([scores(text_bytes(pa.array([t])))[0] for t in texts], rel=1e-5)
 
 
+def test_tables_of_scoring_free_their_shuffles(spark, monkeypatch) -> None:  # noqa: ANN001
+    """Each table is written with its shuffle files removed behind it, and the session's setting comes back."""
+    name, seen, table = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [], mixing.table
+
+    def written(frame):  # noqa: ANN001, ANN202
+        seen.append(spark.conf.get(name))
+        return table(frame)
+
+    monkeypatch.setattr(mixing, "table", written)
+    before = spark.conf.get(name)
+    docs = spark.createDataFrame([(i, words_of(40, i)) for i in range(20)], "doc_id bigint, text string").repartition(3)
+    assert mixing.scored(docs, *mixing.fit(docs), F.lit(True)).count() == 20
+    assert seen == ["true"] * 3 and spark.conf.get(name) == before
+
+
 def test_word_hashes_are_cut_anywhere() -> None:
     import pyarrow as pa
 
