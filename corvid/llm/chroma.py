@@ -7,13 +7,12 @@ answers pack into a 32-bit integer for each window.
 
 Search: recordings with equal fingerprints are one class, under the smallest id. A query rarely starts where the match's frames start, so it is
 read at PHASES places within a hop, and of each integer the WEAK bits whose answers were nearest to a threshold are flipped, one at a time: the bits
-that another cut or some noise turns first. These probes are joined with the equal integers of all classes. Nearly all of these meet by chance, so both
-sides carry half the bits of the windows AROUND theirs, and the join only makes rows of those whose surroundings agree as well (ALLOWED, wider than
-MAX_ERROR by what so few bits scatter; a window without any common surroundings lies in an overlap below MIN_OVERLAP). Each such window votes
-for an offset (a histogram for each pair; hits counts the windows). Of all offsets with a vote, and those beside them, the one with the least bit errors,
-over the whole overlap (confirmed() meets the prints in pairs of blocks), is accepted if at most MAX_ERROR of all bits differ, the overlap has at least
-MIN_OVERLAP windows and MIN_HITS windows meet; where fewer have voted, all that meet are counted, whatever surrounds them. Nothing is capped: an integer that many classes share is joined as it is, a hot one is split by adaptive execution. Unrelated
-recordings still meet by chance, so the comparisons in the join grow with the square of the recordings, and so do the links between short overlaps.
+that another cut or some noise turns first. A window meets those of other classes with an integer it is looked for by; how many do at one offset is
+that offset's hits. Queries and recordings are dealt into blocks, each pair of blocks is one group that gets their prints once, and nothing else than
+what it accepts leaves it (voted()), so windows that meet, most of them by chance, are rows of no table. Of all offsets with MIN_HITS windows, and those
+beside them, the one with the least bit errors over the whole overlap is accepted if at most MAX_ERROR of all bits differ and the overlap has at least
+MIN_OVERLAP windows (confirmed()). Nothing is capped. Unrelated recordings still meet by chance, so the comparisons within the groups and the pairs of
+blocks grow with the square of the recordings, and so do the links between short overlaps; what a group holds does not.
 Prints without probes of their own (search() of a table of prints) are met with each of their 32 bits flipped.
 
 A null, empty or short recording (fewer than WIDTH frames) has no fingerprint, is its own class and links with nothing; so does a
@@ -23,7 +22,7 @@ row with a null id, whose class is null. Rows that repeat an id: each has its cl
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -41,8 +40,10 @@ MIN_HITS, MIN_OVERLAP, MAX_ERROR = 2, 16, 0.2
 PHASES, WEAK = 8, 6
 #: Recordings of an Arrow batch.
 BATCH = 256
-#: Windows of a block of queries or of recordings.
+#: Windows of a block of queries or of recordings; where windows meet, a quarter of it and four times it.
 BLOCK = 1 << 17
+#: Windows that meet taken at once.
+MEETINGS = 1 << 20
 #: Windows compared around two that meet, in two halves of four. Of an overlap of MIN_OVERLAP, or one less, each window has a neighbour at 7 or -7.
 AROUND = (-32, -24, -16, -7, 7, 16, 24, 32)
 #: The bits compared: whether an answer is above the middle threshold, which noise turns least.
@@ -120,16 +121,17 @@ def fingerprint_weak(frames: np.ndarray, weak: int) -> tuple[np.ndarray, np.ndar
     return out, np.take_along_axis(masks, np.argsort(near, axis=2)[..., :weak], axis=2)
 
 
-def probes(samples: np.ndarray, rate: int = RATE) -> list[np.ndarray]:
-    """Of each recording the distinct (window << 32 | integer) by which it is looked for, for recordings x samples."""
+def probes(samples: np.ndarray, rate: int = RATE) -> list[list[np.ndarray]]:
+    """Of each recording, for each start within a hop, the integer of each window with its weak bits packed above it, for recordings x samples."""
     found: list[list[np.ndarray]] = [[] for _ in samples]
     for shift in range(0, HOP, HOP // PHASES):
         whole, masks = fingerprint_weak(chroma(samples[:, shift:], rate), WEAK)
-        every = np.concatenate([whole[..., None], whole[..., None] ^ masks], axis=2).astype(np.int64)
-        every |= np.arange(whole.shape[1], dtype=np.int64)[None, :, None] << 32
-        for own, x in zip(found, every, strict=True):
-            own.append(x.ravel())
-    return [np.unique(np.concatenate(x)) for x in found]
+        packed = whole.astype(np.int64)
+        for k in range(WEAK):
+            packed |= np.bitwise_count(masks[..., k] - np.uint32(1)).astype(np.int64) << (32 + 5 * k)
+        for own, x in zip(found, packed, strict=True):
+            own.append(x)
+    return found
 
 
 def fingerprints(recordings: DataFrame, rec_id: str, audio: str, rate: int = RATE, queries: Column | None = None) -> DataFrame:
@@ -147,7 +149,7 @@ def fingerprints(recordings: DataFrame, rec_id: str, audio: str, rate: int = RAT
                 part = batch.slice(s, 32)
                 raw = [x[: len(x) // 2 * 2] if x else b"" for x in part.column(1).to_pylist()]
                 prints: list[np.ndarray] = [np.empty(0, np.uint32)] * len(raw)
-                looked: list[np.ndarray | None] = [None] * len(raw)
+                looked: list[list[np.ndarray] | None] = [None] * len(raw)
                 asked = part.column(2).to_pylist()
                 for size in {len(x) for x in raw}:
                     own = [i for i, x in enumerate(raw) if len(x) == size]
@@ -158,11 +160,11 @@ def fingerprints(recordings: DataFrame, rec_id: str, audio: str, rate: int = RAT
                     for j, p in zip(wanted, probes(samples[wanted], rate) if wanted else [], strict=True):
                         looked[own[j]] = p
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([p.astype(np.int64) for p in prints], pa.list_(pa.int64())), pa.array([xxhash.xxh3_128_digest(p.tobytes()) if len(p) else None for p in prints], pa.binary()), pa.array(looked, pa.list_(pa.int64()))],
+                    [part.column(0), pa.array([p.astype(np.int64) for p in prints], pa.list_(pa.int64())), pa.array([xxhash.xxh3_128_digest(p.tobytes()) if len(p) else None for p in prints], pa.binary()), pa.array(looked, pa.list_(pa.list_(pa.int64())))],
                     names=["id", "prints", "digest", "probes"],
                 )
 
-    return rows.mapInArrow(run, f"id {kind}, prints array<bigint>, digest binary, probes array<bigint>")
+    return rows.mapInArrow(run, f"id {kind}, prints array<bigint>, digest binary, probes array<array<bigint>>")
 
 
 def _in_small_batches(prints: DataFrame) -> DataFrame:
@@ -191,7 +193,7 @@ def surroundings(prints: str, at: Column) -> list[Column]:
 
 
 def agree(a: str, b: str) -> Column:
-    """Whether the surroundings a.* and b.* differ in no more bits than ALLOWED."""
+    """Whether the surroundings a.* and b.* differ in no more bits than ALLOWED: for joins of windows; search() needs none, and compares whole overlaps."""
     masks = [sum(HIGH >> k % 2 << 32 * (k // 2) for k in range(4) if s >> k & 1) for s in range(16)]
     mask = F.array(*(F.lit(int(np.uint64(x).astype(np.int64))) for x in masks))
     of = lambda side, name: F.col(f"{side}.{name}")
@@ -206,7 +208,7 @@ def search(prints: DataFrame, queries) -> tuple[DataFrame, DataFrame]:  # noqa:
     queries: a condition on id. A link's offset is where the query's first window falls in the match.
     """
     if "probes" not in prints.columns:
-        prints = prints.withColumn("probes", F.lit(None).cast("array<bigint>"))
+        prints = prints.withColumn("probes", F.lit(None).cast("array<array<bigint>>"))
     prints = _in_small_batches(prints)
     known = prints.where("id is not null and digest is not null")
     # a class is looked for by the probes of one of its queries
@@ -214,62 +216,160 @@ def search(prints: DataFrame, queries) -> tuple[DataFrame, DataFrame]:  # noqa:
     members = prints.join(named.select("digest", "class_id"), "digest", "left").select("id", F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"), F.size("prints").cast("bigint").alias("windows"))
     reps = known.drop("probes").join(named, (known["digest"] == named["digest"]) & (known["id"] == named["class_id"])).select("class_id", "asked", "prints").dropDuplicates(["class_id"])
     reps = table(reps)
-    # a place is (window << 32 | integer), which is half as wide to shuffle as its parts
-    place = lambda v, at: F.call_function("shiftleft", at.cast("bigint"), F.lit(32)).bitwiseOR(v)
-    around = lambda at: surroundings("prints", at)
-    posts = reps.select(F.col("class_id").alias("m"), F.explode(F.transform("prints", lambda v, at: F.struct(place(v, at).alias("r"), *around(at)))).alias("x")).select("m", "x.*")
-    # a query's surroundings are written once, for its windows; its probes pick theirs
-    windows = table(reps.where("asked").select(F.col("class_id").alias("q"), F.transform("prints", lambda v, at: F.struct(*around(at))).alias("around")))
-    flips = F.array(*(F.lit(x).cast("bigint") for x in FLIPS))
-    flipped = F.flatten(F.transform("prints", lambda v, at: F.transform(flips, lambda x: place(v.bitwiseXOR(x), at))))
-    # only a query's probes move, and only they: rows that repeat an id may have other prints, so the digest must agree as well
+    # rows that repeat an id may have other prints, so the digest must agree as well
     asked = named.where("asked").select(F.col("digest").alias("d"), "looked", F.col("class_id").alias("q"))
     own = known.where(queries).select("id", "digest", "prints", "probes").join(asked, (F.col("digest") == F.col("d")) & (F.col("id") == F.col("looked"))).dropDuplicates(["q"])
-    found = own.select("q", F.coalesce("probes", flipped).alias("looked")).join(windows, "q")
-    left = found.select("q", F.explode(F.transform("looked", lambda p: F.struct(p.alias("p"), F.get("around", F.shiftright(p, 32).cast("int")).alias("w")))).alias("x")).select("q", "x.p", "x.w.*")
-    integer = F.lit((1 << 32) - 1)
-    equal = F.col("p").bitwiseAND(integer) == F.col("r").bitwiseAND(integer)
-    met = left.alias("q_").join(posts.alias("m_"), equal & (F.col("q") != F.col("m")) & agree("q_", "m_"))
-    votes = met.groupBy("q", "m", (F.shiftright("r", 32) - F.shiftright("p", 32)).cast("int").alias("offset")).agg(F.count("*").alias("hits"))
-    links = table(confirmed(votes, reps))
-    # accepted with too few votes: each window of the match, as the place by which the query would have looked for it there
-    few = links.where(F.col("hits") < MIN_HITS).drop("hits")
-    beside = lambda d: F.transform("prints", lambda v, at: F.struct(F.lit(d).alias("d"), place(v, at - F.col("offset") - d).alias("p")))
-    places = few.join(reps.select(F.col("class_id").alias("m"), "prints"), "m").select(*few.columns, F.explode(F.concat(*map(beside, (-1, 0, 1)))).alias("x")).select(*few.columns, "x.*")
-    looked = found.join(few.select("q").distinct(), "q", "left_semi").select("q", F.explode("looked").alias("p"))
-    counted = places.join(looked, ["q", "p"]).groupBy(*few.columns, "d").agg(F.count("*").alias("hits")).groupBy(*few.columns).agg(F.max("hits").alias("hits"))
-    links = links.unionByName(counted).where(F.col("hits") >= MIN_HITS)
+    links = table(confirmed(table(voted(own.select("q", "prints", "probes"), reps)), reps))
     least = links.groupBy("q", "m").agg(F.min(F.struct("bit_error", (-F.col("hits")).alias("less"), F.abs("offset").alias("far"), "offset")).alias("l"))
     return members, least.select(F.col("q").alias("query_class"), F.col("m").alias("match_class"), F.col("l.offset").cast("bigint").alias("offset"), (-F.col("l.less")).alias("hits"), F.col("l.bit_error").alias("bit_error"))
 
 
+def sides(group: pa.Table) -> tuple[pa.Table, tuple, pa.Table, tuple]:
+    """The queries and the recordings of a pair of blocks, each with all its prints, their starts and their numbers."""
+    out = []
+    for other in ("m", "q"):
+        side = group.filter(pc.and_(pc.is_valid(group.column("prints")), pc.is_null(group.column(other))))
+        prints = side.column("prints").combine_chunks()
+        n = pc.list_value_length(prints).to_numpy(zero_copy_only=False).astype(np.int64)
+        out += [side, (prints.flatten().to_numpy().astype(np.uint32), np.cumsum(n) - n, n)]
+    return tuple(out)
+
+
+def bit_errors(qs: tuple, ms: tuple, q: np.ndarray, m: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """Share of the bits that differ over the overlap of each query and recording (numbers within sides()) at an offset; infinite below MIN_OVERLAP."""
+    (qp, q_start, q_n), (mp, m_start, m_n) = qs, ms
+    first = np.maximum(0, -offset)
+    overlap = np.minimum(q_n[q], m_n[m] - offset) - first
+    keep = np.flatnonzero(overlap >= MIN_OVERLAP)
+    a, b, overlap = (q_start[q] + first)[keep], (m_start[m] + first + offset)[keep], overlap[keep]
+    error, total, low = np.full(len(q), np.inf), np.cumsum(overlap), 0
+    while low < len(keep):
+        high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + (1 << 20), "right")))
+        n = overlap[low:high]
+        wrong = np.bitwise_count(qp[ranges(a[low:high], n)] ^ mp[ranges(b[low:high], n)])
+        error[keep[low:high]] = np.add.reduceat(wrong, np.cumsum(n) - n, dtype=np.int64) / (n * 32.0)
+        low = high
+    return error
+
+
+def dealt(reps: DataFrame, q_block: int, m_block: int) -> tuple[dict, Callable, Callable]:
+    """How many blocks queries and recordings have at about so many windows each; the block of an id, and a row for each block of a side."""
+    sizes = reps.agg(*[F.coalesce(F.sum(F.when(c, F.size("prints"))), F.lit(0)).alias(n) for c, n in ((F.col("asked"), "q"), (F.lit(True), "m"))]).first()
+    blocks = {"q": -(-sizes["q"] // q_block) or 1, "m": -(-sizes["m"] // m_block) or 1}
+    return blocks, lambda x, c: F.pmod(F.xxhash64(c), F.lit(blocks[x])).cast("int"), lambda x: F.explode(F.sequence(F.lit(0), F.lit(blocks[x] - 1)))
+
+
+def looked_for(queries: pa.Table, q_prints: tuple, there: np.ndarray) -> np.ndarray:
+    """The distinct (window << 32 | integer) by which queries are looked for, ascending; windows are numbered through. Only integers whose slot is there."""
+    prints, start, n = q_prints
+    column = queries.column("probes").combine_chunks()
+    plain = column.is_null().to_numpy(zero_copy_only=False)
+    found = [np.empty(0, np.int64)]
+
+    def add(at: np.ndarray, integers: np.ndarray) -> None:
+        keep = np.flatnonzero(there[slots(integers)])
+        found.append(at[keep] << 32 | integers[keep])
+
+    at = ranges(start[plain], n[plain])
+    for x in FLIPS if len(at) else ():
+        add(at, prints[at].astype(np.int64) ^ x)
+    phases = column.flatten()
+    length = pc.list_value_length(phases).to_numpy(zero_copy_only=False).astype(np.int64)
+    of = np.repeat(np.flatnonzero(~plain), pc.list_value_length(column.drop_null()).to_numpy(zero_copy_only=False))
+    at, packed = ranges(start[of], length), phases.flatten().to_numpy()
+    for k in range(-1, WEAK):
+        add(at, packed & 0xFFFFFFFF ^ (0 if k < 0 else 1 << (packed >> 32 + 5 * k & 31)))
+    return np.unique(np.concatenate(found))
+
+
+def slots(integers: np.ndarray) -> np.ndarray:
+    """A slot of 2^22 for each integer."""
+    return (integers.astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(10)
+
+
+def voted(queries: DataFrame, reps: DataFrame) -> DataFrame:
+    """q, m, offset, hits: where a query (q, prints, probes) meets a recording in MIN_HITS windows at one offset, and an offset near it has a
+    bit error that is accepted.
+
+    A pair of blocks is one group, so windows that meet, as many as they are, are rows of no table: a group takes MEETINGS at a time and keeps the counts
+    of the query in hand.
+    """
+    blocks, block, every = dealt(reps, max(1, BLOCK // 4), 4 * BLOCK)
+    kind = reps.schema["class_id"].dataType.simpleString()
+    qs = queries.select(block("q", "q").alias("qb"), every("m").alias("mb"), "q", F.lit(None).cast(kind).alias("m"), "prints", "probes")
+    ms = reps.select(every("q").alias("qb"), block("m", "class_id").alias("mb"), F.lit(None).cast(kind).alias("q"), F.col("class_id").alias("m"), "prints", F.lit(None).cast("array<array<bigint>>").alias("probes"))
+
+    def run(group: pa.Table) -> pa.Table:
+        q_side, q_all, m_side, m_all = sides(group)
+        (qp, q_start, q_n), (mp, m_start, m_n) = q_all, m_all
+        out: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64),) * 4]
+        there = np.zeros(1 << 22, bool)
+        there[slots(mp)] = True
+        looked = looked_for(q_side, q_all, there)
+        order = np.argsort(mp, kind="stable")
+        integers = (looked & 0xFFFFFFFF).astype(np.uint32)
+        low = np.searchsorted(mp[order], integers, "left")
+        n = np.searchsorted(mp[order], integers, "right") - low
+        looked, low, n = looked[n > 0], low[n > 0], n[n > 0]
+        at, total = looked >> 32, np.cumsum(n)
+        q_of, m_of = np.repeat(np.arange(len(q_n)), q_n), np.repeat(np.arange(len(m_n)), m_n)
+        itself = pc.fill_null(pc.index_in(q_side.column("q"), m_side.column("m")), -1).to_numpy().astype(np.int64)
+        # (query, recording, offset) as one number; room for two offsets beyond the least and the largest
+        least = int(q_n.max(initial=0)) + 2
+        span = least + int(m_n.max(initial=0)) + 3
+
+        def judge(keys: np.ndarray, hits: np.ndarray) -> None:
+            # what no offset within two meets in MIN_HITS windows is no link at any offset beside it
+            enough = keys[hits >= MIN_HITS]
+            close = lambda x, of: np.searchsorted(of, x + 2, "right") > np.searchsorted(of, x - 2, "left")
+            tried = keys[close(keys, enough)]
+            if not len(tried):
+                return
+            pair, offset = np.divmod(tried, span)
+            q, m = np.divmod(pair, len(m_n))
+            good = np.zeros(len(tried), bool)
+            for d in (-1, 0, 1):
+                good |= bit_errors(q_all, m_all, q, m, offset - least + d) <= MAX_ERROR
+            votes = np.flatnonzero(hits >= MIN_HITS)[close(enough, tried[good])]
+            pair, offset = np.divmod(keys[votes], span)
+            out.append((*np.divmod(pair, len(m_n)), offset - least, hits[votes]))
+
+        keys, hits, s = np.empty(0, np.int64), np.empty(0, np.int64), 0
+        while s < len(at):
+            e = max(s + 1, int(np.searchsorted(total, (total[s - 1] if s else 0) + MEETINGS, "right")))
+            to = order[ranges(low[s:e], n[s:e])]
+            here = np.repeat(at[s:e], n[s:e])
+            q, m = q_of[here], m_of[to]
+            key = ((q * len(m_n) + m) * span + least + (to - m_start[m]) - (here - q_start[q]))[m != itself[q]]
+            new, count = np.unique(key, return_counts=True)
+            keys, of = np.unique(np.concatenate([keys, new]), return_inverse=True)
+            hits = np.bincount(of, np.concatenate([hits, count]), len(keys)).astype(np.int64)
+            done = np.searchsorted(keys, q_of[at[e]] * len(m_n) * span) if e < len(at) else len(keys)
+            judge(keys[:done], hits[:done])
+            keys, hits, s = keys[done:], hits[done:], e
+        q, m, offset, hits = map(np.concatenate, zip(*out, strict=True))
+        return pa.table({"q": q_side.column("q").take(pa.array(q)), "m": m_side.column("m").take(pa.array(m)), "offset": pa.array(offset.astype(np.int32)), "hits": pa.array(hits)})
+
+    return qs.unionByName(ms).groupBy("qb", "mb").applyInArrow(run, f"q {kind}, m {kind}, offset int, hits bigint")
+
+
 def confirmed(votes: DataFrame, reps: DataFrame) -> DataFrame:
     """q, m, offset, hits, bit_error of the votes (q, m, offset, hits) whose bit error is accepted at their offset or beside it.
 
     Queries and recordings are dealt into blocks of about BLOCK windows each. A pair of blocks is one group: it gets both blocks' prints once and the
     votes between them, so no vote carries prints.
     """
-    sizes = reps.agg(*[F.coalesce(F.sum(F.when(c, F.size("prints"))), F.lit(0)).alias(n) for c, n in ((F.col("asked"), "q"), (F.lit(True), "m"))]).first()
-    blocks = {x: -(-sizes[x] // BLOCK) or 1 for x in ("q", "m")}
+    blocks, block, every = dealt(reps, BLOCK, BLOCK)
     kind = reps.schema["class_id"].dataType.simpleString()
-    block = lambda x, c: F.pmod(F.xxhash64(c), F.lit(blocks[x])).cast("int")
-    every = lambda x: F.explode(F.sequence(F.lit(0), F.lit(blocks[x] - 1)))
     none = lambda t: F.lit(None).cast(t)
     parts = votes.select(block("q", "q").alias("qb"), block("m", "m").alias("mb"), "q", "m", "offset", "hits", none("array<bigint>").alias("prints"))
     qs = reps.where("asked").select(block("q", "class_id").alias("qb"), every("m").alias("mb"), F.col("class_id").alias("q"), none(kind).alias("m"), none("int").alias("offset"), none("bigint").alias("hits"), "prints")
     ms = reps.select(every("q").alias("qb"), block("m", "class_id").alias("mb"), none(kind).alias("q"), F.col("class_id").alias("m"), none("int").alias("offset"), none("bigint").alias("hits"), "prints")
 
     def run(group: pa.Table) -> pa.Table:
-        of = lambda c: group.column(c)
-        sides = []
-        vote = group.filter(pc.is_valid(of("offset")))
-        for x, other in (("q", "m"), ("m", "q")):
-            side = group.filter(pc.and_(pc.is_valid(of("prints")), pc.is_null(of(other))))
-            prints = side.column("prints").combine_chunks()
-            n = pc.list_value_length(prints).to_numpy(zero_copy_only=False).astype(np.int64)
-            at = pc.index_in(vote.column(x), side.column(x)).to_numpy().astype(np.int64)
-            sides.append((prints.flatten().to_numpy().astype(np.uint32), np.cumsum(n) - n, n, at))
-        (qp, q_start, q_n, q), (mp, m_start, m_n, m) = sides
+        q_side, q_all, m_side, m_all = sides(group)
+        vote = group.filter(pc.is_valid(group.column("offset")))
+        q, m = (pc.index_in(vote.column(x), side.column(x)).to_numpy().astype(np.int64) for x, side in (("q", q_side), ("m", m_side)))
         offset, hits = (vote.column(c).to_numpy().astype(np.int64) for c in ("offset", "hits"))
         # a start between two hops has its hits at one offset and its least error at the next
         vote_of, offset = np.tile(np.arange(len(q)), 3), np.concatenate([offset - 1, offset, offset + 1])
@@ -278,18 +378,8 @@ def confirmed(votes: DataFrame, reps: DataFrame) -> DataFrame:
         a, b = q[vote_of], m[vote_of]
         new = np.ones(len(a), bool)
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (offset[1:] != offset[:-1])
-        first = np.maximum(0, -offset)
-        overlap = np.minimum(q_n[a], m_n[b] - offset) - first
-        keep = np.flatnonzero(new & (overlap >= MIN_OVERLAP))
-        vote_of, offset, first, overlap = vote_of[keep], offset[keep], first[keep], overlap[keep]
-        a, b = q_start[q[vote_of]] + first, m_start[m[vote_of]] + first + offset
-        error, total, low = np.empty(len(keep)), np.cumsum(overlap), 0
-        while low < len(keep):
-            high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + (1 << 20), "right")))
-            n = overlap[low:high]
-            wrong = np.bitwise_count(qp[ranges(a[low:high], n)] ^ mp[ranges(b[low:high], n)])
-            error[low:high] = np.add.reduceat(wrong, np.cumsum(n) - n, dtype=np.int64) / (n * 32.0)
-            low = high
+        vote_of, offset = vote_of[new], offset[new]
+        error = bit_errors(q_all, m_all, q[vote_of], m[vote_of], offset)
         good = np.flatnonzero(error <= MAX_ERROR)
         found = vote.select(["q", "m"]).take(pa.array(vote_of[good]))
         return found.append_column("offset", pa.array(offset[good].astype(np.int32))).append_column("hits", pa.array(hits[vote_of[good]])).append_column("bit_error", pa.array(error[good]))

@@ -576,3 +576,35 @@ def test_audio_chance_meetings_are_no_votes(spark, monkeypatch) -> None:  # noqa
     assert [(x["query_class"], x["match_class"], x["offset"]) for x in links] == [(0, 100, 0)]
     assert [x["hits"] for x in links] == [2]
     assert seen[0] < 100  # 20 * 60 pairs meet at four windows
+
+
+def test_audio_links_whatever_surrounds(spark, monkeypatch) -> None:  # noqa: ANN001
+    """A copy is linked though all that surrounds the windows it meets by differs; recordings that share half their windows make no row; hits are
+    all windows that meet, however few are taken at once."""
+    r = np.random.default_rng(14)
+    prints = {i: r.integers(0, 1 << 32, 60, dtype=np.uint64).astype(np.int64) for i in range(40)}
+    for p in prints.values():
+        p[10:40] = prints[0][10:40]
+    prints[50] = r.integers(0, 1 << 32, 60, dtype=np.uint64).astype(np.int64)
+    flips = [sum(1 << (31 - 2 * b) for b in range(6)) if min(abs(abs(k - t) - abs(d)) for t in (20, 45) for d in chroma.AROUND) == 0 else 0b1111 << 2 * int(r.integers(0, 4)) for k in range(60)]
+    prints[100] = prints[50] ^ np.array([0 if k in (20, 45) else x for k, x in enumerate(flips)], np.int64)
+    prints[101] = prints[50][7:] ^ np.array([0b111 if k % 3 else 1 for k in range(53)], np.int64)
+    rows = spark.createDataFrame([(i, p.tolist(), str(i).encode()) for i, p in prints.items()], "id bigint, prints array<bigint>, digest binary").repartition(3)
+
+    def meet(a: np.ndarray, b: np.ndarray, offset: int) -> int:
+        low, high = max(0, -offset), min(len(a), len(b) - offset)
+        return int((np.bitwise_count(a[low:high] ^ b[low + offset : high + offset]) <= 1).sum())
+
+    want = {(50, 100): (0, 2), (50, 101): (-7, max(meet(prints[50], prints[101], o) for o in (-8, -7, -6)))}
+    asked, seen, confirmed = (F.col("id") < 10) | (F.col("id") == 50), [], chroma.confirmed
+
+    def watched(votes, reps):  # noqa: ANN001, ANN202
+        seen.append(votes.count())
+        return confirmed(votes, reps)
+
+    monkeypatch.setattr(chroma, "confirmed", watched)
+    for most in (1 << 20, 7):
+        monkeypatch.setattr(chroma, "MEETINGS", most)
+        got = {(x["query_class"], x["match_class"]): (x["offset"], x["hits"]) for x in chroma.search(rows, asked)[1].collect()}
+        assert {k: v for k, v in got.items() if k[0] == 50} == want and not any(q < 40 for q, _ in got)
+    assert seen == [2, 2]
