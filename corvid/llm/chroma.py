@@ -40,7 +40,7 @@ MIN_HITS, MIN_OVERLAP, MAX_ERROR = 2, 16, 0.2
 PHASES, WEAK = 8, 6
 #: Recordings of an Arrow batch.
 BATCH = 256
-#: Windows of a block of queries or of recordings; where windows meet, a quarter of it and four times it.
+#: A block of queries has twice so many windows at most, a block of recordings sixteen times: a query's probes are eight times as wide as its prints.
 BLOCK = 1 << 17
 #: Windows that meet taken at once.
 MEETINGS = 1 << 20
@@ -252,11 +252,13 @@ def bit_errors(qs: tuple, ms: tuple, q: np.ndarray, m: np.ndarray, offset: np.nd
     return error
 
 
-def dealt(reps: DataFrame, q_block: int, m_block: int) -> tuple[dict, Callable, Callable]:
-    """How many blocks queries and recordings have at about so many windows each; the block of an id, and a row for each block of a side."""
+def dealt(reps: DataFrame) -> tuple[Callable, Callable]:
+    """The block of an id of a side (q or m), and a row for each block of a side: as few as BLOCK allows, for each block is sent to all of the other
+    side, but three pairs of blocks for each core."""
     sizes = reps.agg(*[F.coalesce(F.sum(F.when(c, F.size("prints"))), F.lit(0)).alias(n) for c, n in ((F.col("asked"), "q"), (F.lit(True), "m"))]).first()
-    blocks = {"q": -(-sizes["q"] // q_block) or 1, "m": -(-sizes["m"] // m_block) or 1}
-    return blocks, lambda x, c: F.pmod(F.xxhash64(c), F.lit(blocks[x])).cast("int"), lambda x: F.explode(F.sequence(F.lit(0), F.lit(blocks[x] - 1)))
+    blocks = {"q": -(-sizes["q"] // (2 * BLOCK)) or 1}
+    blocks["m"] = max(-(-sizes["m"] // (16 * BLOCK)), -(-3 * reps.sparkSession.sparkContext.defaultParallelism // blocks["q"]))
+    return lambda x, c: F.pmod(F.xxhash64(c), F.lit(blocks[x])).cast("int"), lambda x: F.explode(F.sequence(F.lit(0), F.lit(blocks[x] - 1)))
 
 
 def looked_for(queries: pa.Table, q_prints: tuple, there: np.ndarray) -> np.ndarray:
@@ -294,7 +296,7 @@ def voted(queries: DataFrame, reps: DataFrame) -> DataFrame:
     A pair of blocks is one group, so windows that meet, as many as they are, are rows of no table: a group takes MEETINGS at a time and keeps the counts
     of the query in hand.
     """
-    blocks, block, every = dealt(reps, max(1, BLOCK // 4), 4 * BLOCK)
+    block, every = dealt(reps)
     kind = reps.schema["class_id"].dataType.simpleString()
     qs = queries.select(block("q", "q").alias("qb"), every("m").alias("mb"), "q", F.lit(None).cast(kind).alias("m"), "prints", "probes")
     ms = reps.select(every("q").alias("qb"), block("m", "class_id").alias("mb"), F.lit(None).cast(kind).alias("q"), F.col("class_id").alias("m"), "prints", F.lit(None).cast("array<array<bigint>>").alias("probes"))
@@ -356,10 +358,12 @@ def voted(queries: DataFrame, reps: DataFrame) -> DataFrame:
 def confirmed(votes: DataFrame, reps: DataFrame) -> DataFrame:
     """q, m, offset, hits, bit_error of the votes (q, m, offset, hits) whose bit error is accepted at their offset or beside it.
 
-    Queries and recordings are dealt into blocks of about BLOCK windows each. A pair of blocks is one group: it gets both blocks' prints once and the
-    votes between them, so no vote carries prints.
+    A pair of blocks is one group: it gets both blocks' prints once and the votes between them, so no vote carries prints.
     """
-    blocks, block, every = dealt(reps, BLOCK, BLOCK)
+    # most recordings have no vote
+    met = votes.select(F.col("q").alias("class_id")).union(votes.select("m")).distinct()
+    reps = table(reps.join(met, "class_id", "left_semi"))
+    block, every = dealt(reps)
     kind = reps.schema["class_id"].dataType.simpleString()
     none = lambda t: F.lit(None).cast(t)
     parts = votes.select(block("q", "q").alias("qb"), block("m", "m").alias("mb"), "q", "m", "offset", "hits", none("array<bigint>").alias("prints"))
