@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corvid.llm import chroma, langid, mixing, packing, pii, queries, tokens, urlfilter
-from corvid.llm.common import batch_words, text_bytes
+from corvid.llm.common import batch_words, ranges, text_bytes
 
 from . import brute
 
@@ -397,6 +397,44 @@ def test_scoring_holds_a_block_and_shares_its_cost(monkeypatch) -> None:  # noqa
     assert together == pytest.approx([scores(text_bytes(pa.array([t])))[0] for t in texts], rel=1e-5)
 
 
+def test_log_odds_are_looked_up_in_two_bytes() -> None:
+    """Scoring's tables hold two bytes a slot and give what slot_odds gives, also at both ends."""
+    slots = np.concatenate([np.random.default_rng(3).integers(0, 60, (1 << 16, 2)), [[0, 0], [10**9, 0], [0, 10**9]], np.zeros(((1 << 16) - 3, 2), np.int64)]).astype(np.int64)
+    odds = mixing.slot_odds(slots)
+    exact = np.log((slots[:, 1] + mixing.PRIOR) / (slots[:, 0] + mixing.PRIOR))
+    assert odds == pytest.approx(exact, abs=0.51 / mixing.GRID)
+    head = mixing.Head(np.empty(0, np.uint64), np.empty(0, np.int64), 1, 10, 5)
+    model = mixing.Model(head, head.tree, (odds, odds), (16, 16), (None, None), (None, None)).for_scoring()
+    assert model.odds == (None, None) and model.packed(0).dtype == np.uint16
+    at = np.arange(1 << 16, dtype=np.uint32)
+    d = mixing.Bits(None, None, np.zeros(len(at), np.int32), None, [at, at])
+    x, gate = mixing._inputs(d, None, model.packed(0), 16)
+    assert np.concatenate(x) == pytest.approx(odds, abs=1e-5)
+    sure = mixing._confidence(slots.sum(axis=1))
+    assert (gate == mixing._gate(0, sure[: 1 << 16], sure[1 << 16 :])).all()
+
+
+def test_texts_of_like_length_are_scored_together() -> None:
+    """A part of a batch goes from its shortest text to its longest, and no row is lost or doubled."""
+    texts = [words_of(n, n) for n in (3000, 5, 900, 40, 2)] + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["i", "text"])
+    parts = list(mixing.by_length(iter([batch.slice(0, 0), batch, batch.slice(2)]), 1))
+    rows = [r for p in parts for r in p.to_pylist()]
+    assert sorted(r["i"] for r in rows) == sorted([*range(7), *range(2, 7)]) and all(r["text"] == texts[r["i"]] for r in rows)
+    for p in parts:
+        sizes = [len((t or "").encode()) for t in p.column(1).to_pylist()]
+        assert sizes == sorted(sizes)
+
+
+def test_products_keep_long_words() -> None:
+    """One logarithm of a product where it can't underflow; the sum of logarithms where it could. Ranges of no length take no place."""
+    for sizes in ([3, 1, mixing.FACTORS], [2, 400]):
+        q = np.full(sum(sizes), 1e-6, np.float32)
+        assert mixing._log10_sums(q, np.array(sizes)) == pytest.approx([-6 * n for n in sizes], rel=1e-5)
+    assert ranges(np.array([5, 9, 0, 7, 3]), np.array([2, 0, 3, 1, 0])).tolist() == [5, 6, 0, 1, 2, 7]
+    assert ranges(np.array([5, 9]), np.array([0, 0])).tolist() == []
+
+
 def test_tables_of_scoring_free_their_shuffles(spark, monkeypatch) -> None:  # noqa: ANN001
     """Each table is written with its shuffle files removed behind it, and the session's setting comes back."""
     name, seen, table = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [], mixing.table
